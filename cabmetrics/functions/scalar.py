@@ -31,3 +31,17 @@ def nan_to_null(col) -> Column:
     """NaN (pandas' missing marker) becomes a real null."""
     c = _c(col)
     return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
+
+
+def pearson(a, b) -> Column:
+    """Pearson correlation over rows where both values are present (pandas'
+    pairwise rule); null for fewer than two rows or a constant side.
+
+    Written as covariance over deviations with ``try_divide`` because the
+    built-in ``corr`` raises DIVIDE_BY_ZERO on a constant column under ANSI
+    mode (Spark 4's default).
+    """
+    x, y = nan_to_null(_c(a).cast("double")), nan_to_null(_c(b).cast("double"))
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))

@@ -24,7 +24,7 @@ def _metric_cols(label: Column, pred: Column, digits: int | None):
     return (
         _r(F.sqrt(F.avg(e * e)), digits),
         _r(F.avg(F.abs(e)), digits),
-        _r(F.lit(1.0) - F.sum(e * e) / ((F.count(label) - 1) * F.var_samp(label)), digits),
+        _r(F.lit(1.0) - F.try_divide(F.sum(e * e), (F.count(label) - 1) * F.var_samp(label)), digits),
     )
 
 

@@ -16,7 +16,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import nan_to_null, passenger_valid_flag, pct_of_total
+from ..functions.scalar import nan_to_null, passenger_valid_flag, pct_of_total, pearson
 from ..functions.timeparts import day_name
 from ..schema import CODE_PROFILE, NUMERIC_COLUMNS, CleaningProfile
 from .quantiles import quantiles
@@ -271,7 +271,7 @@ def temporal_profile(features: DataFrame, digits: int | None = 6) -> DataFrame:
 
 def corr_with_target(df: DataFrame, target: str, cols: Sequence[str], digits: int | None = 6) -> DataFrame:
     """Pearson correlation of ``target`` with each column (pairwise-complete rows), one pass."""
-    agg = df.agg(*[F.corr(F.col(target).cast("double"), F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    agg = df.agg(*[pearson(target, c).alias(f"c{i}") for i, c in enumerate(cols)])
     return agg.select(
         F.inline(
             F.array(*[F.struct(F.lit(c).alias("column"), _r(F.col(f"c{i}"), digits).alias("corr")) for i, c in enumerate(cols)])
@@ -290,7 +290,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], complete_rows: bool = True,
 
         df = df.filter(not_null_condition(df, cols))
     pairs = list(combinations(cols, 2))
-    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    agg = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     return agg.select(
         F.inline(
             F.array(
@@ -306,7 +306,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], complete_rows: bool = True,
 def corr_pair(df: DataFrame, a: str, b: str, digits: int | None = 6) -> DataFrame:
     """One coefficient over rows where both values are present (unlike
     ``df.stat.corr``, which must not see nulls)."""
-    return df.agg(_r(F.corr(F.col(a).cast("double"), F.col(b).cast("double")), digits).alias("corr"))
+    return df.agg(_r(pearson(a, b), digits).alias("corr"))
 
 
 def pickup_density(df: DataFrame, cell: float = 0.01, p: CleaningProfile = CODE_PROFILE) -> DataFrame:

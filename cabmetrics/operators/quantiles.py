@@ -13,6 +13,11 @@ histogram refinement instead:
 3. once an interval holds at most ``max_collect`` rows (or a single value)
    those rows are fetched and the rank is read off directly.
 
+Only the first two passes read the whole column. After that, the rows that
+can still matter (those inside some target's interval, about
+``targets / buckets`` of the input) are persisted and later passes run on
+that shrinking subset.
+
 Each pass strictly shrinks the row count of an unresolved interval (its
 first and last bucket are both non-empty), so it terminates; on real data
 two or three passes suffice. Interpolation follows the linear rule of
@@ -23,7 +28,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +49,7 @@ def exact_quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     buckets: int = 4096,
-    max_collect: int = 100_000,
+    max_collect: int = 50_000,
     max_passes: int = 200,
 ) -> dict[str, list[float | None]]:
     """``{column: [quantile for p in probs]}``; null/NaN ignored, None for an empty column."""
@@ -69,14 +77,11 @@ def exact_quantiles(
         if t["lo"] == t["hi"]:
             t["value"] = t["lo"]
 
-    persisted = False
+    work, persisted = base, None
     for _ in range(max_passes):
         active = [(k, t) for k, t in targets.items() if t["value"] is None and t["inside"] > max_collect]
         if not active:
             break
-        if not persisted:
-            base = base.persist()
-            persisted = True
         elems = []
         for tid, ((i, _r), t) in enumerate(active):
             x = F.col(cols[i])
@@ -91,7 +96,7 @@ def exact_quantiles(
                 )
             )
         hist = (
-            base.select(F.explode(F.filter(F.array(*elems), lambda e: e.isNotNull())).alias("e"))
+            work.select(F.explode(F.filter(F.array(*elems), lambda e: e.isNotNull())).alias("e"))
             .select("e.*")
             .groupBy("t", "b")
             .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
@@ -109,28 +114,39 @@ def exact_quantiles(
                         t["value"] = row["mn"]
                     break
                 below += row["n"]
+        # keep only rows some unresolved target can still need
+        open_t = [(k, t) for k, t in targets.items() if t["value"] is None]
+        if open_t:
+            keep = reduce(or_, [F.col(cols[i]).between(t["lo"], t["hi"]) for (i, _r), t in open_t])
+            nxt = work.filter(keep).persist(StorageLevel.MEMORY_AND_DISK)
+            if persisted is not None:
+                persisted.unpersist()
+            work = persisted = nxt
     else:
         raise RuntimeError("exact_quantiles did not converge")
 
     pending = [(k, t) for k, t in targets.items() if t["value"] is None]
     if pending:
+        # each value is fetched once per column, whatever number of targets share it
+        conds: dict[int, list] = {}
+        for (i, _r), t in pending:
+            conds.setdefault(i, []).append(F.col(cols[i]).between(t["lo"], t["hi"]))
         elems = [
-            F.when(F.col(cols[i]).between(t["lo"], t["hi"]), F.struct(F.lit(tid).alias("t"), F.col(cols[i]).alias("x")))
-            for tid, ((i, _r), t) in enumerate(pending)
+            F.when(reduce(or_, cs), F.struct(F.lit(i).alias("c"), F.col(cols[i]).alias("x"))) for i, cs in conds.items()
         ]
         rows = (
-            base.select(F.explode(F.filter(F.array(*elems), lambda e: e.isNotNull())).alias("e"))
+            work.select(F.explode(F.filter(F.array(*elems), lambda e: e.isNotNull())).alias("e"))
             .select("e.*")
             .collect()
         )
         vals: dict[int, list[float]] = {}
         for row in rows:
-            vals.setdefault(row["t"], []).append(row["x"])
-        for tid, ((_i, r), t) in enumerate(pending):
-            v = sorted(vals[tid])
+            vals.setdefault(row["c"], []).append(row["x"])
+        for (i, r), t in pending:
+            v = sorted(x for x in vals[i] if t["lo"] <= x <= t["hi"])
             t["value"] = v[r - t["below"]]
-    if persisted:
-        base.unpersist()
+    if persisted is not None:
+        persisted.unpersist()
 
     out: dict[str, list[float | None]] = {}
     for i, c in enumerate(cols):

@@ -57,7 +57,7 @@ def sample_to_size(df: DataFrame, size: int | None = SAMPLE_SIZE, seed: int = SE
     if size is None:
         return df
     n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    fraction = F.least(F.lit(float(size)) / n, F.lit(1.0))
+    fraction = F.least(F.try_divide(F.lit(float(size)), n), F.lit(1.0))
     u = key_hash32(key, salt=str(seed)) / F.lit(_TWO32)
     return df.filter(u < fraction)
 

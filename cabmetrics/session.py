@@ -26,7 +26,7 @@ def get_session(master: str | None = None, app: str = "cabmetrics", **conf) -> S
     """
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in {**DEFAULT_CONF, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

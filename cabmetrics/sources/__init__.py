@@ -1,7 +1,7 @@
 """Scans, fixture derivations and sinks."""
 
 from .fixtures import fixture_trips, fixture_yearly_trips, load_table, trips_from_events, trips_from_orders
-from .sinks import roundtrip_report, to_raw_text, write_split, write_table, write_trips
+from .sinks import content_fingerprint, roundtrip_report, to_raw_text, write_split, write_table, write_trips
 from .trips import (
     MissingColumnsError,
     conform_trips,
@@ -21,6 +21,7 @@ __all__ = [
     "trips_from_events",
     "trips_from_orders",
     "roundtrip_report",
+    "content_fingerprint",
     "to_raw_text",
     "write_split",
     "write_table",
