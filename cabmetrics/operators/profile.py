@@ -205,8 +205,10 @@ def equal_width_histogram(
     Columns: bin (1-based), low, high, n.
     """
     spark = df.sparkSession
-    x = nan_to_null(F.col(col).cast("double"))
-    vals = df.select(x.alias("x")).filter(F.col("x").isNotNull())
+    # x is computed once in a projection; the aggregate groups on it and the
+    # null bucket is dropped afterwards. Filtering on x instead would make
+    # Catalyst inline the (possibly large) expression into every predicate.
+    vals = df.select(nan_to_null(F.col(col).cast("double")).alias("x"))
     if lo is None or hi is None:
         mm = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
         lo_c = mm.select("lo").scalar() if lo is None else F.lit(float(lo))
@@ -215,9 +217,14 @@ def equal_width_histogram(
         lo_c, hi_c = F.lit(float(lo)), F.lit(float(hi))
     lo_e = F.when(lo_c == hi_c, lo_c - 0.5).otherwise(lo_c)
     hi_e = F.when(lo_c == hi_c, hi_c + 0.5).otherwise(hi_c)
-    inside = vals.filter(F.col("x").between(lo_e, hi_e))
-    counts = inside.groupBy(F.least(F.width_bucket("x", lo_e, hi_e, F.lit(bins)), F.lit(bins)).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n")
+    bucket = F.least(F.width_bucket("x", lo_e, hi_e, F.lit(bins)), F.lit(bins))
+    if lo is not None or hi is not None:
+        # explicit bounds: values outside them belong to no bin
+        bucket = F.when(F.col("x").between(lo_e, hi_e), bucket)
+    counts = (
+        vals.groupBy(bucket.alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("bin").isNotNull())
     )
     # The bin list has exactly `bins` rows: a broadcast bounded by a parameter.
     grid = spark.range(1, bins + 1).select(F.col("id").alias("bin"))
@@ -285,17 +292,27 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], complete_rows: bool = True,
     ``complete_rows`` first drops rows with a null in any of ``cols`` (the
     heat map's rule)."""
     cols = list(cols)
+    pairs = list(combinations(cols, 2))
     if complete_rows:
         from .clean import not_null_condition
 
-        df = df.filter(not_null_condition(df, cols))
-    pairs = list(combinations(cols, 2))
-    agg = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+        # every row has all values: one covariance per pair plus one
+        # deviation per column (stable co-moment aggregates)
+        df = df.filter(not_null_condition(df, cols)).select(*[F.col(c).cast("double").alias(c) for c in cols])
+        agg = df.agg(
+            *[F.covar_samp(a, b).alias(f"v{i}") for i, (a, b) in enumerate(pairs)],
+            *[F.stddev_samp(c).alias(f"s{j}") for j, c in enumerate(cols)],
+        )
+        idx = {c: j for j, c in enumerate(cols)}
+        corr = lambda i, a, b: F.try_divide(F.col(f"v{i}"), F.col(f"s{idx[a]}") * F.col(f"s{idx[b]}"))
+    else:
+        agg = df.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+        corr = lambda i, a, b: F.col(f"c{i}")
     return agg.select(
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _r(F.col(f"c{i}"), digits).alias("corr"))
+                    F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _r(corr(i, a, b), digits).alias("corr"))
                     for i, (a, b) in enumerate(pairs)
                 ]
             )

@@ -13,12 +13,33 @@ from ..schema import CODE_PROFILE, CleaningProfile
 from ..session import use_utc
 from ..sources.fixtures import fixture_trips, fixture_yearly_trips
 from ..sources.sinks import to_raw_text, write_trips
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+_TABLES: dict = {}
+
+
+def trips_table(spark: SparkSession, sf_dir: str) -> str:
+    """Write the derived trips once per session as parquet in the shared
+    folder and return its path (the "load once, store columnar" stage).
+
+    Downstream queries then scan a real trip table: cleaning predicates and
+    column pruning reach the parquet reader instead of re-deriving every row
+    from ``events`` inside each filter.
+    """
     use_utc(spark)
-    return fixture_trips(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _TABLES.get(key)
+    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
+        path = scratch_path(spark, "trips")
+        fixture_trips(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _TABLES[key] = path
+    return path
+
+
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw (uncleaned) trips of a scale-factor directory."""
+    return spark.read.parquet(trips_table(spark, sf_dir))
 
 
 def clean(spark: SparkSession, sf_dir: str, profile: CleaningProfile = CODE_PROFILE) -> DataFrame:
