@@ -11,7 +11,8 @@ histogram refinement instead:
    and the driver receives at most ``targets x (buckets + 2)`` rows; the
    interval shrinks to the one bucket holding the wanted rank;
 3. once an interval holds at most ``max_collect`` rows (or a single value)
-   those rows are fetched and the rank is read off directly.
+   the rank is read off a sorted list of that interval's values, built per
+   target in one small aggregation (a group never exceeds ``max_collect``).
 
 Only the first two passes read the whole column. After that, the rows that
 can still matter (those inside some target's interval, about
@@ -61,63 +62,68 @@ def exact_quantiles(
         *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)],
     ).first()
 
-    # target state: column index, rank, interval [lo, hi], rows below lo, rows inside
+    # target = (column index, 0-based rank); state: interval [lo, hi] known to
+    # hold the answer, rows below lo, rows inside, resolved value
     targets: dict[tuple[int, int], dict] = {}
     for i in range(len(cols)):
         n = first[f"n{i}"]
-        if not n:
-            continue
-        for p in probs:
+        for p in probs if n else ():
             for r in _ranks(n, p)[:2]:
                 targets.setdefault(
-                    (i, r),
-                    {"lo": first[f"lo{i}"], "hi": first[f"hi{i}"], "below": 0, "inside": n, "value": None},
+                    (i, r), {"lo": first[f"lo{i}"], "hi": first[f"hi{i}"], "below": 0, "inside": n, "value": None}
                 )
     for t in targets.values():
         if t["lo"] == t["hi"]:
             t["value"] = t["lo"]
 
+    def slots(ts):
+        """Targets sharing a column and an interval share one slot (one
+        histogram / one sorted list), so a row is emitted once per slot."""
+        out: dict[tuple, list] = {}
+        for (i, r), t in ts:
+            out.setdefault((i, t["lo"], t["hi"]), []).append((r, t))
+        return list(out.items())
+
+    def explode_slots(frame, sl, with_bucket: bool):
+        elems = []
+        for sid, ((i, lo, hi), _) in enumerate(sl):
+            x = F.col(cols[i])
+            fields = [F.lit(sid).alias("s"), x.alias("x")]
+            if with_bucket:
+                fields.append(F.width_bucket(x, F.lit(lo), F.lit(hi), F.lit(buckets)).alias("b"))
+            elems.append(F.when(x.between(lo, hi), F.struct(*fields)))
+        return frame.select(F.explode(F.filter(F.array(*elems), lambda e: e.isNotNull())).alias("e")).select("e.*")
+
     work, persisted = base, None
     for _ in range(max_passes):
         active = [(k, t) for k, t in targets.items() if t["value"] is None and t["inside"] > max_collect]
         if not active:
             break
-        elems = []
-        for tid, ((i, _r), t) in enumerate(active):
-            x = F.col(cols[i])
-            elems.append(
-                F.when(
-                    x.between(t["lo"], t["hi"]),
-                    F.struct(
-                        F.lit(tid).alias("t"),
-                        F.width_bucket(x, F.lit(t["lo"]), F.lit(t["hi"]), F.lit(buckets)).alias("b"),
-                        x.alias("x"),
-                    ),
-                )
-            )
+        sl = slots(active)
         hist = (
-            work.select(F.explode(F.filter(F.array(*elems), lambda e: e.isNotNull())).alias("e"))
-            .select("e.*")
-            .groupBy("t", "b")
+            explode_slots(work, sl, with_bucket=True)
+            .groupBy("s", "b")
             .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
             .collect()
         )
-        by_t: dict[int, list] = {}
+        by_s: dict[int, list] = {}
         for row in hist:
-            by_t.setdefault(row["t"], []).append(row)
-        for tid, ((_i, r), t) in enumerate(active):
-            below = t["below"]
-            for row in sorted(by_t.get(tid, []), key=lambda z: z["b"]):
-                if below + row["n"] > r:
-                    t.update(lo=row["mn"], hi=row["mx"], below=below, inside=row["n"])
-                    if row["mn"] == row["mx"]:
-                        t["value"] = row["mn"]
-                    break
-                below += row["n"]
+            by_s.setdefault(row["s"], []).append(row)
+        for sid, (_key, members) in enumerate(sl):
+            rows = sorted(by_s.get(sid, []), key=lambda z: z["b"])
+            for r, t in members:
+                below = t["below"]
+                for row in rows:
+                    if below + row["n"] > r:
+                        t.update(lo=row["mn"], hi=row["mx"], below=below, inside=row["n"])
+                        if row["mn"] == row["mx"]:
+                            t["value"] = row["mn"]
+                        break
+                    below += row["n"]
         # keep only rows some unresolved target can still need
         open_t = [(k, t) for k, t in targets.items() if t["value"] is None]
         if open_t:
-            keep = reduce(or_, [F.col(cols[i]).between(t["lo"], t["hi"]) for (i, _r), t in open_t])
+            keep = reduce(or_, [F.col(cols[i]).between(lo, hi) for (i, lo, hi), _ in slots(open_t)])
             nxt = work.filter(keep).persist(StorageLevel.MEMORY_AND_DISK)
             if persisted is not None:
                 persisted.unpersist()
@@ -127,24 +133,24 @@ def exact_quantiles(
 
     pending = [(k, t) for k, t in targets.items() if t["value"] is None]
     if pending:
-        # each value is fetched once per column, whatever number of targets share it
-        conds: dict[int, list] = {}
-        for (i, _r), t in pending:
-            conds.setdefault(i, []).append(F.col(cols[i]).between(t["lo"], t["hi"]))
-        elems = [
-            F.when(reduce(or_, cs), F.struct(F.lit(i).alias("c"), F.col(cols[i]).alias("x"))) for i, cs in conds.items()
-        ]
-        rows = (
-            work.select(F.explode(F.filter(F.array(*elems), lambda e: e.isNotNull())).alias("e"))
-            .select("e.*")
+        # The k-th values are read inside Spark from one sorted list per slot
+        # (at most `max_collect` values each); only the picked numbers come back.
+        sl = slots(pending)
+        pos = None
+        for sid, (_key, members) in enumerate(sl):
+            ks = F.array(*[F.lit(r - t["below"] + 1) for r, t in members])
+            pos = F.when(F.col("s") == sid, ks) if pos is None else pos.when(F.col("s") == sid, ks)
+        picked = (
+            explode_slots(work, sl, with_bucket=False)
+            .groupBy("s")
+            .agg(F.sort_array(F.collect_list("x")).alias("xs"))
+            .select("s", F.transform(pos, lambda k: F.element_at(F.col("xs"), k)).alias("v"))
             .collect()
         )
-        vals: dict[int, list[float]] = {}
-        for row in rows:
-            vals.setdefault(row["c"], []).append(row["x"])
-        for (i, r), t in pending:
-            v = sorted(x for x in vals[i] if t["lo"] <= x <= t["hi"])
-            t["value"] = v[r - t["below"]]
+        got = {row["s"]: row["v"] for row in picked}
+        for sid, (_key, members) in enumerate(sl):
+            for (_r, t), v in zip(members, got[sid]):
+                t["value"] = v
     if persisted is not None:
         persisted.unpersist()
 
