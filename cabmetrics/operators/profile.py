@@ -217,7 +217,8 @@ def equal_width_histogram(
         lo_c, hi_c = F.lit(float(lo)), F.lit(float(hi))
     lo_e = F.when(lo_c == hi_c, lo_c - 0.5).otherwise(lo_c)
     hi_e = F.when(lo_c == hi_c, hi_c + 0.5).otherwise(hi_c)
-    bucket = F.least(F.width_bucket("x", lo_e, hi_e, F.lit(bins)), F.lit(bins))
+    # `least` skips nulls, so the null guard must be explicit
+    bucket = F.when(F.col("x").isNotNull(), F.least(F.width_bucket("x", lo_e, hi_e, F.lit(bins)), F.lit(bins)))
     if lo is not None or hi is not None:
         # explicit bounds: values outside them belong to no bin
         bucket = F.when(F.col("x").between(lo_e, hi_e), bucket)

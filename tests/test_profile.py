@@ -60,3 +60,9 @@ def test_temporal_profile_single_scan(spark):
     assert got == [("day", 2, 1, 10.0), ("day", 3, 2, 25.0), ("hour", 1, 2, 15.0), ("hour", 2, 1, 30.0)]
     plan = P.temporal_profile(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan") <= 1 or "Expand" in plan
+
+
+def test_histogram_ignores_nulls(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (None,), (float("nan"),), (3.0,)], "x double")
+    rows = P.equal_width_histogram(df, "x", 2).orderBy("bin").collect()
+    assert [r.n for r in rows] == [1, 2]
