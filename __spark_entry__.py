@@ -420,6 +420,11 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
         "passenger_range": _q(f"SELECT * FROM trips WHERE {_PASS_OK}"),
         "bbox_filter": _q(f"SELECT * FROM trips WHERE {_BBOX}"),
         "clean_trips": _q("SELECT * FROM clean"),
+        "clean_trips_report_rule": _q(
+            f"SELECT * FROM trips WHERE {_NOT_NULL} AND fare_amount >= 0e0 AND fare_amount <= 500e0 AND {_PASS_OK} "
+            "AND pickup_longitude BETWEEN -75e0 AND -72e0 AND pickup_latitude BETWEEN 40e0 AND 42e0 "
+            "AND dropoff_longitude BETWEEN -75e0 AND -72e0 AND dropoff_latitude BETWEEN 40e0 AND 42e0"
+        ),
         "outside_bbox": _q(
             f"SELECT count_if({box_any}) AS n_outside, count(*) AS n_total, "
             f"{_pct(f'count_if({box_any})', 'count(*)')} AS pct_outside FROM trips"

@@ -25,6 +25,7 @@ from ..operators import profile as P
 from ..operators import split as S
 from ..schema import (
     AIRPORTS,
+    REPORT_PROFILE,
     NUMERIC_COLUMNS,
     PREP_FEATURES,
     RAW_TRIP_SCHEMA,
@@ -195,6 +196,12 @@ def clean_trips(spark, sf):
     return K.clean(spark, sf)
 
 
+@query("clean_trips_report_rule")
+def clean_trips_report_rule(spark, sf):
+    """The looser rule stated in the project report."""
+    return K.clean(spark, sf, REPORT_PROFILE)
+
+
 @query("outside_bbox")
 def outside_bbox(spark, sf):
     return C.outside_bbox(K.raw_trips(spark, sf))
