@@ -99,6 +99,18 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("key",))
     return model.transform(df).select(*keep, F.col(TARGET).alias("label"), "prediction")
 
 
+def predict_many(models: dict, df: DataFrame, keep: Sequence[str] = ("key",)) -> DataFrame:
+    """(key, label, one prediction column per model name) from a single pass:
+    each pipeline's output is renamed and its intermediate vectors dropped
+    before the next pipeline runs on the same rows."""
+    out = df
+    for name, model in models.items():
+        before = set(out.columns)
+        out = model.transform(out).withColumnRenamed("prediction", name)
+        out = out.drop(*[c for c in out.columns if c not in before and c != name])
+    return out.select(*keep, F.col(TARGET).alias("label"), *models)
+
+
 def param_grid(est: RandomForestRegressor, tuning: TuningProfile = TuningProfile()):
     return ParamGridBuilder().addGrid(est.numTrees, list(tuning.num_trees)).addGrid(est.maxDepth, list(tuning.max_depth)).build()
 

@@ -8,13 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import models as M
-from ..operators.evaluate import metrics_row
+from ..operators.evaluate import metrics_row, metrics_table
 from ..operators.split import fold_column
 from ..schema import TREE_FEATURES, ModelProfile, TuningProfile
 from ..session import scratch_path
@@ -30,12 +29,10 @@ def _cache_key(spark: SparkSession, *parts):
 def fitted(spark: SparkSession, sf_dir: str, kind: str, features: Sequence[str] = TREE_FEATURES, profile: ModelProfile = ModelProfile()) -> PipelineModel:
     key = _cache_key(spark, sf_dir, kind, tuple(features), profile)
     if key not in _FITTED:
+        # no persist here: the estimators cache their own binned / instance
+        # RDDs, a second copy of the training rows would double the memory
         train, _ = common.split(spark, sf_dir)
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            _FITTED[key] = M.fit(kind, train, features, profile)
-        finally:
-            train.unpersist()
+        _FITTED[key] = M.fit(kind, train, features, profile)
     return _FITTED[key]
 
 
@@ -49,24 +46,22 @@ def model_metrics(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 
 def evaluate_all(spark: SparkSession, sf_dir: str, kinds=("lr", "rf", "gbt")) -> DataFrame:
-    out = None
-    for k in kinds:
-        m = model_metrics(spark, sf_dir, k)
-        out = m if out is None else out.unionByName(m)
-    return out
+    """Metrics of several models from one scan of the test split: the
+    pipelines are applied one after another to the same rows and a single
+    aggregate computes every model's RMSE, MAE and R²."""
+    _, test = common.split(spark, sf_dir)
+    models = {M.MODEL_NAMES[k]: fitted(spark, sf_dir, k) for k in kinds}
+    return metrics_table(M.predict_many(models, test), list(models), label="label")
 
 
 def tuned(spark: SparkSession, sf_dir: str, tuning: TuningProfile):
     key = _cache_key(spark, sf_dir, "cv", tuning.num_trees, tuning.max_depth, tuning.num_folds, tuning.seed)
     if key not in _FITTED:
         train, _ = common.split(spark, sf_dir)
-        train = fold_column(train, tuning.num_folds).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            cv_model, table = M.cross_validate(train, tuning)
-            best = PipelineModel(stages=[M.assembler(TREE_FEATURES), cv_model.bestModel])
-            _FITTED[key] = (best, table.collect(), table.schema)
-        finally:
-            train.unpersist()
+        cv_model, table = M.cross_validate(fold_column(train, tuning.num_folds), tuning)
+        best = PipelineModel(stages=[M.assembler(TREE_FEATURES), cv_model.bestModel])
+        # the grid table has one row per parameter combination
+        _FITTED[key] = (best, table.collect(), table.schema)
     best, rows, schema = _FITTED[key]
     return best, spark.createDataFrame(rows, schema)
 
