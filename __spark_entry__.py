@@ -172,18 +172,23 @@ rawtrain AS (SELECT * FROM rawclean WHERE {_BUCKET} < 80)"""
 
 
 def _hist(src: str, col: str, bins: int) -> str:
+    w = f"((he.hi - he.lo) / {bins})"
+    b0 = f"least(CAST(floor({bins}e0 * (x - he.lo) / (he.hi - he.lo)) AS BIGINT) + 1, {bins})"
     return f""",
 hv AS (SELECT {col} AS x FROM {src} WHERE {col} IS NOT NULL AND NOT isnan({col})),
 hmm AS (SELECT min(x) AS lo, max(x) AS hi FROM hv),
 he AS (SELECT CASE WHEN lo = hi THEN lo - 0.5e0 ELSE lo END AS lo,
               CASE WHEN lo = hi THEN hi + 0.5e0 ELSE hi END AS hi FROM hmm),
-hc AS (SELECT least(CAST(floor({bins}e0 * (x - he.lo) / (he.hi - he.lo)) AS BIGINT) + 1, {bins}) AS bin, count(*) AS n
-       FROM hv, he WHERE x BETWEEN he.lo AND he.hi GROUP BY 1),
+hb AS (SELECT x, {b0} AS b0 FROM hv, he),
+hc AS (SELECT CASE WHEN x < (b0 - 1) * {w} + he.lo THEN b0 - 1
+                   WHEN x >= b0 * {w} + he.lo AND b0 <> {bins} THEN b0 + 1 ELSE b0 END AS bin, count(*) AS n
+       FROM hb, he GROUP BY 1),
 hg AS (SELECT range AS bin FROM range(1, {bins + 1}))"""
 
 
-_HIST_BODY = """SELECT hg.bin, round(he.lo + (hg.bin - 1) * ((he.hi - he.lo) / {bins}), 6) AS low,
-       round(he.lo + hg.bin * ((he.hi - he.lo) / {bins}), 6) AS high, coalesce(hc.n, 0) AS n
+_HIST_BODY = """SELECT hg.bin, round((hg.bin - 1) * ((he.hi - he.lo) / {bins}) + he.lo, 6) AS low,
+       round(CASE WHEN hg.bin = {bins} THEN he.hi ELSE hg.bin * ((he.hi - he.lo) / {bins}) + he.lo END, 6) AS high,
+       coalesce(hc.n, 0) AS n
 FROM hg CROSS JOIN he LEFT JOIN hc ON hg.bin = hc.bin WHERE he.lo IS NOT NULL"""
 
 
@@ -533,6 +538,10 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
         ),
         "temporal_profile": _q(temporal),
         "yearly_trend": _q(_grouped("ytrips", "year") + " HAVING avg(fare_amount) IS NOT NULL"),
+        "distance_fare_sample": _rnd(
+            "SELECT key, distance_km, fare_amount FROM feat WHERE distance_km <= 50e0 ORDER BY key LIMIT 5000",
+            ["distance_km", "fare_amount"],
+        ),
         "distance_fare_scatter": _q(
             "SELECT CAST(floor(distance_km / 1e0) AS BIGINT) AS x_bin, CAST(floor(fare_amount / 5e0) AS BIGINT) AS y_bin, "
             "count(*) AS n FROM feat WHERE distance_km IS NOT NULL AND fare_amount IS NOT NULL AND distance_km <= 50e0 "

@@ -217,23 +217,32 @@ def equal_width_histogram(
         lo_c, hi_c = F.lit(float(lo)), F.lit(float(hi))
     lo_e = F.when(lo_c == hi_c, lo_c - 0.5).otherwise(lo_c)
     hi_e = F.when(lo_c == hi_c, hi_c + 0.5).otherwise(hi_c)
-    # `least` skips nulls, so the null guard must be explicit
-    bucket = F.when(F.col("x").isNotNull(), F.least(F.width_bucket("x", lo_e, hi_e, F.lit(bins)), F.lit(bins)))
+    width = (hi_e - lo_e) / F.lit(bins)
+    x = F.col("x")
+    # first guess from width_bucket, then NumPy's one-step correction against
+    # the bin edges i * width + lo, so a value on an edge lands where NumPy
+    # puts it (`least` skips nulls, so the null guard must be explicit)
+    b0 = F.least(F.width_bucket(x, lo_e, hi_e, F.lit(bins)), F.lit(bins))
+    bucket = F.when(x.isNull(), F.lit(None)).otherwise(
+        F.when(x < (b0 - 1) * width + lo_e, b0 - 1)
+        .when((x >= b0 * width + lo_e) & (b0 != F.lit(bins)), b0 + 1)
+        .otherwise(b0)
+    )
     if lo is not None or hi is not None:
         # explicit bounds: values outside them belong to no bin
-        bucket = F.when(F.col("x").between(lo_e, hi_e), bucket)
+        bucket = F.when(x.between(lo_e, hi_e), bucket)
     counts = (
         vals.groupBy(bucket.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("bin").isNotNull())
     )
-    # The bin list has exactly `bins` rows: a broadcast bounded by a parameter.
+    # The bin list has exactly `bins` rows and the counts at most as many:
+    # the join's build side is bounded by a parameter.
     grid = spark.range(1, bins + 1).select(F.col("id").alias("bin"))
-    width = (hi_e - lo_e) / F.lit(bins)
-    out = F.broadcast(grid).join(counts, "bin", "left").select(
+    out = grid.join(F.broadcast(counts), "bin", "left").select(
         "bin",
-        _r(lo_e + (F.col("bin") - 1) * width, digits).alias("low"),
-        _r(lo_e + F.col("bin") * width, digits).alias("high"),
+        _r((F.col("bin") - 1) * width + lo_e, digits).alias("low"),
+        _r(F.when(F.col("bin") == bins, hi_e).otherwise(F.col("bin") * width + lo_e), digits).alias("high"),
         F.coalesce(F.col("n"), F.lit(0)).alias("n"),
     )
     # An empty input has no range: return no bins.

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.geo import haversine_sql, near_airport
 from ..functions.scalar import numeric_to_label, passenger_valid_flag, pct_of_total
@@ -28,10 +27,8 @@ from ..schema import (
     REPORT_PROFILE,
     NUMERIC_COLUMNS,
     PREP_FEATURES,
-    RAW_TRIP_SCHEMA,
     TARGET,
     TREE_FEATURES,
-    TRIP_COLUMNS,
     TuningProfile,
 )
 from ..session import scratch_path
@@ -495,7 +492,6 @@ def standard_scale(spark, sf):
 
 @query("feature_pipeline")
 def feature_pipeline(spark, sf):
-    train, _ = K.split(spark, sf)
     feats = K.features(spark, sf, airport=True, as_double=True)
     model = M.feature_pipeline(PREP_FEATURES).fit(S.train_test_split(feats)[0])
     return model.transform(feats).select("key", vector_to_array("features").alias("features"), TARGET)
@@ -541,11 +537,14 @@ def evaluate_model(spark, sf):
 
 @query("model_params")
 def model_params(spark, sf):
+    """Main parameters of the three baseline models and of the tuned forest
+    (its numTrees / maxDepth are the grid's best parameters)."""
     out = None
     for kind, name in M.MODEL_NAMES.items():
         p = M.model_params(spark, FM.fitted(spark, sf, kind), name)
         out = p if out is None else out.unionByName(p)
-    return out
+    best, _ = FM.tuned(spark, sf, QUICK_TUNING)
+    return out.unionByName(M.model_params(spark, best, "Random Forest (tuned)"))
 
 
 @query("feature_importance")
@@ -610,6 +609,14 @@ def yearly_trend(spark, sf):
     return P.fare_by_year(K.yearly_trips(spark, sf))
 
 
+@query("distance_fare_sample")
+def distance_fare_sample(spark, sf):
+    """The scatter plot's points: first 5,000 trips by key with distance <= 50
+    (a top-k; the 2-D bins below cover all rows)."""
+    df = K.features(spark, sf).filter(F.col("distance_km") <= 50).select("key", "distance_km", "fare_amount")
+    return K.rounded(df.orderBy("key").limit(5000))
+
+
 @query("distance_fare_scatter")
 def distance_fare_scatter(spark, sf):
     return P.scatter_bins(K.features(spark, sf), "distance_km", "fare_amount", 1.0, 5.0, x_max=50.0)
