@@ -150,17 +150,13 @@ def final_stage(model):
 
 
 def feature_importance(spark: SparkSession, model, features: Sequence[str] = TREE_FEATURES) -> DataFrame:
-    """(feature, importance, rank) of a tree model, highest first."""
+    """(feature, importance, rank) of a tree model, highest first. The
+    importances are a model attribute with one value per feature, so the
+    ranking is done on that short list."""
     imp = final_stage(model).featureImportances.toArray()
-    df = spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
-    return df.withColumn("rank", F.row_number().over(_imp_window())).orderBy("rank")
-
-
-def _imp_window():
-    from pyspark.sql.window import Window
-
-    # one row per feature: the window is bounded by the feature count
-    return Window.orderBy(F.col("importance").desc(), F.col("feature"))
+    ranked = sorted(zip(features, (float(v) for v in imp)), key=lambda fv: (-fv[1], fv[0]))
+    rows = [(f, v, i + 1) for i, (f, v) in enumerate(ranked)]
+    return spark.createDataFrame(rows, "feature string, importance double, rank int")
 
 
 def model_params(spark: SparkSession, model, name: str) -> DataFrame:
