@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import models as M
 from ..operators.evaluate import metrics_row, metrics_table
 from ..operators.split import fold_column
-from ..schema import TREE_FEATURES, ModelProfile, TuningProfile
+from ..schema import TARGET, TREE_FEATURES, ModelProfile, TuningProfile
 from ..session import scratch_path
 from . import common
 
@@ -29,10 +30,15 @@ def _cache_key(spark: SparkSession, *parts):
 def fitted(spark: SparkSession, sf_dir: str, kind: str, features: Sequence[str] = TREE_FEATURES, profile: ModelProfile = ModelProfile()) -> PipelineModel:
     key = _cache_key(spark, sf_dir, kind, tuple(features), profile)
     if key not in _FITTED:
-        # no persist here: the estimators cache their own binned / instance
-        # RDDs, a second copy of the training rows would double the memory
         train, _ = common.split(spark, sf_dir)
-        _FITTED[key] = M.fit(kind, train, features, profile)
+        # MLlib reads its input several times before it caches its own binned
+        # copy (metadata, split sampling, binning); persist only the columns
+        # the pipeline uses, not the whole trip row, and drop it after the fit
+        data = train.select(*features, TARGET).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _FITTED[key] = M.fit(kind, data, features, profile)
+        finally:
+            data.unpersist()
     return _FITTED[key]
 
 
@@ -58,7 +64,12 @@ def tuned(spark: SparkSession, sf_dir: str, tuning: TuningProfile):
     key = _cache_key(spark, sf_dir, "cv", tuning.num_trees, tuning.max_depth, tuning.num_folds, tuning.seed)
     if key not in _FITTED:
         train, _ = common.split(spark, sf_dir)
-        cv_model, table = M.cross_validate(fold_column(train, tuning.num_folds), tuning)
+        data = fold_column(train, tuning.num_folds).select(*TREE_FEATURES, TARGET, "fold")
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            cv_model, table = M.cross_validate(data, tuning)
+        finally:
+            data.unpersist()
         best = PipelineModel(stages=[M.assembler(TREE_FEATURES), cv_model.bestModel])
         # the grid table has one row per parameter combination
         _FITTED[key] = (best, table.collect(), table.schema)
