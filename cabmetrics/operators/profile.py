@@ -199,24 +199,29 @@ def equal_width_histogram(
     digits: int | None = 6,
 ) -> DataFrame:
     """``bins`` equal-width bins over [lo, hi] (default: the column's min and
-    max, as scalar subqueries), last bin closed; empty bins get n = 0.
+    max), last bin closed; empty bins get n = 0.
 
-    A constant column gets the range [v - 0.5, v + 0.5] like NumPy.
-    Columns: bin (1-based), low, high, n.
+    The default range costs one aggregate returning a single row; it then
+    enters the bucket expression as literals (a scalar subquery inside the
+    grouping key defeats whole-stage codegen). A constant column gets the
+    range [v - 0.5, v + 0.5] like NumPy. Columns: bin (1-based), low, high, n.
     """
     spark = df.sparkSession
     # x is computed once in a projection; the aggregate groups on it and the
     # null bucket is dropped afterwards. Filtering on x instead would make
     # Catalyst inline the (possibly large) expression into every predicate.
     vals = df.select(nan_to_null(F.col(col).cast("double")).alias("x"))
+    explicit = lo is not None or hi is not None
     if lo is None or hi is None:
-        mm = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-        lo_c = mm.select("lo").scalar() if lo is None else F.lit(float(lo))
-        hi_c = mm.select("hi").scalar() if hi is None else F.lit(float(hi))
-    else:
-        lo_c, hi_c = F.lit(float(lo)), F.lit(float(hi))
-    lo_e = F.when(lo_c == hi_c, lo_c - 0.5).otherwise(lo_c)
-    hi_e = F.when(lo_c == hi_c, hi_c + 0.5).otherwise(hi_c)
+        mm = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+        lo = mm["lo"] if lo is None else lo
+        hi = mm["hi"] if hi is None else hi
+    if lo is None or hi is None:  # no values: no range, no bins
+        return spark.createDataFrame([], "bin bigint, low double, high double, n bigint")
+    lo, hi = float(lo), float(hi)
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    lo_e, hi_e = F.lit(lo), F.lit(hi)
     width = (hi_e - lo_e) / F.lit(bins)
     x = F.col("x")
     # first guess from width_bucket, then NumPy's one-step correction against
@@ -228,7 +233,7 @@ def equal_width_histogram(
         .when((x >= b0 * width + lo_e) & (b0 != F.lit(bins)), b0 + 1)
         .otherwise(b0)
     )
-    if lo is not None or hi is not None:
+    if explicit:
         # explicit bounds: values outside them belong to no bin
         bucket = F.when(x.between(lo_e, hi_e), bucket)
     counts = (
@@ -245,8 +250,7 @@ def equal_width_histogram(
         _r(F.when(F.col("bin") == bins, hi_e).otherwise(F.col("bin") * width + lo_e), digits).alias("high"),
         F.coalesce(F.col("n"), F.lit(0)).alias("n"),
     )
-    # An empty input has no range: return no bins.
-    return out.filter(lo_c.isNotNull())
+    return out
 
 
 def grouped_fare(df: DataFrame, by: str, fare: str = "fare_amount", key: str = "key", digits: int | None = 6) -> DataFrame:
