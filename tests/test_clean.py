@@ -61,3 +61,17 @@ def test_empty_input(spark):
     assert clean_trips(df).count() == 0
     got = [r.n_rows for r in cleaning_stage_counts(df).orderBy("stage_no").collect()]
     assert got == [0, 0, 0]
+
+
+def test_null_in_every_column_in_turn(spark):
+    base = _row("ok")
+    rows = [base]
+    for i in range(len(base)):
+        r = list(base)
+        r[0] = f"null{i}" if i else None
+        if i:
+            r[i] = None
+        rows.append(tuple(r))
+    df = spark.createDataFrame(rows, TRIP_SCHEMA)
+    assert [r.key for r in drop_nulls(df).collect()] == ["ok"]
+    assert [r.key for r in clean_trips(df).collect()] == ["ok"]

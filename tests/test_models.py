@@ -83,3 +83,12 @@ def test_metrics_row_matches_evaluator(spark, data):
 def test_model_cache_is_per_dataset(spark, sf_small):
     a = FM.fitted(spark, sf_small, "lr")
     assert FM.fitted(spark, sf_small, "lr") is a
+
+
+def test_scaler_zero_deviation_gives_zero(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    df = spark.createDataFrame([("a", 1.0, 5.0), ("b", 3.0, 5.0), ("c", 5.0, 5.0)], "key string, x double, c double")
+    model = M.feature_pipeline(["x", "c"]).fit(df)
+    rows = {r.key: r.v for r in model.transform(df).select("key", vector_to_array("features").alias("v")).collect()}
+    assert rows["a"] == pytest.approx([-1.0, 0.0]) and rows["b"] == pytest.approx([0.0, 0.0])
