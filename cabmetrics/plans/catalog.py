@@ -490,8 +490,8 @@ def standard_scale(spark, sf):
     return M.vector_columns(model.transform(K.features(spark, sf)), "features", TREE_FEATURES)
 
 
-@query("feature_pipeline")
-def feature_pipeline(spark, sf):
+@query("assemble_scale")
+def assemble_scale(spark, sf):
     feats = K.features(spark, sf, airport=True, as_double=True)
     model = M.feature_pipeline(PREP_FEATURES).fit(S.train_test_split(feats)[0])
     return model.transform(feats).select("key", vector_to_array("features").alias("features"), TARGET)
