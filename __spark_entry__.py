@@ -12,10 +12,17 @@ training queries (MLlib) have no SQL twin and get the rows-only check.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# the package sits next to this file; the driver may load this module by path
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
