@@ -76,13 +76,14 @@ def describe_numeric(
 ) -> DataFrame:
     """pandas-style describe: count, mean, std (n-1), min, 25/50/75 %, max per column.
 
-    Moments come from one lazy aggregate; quartiles from :func:`quantiles`
-    (exact, bounded memory) and enter as literals.
+    One aggregate gives the moments and, with them, the count/min/max the
+    quantile search starts from; the quartiles then come from
+    :func:`quantiles` (exact, bounded memory). The result has one row per
+    column, built from those bounded numbers.
     """
     cols = list(cols)
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], method=method)
     base = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
-    agg = base.agg(
+    m = base.agg(
         *[
             e
             for i, c in enumerate(cols)
@@ -94,50 +95,44 @@ def describe_numeric(
                 F.max(c).alias(f"max{i}"),
             )
         ]
+    ).first()
+    stats = {c: (m[f"n{i}"], m[f"min{i}"], m[f"max{i}"]) for i, c in enumerate(cols)}
+    q = quantiles(df, cols, [0.25, 0.5, 0.75], method=method, stats=stats)
+    rows = [
+        (i + 1, c, m[f"n{i}"], m[f"mean{i}"], m[f"std{i}"], m[f"min{i}"], *q[c], m[f"max{i}"])
+        for i, c in enumerate(cols)
+    ]
+    out = df.sparkSession.createDataFrame(
+        rows,
+        "position int, column string, count bigint, mean double, std double, min double, "
+        "p25 double, p50 double, p75 double, max double",
+    )
+    return out.select(
+        "position", "column", "count", *[_r(F.col(k), digits).alias(k) for k in ("mean", "std", "min", "p25", "p50", "p75", "max")]
     )
 
-    def lit(v):
-        return F.lit(v).cast("double")
 
-    return agg.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i + 1).alias("position"),
-                        F.lit(c).alias("column"),
-                        F.col(f"n{i}").alias("count"),
-                        _r(F.col(f"mean{i}"), digits).alias("mean"),
-                        _r(F.col(f"std{i}"), digits).alias("std"),
-                        _r(F.col(f"min{i}"), digits).alias("min"),
-                        _r(lit(q[c][0]), digits).alias("p25"),
-                        _r(lit(q[c][1]), digits).alias("p50"),
-                        _r(lit(q[c][2]), digits).alias("p75"),
-                        _r(F.col(f"max{i}"), digits).alias("max"),
-                    )
-                    for i, c in enumerate(cols)
-                ]
-            )
-        )
-    )
+def _moments_and_median(df: DataFrame, col: str, method: str) -> tuple:
+    c = nan_to_null(F.col(col).cast("double"))
+    m = df.agg(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean")).first()
+    med = quantiles(df, [col], [0.5], method=method, stats={col: (m["n"], m["min"], m["max"])})[col][0]
+    return m, med
 
 
 def min_max_mean_median(df: DataFrame, col: str, method: str = "exact", digits: int | None = 6) -> DataFrame:
-    """min, max, mean and median of one column (nulls skipped)."""
-    med = quantiles(df, [col], [0.5], method=method)[col][0]
-    c = nan_to_null(F.col(col).cast("double"))
-    return df.agg(
-        _r(F.min(c), digits).alias("min"),
-        _r(F.max(c), digits).alias("max"),
-        _r(F.avg(c), digits).alias("mean"),
-    ).withColumn("median", _r(F.lit(med).cast("double"), digits))
+    """min, max, mean and median of one column (nulls skipped); the
+    moments' aggregate also seeds the median search."""
+    m, med = _moments_and_median(df, col, method)
+    out = df.sparkSession.createDataFrame(
+        [(m["min"], m["max"], m["mean"], med)], "min double, max double, mean double, median double"
+    )
+    return out.select(*[_r(F.col(k), digits).alias(k) for k in ("min", "max", "mean", "median")])
 
 
 def mean_median(df: DataFrame, col: str, method: str = "exact", digits: int | None = 6) -> DataFrame:
-    med = quantiles(df, [col], [0.5], method=method)[col][0]
-    return df.agg(_r(F.avg(nan_to_null(F.col(col).cast("double"))), digits).alias("mean")).withColumn(
-        "median", _r(F.lit(med).cast("double"), digits)
-    )
+    m, med = _moments_and_median(df, col, method)
+    out = df.sparkSession.createDataFrame([(m["mean"], med)], "mean double, median double")
+    return out.select(*[_r(F.col(k), digits).alias(k) for k in ("mean", "median")])
 
 
 def iqr_bounds(df: DataFrame, col: str, k: float = 1.5, method: str = "exact") -> dict[str, float | None]:

@@ -52,15 +52,26 @@ def exact_quantiles(
     buckets: int = 4096,
     max_collect: int = 50_000,
     max_passes: int = 200,
+    stats: dict | None = None,
 ) -> dict[str, list[float | None]]:
-    """``{column: [quantile for p in probs]}``; null/NaN ignored, None for an empty column."""
+    """``{column: [quantile for p in probs]}``; null/NaN ignored, None for an empty column.
+
+    ``stats`` (``{column: (count, min, max)}`` of the non-null, non-NaN
+    values) lets a caller that already aggregated the column skip the first
+    pass.
+    """
     cols = list(cols)
     base = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
-    first = base.agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-        *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
-        *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)],
-    ).first()
+    if stats is None:
+        first = base.agg(
+            *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+            *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
+            *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)],
+        ).first()
+    else:
+        first = {}
+        for i, c in enumerate(cols):
+            first[f"n{i}"], first[f"lo{i}"], first[f"hi{i}"] = stats[c]
 
     # target = (column index, 0-based rank); state: interval [lo, hi] known to
     # hold the answer, rows below lo, rows inside, resolved value
@@ -181,5 +192,6 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method
     if method == "exact":
         return exact_quantiles(df, cols, probs, **kw)
     if method == "approx":
+        kw.pop("stats", None)
         return approx_quantiles(df, cols, probs, **kw)
     raise ValueError(f"unknown method {method!r}")
