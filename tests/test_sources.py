@@ -48,3 +48,27 @@ def test_fixture_counts(spark, sf_small):
     # FIXTURES.md: 1,000 raw and 749 clean rows at sf 0.001
     assert K.raw_trips(spark, sf_small).count() == 1000
     assert K.clean(spark, sf_small).count() == 749
+
+
+def test_partitioned_write_prunes_partitions(spark, sf_small):
+    trips = K.raw_trips(spark, sf_small)
+    path = write_trips(trips, scratch_path(spark, "t-part"), partition_by=["passenger_count"])
+    df = spark.read.parquet(path).filter(F.col("passenger_count") == 3)
+    jvm = spark._jvm
+    plan = jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(passenger_count" in plan
+    assert df.count() == trips.filter(F.col("passenger_count") == 3).count()
+
+
+def test_nan_text_in_csv_becomes_null(spark):
+    import os
+
+    d = scratch_path(spark, "nan-csv").replace("file:", "")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, "part.csv"), "w") as fh:
+        fh.write("key,fare_amount,pickup_datetime,pickup_longitude,pickup_latitude,dropoff_longitude,dropoff_latitude,passenger_count\n")
+        fh.write("a,NaN,2009-06-15 17:26:21 UTC,-73.9,40.7,-73.95,40.75,1\n")
+        fh.write("b,7.5,not a time,-73.9,40.7,-73.95,40.75,2\n")
+    rows = {r.key: r for r in read_trips_csv(spark, d).collect()}
+    assert rows["a"].fare_amount is None and str(rows["a"].pickup_datetime) == "2009-06-15 17:26:21"
+    assert rows["b"].pickup_datetime is None and rows["b"].fare_amount == 7.5
