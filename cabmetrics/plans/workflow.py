@@ -13,7 +13,7 @@ from ..operators import evaluate as E
 from ..operators import models as M
 from ..operators.clean import clean_trips
 from ..operators.features import feature_projection
-from ..operators.split import fold_column, train_test_split
+from ..operators.split import fold_column, sample_to_size, train_test_split
 from ..schema import CODE_PROFILE, TREE_FEATURES, CleaningProfile, ModelProfile, TuningProfile
 from ..sources.sinks import write_table
 
@@ -36,9 +36,18 @@ def run_workflow(
     models: ModelProfile = ModelProfile(),
     tuning: TuningProfile = TuningProfile(),
     kinds=("lr", "rf", "gbt"),
+    sample_size: int | None = None,
 ) -> WorkflowResult:
-    """Fit, evaluate, tune and save; every table is also written under ``out_dir``."""
+    """Fit, evaluate, tune and save; every table is also written under ``out_dir``.
+
+    ``sample_size`` reproduces the reference's optional down-sampling before
+    the split (it used 10,000): a stable key-hash Bernoulli sample with
+    fraction ``min(sample_size / rows, 1)``. ``None`` (default) trains on all
+    cleaned rows.
+    """
     feats = feature_projection(clean_trips(trips, cleaning))
+    if sample_size is not None:
+        feats = sample_to_size(feats, sample_size)
     train, test = train_test_split(feats)
     fitted = {M.MODEL_NAMES[k]: M.fit(k, train, TREE_FEATURES, models) for k in kinds}
     metrics = E.metrics_table(M.predict_many(fitted, test), list(fitted))

@@ -23,3 +23,16 @@ def test_workflow_end_to_end(spark, sf_small):
     assert res.importance.count() == 10
     model = PipelineModel.load(res.paths["model:final"])
     assert model.transform(K.features(spark, sf_small)).count() == 749
+
+
+def test_workflow_with_sample(spark, sf_small):
+    res = run_workflow(
+        spark,
+        K.raw_trips(spark, sf_small),
+        scratch_path(spark, "wf-sample"),
+        models=ModelProfile(rf_num_trees=4, rf_max_depth=3, gbt_max_iter=3),
+        tuning=TuningProfile(num_trees=(4,), max_depth=(3,), num_folds=2, parallelism=1),
+        kinds=("lr",),
+        sample_size=400,
+    )
+    assert [r.Model for r in res.metrics.collect()] == ["Linear Regression"]
