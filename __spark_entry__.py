@@ -295,15 +295,20 @@ def _stage_counts() -> str:
 sc AS (SELECT count(*) AS n0, count_if({nn}) AS n1, count_if({ok}) AS n2 FROM trips)"""
 
 
-def _scale() -> str:
+def _scale(feats: list[str] = _TREE, src: str = "feat", train: str = "train", keep: str = "") -> str:
     stats = ", ".join(
-        f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_samp(CAST({c} AS DOUBLE)) AS s_{c}" for c in _TREE
+        f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_samp(CAST({c} AS DOUBLE)) AS s_{c}" for c in feats
     )
     cols = ", ".join(
         f"round(CASE WHEN s.s_{c} = 0 THEN 0e0 ELSE (CAST(f.{c} AS DOUBLE) - s.m_{c}) * (1e0 / s.s_{c}) END, 6) AS {c}"
-        for c in _TREE
+        for c in feats
     )
-    return _q(f"SELECT f.key, {cols} FROM feat f CROSS JOIN sstats s", f",\nsstats AS (SELECT {stats} FROM train)")
+    return _q(f"SELECT f.key, {keep}{cols} FROM {src} f CROSS JOIN sstats s", f",\nsstats AS (SELECT {stats} FROM {train})")
+
+
+def _vector_cols(src: str, feats: list[str], where: str = "", keep: str = "") -> str:
+    cols = ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in feats)
+    return _q(f"SELECT key, {keep}{cols} FROM {src}{where}")
 
 
 def _residuals() -> str:
@@ -537,6 +542,17 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
         "compare_before_after": _compare(),
         # 2.10 features with an exact SQL form
         "standard_scale": _scale(),
+        "assemble_scale": _scale(
+            _PREP,
+            "feat_air",
+            "(SELECT * FROM feat_air WHERE " + _BUCKET + " < 80)",
+            keep="fare_amount, ",
+        ),
+        "assemble_features": _vector_cols("feat", _TREE),
+        "to_label_frame": _vector_cols("feat", _TREE, keep="fare_amount AS label, "),
+        "invalid_vector_skip": _vector_cols(
+            "rawfeat", _TREE, where=" WHERE " + " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in _TREE)
+        ),
         # 2.11 / 2.12 plot tables and reports
         "pickup_density": _q(
             "SELECT CAST(floor(pickup_longitude / 0.01e0) AS BIGINT) AS cell_x, "

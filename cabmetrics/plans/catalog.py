@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -233,7 +232,7 @@ def airport_trips(spark, sf):
 @query("invalid_vector_skip")
 def invalid_vector_skip(spark, sf):
     df = M.assemble_features(K.raw_features(spark, sf), handle_invalid="skip")
-    return df.select("key", vector_to_array("features").alias("features"))
+    return M.vector_columns(df, "features", TREE_FEATURES)
 
 
 # =============================================================================
@@ -473,14 +472,14 @@ def compare_before_after(spark, sf):
 
 @query("assemble_features")
 def assemble_features(spark, sf):
-    df = M.assemble_features(K.features(spark, sf))
-    return df.select("key", vector_to_array("features").alias("features"))
+    """The assembled vector, shown as one named column per element."""
+    return M.vector_columns(M.assemble_features(K.features(spark, sf)), "features", TREE_FEATURES)
 
 
 @query("to_label_frame")
 def to_label_frame(spark, sf):
     df = M.to_label_frame(K.features(spark, sf))
-    return df.select("key", vector_to_array("features").alias("features"), "label")
+    return M.vector_columns(df, "features", TREE_FEATURES, keep=("key", "label"))
 
 
 @query("standard_scale")
@@ -494,7 +493,7 @@ def standard_scale(spark, sf):
 def assemble_scale(spark, sf):
     feats = K.features(spark, sf, airport=True, as_double=True)
     model = M.feature_pipeline(PREP_FEATURES).fit(S.train_test_split(feats)[0])
-    return model.transform(feats).select("key", vector_to_array("features").alias("features"), TARGET)
+    return M.vector_columns(model.transform(feats), "features", PREP_FEATURES, keep=("key", TARGET))
 
 
 @query("fit_linear")
