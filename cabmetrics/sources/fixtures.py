@@ -21,12 +21,19 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     """Trip rows with planted defects: negative and null fares, zero GPS fixes,
     null dropoff latitudes and passenger counts 0 and 7."""
     eid, uid, ts, value = F.col("event_id"), F.col("user_id"), F.col("ts"), F.col("value")
+
+    def mod2000(*terms):
+        # (sum of a_i * b_i) % 2000 reduced term by term, so the products stay
+        # small: the same values as the plain formula, without the bigint
+        # overflow (an ANSI error) the plain products hit for ids above ~2.8e11
+        return sum(((a % 2000) * (b % 2000) for a, b in terms), F.lit(0)) % 2000
+
     # Fixed values of the fixture design (FIXTURES.md §2): multipliers,
     # moduli and offsets that spread the points over the city box.
-    plon = F.when(eid % 20 == 0, F.lit(-73.7781)).otherwise(F.lit(-74.05) + ((eid * 7919) % 2000) / 1e4)
-    plat = F.when(eid % 20 == 0, F.lit(40.6413)).otherwise(F.lit(40.65) + ((eid * 104729) % 2000) / 1e4)
-    dlon = F.lit(-74.05) + ((eid * 15485863 + uid * 31) % 2000) / 1e4
-    dlat = F.lit(40.65) + ((eid * 32452843 + uid * 17) % 2000) / 1e4
+    plon = F.when(eid % 20 == 0, F.lit(-73.7781)).otherwise(F.lit(-74.05) + mod2000((eid, 7919)) / 1e4)
+    plat = F.when(eid % 20 == 0, F.lit(40.6413)).otherwise(F.lit(40.65) + mod2000((eid, 104729)) / 1e4)
+    dlon = F.lit(-74.05) + mod2000((eid, 15485863), (uid, 31)) / 1e4
+    dlat = F.lit(40.65) + mod2000((eid, 32452843), (uid, 17)) / 1e4
     rush = F.when(F.hour(ts).between(16, 19), F.lit(1.0)).otherwise(F.lit(0.0))
     fare = (
         F.when(eid % 67 == 0, -value)

@@ -47,12 +47,18 @@ def validate_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
     return df
 
 
-def read_trips_csv(spark: SparkSession, path: str, infer: bool = False, parse_time: bool = True) -> DataFrame:
+def read_trips_csv(
+    spark: SparkSession, path: str, infer: bool = False, parse_time: bool = True, sampling_ratio: float | None = None
+) -> DataFrame:
     """CSV with header. The explicit schema avoids the extra inference pass;
-    ``infer=True`` keeps the reference's inferred-schema read."""
+    ``infer=True`` keeps the reference's inferred-schema read, which scans
+    the whole input once more unless ``sampling_ratio`` limits it."""
     reader = spark.read.option("header", True)
     if infer:
-        df = reader.option("inferSchema", True).csv(path)
+        reader = reader.option("inferSchema", True)
+        if sampling_ratio is not None:
+            reader = reader.option("samplingRatio", sampling_ratio)
+        df = reader.csv(path)
     else:
         df = reader.schema(RAW_TRIP_SCHEMA).csv(path)
     return conform_trips(df) if parse_time else df

@@ -72,3 +72,21 @@ def test_nan_text_in_csv_becomes_null(spark):
     rows = {r.key: r for r in read_trips_csv(spark, d).collect()}
     assert rows["a"].fare_amount is None and str(rows["a"].pickup_datetime) == "2009-06-15 17:26:21"
     assert rows["b"].pickup_datetime is None and rows["b"].fare_amount == 7.5
+
+
+def test_fixture_derivation_has_no_overflow_for_huge_ids(spark):
+    import datetime as dt
+
+    from cabmetrics.sources.fixtures import trips_from_events
+
+    big = 9_000_000_000_000_000_000  # close to the bigint maximum
+    ev = spark.createDataFrame(
+        [(big, dt.datetime(2024, 1, 1, 17), 123, 10.0), (12345, dt.datetime(2024, 1, 1, 3), 7, 5.0)],
+        "event_id bigint, ts timestamp, user_id bigint, value double",
+    )
+    rows = {r.key: r for r in trips_from_events(ev).collect()}
+    r = rows[str(big)]
+    assert -74.05 <= r.dropoff_longitude < -73.85 and 40.65 <= r.dropoff_latitude < 40.85
+    # small ids keep the plain formula's values
+    small = rows["12345"]
+    assert small.dropoff_longitude == -74.05 + ((12345 * 15485863 + 7 * 31) % 2000) / 1e4
