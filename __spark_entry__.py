@@ -250,9 +250,20 @@ _VALIDITY = (
 )
 
 
-def _grouped(src: str, by: str) -> str:
+def _mean(col: str = "fare_amount", scale: int = 2, digits: int = 6) -> str:
+    """Exact mean: integer units summed, quotient rounded half away from zero."""
+    u = f"CAST(round({col} * 1e{scale}) AS HUGEINT)"
+    m = 2 * 10 ** (digits - scale)
+    s, n = f"sum({u})", f"count({u})"
     return (
-        f"SELECT {by}, round(avg(fare_amount), 6) AS avg_fare, count(key) AS trip_count "
+        f"(CASE WHEN {n} = 0 THEN NULL WHEN {s} >= 0 THEN (({s} * {m} + {n}) // ({n} * 2)) / 1e{digits} "
+        f"ELSE -(((-{s}) * {m} + {n}) // ({n} * 2)) / 1e{digits} END)"
+    )
+
+
+def _grouped(src: str, by: str, scale: int = 2) -> str:
+    return (
+        f"SELECT {by}, {_mean(scale=scale)} AS avg_fare, count(key) AS trip_count "
         f"FROM {src} WHERE {by} IS NOT NULL GROUP BY {by}"
     )
 
@@ -394,9 +405,9 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
         "< least(10000e0 / (SELECT count(*) FROM trips), 1e0)"
     )
     temporal = (
-        "SELECT 'hour' AS kind, hour AS bucket, count(key) AS trip_count, round(avg(fare_amount), 6) AS avg_fare "
+        f"SELECT 'hour' AS kind, hour AS bucket, count(key) AS trip_count, {_mean()} AS avg_fare "
         "FROM feat WHERE hour IS NOT NULL GROUP BY hour UNION ALL "
-        "SELECT 'day', day_of_week, count(key), round(avg(fare_amount), 6) FROM feat "
+        f"SELECT 'day', day_of_week, count(key), {_mean()} FROM feat "
         "WHERE day_of_week IS NOT NULL GROUP BY day_of_week"
     )
     pairs = [(a, b) for i, a in enumerate(_NUMERIC) for b in _NUMERIC[i + 1 :]]
@@ -503,7 +514,7 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
         "fare_by_day": _q(
             f"SELECT day_of_week, avg_fare, trip_count, {_DAY_NAME} AS day_name FROM ({_grouped('feat', 'day_of_week')})"
         ),
-        "fare_by_year": _q(_grouped("ytrips", "year") + " HAVING avg(fare_amount) IS NOT NULL"),
+        "fare_by_year": _q(_grouped("ytrips", "year", 5) + " HAVING avg(fare_amount) IS NOT NULL"),
         "corr_with_target": _q(corr_target),
         "corr_matrix": _q(_corr_union(pairs, "cm"), f",\ncm AS (SELECT * FROM trips WHERE {complete})"),
         "corr_distance_fare": _q("SELECT round(corr(distance_km, fare_amount), 6) AS corr FROM feat"),
@@ -560,7 +571,7 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
             f"FROM trips WHERE {_BOX['pickup']} GROUP BY 1, 2"
         ),
         "temporal_profile": _q(temporal),
-        "yearly_trend": _q(_grouped("ytrips", "year") + " HAVING avg(fare_amount) IS NOT NULL"),
+        "yearly_trend": _q(_grouped("ytrips", "year", 5) + " HAVING avg(fare_amount) IS NOT NULL"),
         "distance_fare_sample": _rnd(
             "SELECT key, distance_km, fare_amount FROM feat WHERE distance_km <= 50e0 ORDER BY key LIMIT 5000",
             ["distance_km", "fare_amount"],

@@ -16,7 +16,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import nan_to_null, passenger_valid_flag, pct_of_total, pearson
+from ..functions.scalar import exact_mean, money_units, nan_to_null, passenger_valid_flag, pct_of_total, pearson
 from ..functions.timeparts import day_name
 from ..schema import CODE_PROFILE, NUMERIC_COLUMNS, CleaningProfile
 from .quantiles import quantiles
@@ -248,40 +248,51 @@ def equal_width_histogram(
     return out
 
 
-def grouped_fare(df: DataFrame, by: str, fare: str = "fare_amount", key: str = "key", digits: int | None = 6) -> DataFrame:
-    """Mean fare and trip count (non-null keys) per value of ``by``; null groups dropped."""
+def grouped_fare(
+    df: DataFrame, by: str, fare: str = "fare_amount", key: str = "key", digits: int = 6, scale: int = 2
+) -> DataFrame:
+    """Mean fare and trip count (non-null keys) per value of ``by``; null groups dropped.
+
+    The mean is exact: fares are summed as integer 10^-scale units and the
+    quotient rounded at ``digits`` decimals (:func:`exact_mean`), so the
+    report does not depend on how rows are spread over partitions.
+    """
+    u = money_units(fare, scale)
     return (
         df.filter(F.col(by).isNotNull())
         .groupBy(by)
-        .agg(_r(F.avg(fare), digits).alias("avg_fare"), F.count(key).alias("trip_count"))
+        .agg(F.sum(u).alias("_s"), F.count(u).alias("_n"), F.count(key).alias("trip_count"))
+        .select(by, exact_mean("_s", "_n", scale, digits).alias("avg_fare"), "trip_count")
     )
 
 
-def fare_by_hour(features: DataFrame, digits: int | None = 6) -> DataFrame:
+def fare_by_hour(features: DataFrame, digits: int = 6) -> DataFrame:
     return grouped_fare(features, "hour", digits=digits)
 
 
-def fare_by_day(features: DataFrame, digits: int | None = 6) -> DataFrame:
+def fare_by_day(features: DataFrame, digits: int = 6) -> DataFrame:
     return grouped_fare(features, "day_of_week", digits=digits).withColumn("day_name", day_name("day_of_week"))
 
 
-def fare_by_year(features: DataFrame, digits: int | None = 6) -> DataFrame:
-    return grouped_fare(features, "year", digits=digits).filter(F.col("avg_fare").isNotNull())
+def fare_by_year(features: DataFrame, digits: int = 6, scale: int = 2) -> DataFrame:
+    return grouped_fare(features, "year", digits=digits, scale=scale).filter(F.col("avg_fare").isNotNull())
 
 
-def temporal_profile(features: DataFrame, digits: int | None = 6) -> DataFrame:
+def temporal_profile(features: DataFrame, digits: int = 6, scale: int = 2) -> DataFrame:
     """Hour and weekday panels from one scan (GROUPING SETS):
-    kind ('hour' | 'day'), bucket, trip_count, avg_fare."""
+    kind ('hour' | 'day'), bucket, trip_count, avg_fare (exact mean)."""
+    u = money_units("fare_amount", scale)
     g = features.groupingSets([["hour"], ["day_of_week"]], "hour", "day_of_week").agg(
         F.grouping("hour").alias("gh"),
         F.count("key").alias("trip_count"),
-        _r(F.avg("fare_amount"), digits).alias("avg_fare"),
+        F.sum(u).alias("_s"),
+        F.count(u).alias("_n"),
     )
     return g.select(
         F.when(F.col("gh") == 0, F.lit("hour")).otherwise(F.lit("day")).alias("kind"),
         F.when(F.col("gh") == 0, F.col("hour")).otherwise(F.col("day_of_week")).alias("bucket"),
         "trip_count",
-        "avg_fare",
+        exact_mean("_s", "_n", scale, digits).alias("avg_fare"),
     ).filter(F.col("bucket").isNotNull())
 
 

@@ -367,7 +367,8 @@ def fare_by_day(spark, sf):
 
 @query("fare_by_year")
 def fare_by_year(spark, sf):
-    return P.fare_by_year(K.yearly_trips(spark, sf))
+    # the orders-based fares are o_totalprice / 1000: 5 decimals
+    return P.fare_by_year(K.yearly_trips(spark, sf), scale=5)
 
 
 @query("corr_with_target")
@@ -605,7 +606,7 @@ def temporal_profile(spark, sf):
 
 @query("yearly_trend")
 def yearly_trend(spark, sf):
-    return P.fare_by_year(K.yearly_trips(spark, sf))
+    return P.fare_by_year(K.yearly_trips(spark, sf), scale=5)
 
 
 @query("distance_fare_sample")

@@ -32,7 +32,14 @@ def trips_table(spark: SparkSession, sf_dir: str) -> str:
     path = _TABLES.get(key)
     if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
         path = scratch_path(spark, "trips")
-        fixture_trips(spark, sf_dir).write.mode("overwrite").parquet(path)
+        trips = fixture_trips(spark, sf_dir)
+        # a small source (one split) would give a one-file table and single-task
+        # scans and model fits downstream; spread it over the session's
+        # parallelism. Large inputs already have more splits than cores: no-op.
+        cores = spark.sparkContext.defaultParallelism
+        if trips.rdd.getNumPartitions() < cores:
+            trips = trips.repartition(cores)
+        trips.write.mode("overwrite").parquet(path)
         _TABLES[key] = path
     return path
 

@@ -65,3 +65,18 @@ def test_histogram_ignores_nulls(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (None,), (float("nan"),), (3.0,)], "x double")
     rows = P.equal_width_histogram(df, "x", 2).orderBy("bin").collect()
     assert [r.n for r in rows] == [1, 2]
+
+
+def test_money_mean_is_exact_and_partition_independent(spark):
+    # 32 rows with a 0.01 total: exact mean 0.0003125 sits on a rounding tie at
+    # 6 decimals; a float average would round either way depending on order
+    rows = [("k%d" % i, 0.0, 1) for i in range(31)] + [("k31", 0.01, 1)]
+    rows += [("h%d" % i, 10.01 + i * 0.37, 2) for i in range(1000)]
+    df = spark.createDataFrame(rows, "key string, fare_amount double, hour int")
+    got = set()
+    for parts in (1, 3, 8, 13):
+        got.add(tuple(sorted((r.hour, r.avg_fare, r.trip_count) for r in P.fare_by_hour(df.repartition(parts)).collect())))
+    assert len(got) == 1
+    res = dict((h, a) for h, a, _ in next(iter(got)))
+    assert res[1] == 0.000313
+    assert res[2] == round(sum(1001 + i * 37 for i in range(1000)) / 1000 / 100, 6)
