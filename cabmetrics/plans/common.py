@@ -17,6 +17,8 @@ from ..session import path_exists, scratch_path
 
 
 _TABLES: dict = {}
+# Fixed value of our own: minimum file count of a written trip table.
+MIN_TABLE_PARTITIONS = 8
 
 
 def trips_table(spark: SparkSession, sf_dir: str) -> str:
@@ -34,16 +36,41 @@ def trips_table(spark: SparkSession, sf_dir: str) -> str:
         path = scratch_path(spark, "trips")
         trips = fixture_trips(spark, sf_dir)
         # a small source (one split) would give a one-file table and single-task
-        # scans and model fits downstream; spread it over the session's
-        # parallelism. Large inputs already have more splits than cores: no-op.
-        cores = spark.sparkContext.defaultParallelism
-        if trips.rdd.getNumPartitions() < cores:
-            trips = trips.repartition(cores)
+        # scans and model fits downstream; spread it over a fixed minimum of
+        # files. The count is a constant, not the machine's core count: the
+        # forest's bootstrap and the CV folds are seeded per partition, so a
+        # layout that followed the cores would change models between machines.
+        # Round-robin (not by key) so a hot key cannot make one file huge.
+        # Large inputs already have more splits than this: no-op.
+        if trips.rdd.getNumPartitions() < MIN_TABLE_PARTITIONS:
+            trips = trips.repartition(MIN_TABLE_PARTITIONS)
         trips.write.mode("overwrite").parquet(path)
         _TABLES[key] = path
     return path
 
 
+def stable_layout(df: DataFrame, key: str = "key", partitions: int = MIN_TABLE_PARTITIONS) -> DataFrame:
+    """A training input whose partitioning does not depend on the machine.
+
+    MLlib seeds the forest's bootstrap and the CV folds per partition, and
+    Spark packs small files into read partitions by core count. Inputs read
+    from at most ``partitions`` files are therefore hash-partitioned by key
+    into exactly ``partitions`` and sorted by key inside each. Larger inputs
+    keep their file splits: their
+    split size is fixed by ``spark.sql.files.maxPartitionBytes``, and
+    reshuffling them would cost a full pass.
+    """
+    try:
+        files = len(df.inputFiles())
+    except Exception:  # noqa: BLE001 - not file-based: leave as is
+        return df
+    if files > partitions:
+        return df
+    # rows are also put in key order: the bootstrap draws in row order, and
+    # the order of rows after a shuffle follows the order blocks arrive in
+    return df.repartition(partitions, key).sortWithinPartitions(key)
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw (uncleaned) trips of a scale-factor directory."""
     return spark.read.parquet(trips_table(spark, sf_dir))

@@ -34,7 +34,7 @@ def fitted(spark: SparkSession, sf_dir: str, kind: str, features: Sequence[str]
         # MLlib reads its input several times before it caches its own binned
         # copy (metadata, split sampling, binning); persist only the columns
         # the pipeline uses, not the whole trip row, and drop it after the fit
-        data = train.select(*features, TARGET).persist(StorageLevel.MEMORY_AND_DISK)
+        data = common.stable_layout(train.select("key", *features, TARGET)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             _FITTED[key] = M.fit(kind, data, features, profile)
         finally:
@@ -64,8 +64,8 @@ def tuned(spark: SparkSession, sf_dir: str, tuning: TuningProfile):
     key = _cache_key(spark, sf_dir, "cv", tuning.num_trees, tuning.max_depth, tuning.num_folds, tuning.seed)
     if key not in _FITTED:
         train, _ = common.split(spark, sf_dir)
-        data = fold_column(train, tuning.num_folds).select(*TREE_FEATURES, TARGET, "fold")
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        data = fold_column(train, tuning.num_folds).select("key", *TREE_FEATURES, TARGET, "fold")
+        data = common.stable_layout(data).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             cv_model, table = M.cross_validate(data, tuning)
         finally:

@@ -16,6 +16,7 @@ from ..operators.features import feature_projection
 from ..operators.split import fold_column, sample_to_size, train_test_split
 from ..schema import CODE_PROFILE, TREE_FEATURES, CleaningProfile, ModelProfile, TuningProfile
 from ..sources.sinks import write_table
+from .common import stable_layout
 
 
 @dataclass
@@ -49,6 +50,7 @@ def run_workflow(
     if sample_size is not None:
         feats = sample_to_size(feats, sample_size)
     train, test = train_test_split(feats)
+    train = stable_layout(train)  # same models on any machine for small inputs
     fitted = {M.MODEL_NAMES[k]: M.fit(k, train, TREE_FEATURES, models) for k in kinds}
     metrics = E.metrics_table(M.predict_many(fitted, test), list(fitted))
     paths = {"metrics": write_table(metrics, f"{out_dir}/evaluation_results")}

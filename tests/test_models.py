@@ -92,3 +92,15 @@ def test_scaler_zero_deviation_gives_zero(spark):
     model = M.feature_pipeline(["x", "c"]).fit(df)
     rows = {r.key: r.v for r in model.transform(df).select("key", vector_to_array("features").alias("v")).collect()}
     assert rows["a"] == pytest.approx([-1.0, 0.0]) and rows["b"] == pytest.approx([0.0, 0.0])
+
+
+def test_stable_layout_independent_of_input_partitioning(spark, sf_small):
+    from cabmetrics.plans.common import stable_layout
+
+    train, _ = K.split(spark, sf_small)
+    a = stable_layout(train.select("key", "fare_amount"))
+    b = stable_layout(train.select("key", "fare_amount").coalesce(1))
+    pa = a.rdd.glom().map(lambda rows: [r.key for r in rows]).collect()
+    assert a.rdd.getNumPartitions() == 8
+    # same rows in the same partitions in the same order, whatever the input layout
+    assert pa == b.rdd.glom().map(lambda rows: [r.key for r in rows]).collect()

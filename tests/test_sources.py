@@ -90,3 +90,12 @@ def test_fixture_derivation_has_no_overflow_for_huge_ids(spark):
     # small ids keep the plain formula's values
     small = rows["12345"]
     assert small.dropoff_longitude == -74.05 + ((12345 * 15485863 + 7 * 31) % 2000) / 1e4
+
+
+def test_trip_table_layout_is_fixed(spark, sf_small):
+    from cabmetrics.plans.common import MIN_TABLE_PARTITIONS, trips_table
+
+    df = spark.read.parquet(trips_table(spark, sf_small))
+    assert df.rdd.getNumPartitions() >= 1
+    files = [f for f in spark.read.parquet(trips_table(spark, sf_small)).inputFiles() if f.endswith(".parquet")]
+    assert len(files) == MIN_TABLE_PARTITIONS
