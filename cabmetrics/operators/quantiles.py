@@ -105,7 +105,7 @@ def exact_quantiles(
             elems.append(F.when(x.between(lo, hi), F.struct(*fields)))
         return frame.select(F.explode(F.filter(F.array(*elems), lambda e: e.isNotNull())).alias("e")).select("e.*")
 
-    work, persisted = base, None
+    work, persisted, stale = base, None, None
     for _ in range(max_passes):
         active = [(k, t) for k, t in targets.items() if t["value"] is None and t["inside"] > max_collect]
         if not active:
@@ -132,12 +132,16 @@ def exact_quantiles(
                         break
                     below += row["n"]
         # keep only rows some unresolved target can still need
+        # the previous subset is released only now: the pass above read it
+        # while materialising the subset it produced
+        if stale is not None:
+            stale.unpersist()
+            stale = None
         open_t = [(k, t) for k, t in targets.items() if t["value"] is None]
         if open_t:
             keep = reduce(or_, [F.col(cols[i]).between(lo, hi) for (i, lo, hi), _ in slots(open_t)])
             nxt = work.filter(keep).persist(StorageLevel.MEMORY_AND_DISK)
-            if persisted is not None:
-                persisted.unpersist()
+            stale = persisted  # still the parent of `nxt` until `nxt` is built
             work = persisted = nxt
     else:
         raise RuntimeError("exact_quantiles did not converge")
@@ -162,8 +166,9 @@ def exact_quantiles(
         for sid, (_key, members) in enumerate(sl):
             for (_r, t), v in zip(members, got[sid]):
                 t["value"] = v
-    if persisted is not None:
-        persisted.unpersist()
+    for frame in (stale, persisted):
+        if frame is not None:
+            frame.unpersist()
 
     out: dict[str, list[float | None]] = {}
     for i, c in enumerate(cols):

@@ -17,8 +17,10 @@ from ..session import path_exists, scratch_path
 
 
 _TABLES: dict = {}
-# Fixed value of our own: minimum file count of a written trip table.
+# Fixed values of our own: minimum file count of a written trip table and the
+# target partition size of a model's training input.
 MIN_TABLE_PARTITIONS = 8
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def trips_table(spark: SparkSession, sf_dir: str) -> str:
@@ -49,25 +51,20 @@ def trips_table(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def stable_layout(df: DataFrame, key: str = "key", partitions: int = MIN_TABLE_PARTITIONS) -> DataFrame:
+def stable_layout(df: DataFrame, key: str = "key", target_bytes: int = TARGET_PARTITION_BYTES) -> DataFrame:
     """A training input whose partitioning does not depend on the machine.
 
     MLlib seeds the forest's bootstrap and the CV folds per partition, and
-    Spark packs small files into read partitions by core count. Inputs read
-    from at most ``partitions`` files are therefore hash-partitioned by key
-    into exactly ``partitions`` and sorted by key inside each. Larger inputs
-    keep their file splits: their
-    split size is fixed by ``spark.sql.files.maxPartitionBytes``, and
-    reshuffling them would cost a full pass.
+    Spark's read splits follow the core count (below cores x
+    maxPartitionBytes the split size is total bytes / cores). The input is
+    therefore hash-partitioned by key into ``max(8, ceil(size / target_bytes))``
+    partitions, where ``size`` is the optimizer's size estimate from the file
+    sizes, and sorted by key inside each partition (the bootstrap draws in
+    row order). This costs one shuffle of the pruned training projection,
+    which is small next to the passes the fit makes over its cached copy.
     """
-    try:
-        files = len(df.inputFiles())
-    except Exception:  # noqa: BLE001 - not file-based: leave as is
-        return df
-    if files > partitions:
-        return df
-    # rows are also put in key order: the bootstrap draws in row order, and
-    # the order of rows after a shuffle follows the order blocks arrive in
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    partitions = max(MIN_TABLE_PARTITIONS, -(-size // target_bytes))
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 

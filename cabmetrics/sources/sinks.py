@@ -20,15 +20,15 @@ def to_raw_text(trips: DataFrame, fmt: str = PICKUP_TIME_WRITE_FORMAT) -> DataFr
 
 def write_trips(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
     """Write trips; parquet by default, CSV with header for the raw layout."""
-    w = df.write.mode("overwrite")
+    if fmt not in ("parquet", "csv"):
+        raise ValueError(f"unknown format {fmt!r}")
+    w = (to_raw_text(df) if fmt == "csv" else df).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "parquet":
         w.parquet(path)
-    elif fmt == "csv":
-        to_raw_text(df).write.mode("overwrite").option("header", True).csv(path)
     else:
-        raise ValueError(f"unknown format {fmt!r}")
+        w.option("header", True).csv(path)
     return path
 
 

@@ -99,3 +99,11 @@ def test_trip_table_layout_is_fixed(spark, sf_small):
     assert df.rdd.getNumPartitions() >= 1
     files = [f for f in spark.read.parquet(trips_table(spark, sf_small)).inputFiles() if f.endswith(".parquet")]
     assert len(files) == MIN_TABLE_PARTITIONS
+
+
+def test_csv_write_honours_partitioning(spark, sf_small):
+    import os
+
+    path = write_trips(K.raw_trips(spark, sf_small), scratch_path(spark, "t-csv-part"), fmt="csv", partition_by=["passenger_count"])
+    local = path.replace("file:", "")
+    assert sorted(d for d in os.listdir(local) if d.startswith("passenger_count=")) == [f"passenger_count={i}" for i in range(8)]
