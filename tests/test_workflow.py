@@ -36,3 +36,13 @@ def test_workflow_with_sample(spark, sf_small):
         sample_size=400,
     )
     assert [r.Model for r in res.metrics.collect()] == ["Linear Regression"]
+
+
+def test_command_line(spark, sf_small, capsys):
+    from cabmetrics.__main__ import main
+    from cabmetrics.plans.common import trips_table
+
+    out = main(["--trips", trips_table(spark, sf_small), "--out", scratch_path(spark, "cli"), "--quick"])
+    assert [m["rank"] for m in out["metrics"]] == [1, 2, 3]
+    assert "model:final" in out["paths"]
+    assert capsys.readouterr().out.strip().startswith("{")
