@@ -104,3 +104,14 @@ def test_stable_layout_independent_of_input_partitioning(spark, sf_small):
     assert a.rdd.getNumPartitions() == 8
     # same rows in the same partitions in the same order, whatever the input layout
     assert pa == b.rdd.glom().map(lambda rows: [r.key for r in rows]).collect()
+
+
+def test_fit_with_fallback_reports_failure(spark, data):
+    train, test = data
+    # no fold column: tuning with the key-hash folds must fail, and the
+    # default forest is fitted instead, with the reason reported
+    model, status, err = M.fit_with_fallback(
+        train, TuningProfile(num_trees=(3,), max_depth=(2,), num_folds=2), profile=ModelProfile(rf_num_trees=3, rf_max_depth=2)
+    )
+    assert status == "fallback" and err and "fold" in err
+    assert M.predict(model, test).count() == test.count()
