@@ -63,7 +63,10 @@ def stable_layout(df: DataFrame, key: str = "key", target_bytes: int = TARGET_PA
     row order). This costs one shuffle of the pruned training projection,
     which is small next to the passes the fit makes over its cached copy.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): keep the layout as read
+        return df
     partitions = max(MIN_TABLE_PARTITIONS, -(-size // target_bytes))
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
