@@ -50,7 +50,7 @@ def exact_quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     buckets: int = 4096,
-    max_collect: int = 50_000,
+    max_collect: int = 500_000,
     max_passes: int = 200,
     stats: dict | None = None,
 ) -> dict[str, list[float | None]]:
