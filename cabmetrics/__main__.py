@@ -25,6 +25,8 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--sample-size", type=int, default=None, help="stable pre-training sample (default: all rows)")
     ap.add_argument("--quick", action="store_true", help="small forests and a 2x2 grid instead of the reference grid")
+    ap.add_argument("--no-clean", action="store_true", help="only drop rows with missing values (parity with the reference's models)")
+    ap.add_argument("--run-id", default=None, help="identifier stamped on every written table")
     ap.add_argument("--master", default=None, help="only for local runs; a cluster launcher sets it")
     args = ap.parse_args(argv)
 
@@ -34,9 +36,18 @@ def main(argv: list[str] | None = None) -> dict:
         models = ModelProfile(rf_num_trees=10, rf_max_depth=5, gbt_max_iter=5)
         tuning = TuningProfile(num_trees=(10, 20), max_depth=(3, 5))
     res = run_workflow(
-        spark, read_trips(spark, args.trips, fmt=args.format), args.out, models=models, tuning=tuning, sample_size=args.sample_size
+        spark,
+        read_trips(spark, args.trips, fmt=args.format),
+        args.out,
+        models=models,
+        tuning=tuning,
+        sample_size=args.sample_size,
+        clean=not args.no_clean,
+        run_id=args.run_id,
     )
     summary = {
+        "run_id": res.run_id,
+        "stage_counts": [r.asDict() for r in res.stage_counts.orderBy("stage_no").collect()],
         "metrics": [r.asDict() for r in res.ranking.collect()],
         "tuning": [r.asDict() for r in res.comparison.collect()],
         "paths": res.paths,
