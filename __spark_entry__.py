@@ -514,6 +514,10 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
         "fare_by_day": _q(
             f"SELECT day_of_week, avg_fare, trip_count, {_DAY_NAME} AS day_name FROM ({_grouped('feat', 'day_of_week')})"
         ),
+        "fare_by_hour_raw": _q(_grouped("rawfeat", "hour")),
+        "fare_by_day_raw": _q(
+            f"SELECT day_of_week, avg_fare, trip_count, {_DAY_NAME} AS day_name FROM ({_grouped('rawfeat', 'day_of_week')})"
+        ),
         "fare_by_year": _q(_grouped("ytrips", "year", 5) + " HAVING avg(fare_amount) IS NOT NULL"),
         "corr_with_target": _q(corr_target),
         "corr_matrix": _q(_corr_union(pairs, "cm"), f",\ncm AS (SELECT * FROM trips WHERE {complete})"),

@@ -365,6 +365,17 @@ def fare_by_day(spark, sf):
     return P.fare_by_day(K.features(spark, sf))
 
 
+@query("fare_by_hour_raw")
+def fare_by_hour_raw(spark, sf):
+    """The exploration notebook's variant: uncleaned trips, null fares skipped."""
+    return P.fare_by_hour(K.raw_features(spark, sf))
+
+
+@query("fare_by_day_raw")
+def fare_by_day_raw(spark, sf):
+    return P.fare_by_day(K.raw_features(spark, sf))
+
+
 @query("fare_by_year")
 def fare_by_year(spark, sf):
     # the orders-based fares are o_totalprice / 1000: 5 decimals
