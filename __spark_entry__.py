@@ -12,6 +12,7 @@ training queries (MLlib) have no SQL twin and get the rows-only check.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -33,10 +34,21 @@ def entry(spark: SparkSession) -> DataFrame:
     return REGISTRY["fare_by_hour"](spark, SF_SMOKE)
 
 
+def _training_data() -> bool:
+    """Whether the training-data subpackage and its pipeline are installed (they are optional)."""
+    return all(importlib.util.find_spec(m) is not None for m in ("cabmetrics.llm", "corpus_pipeline"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from cabmetrics.plans.catalog import REGISTRY
 
-    return dict(REGISTRY)
+    found = dict(REGISTRY)
+    if _training_data():
+        import corpus_pipeline
+        from cabmetrics.llm.queries import QUERIES
+
+        found |= QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # =============================================================================
@@ -378,7 +390,15 @@ def _bigint_counts(sql: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB text of each answer over the pre-registered tables."""
-    return {k: _bigint_counts(v) for k, v in _oracle_sql().items()}
+    found = {k: _bigint_counts(v) for k, v in _oracle_sql().items()}
+    if _training_data():
+        import corpus_pipeline
+        from cabmetrics.llm.queries import ORACLE_SQL
+
+        found |= ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 def _oracle_sql() -> dict[str, str]:

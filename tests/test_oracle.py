@@ -36,7 +36,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry._oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
