@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,5 +87,14 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def sent(spark: SparkSession, value):
+    """Broadcast of a bounded value with its class, which executors need not have installed."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(broadcast):
+    return pickle.loads(broadcast.value)
+
+
 def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

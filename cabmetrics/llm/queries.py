@@ -9,6 +9,7 @@ from cabmetrics.session import scratch_path
 
 from .common import read_table
 from .exact_dedup import deduplicate, open_index
+from .language_id import identify, train
 from .packing import pack_documents
 
 #: Buckets of a digest index made for one run; a lasting index sets its own.
@@ -32,9 +33,17 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    found = identify(spark, docs, train(spark, docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy")
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_language": op9_language,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

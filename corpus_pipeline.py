@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cabmetrics.llm.common import read_table, written
 from cabmetrics.llm.exact_dedup import deduplicate, open_index
+from cabmetrics.llm.language_id import identify, train
 from cabmetrics.llm.packing import pack_documents
 from cabmetrics.llm.queries import INDEX_BUCKETS, tokenizer_file
 from cabmetrics.session import scratch_path
@@ -22,6 +23,11 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(dropped.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no learned language go; learned from the documents' own labels."""
+    return without(docs, identify(spark, docs, train(spark, docs)).filter("rejected"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays, the one with the largest id."""
     index = open_index(spark, scratch_path(spark, "digest_index"), INDEX_BUCKETS)
@@ -33,7 +39,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_file())
 
 
-STAGES = [("exact_dedup", exact_dedup), ("packing", packing)]
+STAGES = [("language", language), ("exact_dedup", exact_dedup), ("packing", packing)]
 
 #: SQL has no tokenizer, language model or MinHash: tested against brute force.
 ORACLE_SQL = None
