@@ -10,6 +10,7 @@ from cabmetrics.session import scratch_path
 from .common import read_table
 from .exact_dedup import deduplicate, open_index
 from .language_id import identify, train
+from .near_dedup import near_duplicates
 from .packing import pack_documents
 
 #: Buckets of a digest index made for one run; a lasting index sets its own.
@@ -27,6 +28,10 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, read_table(spark, sf_dir, "documents"), words=2)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = open_index(spark, scratch_path(spark, "digest_index"), INDEX_BUCKETS)
     found = deduplicate(spark, read_table(spark, sf_dir, "documents"), index, INDEX_BUCKETS)
@@ -42,6 +47,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pack": op1_pack,
+    "op3_near_dedup": op3_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_language": op9_language,
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cabmetrics.llm.common import read_table, written
 from cabmetrics.llm.exact_dedup import deduplicate, open_index
 from cabmetrics.llm.language_id import identify, train
+from cabmetrics.llm.near_dedup import near_duplicates
 from cabmetrics.llm.packing import pack_documents
 from cabmetrics.llm.queries import INDEX_BUCKETS, tokenizer_file
 from cabmetrics.session import scratch_path
@@ -34,12 +35,17 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, deduplicate(spark, docs, index, INDEX_BUCKETS).filter(~F.col("kept")))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates stays, the one with the smallest id."""
+    return without(docs, near_duplicates(spark, docs).filter(~F.col("kept")))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences with their token ids."""
     return pack_documents(docs, tokenizer_file())
 
 
-STAGES = [("language", language), ("exact_dedup", exact_dedup), ("packing", packing)]
+STAGES = [("language", language), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("packing", packing)]
 
 #: SQL has no tokenizer, language model or MinHash: tested against brute force.
 ORACLE_SQL = None
