@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cabmetrics.session import scratch_path
 
 from .common import read_table
+from .decontaminate import decontaminate
 from .exact_dedup import deduplicate, open_index
 from .language_id import identify, train
 from .near_dedup import near_duplicates
@@ -32,6 +33,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, read_table(spark, sf_dir, "documents"), words=2)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", F.col("matches.item_id").alias("item_ids"), F.col("matches.edits").alias("edits"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = open_index(spark, scratch_path(spark, "digest_index"), INDEX_BUCKETS)
     found = deduplicate(spark, read_table(spark, sf_dir, "documents"), index, INDEX_BUCKETS)
@@ -48,6 +54,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pack": op1_pack,
     "op3_near_dedup": op3_near_dedup,
+    "op5_decontaminate": op5_decontaminate,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_language": op9_language,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabmetrics.llm.common import read_table, written
+from cabmetrics.llm.decontaminate import contaminations
 from cabmetrics.llm.exact_dedup import deduplicate, open_index
 from cabmetrics.llm.language_id import identify, train
 from cabmetrics.llm.near_dedup import near_duplicates
@@ -40,12 +41,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, near_duplicates(spark, docs).filter(~F.col("kept")))
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return without(docs, contaminations(spark, docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences with their token ids."""
     return pack_documents(docs, tokenizer_file())
 
 
-STAGES = [("language", language), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("packing", packing)]
+STAGES = [("language", language), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("packing", packing)]
 
 #: SQL has no tokenizer, language model or MinHash: tested against brute force.
 ORACLE_SQL = None
