@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from cabmetrics.session import scratch_path
 
-from .common import read_table
+from .chat_format import format_chats
+from .common import read_table, written
 from .decontaminate import decontaminate
 from .exact_dedup import deduplicate, open_index
+from .fixity import audit, leaves, levels_for, tree, warc_records
 from .language_id import identify, train
 from .near_dedup import near_duplicates
 from .packing import pack_documents
+from .pseudo_likelihood import build_vocabulary, score
+from .pseudo_likelihood import train as train_network
+from .secrets import KINDS, find_secrets
+from .substring_dedup import remove_repeats
 
 #: Buckets of a digest index made for one run; a lasting index sets its own.
 INDEX_BUCKETS = 32
@@ -29,10 +35,19 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(spark, read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, read_table(spark, sf_dir, "documents"), words=2)
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(read_table(spark, sf_dir, "conversations"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "contaminated", F.col("matches.item_id").alias("item_ids"), F.col("matches.edits").alias("edits"))
@@ -44,6 +59,41 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(spark, read_table(spark, sf_dir, "documents"))
+
+    def listed(spans) -> F.Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def number(kind: str) -> F.Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*KINDS[:3]))
+    return found.select("doc_id", *(number(k) for k in KINDS), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+#: Size of a segment of op8's archive and the tree over it.
+SEGMENT_BYTES, RANGE_BYTES, FANOUT = 64 << 20, 1 << 16, 16
+
+
+def op8_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixity drill: the pages' archive against a replica with planted faults.
+
+    The replica's records of pages 7, 506, ... (page_id % 499 = 7) have one
+    byte changed, those of pages 5, 1002, ... (page_id % 997 = 5) are lost.
+    """
+    records = written(spark, warc_records(read_table(spark, sf_dir, "pages"), SEGMENT_BYTES), "warc_records")
+    changed = F.when(F.col("page_id") % 499 == 7, F.overlay("record", F.lit("#").cast("binary"), F.lit(20), F.lit(1))).otherwise(F.col("record"))
+    replica = records.filter("page_id is null or page_id % 997 != 5").withColumn("record", changed)
+    levels = levels_for(SEGMENT_BYTES, RANGE_BYTES, FANOUT)
+    ours, theirs = (tree(spark, leaves(x), levels, RANGE_BYTES, FANOUT) for x in (records, replica))
+    faults = audit(ours, theirs, RANGE_BYTES, FANOUT)
+    digests = ours[0].withColumnRenamed("node", "offset")
+    roots = ours[-1].select("segment", F.col("digest").alias("segment_root"))
+    placed = records.select("page_id", "segment", "offset", "length").join(digests, ["segment", "offset"]).join(faults, ["segment", "offset"], "left").join(roots, "segment")
+    return placed.select("page_id", "segment", "offset", "length", F.col("digest").alias("record_sha256"), F.coalesce("fault", F.lit("intact")).alias("status"), "segment_root")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
@@ -51,12 +101,23 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy")
 
 
+def op10_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    vocabulary = build_vocabulary(spark, docs, common=4095, shared=512)
+    return score(spark, docs, vocabulary, train_network(spark, docs, vocabulary))
+
+
 QUERIES = {
     "op1_pack": op1_pack,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op4_chat_format": op4_chat_format,
     "op5_decontaminate": op5_decontaminate,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_secrets": op7_secrets,
+    "op8_fixity": op8_fixity,
     "op9_language": op9_language,
+    "op10_pseudo_likelihood": op10_pseudo_likelihood,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -67,4 +128,26 @@ WITH d AS (SELECT doc_id, {_LOWER} AS norm FROM documents),
 g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.norm) AS text_sha256
 FROM d JOIN g USING (norm)""",
+    "op4_chat_format": """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place,
+         count(*) OVER (PARTITION BY conv_id) AS n_turns
+  FROM conversations),
+rolled AS (
+  SELECT conv_id, place, n_turns,
+         string_agg(sha256(role || chr(0) || text), ',') OVER (PARTITION BY conv_id ORDER BY place) AS begun
+  FROM t),
+whole AS (
+  SELECT begun, n_turns, min(conv_id) AS conv_id, count(*) AS copies FROM rolled WHERE place = n_turns GROUP BY begun, n_turns),
+kept AS (
+  SELECT * FROM whole WHERE NOT EXISTS (SELECT 1 FROM rolled r WHERE r.begun = whole.begun AND r.place < r.n_turns)),
+line AS (
+  SELECT t.conv_id, t.turn // 128 AS block, t.place, kept.n_turns, kept.copies,
+         '<|im_start|>' || role || chr(10) || replace(replace(text, '<|im_start|>', '<| im_start |>'), '<|im_end|>', '<| im_end |>')
+           || '<|im_end|>' || chr(10) AS line
+  FROM t JOIN kept USING (conv_id))
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY block) - 1 AS part, count(*) AS part_turns,
+       any_value(n_turns) AS n_turns, any_value(copies) AS copies, string_agg(line, '' ORDER BY place) AS rendered
+FROM line GROUP BY conv_id, block""",
 }
