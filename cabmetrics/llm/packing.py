@@ -37,8 +37,10 @@ SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 class WordEncoder(dict):
     """Ids (little-endian unsigned 32-bit) of a word, remembered.
 
-    The vocabulary's pre-tokenizer never joins what white space separates, so
-    a text's ids are its words' ids in a row. Holds ``limit`` words at most.
+    The vocabulary lower-cases, and its pre-tokenizer never joins what white
+    space separates, nor letters with what follows them. So a text's ids are
+    its words' ids in a row, and a word's are those of its letters and of its
+    closing stops. Holds about ``limit`` words.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
@@ -49,17 +51,51 @@ class WordEncoder(dict):
 
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def texts(self, raws: list[bytes]) -> list[bytes]:
-        split = [raw.split() for raw in raws]
+        # special tokens ("<|...|>") are told by their case
+        split = [(raw if b"<|" in raw else raw.lower()).split() for raw in raws]
         if len(self) > self.limit:
             self.clear()
-        new = list({w for words in split for w in words if w not in self})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.update(zip(part, (np.array(c.ids, "<u4").tobytes() for c in coded), strict=True))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        words: set[bytes] = set()
+        for part in split:
+            words.update(part)
+        self.learn(words.difference(self))
+        return [b"".join(map(self.__getitem__, part)) for part in split]
+
+    def learn(self, words: set[bytes]) -> None:
+        parts = {}
+        for word in words:
+            stem = word.rstrip(b".,")
+            if len(stem) < len(word) and stem[-1:].isalpha():
+                parts[word] = (stem, word[len(stem) :])
+        whole = (words.difference(parts) | {p for pair in parts.values() for p in pair}).difference(self)
+        texts = [(word, word.decode("utf-8", "replace")) for word in whole]
+        letters = [x for x in texts if x[1].isalpha()]
+        for at in range(0, len(letters), 1000):
+            self.learn_letters(letters[at : at + 1000])
+        rest = [x for x in texts if not x[1].isalpha()]
+        for at in range(0, len(rest), 20_000):
+            self.learn_each(rest[at : at + 20_000])
+        for word, (stem, stops) in parts.items():
+            self[word] = self[stem] + self[stops]
+
+    def learn_letters(self, some: list[tuple[bytes, str]]) -> None:
+        """Words of letters alone: one text of them all, cut after each id that closes a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(text for _, text in some)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(some) or (len(ids) and ends[-1] != len(ids)):
+            self.learn_each(some)
+            return
+        coded, cuts = ids.tobytes(), (4 * ends).tolist()
+        self.update((word, coded[start:end]) for (word, _), start, end in zip(some, [0, *cuts], cuts, strict=False))
+
+    def learn_each(self, some: list[tuple[bytes, str]]) -> None:
+        coded = self.tokenizer.encode_batch_fast([text for _, text in some], add_special_tokens=False)
+        self.update((word, np.array(c.ids, "<u4").tobytes()) for (word, _), c in zip(some, coded, strict=True))
 
 
 def capacities(total: int, max_tokens: int) -> np.ndarray:
