@@ -52,6 +52,8 @@ def comparable(raw: bytes) -> bytes:
 def gram_hashes(text: np.ndarray, q: int) -> np.ndarray:
     """32-bit hash of the q bytes from each position on."""
     out = np.zeros(max(0, len(text) - q + 1), np.uint32)
+    if not len(out):
+        return out
     for k in range(q):
         out *= np.uint32(0x01000193)
         out += text[k : len(text) - q + 1 + k]
@@ -107,6 +109,8 @@ class Index:
 
     def bands(self, text: np.ndarray) -> list[tuple[int, int]]:
         """(window, first diagonal) of the bands that share enough q-grams."""
+        if len(text) < self.q or not len(self.hashes):
+            return []
         hashed = gram_hashes(text, self.q)
         shift = np.uint32(32 - (len(self.filter).bit_length() - 1))
         at = np.flatnonzero(self.filter[hashed >> shift])
