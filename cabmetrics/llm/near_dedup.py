@@ -12,19 +12,20 @@ share a band's hash are candidates:
 
 1. every class of a bucket is paired with the bucket's smallest one, each
    pair is confirmed on the full sets, and components are formed;
-2. in buckets that still hold several components, the members outside the
-   bucket's largest component are paired with the members of other
-   components, and the confirmed pairs are added.
+2. in buckets that still hold several components, each member is compared
+   with all others inside a task, by exact intersections, and links between
+   components are added.
 
 After that no bucket has an unconfirmed pair of different components, so the
-result is that of confirming all pairs in all buckets, without making them.
+result is that of confirming all pairs in all buckets, without emitting them.
 With ``bands=48, rows=6`` a pair of similarity 0.8 shares no bucket with
 probability (1 - 0.8^6)^48 = 5e-7; higher similarities are safer still.
 
 Scale: buckets are pre-aggregated before the shuffle; the joins back have one
 row per bucket on one side, so adaptive execution splits a hot bucket. Pairs
 are confirmed where the members of a centre meet its text; a centre with many
-members is dealt out over salted copies. Memory holds one centre's set.
+members is dealt out over salted copies. A bucket of many members is dealt to
+blocks that meet two by two. Memory holds one centre's set, or two blocks.
 
 Defined cases: words are split at ASCII white space after lower-casing A-Z. A
 document of fewer words than a shingle is one shingle; one without words, or
@@ -162,6 +163,103 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int, memb
     return met.select("centre", "member", "text").mapInArrow(tasks, "a long, b long").distinct()
 
 
+def open_buckets(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, rep, size, component) of buckets that hold several components; of equal buckets one."""
+    slots = buckets.select("key", "rep", "size").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    slots = slots.select("key", "rep", "size", F.coalesce("component", "rep").alias("component"))
+    by_key = slots.groupBy("key").agg(
+        F.count(F.lit(1)).alias("held"),
+        F.bit_xor(F.xxhash64("rep")).alias("x1"),
+        F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("x2"),
+        (F.min("component") != F.max("component")).alias("open"),
+    )
+    return slots.join(by_key.filter("open").groupBy("held", "x1", "x2").agg(F.min("key").alias("key")).select("key"), "key")
+
+
+def linked_within_buckets(spark: SparkSession, slots: DataFrame, texts: DataFrame, words: int, percent: int, block_members: int = 2000, block_shingles: int = 1_000_000) -> DataFrame:
+    """Links (a, b) that join the components of a bucket, found inside tasks without making pairs.
+
+    A bucket beyond a block's size is dealt to blocks, and each two blocks
+    meet in one group; so a group has a bounded number of shingles.
+    """
+    slots = written(spark, slots, "open_slots")
+    sizes = slots.groupBy("key").agg(F.ceil(F.greatest(F.count(F.lit(1)) / block_members, F.sum("size") / block_shingles)).cast("int").alias("blocks"))
+    dealt = slots.join(sizes, "key").withColumn("side", F.expr("int(pmod(xxhash64(rep), blocks))"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("side", "other").alias("p"), F.greatest("side", "other").alias("q"), "side", F.col("rep").alias("doc_id"), "component")
+    met = dealt.join(texts, "doc_id").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "side", "doc_id")
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, group = None, None
+        for block in blocks(batches, "text", 4 << 20):
+            heads = zip(*(block.column(n).to_pylist() for n in ("key", "p", "q")), strict=True)
+            rows = zip(*(block.column(n).to_pylist() for n in ("side", "doc_id", "component", "text")), strict=True)
+            for head, (side, doc, component, raw) in zip(heads, rows, strict=True):
+                if head != current:
+                    if group is not None and group.links:
+                        yield group.batch()
+                    current, group = head, Group(percent, head[1] != head[2])
+                group.add(side, doc, component, shingle_set(words_of(raw), words))
+        if group is not None and group.links:
+            yield group.batch()
+
+    return met.select("key", "p", "q", "side", "doc_id", "component", "text").mapInArrow(tasks, "a long, b long").distinct()
+
+
+class Group:
+    """Members of a bucket, or of two of its blocks, compared as they come.
+
+    A new member's shingles are marked, and the marks are added up over the
+    concatenated shingles of all earlier ones: exact intersections with all of
+    them at once.
+    """
+
+    def __init__(self, percent: int, crosswise: bool):
+        self.percent, self.crosswise = percent, crosswise
+        self.names: dict = {}
+        self.docs: list[int] = []
+        self.sides: list[int] = []
+        self.up: dict[int, int] = {}
+        self.components: list[int] = []
+        self.sizes = np.zeros(0, np.int64)
+        self.held = np.zeros(1024, np.int32)
+        self.used = 0
+        self.links: list[tuple[int, int]] = []
+
+    def top(self, component: int) -> int:
+        while self.up.setdefault(component, component) != component:
+            component = self.up[component]
+        return component
+
+    def add(self, side: int, doc: int, component: int, own: set) -> None:
+        names = self.names
+        ids = np.fromiter((names.setdefault(s, len(names)) for s in own), np.int32, len(own))
+        if self.docs and not (self.crosswise and side == self.sides[0]):
+            mark = np.zeros(len(names), np.int32)
+            mark[ids] = 1
+            starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
+            both = np.add.reduceat(mark[self.held[: self.used]], starts)
+            near = np.flatnonzero(100 * both >= self.percent * (self.sizes + len(ids) - both))
+            for i in near.tolist():
+                mine, theirs = self.top(component), self.top(self.components[i])
+                if mine != theirs and not (self.crosswise and self.sides[i] == side):
+                    self.up[max(mine, theirs)] = min(mine, theirs)
+                    self.links.append((doc, self.docs[i]))
+        if self.crosswise and self.docs and side != self.sides[0]:
+            return  # the second block is only compared with the first
+        while self.used + len(ids) > len(self.held):
+            self.held = np.concatenate([self.held, np.zeros(len(self.held), np.int32)])
+        self.held[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.sizes = np.append(self.sizes, len(ids))
+        self.docs.append(doc)
+        self.sides.append(side)
+        self.components.append(component)
+
+    def batch(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in self.links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+
 def near_duplicates(
     spark: SparkSession,
     docs: DataFrame,
@@ -188,20 +286,8 @@ def near_duplicates(
     links = written(spark, confirmed(pairs, texts, words, percent), "links")
     found = connected_components(spark, links)
 
-    # buckets that hold several components: their smaller ones against the rest
-    open_slots = buckets.filter("held > 2").select("key", "rep", "size").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    open_slots = open_slots.select("key", "rep", "size", F.coalesce("component", "rep").alias("component"))
-    parts = open_slots.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("largest")).filter("parts > 1")
-    mixed_slots = written(spark, open_slots.join(mixed.select("key", F.col("largest.component").alias("largest")), "key"), "mixed_slots")
-    minor = mixed_slots.filter("component != largest").select("key", F.col("rep").alias("centre"), F.col("size").alias("centre_size"), F.col("component").alias("centre_component"))
-    rest = minor.join(mixed_slots, "key").filter("component != centre_component and (component = largest or rep > centre)").filter(near_size.format("centre_size"))
-    rest = rest.select("centre", F.col("rep").alias("member")).distinct()
-    done = pairs.union(pairs.select(F.col("member").alias("centre"), F.col("centre").alias("member")))
-    rest = written(spark, rest.join(done, ["centre", "member"], "left_anti"), "pairs")
-    if not rest.isEmpty():
-        more = confirmed(rest, texts, words, percent)
-        found = connected_components(spark, found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    more = linked_within_buckets(spark, open_buckets(buckets.filter("held > 2"), found), texts, words, percent)
+    found = connected_components(spark, found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     of_class = classes.select("set_hash", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     of_class = written(spark, of_class.select("set_hash", F.coalesce("component", "rep").alias("component")), "classes")

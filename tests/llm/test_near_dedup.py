@@ -5,7 +5,7 @@ import random
 import pytest
 
 from cabmetrics.llm.components import connected_components
-from cabmetrics.llm.near_dedup import near_duplicates, shingle_set
+from cabmetrics.llm.near_dedup import linked_within_buckets, near_duplicates, shingle_set
 
 
 def brute(rows, size, percent=80):
@@ -71,6 +71,23 @@ def test_second_pass_finds_links_that_no_centre_has(spark):
     assert got == sorted(brute(rows, 1), key=repr)
 
 
+@pytest.mark.parametrize("members", [2, 7, 2000])
+def test_buckets_in_blocks(spark, members):
+    rng = random.Random(members)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for doc in range(30):
+        words = list(base)
+        for _ in range(rng.randrange(2, 9)):
+            words[rng.randrange(60)] = f"x{rng.randrange(40)}"
+        rows.append((doc, " ".join(words)))
+    texts = spark.createDataFrame([(d, t.encode()) for d, t in rows], "doc_id long, text binary")
+    slots = spark.createDataFrame([(k, d, 60, d) for k in (1, 2) for d, _ in rows[10 * (k - 1) :]], "key long, rep long, size long, component long")
+    links = linked_within_buckets(spark, slots, texts, 1, 80, block_members=members)
+    found = {r["node"]: r["component"] for r in connected_components(spark, links).collect()}
+    assert [(d, found.get(d, d)) for d, _ in rows] == [(d, top) for d, _, top, _ in brute(rows, 1)]
+
+
 def test_null_ids_repeats_and_empty_table(spark):
     text = "a b c d e f g h"
     got = found(spark, [(None, text), (4, text), (4, text), (None, "x y z"), (None, None)], words=2)
