@@ -59,24 +59,41 @@ _TRIPS = """
 ev AS (
   SELECT event_id, ts, user_id, value,
     CASE WHEN event_id % 20 = 0 THEN CAST(-73.7781 AS DOUBLE)
+         WHEN event_id % 113 = 4 THEN CAST(-74.2 AS DOUBLE)
          ELSE CAST(-74.05 AS DOUBLE) + ((event_id*7919) % 2000)/1e4 END AS plon,
     CASE WHEN event_id % 20 = 0 THEN CAST(40.6413 AS DOUBLE)
+         WHEN event_id % 113 = 4 THEN CAST(40.55 AS DOUBLE)
          ELSE CAST(40.65 AS DOUBLE) + ((event_id*104729) % 2000)/1e4 END AS plat,
-    CAST(-74.05 AS DOUBLE) + ((event_id*15485863 + user_id*31) % 2000)/1e4 AS dlon,
-    CAST(40.65 AS DOUBLE) + ((event_id*32452843 + user_id*17) % 2000)/1e4 AS dlat
+    CASE WHEN event_id % 40 = 1 THEN CAST(-74.1745 AS DOUBLE)
+         WHEN event_id % 40 = 2 THEN CAST(-73.7781 AS DOUBLE)
+         WHEN event_id % 113 = 4 THEN CAST(-73.0 AS DOUBLE)
+         WHEN event_id % 109 = 5 THEN CAST(-73.6 AS DOUBLE)
+         WHEN event_id % 103 = 6 THEN CAST(-74.6 AS DOUBLE)
+         ELSE CAST(-74.05 AS DOUBLE) + ((event_id*15485863 + user_id*31) % 2000)/1e4 END AS dlon,
+    CASE WHEN event_id % 40 = 1 THEN CAST(40.6895 AS DOUBLE)
+         WHEN event_id % 40 = 2 THEN CAST(40.6413 AS DOUBLE)
+         WHEN event_id % 113 = 4 THEN CAST(40.95 AS DOUBLE)
+         WHEN event_id % 109 = 5 THEN CAST(40.9 AS DOUBLE)
+         WHEN event_id % 103 = 6 THEN CAST(40.7 AS DOUBLE)
+         ELSE CAST(40.65 AS DOUBLE) + ((event_id*32452843 + user_id*17) % 2000)/1e4 END AS dlat,
+    (event_id % 997) / CAST(997 AS DOUBLE) * CAST(0.01 AS DOUBLE) AS decimals
   FROM events),
 trips AS (
-  SELECT CAST(event_id AS VARCHAR) AS key,
+  SELECT CASE WHEN event_id % 2003 <> 11 THEN CAST(event_id AS VARCHAR) END AS key,
     CASE WHEN event_id % 67 = 0 THEN -value
          WHEN event_id % 71 = 0 THEN CAST(NULL AS DOUBLE)
+         WHEN event_id % 1979 = 12 THEN CAST(1000000 AS DOUBLE)
+         WHEN event_id % 1973 = 13 THEN CAST('NaN' AS DOUBLE)
+         WHEN event_id % 89 = 8 THEN CAST(0.55 AS DOUBLE)
+         WHEN event_id % 97 = 10 THEN CAST(150.25 AS DOUBLE) + decimals
          ELSE round(CAST(2.5 AS DOUBLE) + 160.0e0*(abs(plon-dlon)+abs(plat-dlat)) + value/1e2
-                    + (CASE WHEN hour(ts) BETWEEN 16 AND 19 THEN 1e0 ELSE 0e0 END), 2) END AS fare_amount,
-    CAST(ts AS TIMESTAMP) AS pickup_datetime,
+                    + (CASE WHEN hour(ts) BETWEEN 16 AND 19 THEN 1e0 ELSE 0e0 END), 2) + decimals END AS fare_amount,
+    CASE WHEN event_id % 1999 <> 7 THEN CAST(ts + to_days(CAST(event_id % 900 AS INTEGER)) AS TIMESTAMP) END AS pickup_datetime,
     CASE WHEN event_id % 53 = 0 THEN 0e0 ELSE plon END AS pickup_longitude,
-    CASE WHEN event_id % 53 = 0 THEN 0e0 ELSE plat END AS pickup_latitude,
+    CASE WHEN event_id % 53 = 0 THEN 0e0 WHEN event_id % 1987 = 9 THEN CAST('NaN' AS DOUBLE) ELSE plat END AS pickup_latitude,
     dlon AS dropoff_longitude,
     CASE WHEN event_id % 101 = 0 THEN CAST(NULL AS DOUBLE) ELSE dlat END AS dropoff_latitude,
-    user_id % 8 AS passenger_count
+    CASE WHEN event_id % 1997 <> 3 THEN user_id % 8 END AS passenger_count
   FROM ev)"""
 
 
@@ -86,7 +103,7 @@ def _dist(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
         f"cos(radians({lat1}))*cos(radians({lat2}))*"
         f"sin(radians({lon2} - {lon1})/2)*sin(radians({lon2} - {lon1})/2))"
     )
-    return f"(2*6371.0e0*asin(CASE WHEN {root} > 1e0 THEN 1e0 ELSE {root} END))"
+    return f"(2*6371.0e0*asin(CASE WHEN {root} > 1e0 AND NOT isnan({root}) THEN 1e0 ELSE {root} END))"
 
 
 _TRIP_DIST = _dist("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")
@@ -125,7 +142,7 @@ _CALENDAR = """CAST(hour(pickup_datetime) AS INTEGER) AS hour,
     CAST(month(pickup_datetime) AS INTEGER) AS month,
     CAST(year(pickup_datetime) AS INTEGER) AS year"""
 
-_BUCKET = "CAST(('0x' || substr(md5(key), 1, 8)) AS BIGINT) % 100"
+_BUCKET = "CAST(('0x' || substr(md5(coalesce(key, '')), 1, 8)) AS BIGINT) % 100"
 
 _STAGES = f"""{_TRIPS},
 clean AS (SELECT * FROM trips WHERE {_NOT_NULL} AND {_FARE_OK} AND {_PASS_OK} AND {_BBOX}),
@@ -227,6 +244,7 @@ _TRIP_COLS = [
 ]
 _FEAT_DOUBLES = ["fare_amount", "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude", "distance_km"]
 _NUMERIC = ["fare_amount", "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude", "passenger_count"]
+# The feature orders of the two feature sets.
 _TREE = [
     "distance_km",
     "hour",
@@ -253,8 +271,17 @@ _PREP = [
     "dropoff_latitude",
 ]
 _FEAT_SELECT = ", ".join(_TRIP_COLS + ["distance_km", "hour", "day_of_week", "month", "year"])
-_SECONDS = "SELECT * REPLACE (date_trunc('second', pickup_datetime) AS pickup_datetime) FROM trips"
+_DOUBLES = ["fare_amount", "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude"]
+
+
+def _number(c: str) -> str:
+    """The column as a number, NaN as null."""
+    return f"(CASE WHEN isnan({c}) THEN NULL ELSE {c} END)" if c in _DOUBLES else f"CAST({c} AS DOUBLE)"
+
+
+_NO_NAN = "SELECT * REPLACE (" + ", ".join(f"{_number(c)} AS {c}" for c in _DOUBLES) + ") FROM trips"
 _METRICS = "SELECT * FROM metrics_train"
+_IMPORTANCES = "SELECT CAST(10 AS BIGINT) AS n_features, 1e0 AS total, true AS ranked FROM train HAVING count(*) > 0"
 _DN = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
 _DAY_NAME = "[" + ", ".join(f"'{d}'" for d in _DN) + "][day_of_week]"
 _VALIDITY = (
@@ -262,22 +289,12 @@ _VALIDITY = (
 )
 
 
-def _mean(col: str = "fare_amount", scale: int = 2, digits: int = 6) -> str:
-    """Exact mean: integer units summed, quotient rounded half away from zero."""
-    u = f"CAST(round({col} * 1e{scale}) AS HUGEINT)"
-    m = 2 * 10 ** (digits - scale)
-    s, n = f"sum({u})", f"count({u})"
-    return (
-        f"(CASE WHEN {n} = 0 THEN NULL WHEN {s} >= 0 THEN (({s} * {m} + {n}) // ({n} * 2)) / 1e{digits} "
-        f"ELSE -(((-{s}) * {m} + {n}) // ({n} * 2)) / 1e{digits} END)"
-    )
+def _mean(col: str = "fare_amount") -> str:
+    return f"round(avg({_number(col)}), 6)"
 
 
-def _grouped(src: str, by: str, scale: int = 2) -> str:
-    return (
-        f"SELECT {by}, {_mean(scale=scale)} AS avg_fare, count(key) AS trip_count "
-        f"FROM {src} WHERE {by} IS NOT NULL GROUP BY {by}"
-    )
+def _grouped(src: str, by: str) -> str:
+    return f"SELECT {by}, {_mean()} AS avg_fare, count(key) AS trip_count FROM {src} WHERE {by} IS NOT NULL GROUP BY {by}"
 
 
 def _corr_union(pairs, src: str) -> str:
@@ -301,7 +318,7 @@ def _null_profile() -> str:
 def _describe() -> str:
     parts = []
     for i, c in enumerate(_NUMERIC):
-        x = f"CAST({c} AS DOUBLE)"
+        x = _number(c)
         parts.append(
             f"SELECT {i + 1} AS position, '{c}' AS \"column\", count({x}) AS count, round(avg({x}), 6) AS mean, "
             f"round(stddev_samp({x}), 6) AS std, round(min({x}), 6) AS min, "
@@ -419,11 +436,13 @@ def _oracle_sql() -> dict[str, str]:
 fq AS (SELECT quantile_cont(fare_amount, 0.25) AS q1, quantile_cont(fare_amount, 0.75) AS q3 FROM trips
        WHERE fare_amount IS NOT NULL AND NOT isnan(fare_amount)),
 fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e0 * (q3 - q1) AS upper FROM fq)"""
-    sample = (
-        "SELECT key, fare_amount FROM trips WHERE "
-        "CAST(('0x' || substr(md5(key || ':42'), 1, 8)) AS BIGINT) / 4294967296e0 "
-        "< least(10000e0 / (SELECT count(*) FROM trips), 1e0)"
-    )
+    def sample(size: int) -> str:
+        return (
+            "SELECT key, fare_amount FROM trips WHERE "
+            "CAST(('0x' || substr(md5(coalesce(key, '') || ':42'), 1, 8)) AS BIGINT) / 4294967296e0 "
+            f"< least({size}e0 / (SELECT count(*) FROM trips), 1e0)"
+        )
+
     temporal = (
         f"SELECT 'hour' AS kind, hour AS bucket, count(key) AS trip_count, {_mean()} AS avg_fare "
         "FROM feat WHERE hour IS NOT NULL GROUP BY hour UNION ALL "
@@ -432,29 +451,33 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
     )
     pairs = [(a, b) for i, a in enumerate(_NUMERIC) for b in _NUMERIC[i + 1 :]]
     corr_target = " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", round(corr(fare_amount, CAST({c} AS DOUBLE)), 6) AS corr FROM trips"
+        f"SELECT '{c}' AS \"column\", round(corr({_number('fare_amount')}, {_number(c)}), 6) AS corr FROM trips"
         for c in _NUMERIC[1:]
     )
     complete = " AND ".join(f"{c} IS NOT NULL" + (f" AND NOT isnan({c})" if c != "passenger_count" else "") for c in _NUMERIC)
     return {
         # 2.1 / 2.2 scans and sinks
-        "scan_trips_schema": _q(_SECONDS),
-        "scan_trips_inferred": _q(_SECONDS),
+        "scan_trips_schema": _q(_NO_NAN),
+        "scan_trips_inferred": _q(_NO_NAN),
         "scan_parquet": _q("SELECT * FROM clean"),
-        "source_fallback": _q(_SECONDS),
+        "source_fallback": _q(_NO_NAN),
         "temp_view": _q("SELECT * FROM trips"),
         "write_trips": _q("SELECT * FROM trips"),
         "verify_roundtrip": _q(
             "SELECT count(*) AS rows_written, count(*) AS rows_read, 8 AS cols_written, 8 AS cols_read, "
             "true AS same_content FROM trips"
         ),
+        "verify_roundtrip_csv": _q(
+            "SELECT count(*) AS rows_written, count(*) AS rows_read, 8 AS cols_written, 8 AS cols_read, "
+            "true AS same_content FROM trips"
+        ),
         "write_split": _q(
             "SELECT CASE WHEN bucket < 80 THEN 'train' ELSE 'test' END AS split, count(*) AS n_rows FROM split GROUP BY 1"
         ),
         "write_metrics": _q(_METRICS, _metrics_cte()),
         "metrics_csv": _q(_METRICS, _metrics_cte()),
         # 2.3 projections
-        "parse_pickup_time": _q("SELECT key, date_trunc('second', pickup_datetime) AS pickup_datetime FROM trips"),
+        "parse_pickup_time": _q("SELECT key, pickup_datetime FROM trips"),
         "cast_features": _rnd(
             "SELECT key, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _PREP) + ", fare_amount FROM feat_air",
             _PREP + ["fare_amount"],
@@ -481,8 +504,8 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
         "fare_display_range": _q("SELECT * FROM trips WHERE fare_amount > 0 AND fare_amount <= 100e0"),
         "distance_cap": _rnd(f"SELECT {_FEAT_SELECT} FROM feat WHERE distance_km <= 50e0", _FEAT_DOUBLES),
         "iqr_outliers": _q(
-            "SELECT count_if(t.fare_amount < fb.lower OR t.fare_amount > fb.upper) AS n_outliers, count(*) AS n_total, "
-            + _pct("count_if(t.fare_amount < fb.lower OR t.fare_amount > fb.upper)", "count(*)")
+            "SELECT count_if(NOT isnan(t.fare_amount) AND (t.fare_amount < fb.lower OR t.fare_amount > fb.upper)) AS n_outliers, count(*) AS n_total, "
+            + _pct("count_if(NOT isnan(t.fare_amount) AND (t.fare_amount < fb.lower OR t.fare_amount > fb.upper))", "count(*)")
             + " AS pct_outliers, round(any_value(fb.q1), 6) AS q1, round(any_value(fb.q3), 6) AS q3, "
             "round(any_value(fb.iqr), 6) AS iqr, round(any_value(fb.lower), 6) AS lower, "
             "round(any_value(fb.upper), 6) AS upper FROM trips t CROSS JOIN fb",
@@ -492,6 +515,7 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
             "SELECT count_if(is_airport_trip = 1) AS n_flagged, count(*) AS n_total, "
             f"{_pct('count_if(is_airport_trip = 1)', 'count(*)')} AS pct_flagged FROM feat_air"
         ),
+        "invalid_vector_error": _q("SELECT true AS failed_on_missing, count(*) AS n_assembled FROM feat"),
         # 2.5 scalar functions
         "haversine": _q(f"SELECT key, round({_TRIP_DIST}, 6) AS distance_km FROM trips"),
         "haversine_sql": _q(f"SELECT key, round({_TRIP_DIST}, 6) AS distance_km FROM trips"),
@@ -516,7 +540,11 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
         "describe_numeric": _q(_describe()),
         "fare_min_max_mean_median": _q(
             "SELECT round(min(fare_amount), 6) AS min, round(max(fare_amount), 6) AS max, "
-            "round(avg(fare_amount), 6) AS mean, round(quantile_cont(fare_amount, 0.5), 6) AS median FROM trips"
+            "round(avg(fare_amount), 6) AS mean, round(quantile_cont(fare_amount, 0.5), 6) AS median FROM trips WHERE NOT isnan(fare_amount)"
+        ),
+        "fare_quantiles_refined": _q(
+            "SELECT round(quantile_cont(fare_amount, 0.01), 6) AS p01, round(quantile_cont(fare_amount, 0.5), 6) AS p50, "
+            "round(quantile_cont(fare_amount, 0.99), 6) AS p99 FROM trips WHERE NOT isnan(fare_amount)"
         ),
         "fare_quartiles": _q(
             "SELECT round(q1, 6) AS q1, round(q3, 6) AS q3, round(iqr, 6) AS iqr, round(lower, 6) AS lower, "
@@ -538,7 +566,7 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
         "fare_by_day_raw": _q(
             f"SELECT day_of_week, avg_fare, trip_count, {_DAY_NAME} AS day_name FROM ({_grouped('rawfeat', 'day_of_week')})"
         ),
-        "fare_by_year": _q(_grouped("ytrips", "year", 5) + " HAVING avg(fare_amount) IS NOT NULL"),
+        "fare_by_year": _q(_grouped("ytrips", "year") + " HAVING avg(fare_amount) IS NOT NULL"),
         "corr_with_target": _q(corr_target),
         "corr_matrix": _q(_corr_union(pairs, "cm"), f",\ncm AS (SELECT * FROM trips WHERE {complete})"),
         "corr_distance_fare": _q("SELECT round(corr(distance_km, fare_amount), 6) AS corr FROM feat"),
@@ -568,11 +596,17 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
             "SELECT passenger_count, count(*) AS n FROM trips WHERE passenger_count IS NOT NULL "
             "GROUP BY passenger_count ORDER BY passenger_count"
         ),
-        "head_n": _q("SELECT * FROM trips ORDER BY key LIMIT 10000"),
+        "head_n": _q("SELECT * FROM trips ORDER BY key NULLS FIRST LIMIT 10000"),
+        "head_n_1000": _q("SELECT * FROM trips ORDER BY key NULLS FIRST LIMIT 1000"),
         # 2.8 sampling / splitting
-        "sample_to_size": _q(sample),
+        "sample_to_size": _q(sample(10000)),
+        "sample_to_size_3000": _q(sample(3000)),
+        "train_test_split_raw": _q(
+            f"SELECT key, passenger_count, CASE WHEN {_BUCKET} < 80 THEN 'train' ELSE 'test' END AS split, "
+            "CAST(CAST(('0x' || substr(md5(coalesce(key, '')), 9, 8)) AS BIGINT) % 3 AS INTEGER) AS fold FROM trips"
+        ),
         "train_test_split": _q("SELECT key, CASE WHEN bucket < 80 THEN 'train' ELSE 'test' END AS split FROM split"),
-        "kfold": _q("SELECT key, CAST(CAST(('0x' || substr(md5(key), 9, 8)) AS BIGINT) % 3 AS INTEGER) AS fold FROM train"),
+        "kfold": _q("SELECT key, CAST(CAST(('0x' || substr(md5(coalesce(key, '')), 9, 8)) AS BIGINT) % 3 AS INTEGER) AS fold FROM train"),
         # 2.9 lookup join
         "compare_before_after": _compare(),
         # 2.10 features with an exact SQL form
@@ -595,7 +629,7 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
             f"FROM trips WHERE {_BOX['pickup']} GROUP BY 1, 2"
         ),
         "temporal_profile": _q(temporal),
-        "yearly_trend": _q(_grouped("ytrips", "year", 5) + " HAVING avg(fare_amount) IS NOT NULL"),
+        "yearly_trend": _q(_grouped("ytrips", "year") + " HAVING avg(fare_amount) IS NOT NULL"),
         "distance_fare_sample": _rnd(
             "SELECT key, distance_km, fare_amount FROM feat WHERE distance_km <= 50e0 ORDER BY key LIMIT 5000",
             ["distance_km", "fare_amount"],
@@ -607,5 +641,39 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
         ),
         "residual_report": _residuals(),
         "error_by_segment": _segments(),
+        "residual_histogram": _hist_q("resid", "residual", 50, _rule_preds("train") + ",\nresid AS (SELECT label - p_dist AS residual FROM preds_train)"),
+        # facts about fitted models
+        "check_predict": _q("SELECT count(*) AS n_rows, count(DISTINCT key) AS n_keys, CAST(0 AS BIGINT) AS n_unusable FROM test"),
+        "check_batch_score": _q("SELECT count(*) AS n_rows, count(DISTINCT key) AS n_keys, CAST(0 AS BIGINT) AS n_unusable FROM feat"),
+        "check_load_model": _q("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differences FROM test"),
+        "check_save_model": _q(
+            "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differences, 'org.apache.spark.ml.PipelineModel' AS class FROM test"
+        ),
+        "check_fit_linear": _q(
+            "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differences, true AS intercept_is_not_the_mean FROM test"
+        ),
+        "check_models_beat_mean": _q(
+            "SELECT m.Model, t.RMSE AS mean_rmse, true AS beats_mean FROM metrics_train t CROSS JOIN "
+            "(VALUES ('Linear Regression'), ('Random Forest'), ('Gradient Boosted Trees')) m(Model) WHERE t.Model = 'Train mean'",
+            _metrics_cte(),
+        ),
+        "check_feature_importance": _q(_IMPORTANCES),
+        "check_rank_importance": _q(_IMPORTANCES),
+        "check_importance_csv": _q("SELECT CAST(10 AS BIGINT) AS n_features, 1e0 AS total, 10 AS last_rank FROM train HAVING count(*) > 0"),
+        "check_grid": _q(
+            "SELECT t.n AS numTrees, d.n AS maxDepth, true AS finite, true AS best_is_lowest, 'tuned' AS status "
+            "FROM (VALUES (50), (100), (150)) t(n), (VALUES (5), (10), (15)) d(n) WHERE (SELECT count(*) FROM train) > 0"
+        ),
+        "check_model_params": _q(
+            "SELECT m.Model, m.num_trees, m.max_depth, 10 AS num_features FROM (VALUES ('Linear Regression', NULL, NULL), "
+            "('Random Forest', 50, 10), ('Gradient Boosted Trees', 20, 5)) m(Model, num_trees, max_depth) WHERE (SELECT count(*) FROM train) > 0"
+        ),
+        "check_rank_trained": _q("SELECT CAST(3 AS BIGINT) AS n_models, 3 AS last_rank, true AS ordered FROM test HAVING count(*) > 0"),
+        "check_compare_tuning": _q(
+            "SELECT m.metric, true AS change_is_difference FROM (VALUES ('RMSE'), ('MAE'), ('R2')) m(metric) WHERE (SELECT count(*) FROM test) > 0"
+        ),
+        "check_actual_vs_predicted": _q("SELECT round(fare_amount, 6) AS fare FROM (SELECT fare_amount FROM test ORDER BY key LIMIT 15)"),
+        "check_rename_columns": _q("SELECT count(*) AS n_rows, round(sum(fare_amount), 3) AS fares FROM test"),
+        "check_tuned_residuals": _q("SELECT count(*) AS report, count(*) AS histogram, count(*) AS by_distance, count(*) AS by_hour FROM test"),
         "stream_features": _rnd(f"SELECT {_FEAT_SELECT} FROM feat", _FEAT_DOUBLES),
     }

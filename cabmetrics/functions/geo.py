@@ -28,14 +28,15 @@ def haversine(lat1, lon1, lat2, lon2, radius_km: float = EARTH_RADIUS_KM) -> Col
     ``sqrt(a)`` is clamped to 1 so rounding on near-antipodal points cannot
     push ``asin`` out of its domain (it would return NaN). The clamp is a
     CASE, not ``least``: ``least`` skips nulls and would turn a missing
-    coordinate into half the Earth's circumference.
+    coordinate into half the Earth's circumference. NaN compares as largest in
+    Spark, so it is let through explicitly and stays NaN.
     """
     lat1, lon1, lat2, lon2 = map(_c, (lat1, lon1, lat2, lon2))
     half_dlat = F.sin(F.radians(lat2 - lat1) / 2)
     half_dlon = F.sin(F.radians(lon2 - lon1) / 2)
     a = half_dlat * half_dlat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_dlon * half_dlon
     root = F.sqrt(a)
-    return F.lit(2.0 * radius_km) * F.asin(F.when(root > F.lit(1.0), F.lit(1.0)).otherwise(root))
+    return F.lit(2.0 * radius_km) * F.asin(F.when((root > F.lit(1.0)) & ~F.isnan(root), F.lit(1.0)).otherwise(root))
 
 
 def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str, radius_km: float = EARTH_RADIUS_KM) -> str:
@@ -45,7 +46,7 @@ def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str, radius_km: float =
         f"cos(radians({lat1})) * cos(radians({lat2})) * "
         f"sin(radians({lon2} - {lon1}) / 2) * sin(radians({lon2} - {lon1}) / 2))"
     )
-    return f"({2.0 * radius_km!r} * asin(CASE WHEN {root} > 1.0D THEN 1.0D ELSE {root} END))"
+    return f"({2.0 * radius_km!r} * asin(CASE WHEN {root} > 1.0D AND NOT isnan({root}) THEN 1.0D ELSE {root} END))"
 
 
 def trip_distance(prefix_pick: str = "pickup", prefix_drop: str = "dropoff") -> Column:

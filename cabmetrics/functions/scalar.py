@@ -45,27 +45,3 @@ def pearson(a, b) -> Column:
     both = x.isNotNull() & y.isNotNull()
     x, y = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
-
-
-def money_units(col, scale: int = 2) -> Column:
-    """Amount as an exact integer count of 10^-scale units (cents for 2)."""
-    return F.round(_c(col).cast("double") * F.lit(float(10**scale))).cast("long")
-
-
-def exact_mean(sum_units: str, count: str, scale: int = 2, digits: int = 6) -> Column:
-    """Mean of amounts aggregated as ``sum(money_units)`` / ``count``, rounded
-    half away from zero at ``digits`` decimals with integer arithmetic.
-
-    A floating-point average of 2-decimal amounts can land exactly on a
-    rounding tie (group sizes like 32 or 1000); its last bit, and so the
-    rounded report, would then depend on summation order, i.e. on how the
-    data happens to be partitioned. Integer sums make the result independent
-    of the cluster layout.
-    """
-    m = 2 * 10 ** (digits - scale)
-    s, n = f"CAST({sum_units} AS DECIMAL(38,0))", f"CAST({count} AS DECIMAL(38,0))"
-    return F.expr(
-        f"CASE WHEN {count} = 0 THEN CAST(NULL AS DOUBLE) "
-        f"WHEN {sum_units} >= 0 THEN (({s} * {m} + {n}) div ({n} * 2)) / 1e{digits} "
-        f"ELSE -(((-{s}) * {m} + {n}) div ({n} * 2)) / 1e{digits} END"
-    )

@@ -101,13 +101,11 @@ def rule_fit(train: DataFrame, label: str = "fare_amount") -> dict:
     }
 
 
-def rule_predictions(train: DataFrame, test: DataFrame, label: str = "fare_amount") -> DataFrame:
-    """Test rows with three baseline predictions fitted on ``train``:
-    the train mean, the train mean of the trip's hour, and the least-squares
-    line on distance. The fitted constants enter as literals (the hour means
-    as a literal map), so scoring is a projection: no join, no subquery.
-    """
-    fit = rule_fit(train, label)
+def rule_columns(fit: dict, prefix: str = "") -> list[Column]:
+    """The three baseline predictions as columns: the train mean, the train
+    mean of the trip's hour, and the least-squares line on distance. The fitted
+    constants enter as literals (the hour means as a literal map), so scoring
+    is a projection: no join, no subquery."""
     mean = F.lit(fit["mean"]).cast("double")
     if fit["hourly"]:
         hour_map = F.create_map(*[x for h, m in sorted(fit["hourly"].items()) for x in (F.lit(h), F.lit(m))])
@@ -115,21 +113,24 @@ def rule_predictions(train: DataFrame, test: DataFrame, label: str = "fare_amoun
     else:
         hourly = mean
     line = F.lit(fit["intercept"]).cast("double") + F.lit(fit["slope"]).cast("double") * F.col("distance_km")
-    return test.select(
-        "key",
-        F.col(label).alias("label"),
-        "distance_km",
-        "hour",
-        mean.alias("Train mean"),
-        hourly.alias("Hourly mean"),
-        line.alias("Distance rate"),
-    )
+    return [c.alias(prefix + n) for c, n in zip((mean, hourly, line), RULE_MODELS)]
+
+
+def rule_predictions(train: DataFrame, test: DataFrame, label: str = "fare_amount") -> DataFrame:
+    """Test rows with three baseline predictions fitted on ``train``."""
+    return test.select("key", F.col(label).alias("label"), "distance_km", "hour", *rule_columns(rule_fit(train, label)))
 
 
 def rule_metrics(train: DataFrame, test: DataFrame, label: str = "fare_amount", digits: int | None = 6) -> DataFrame:
     return metrics_table(rule_predictions(train, test, label), RULE_MODELS, digits=digits)
 
 
+def rule_comparison(before: DataFrame, after: DataFrame, test: DataFrame, model: str, label: str = "fare_amount") -> DataFrame:
+    """One baseline fitted on two training sets, from one scan of the test rows."""
+    preds = test.select(F.col(label).alias("label"), "distance_km", "hour", *rule_columns(rule_fit(before, label), "before "), *rule_columns(rule_fit(after, label), "after "))
+    return compare_columns(preds, f"before {model}", f"after {model}")
+
+
 # ---------------------------------------------------------------------------
 # Ranking and comparison over a metrics table (one row per model)
 # ---------------------------------------------------------------------------
@@ -138,7 +139,7 @@ def rule_metrics(train: DataFrame, test: DataFrame, label: str = "fare_amount",
 def rank_models(metrics: DataFrame, by: str = "RMSE") -> DataFrame:
     """All models by ``by`` ascending with their rank. The window runs over
     the metrics table, which has one row per model (bounded)."""
-    return metrics.withColumn("rank", F.rank().over(Window.orderBy(F.col(by).asc(), F.col("Model")))).orderBy("rank")
+    return metrics.withColumn("rank", F.rank().over(Window.partitionBy(F.lit(1)).orderBy(F.col(by).asc(), F.col("Model")))).orderBy("rank")
 
 
 def best_model(metrics: DataFrame, by: str = "RMSE") -> DataFrame:
@@ -169,6 +170,26 @@ def compare_before_after(before: DataFrame, after: DataFrame, model: str, digits
     )
 
 
+def compare_columns(preds: DataFrame, before: str, after: str, label: str = "label", digits: int | None = 6) -> DataFrame:
+    """(metric, before, after, change) of two prediction columns of the same rows, one aggregate."""
+    cols = [c.alias(f"{side}{i}") for side, p in (("b", before), ("a", after)) for i, c in enumerate(_metric_cols(F.col(label), F.col(p), digits))]
+    return preds.agg(*cols).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(m).alias("metric"),
+                        F.col(f"b{i}").alias("before"),
+                        F.col(f"a{i}").alias("after"),
+                        _r(F.col(f"a{i}") - F.col(f"b{i}"), digits).alias("change"),
+                    )
+                    for i, m in enumerate(("RMSE", "MAE", "R2"))
+                ]
+            )
+        )
+    )
+
+
 # ---------------------------------------------------------------------------
 # Residual reports
 # ---------------------------------------------------------------------------
@@ -198,23 +219,28 @@ def distance_band(col: str = "distance_km") -> Column:
     return expr
 
 
+def residuals(preds: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """The errors (label - prediction) as column ``residual``, for a histogram."""
+    return preds.select((F.col(label) - F.col(prediction)).alias("residual"))
+
+
 def error_by_segment(preds: DataFrame, label: str = "label", prediction: str = "prediction", digits: int | None = 6) -> DataFrame:
-    """RMSE/MAE/bias per distance band and per hour, from one scan (GROUPING SETS):
-    segment ('distance' | 'hour'), bucket, n, rmse, mae, bias."""
+    """RMSE/MAE/bias per distance band and per hour: segment ('distance' |
+    'hour'), bucket, n, rmse, mae, bias.
+
+    Rows are grouped once by (band, hour); both segments are rolled up from
+    those groups (a band count times 25 at most)."""
     e = F.col(label) - F.col(prediction)
-    src = preds.withColumn("band", distance_band()).withColumn("hour_s", F.col("hour").cast("string"))
-    g = src.groupingSets([["band"], ["hour_s"]], "band", "hour_s").agg(
-        F.grouping("band").alias("gb"),
-        F.count(F.lit(1)).alias("n"),
-        _r(F.sqrt(F.avg(e * e)), digits).alias("rmse"),
-        _r(F.avg(F.abs(e)), digits).alias("mae"),
-        _r(F.avg(e), digits).alias("bias"),
+    cells = preds.groupBy(distance_band().alias("band"), F.col("hour").cast("string").alias("hour_s")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count(e).alias("errors"), F.sum(e * e).alias("squares"), F.sum(F.abs(e)).alias("sizes"), F.sum(e).alias("total")
+    )
+    segments = F.array(
+        F.struct(F.lit("distance").alias("segment"), F.col("band").alias("bucket")), F.struct(F.lit("hour").alias("segment"), F.col("hour_s").alias("bucket"))
+    )
+    mean = lambda c: F.try_divide(F.sum(c), F.sum("errors"))
+    return (
+        cells.select(F.inline(segments), "rows", "errors", "squares", "sizes", "total")
+        .filter(F.col("bucket").isNotNull())
+        .groupBy("segment", "bucket")
+        .agg(F.sum("rows").alias("n"), _r(F.sqrt(mean("squares")), digits).alias("rmse"), _r(mean("sizes"), digits).alias("mae"), _r(mean("total"), digits).alias("bias"))
     )
-    return g.select(
-        F.when(F.col("gb") == 0, F.lit("distance")).otherwise(F.lit("hour")).alias("segment"),
-        F.when(F.col("gb") == 0, F.col("band")).otherwise(F.col("hour_s")).alias("bucket"),
-        "n",
-        "rmse",
-        "mae",
-        "bias",
-    ).filter(F.col("bucket").isNotNull())

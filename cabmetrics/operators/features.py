@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import haversine_sql, is_airport_trip, trip_distance
+from ..functions.geo import is_airport_trip, trip_distance
 from ..functions.timeparts import time_parts
 from ..schema import PREP_FEATURES, TARGET, TRIP_COLUMNS
 
@@ -36,17 +36,6 @@ def feature_projection(df: DataFrame, airport: bool = False, as_double: bool = F
     )
 
 
-def feature_projection_sql(view: str) -> str:
-    """The modeling scripts' feature SELECT as SQL text over a temp view."""
-    dist = haversine_sql("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")
-    return (
-        "SELECT key, fare_amount, pickup_datetime, pickup_longitude, pickup_latitude, "
-        "dropoff_longitude, dropoff_latitude, passenger_count, "
-        f"{dist} AS distance_km, hour(pickup_datetime) AS hour, dayofweek(pickup_datetime) AS day_of_week, "
-        f"month(pickup_datetime) AS month, year(pickup_datetime) AS year FROM {view}"
-    )
-
-
 def cast_features(df: DataFrame, features=PREP_FEATURES, target: str = TARGET) -> DataFrame:
     """Feature and target columns as double (one projection)."""
     return df.withColumns({c: F.col(c).cast("double") for c in [*features, target]})

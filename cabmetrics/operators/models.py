@@ -21,6 +21,11 @@ from pyspark.sql import functions as F
 
 from ..schema import TARGET, TREE_FEATURES, ModelProfile, TuningProfile
 
+# Memory for the node statistics of one pass. A level whose nodes don't fit is
+# split over several passes; the default of 256 MB splits the deep levels of
+# large forests many times.
+TREE_MEMORY_MB = 1024
+
 MODEL_NAMES = {"lr": "Linear Regression", "rf": "Random Forest", "gbt": "Gradient Boosted Trees"}
 
 
@@ -73,6 +78,7 @@ def estimator(kind: str, profile: ModelProfile = ModelProfile(), features_col: s
             # about half the time for deep forests; checkpointed to the
             # shared folder every 10 levels)
             cacheNodeIds=True,
+            maxMemoryInMB=TREE_MEMORY_MB,
         )
     if kind == "gbt":
         return GBTRegressor(featuresCol=features_col, labelCol=label_col, maxIter=profile.gbt_max_iter, seed=profile.seed)
@@ -80,14 +86,12 @@ def estimator(kind: str, profile: ModelProfile = ModelProfile(), features_col: s
 
 
 def model_pipeline(kind: str, features: Sequence[str] = TREE_FEATURES, profile: ModelProfile = ModelProfile(), handle_invalid: str = "error") -> Pipeline:
-    """Assembler (+ scaler for the linear model) + estimator, label = fare_amount."""
-    stages = [assembler(features, "features_raw" if kind == "lr" else "features", handle_invalid)]
-    if kind == "lr":
-        stages.append(scaler())
+    """Assembler + estimator, label = fare_amount. The linear model takes raw
+    features (MLlib standardises inside the fit), so its intercept and
+    coefficients are in the features' own units."""
     est = estimator(kind, profile)
     est.setLabelCol(TARGET)
-    stages.append(est)
-    return Pipeline(stages=stages)
+    return Pipeline(stages=[assembler(features, handle_invalid=handle_invalid), est])
 
 
 def fit(kind: str, train: DataFrame, features: Sequence[str] = TREE_FEATURES, profile: ModelProfile = ModelProfile()) -> PipelineModel:
@@ -122,7 +126,7 @@ def cross_validate(train: DataFrame, tuning: TuningProfile = TuningProfile(), fe
     CrossValidator draws random folds with ``tuning.seed``. Returns the CV
     model and a table (numTrees, maxDepth, avg_rmse).
     """
-    rf = RandomForestRegressor(featuresCol="features", labelCol="label", seed=tuning.seed, cacheNodeIds=True)
+    rf = RandomForestRegressor(featuresCol="features", labelCol="label", seed=tuning.seed, cacheNodeIds=True, maxMemoryInMB=TREE_MEMORY_MB)
     grid = param_grid(rf, tuning)
     data = assembler(features).transform(train).select(
         "features", F.col(TARGET).cast("double").alias("label"), *([fold_col] if fold_col else [])
@@ -159,6 +163,13 @@ def feature_importance(spark: SparkSession, model, features: Sequence[str] = TRE
     return spark.createDataFrame(rows, "feature string, importance double, rank int")
 
 
+def linear_coefficients(spark: SparkSession, model, features: Sequence[str] = TREE_FEATURES) -> DataFrame:
+    """(term, value) of a linear model: the intercept and each feature's coefficient, in raw units."""
+    m = final_stage(model)
+    rows = [("intercept", float(m.intercept)), *((f, float(v)) for f, v in zip(features, m.coefficients.toArray()))]
+    return spark.createDataFrame(rows, "term string, value double")
+
+
 def model_params(spark: SparkSession, model, name: str) -> DataFrame:
     """One row of the fitted model's main parameters."""
     m = final_stage(model)
@@ -194,4 +205,4 @@ def fit_with_fallback(train: DataFrame, tuning: TuningProfile, features=TREE_FEA
         model = PipelineModel(stages=[assembler(features), best])
         return model, "tuned", None
     except Exception as exc:  # noqa: BLE001 - reported to the caller
-        return fit("rf", train, features, profile), "fallback", f"{type(exc).__name__}: {exc}"[:500]
+        return fit("rf", train, features, profile), "fallback", f"{type(exc).__name__}: {exc}"

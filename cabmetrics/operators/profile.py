@@ -10,13 +10,14 @@ a cross join.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import exact_mean, money_units, nan_to_null, passenger_valid_flag, pct_of_total, pearson
+from ..functions.scalar import nan_to_null, passenger_valid_flag, pct_of_total, pearson
 from ..functions.timeparts import day_name
 from ..schema import CODE_PROFILE, NUMERIC_COLUMNS, CleaningProfile
 from .quantiles import quantiles
@@ -35,13 +36,6 @@ def table_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
 
 
-def table_columns(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Column names and types with their position (schema only, no job)."""
-    return spark.createDataFrame(
-        [(i + 1, n, t) for i, (n, t) in enumerate(df.dtypes)], "position int, column string, dtype string"
-    )
-
-
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 2) -> DataFrame:
     """Missing values per column from one pass: position, column, n_null, pct_null.
 
@@ -199,7 +193,9 @@ def equal_width_histogram(
     The default range costs one aggregate returning a single row; it then
     enters the bucket expression as literals (a scalar subquery inside the
     grouping key defeats whole-stage codegen). A constant column gets the
-    range [v - 0.5, v + 0.5] like NumPy. Columns: bin (1-based), low, high, n.
+    range [v - 0.5, v + 0.5] like NumPy, and a range that is not finite is an
+    error as there: give ``lo`` and ``hi``, and infinite values lie outside.
+    Columns: bin (1-based), low, high, n.
     """
     spark = df.sparkSession
     # x is computed once in a projection; the aggregate groups on it and the
@@ -214,6 +210,8 @@ def equal_width_histogram(
     if lo is None or hi is None:  # no values: no range, no bins
         return spark.createDataFrame([], "bin bigint, low double, high double, n bigint")
     lo, hi = float(lo), float(hi)
+    if not (math.isfinite(lo) and math.isfinite(hi)):
+        raise ValueError(f"range of {col} is not finite: [{lo}, {hi}]; give lo and hi")
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     lo_e, hi_e = F.lit(lo), F.lit(hi)
@@ -248,52 +246,47 @@ def equal_width_histogram(
     return out
 
 
-def grouped_fare(
-    df: DataFrame, by: str, fare: str = "fare_amount", key: str = "key", digits: int = 6, scale: int = 2
-) -> DataFrame:
-    """Mean fare and trip count (non-null keys) per value of ``by``; null groups dropped.
-
-    The mean is exact: fares are summed as integer 10^-scale units and the
-    quotient rounded at ``digits`` decimals (:func:`exact_mean`), so the
-    report does not depend on how rows are spread over partitions.
-    """
-    u = money_units(fare, scale)
+def grouped_fare(df: DataFrame, by: str, fare: str = "fare_amount", key: str = "key", digits: int | None = 6) -> DataFrame:
+    """Mean fare (null and NaN skipped) and trip count (non-null keys) per
+    value of ``by``; null groups dropped. Only the result is rounded."""
     return (
         df.filter(F.col(by).isNotNull())
         .groupBy(by)
-        .agg(F.sum(u).alias("_s"), F.count(u).alias("_n"), F.count(key).alias("trip_count"))
-        .select(by, exact_mean("_s", "_n", scale, digits).alias("avg_fare"), "trip_count")
+        .agg(_r(F.avg(nan_to_null(fare)), digits).alias("avg_fare"), F.count(key).alias("trip_count"))
     )
 
 
-def fare_by_hour(features: DataFrame, digits: int = 6) -> DataFrame:
+def fare_by_hour(features: DataFrame, digits: int | None = 6) -> DataFrame:
     return grouped_fare(features, "hour", digits=digits)
 
 
-def fare_by_day(features: DataFrame, digits: int = 6) -> DataFrame:
+def fare_by_day(features: DataFrame, digits: int | None = 6) -> DataFrame:
     return grouped_fare(features, "day_of_week", digits=digits).withColumn("day_name", day_name("day_of_week"))
 
 
-def fare_by_year(features: DataFrame, digits: int = 6, scale: int = 2) -> DataFrame:
-    return grouped_fare(features, "year", digits=digits, scale=scale).filter(F.col("avg_fare").isNotNull())
+def fare_by_year(features: DataFrame, digits: int | None = 6) -> DataFrame:
+    return grouped_fare(features, "year", digits=digits).filter(F.col("avg_fare").isNotNull())
+
 
+def temporal_profile(features: DataFrame, digits: int | None = 6) -> DataFrame:
+    """Hour and weekday panels: kind ('hour' | 'day'), bucket, trip_count, avg_fare.
 
-def temporal_profile(features: DataFrame, digits: int = 6, scale: int = 2) -> DataFrame:
-    """Hour and weekday panels from one scan (GROUPING SETS):
-    kind ('hour' | 'day'), bucket, trip_count, avg_fare (exact mean)."""
-    u = money_units("fare_amount", scale)
-    g = features.groupingSets([["hour"], ["day_of_week"]], "hour", "day_of_week").agg(
-        F.grouping("hour").alias("gh"),
-        F.count("key").alias("trip_count"),
-        F.sum(u).alias("_s"),
-        F.count(u).alias("_n"),
+    The trips are grouped once by (hour, weekday); the two panels are rolled
+    up from those groups (at most 25 x 8), not from the rows."""
+    fare = nan_to_null("fare_amount")
+    cells = features.groupBy("hour", "day_of_week").agg(
+        F.count("key").alias("trips"), F.sum(fare).alias("total"), F.count(fare).alias("fares")
+    )
+    panels = F.array(
+        F.struct(F.lit("hour").alias("kind"), F.col("hour").cast("int").alias("bucket")),
+        F.struct(F.lit("day").alias("kind"), F.col("day_of_week").cast("int").alias("bucket")),
+    )
+    return (
+        cells.select(F.inline(panels), "trips", "total", "fares")
+        .filter(F.col("bucket").isNotNull())
+        .groupBy("kind", "bucket")
+        .agg(F.sum("trips").alias("trip_count"), _r(F.try_divide(F.sum("total"), F.sum("fares")), digits).alias("avg_fare"))
     )
-    return g.select(
-        F.when(F.col("gh") == 0, F.lit("hour")).otherwise(F.lit("day")).alias("kind"),
-        F.when(F.col("gh") == 0, F.col("hour")).otherwise(F.col("day_of_week")).alias("bucket"),
-        "trip_count",
-        exact_mean("_s", "_n", scale, digits).alias("avg_fare"),
-    ).filter(F.col("bucket").isNotNull())
 
 
 def corr_with_target(df: DataFrame, target: str, cols: Sequence[str], digits: int | None = 6) -> DataFrame:

@@ -18,11 +18,13 @@ _TWO32 = float(2**32)
 
 
 def key_hash32(key: str | Column = "key", offset: int = 1, salt: str | None = None) -> Column:
-    """Unsigned 32-bit integer from hex digits ``offset..offset+7`` of md5(key[:salt])."""
-    k = F.col(key) if isinstance(key, str) else key
+    """Unsigned 32-bit integer from hex digits ``offset..offset+7`` of md5(key[:salt]).
+
+    A null key counts as the empty text, so such rows have a side and a fold too."""
+    k = F.coalesce((F.col(key) if isinstance(key, str) else key).cast("string"), F.lit(""))
     if salt is not None:
-        k = F.concat(k.cast("string"), F.lit(f":{salt}"))
-    return F.conv(F.substring(F.md5(k.cast("string")), offset, 8), 16, 10).cast("bigint")
+        k = F.concat(k, F.lit(f":{salt}"))
+    return F.conv(F.substring(F.md5(k), offset, 8), 16, 10).cast("bigint")
 
 
 def key_bucket(key: str | Column = "key", buckets: int = 100) -> Column:
@@ -42,11 +44,6 @@ def split_label(df: DataFrame, train_fraction: float = TRAIN_FRACTION, key: str
     return df.withColumn(name, F.when(key_bucket(key) < cut, F.lit("train")).otherwise(F.lit("test")))
 
 
-def random_split(df: DataFrame, train_fraction: float = TRAIN_FRACTION, seed: int = SEED):
-    """Spark's own split (partition-dependent), kept for parity runs."""
-    return df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
-
-
 def sample_to_size(df: DataFrame, size: int | None = SAMPLE_SIZE, seed: int = SEED, key: str = "key") -> DataFrame:
     """Bernoulli sample with fraction ``min(size / rows, 1)``; ``None`` keeps all rows.
 

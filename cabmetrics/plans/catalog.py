@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_sql, near_airport
@@ -33,6 +33,7 @@ from ..schema import (
 from ..session import scratch_path
 from ..sources import sinks as SK
 from ..sources import trips as TR
+from . import checks as CH
 from . import common as K
 from . import fare_model as FM
 
@@ -48,11 +49,8 @@ def query(name: str):
     return deco
 
 
-# Grid used by the registered tuning query. The library default
-# (TuningProfile()) is the reference's 3x3 grid with 3 folds; its largest
-# forests (150 trees, depth 15) take minutes per fit even at small scale, so
-# the registered check runs a 2x2 grid with the same code path.
-QUICK_TUNING = TuningProfile(num_trees=(10, 20), max_depth=(3, 5), num_folds=3, parallelism=4)
+# The reference's grid and folds: 3 x 3 combinations, 3 folds.
+TUNING = TuningProfile()
 
 # =============================================================================
 # 2.1 Scans / sources
@@ -84,8 +82,8 @@ def source_fallback(spark, sf):
 
 @query("temp_view")
 def temp_view(spark, sf):
-    TR.temp_view(K.raw_trips(spark, sf), "taxi_data")
-    return spark.sql("SELECT * FROM taxi_data")
+    TR.temp_view(K.raw_trips(spark, sf), "trips_view")
+    return spark.sql("SELECT * FROM trips_view")
 
 
 # =============================================================================
@@ -106,6 +104,14 @@ def verify_roundtrip(spark, sf):
     return SK.roundtrip_report(trips, spark.read.parquet(path))
 
 
+@query("verify_roundtrip_csv")
+def verify_roundtrip_csv(spark, sf):
+    """Header CSV written and read with the fixed schema. Text has no NaN
+    besides null: both sides are compared with NaN as null."""
+    trips = TR.conform_trips(K.raw_text_trips(spark, sf))
+    return SK.roundtrip_report(trips, TR.read_trips_csv(spark, K.raw_csv(spark, sf)))
+
+
 @query("write_split")
 def write_split(spark, sf):
     train, test = K.split(spark, sf)
@@ -125,6 +131,13 @@ def write_metrics(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("write_model_metrics")
+def write_model_metrics(spark, sf):
+    """Metrics of the three trained models through the sink."""
+    path = SK.write_table(FM.evaluate_all(spark, sf), scratch_path(spark, "model-metrics"))
+    return spark.read.parquet(path)
+
+
 @query("metrics_csv")
 def metrics_csv(spark, sf):
     path = SK.write_table(_rule_metrics(spark, sf), scratch_path(spark, "metrics-csv"), fmt="csv")
@@ -235,6 +248,24 @@ def invalid_vector_skip(spark, sf):
     return M.vector_columns(df, "features", TREE_FEATURES)
 
 
+@query("invalid_vector_error")
+def invalid_vector_error(spark, sf):
+    """The assembler's error mode: fails on rows with a missing value, passes on cleaned rows."""
+    def assembled(df) -> int:
+        return M.assemble_features(df, handle_invalid="error").select(F.col("features")).filter("features is not null").count()
+
+    missing = C.drop_nulls(K.raw_trips(spark, sf), ["key", "pickup_datetime", "passenger_count", "fare_amount"])
+    failed = False
+    try:
+        assembled(FE.feature_projection(missing))
+    except Exception as exc:  # noqa: BLE001 - the JVM's error; any other is raised
+        if "handleInvalid" not in str(exc):
+            raise
+        failed = True
+    n = assembled(K.features(spark, sf))
+    return spark.range(1).select(F.lit(failed).alias("failed_on_missing"), F.lit(n).cast("long").alias("n_assembled"))
+
+
 # =============================================================================
 # 2.5 Scalar functions
 # =============================================================================
@@ -247,9 +278,9 @@ def haversine(spark, sf):
 
 @query("haversine_sql")
 def q_haversine_sql(spark, sf):
-    TR.temp_view(K.raw_trips(spark, sf), "taxi_data_temp")
+    TR.temp_view(K.raw_trips(spark, sf), "trips_haversine")
     d = haversine_sql("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")
-    return K.rounded(spark.sql(f"SELECT key, {d} AS distance_km FROM taxi_data_temp"))
+    return K.rounded(spark.sql(f"SELECT key, {d} AS distance_km FROM trips_haversine"))
 
 
 @query("time_parts")
@@ -290,13 +321,10 @@ def q_passenger_valid_flag(spark, sf):
 
 @query("pct_of_total")
 def q_pct_of_total(spark, sf):
-    trips = K.raw_trips(spark, sf)
-    total = trips.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (
-        trips.groupBy("passenger_count")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("pct", pct_of_total(F.col("n"), total))
-    )
+    counts = K.raw_trips(spark, sf).groupBy("passenger_count").agg(F.count(F.lit(1)).alias("n"))
+    # the total is the sum of the few grouped counts, not another scan
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
+    return counts.withColumn("pct", pct_of_total(F.col("n"), total))
 
 
 @query("numeric_to_label")
@@ -329,6 +357,13 @@ def fare_min_max_mean_median(spark, sf):
     return P.min_max_mean_median(K.raw_trips(spark, sf), "fare_amount")
 
 
+@query("fare_quantiles_refined")
+def fare_quantiles_refined(spark, sf):
+    """Quantiles with a sketch so coarse that the search needs several rounds."""
+    q = P.quantiles(K.raw_trips(spark, sf), ["fare_amount"], [0.01, 0.5, 0.99], limit=4, accuracy=20)["fare_amount"]
+    return K.rounded(spark.range(1).select(*[F.lit(v).cast("double").alias(n) for v, n in zip(q, ("p01", "p50", "p99"))]))
+
+
 @query("fare_quartiles")
 def fare_quartiles(spark, sf):
     return P.quartiles_report(K.raw_trips(spark, sf), "fare_amount")
@@ -378,8 +413,7 @@ def fare_by_day_raw(spark, sf):
 
 @query("fare_by_year")
 def fare_by_year(spark, sf):
-    # the orders-based fares are o_totalprice / 1000: 5 decimals
-    return P.fare_by_year(K.yearly_trips(spark, sf), scale=5)
+    return P.fare_by_year(K.yearly_trips(spark, sf))
 
 
 @query("corr_with_target")
@@ -439,6 +473,21 @@ def head_n(spark, sf):
     return K.raw_trips(spark, sf).orderBy("key").limit(10_000)
 
 
+@query("head_n_1000")
+def head_n_1000(spark, sf):
+    return K.raw_trips(spark, sf).orderBy("key").limit(1000)
+
+
+@query("rank_trained_models")
+def rank_trained_models(spark, sf):
+    return E.rank_models(FM.evaluate_all(spark, sf))
+
+
+@query("best_trained_model")
+def best_trained_model(spark, sf):
+    return E.best_model(FM.evaluate_all(spark, sf))
+
+
 # =============================================================================
 # 2.8 Sampling and splitting
 # =============================================================================
@@ -449,6 +498,17 @@ def sample_to_size(spark, sf):
     return S.sample_to_size(K.raw_trips(spark, sf).select("key", "fare_amount"), 10_000)
 
 
+@query("sample_to_size_3000")
+def sample_to_size_3000(spark, sf):
+    return S.sample_to_size(K.raw_trips(spark, sf).select("key", "fare_amount"), 3_000)
+
+
+@query("train_test_split_raw")
+def train_test_split_raw(spark, sf):
+    """All trips, null keys among them: (key, fare, split, fold)."""
+    return S.fold_column(S.split_label(K.raw_trips(spark, sf).select("key", "passenger_count")), 3)
+
+
 @query("train_test_split")
 def train_test_split(spark, sf):
     return S.split_label(K.features(spark, sf).select("key"))
@@ -472,9 +532,13 @@ def compare_before_after(spark, sf):
     _, test = K.split(spark, sf)
     raw_train, _ = S.train_test_split(C.drop_nulls(K.raw_features(spark, sf)))
     clean_train, _ = K.split(spark, sf)
-    before = E.rule_metrics(raw_train, test)
-    after = E.rule_metrics(clean_train, test)
-    return E.compare_before_after(before, after, "Distance rate")
+    return E.rule_comparison(raw_train, clean_train, test, "Distance rate")
+
+
+@query("compare_tuning")
+def compare_tuning(spark, sf):
+    """Baseline forest against tuned forest on one test split, scored in one pass."""
+    return E.compare_columns(FM.tuning_predictions(spark, sf, TUNING), "baseline", "tuned")
 
 
 # =============================================================================
@@ -525,13 +589,13 @@ def fit_gbt(spark, sf):
 
 @query("cross_validate")
 def cross_validate(spark, sf):
-    return FM.tuned(spark, sf, QUICK_TUNING)[1]
+    return FM.tuned(spark, sf, TUNING)[1]
 
 
 @query("fit_with_fallback")
 def fit_with_fallback(spark, sf):
-    train, test = K.split(spark, sf)
-    model, status, err = M.fit_with_fallback(S.fold_column(train, QUICK_TUNING.num_folds), QUICK_TUNING)
+    model, _, status, err = FM.tuned(spark, sf, TUNING)
+    _, test = K.split(spark, sf)
     m = E.metrics_row(M.predict(model, test), "Random Forest")
     return m.withColumn("status", F.lit(status)).withColumn("error", F.lit(err).cast("string"))
 
@@ -554,10 +618,16 @@ def model_params(spark, sf):
     for kind, name in M.MODEL_NAMES.items():
         p = M.model_params(spark, FM.fitted(spark, sf, kind), name)
         out = p if out is None else out.unionByName(p)
-    best, _ = FM.tuned(spark, sf, QUICK_TUNING)
+    best = FM.tuned(spark, sf, TUNING)[0]
     return out.unionByName(M.model_params(spark, best, "Random Forest (tuned)"))
 
 
+@query("linear_coefficients")
+def linear_coefficients(spark, sf):
+    """Intercept and coefficients of the linear model in raw feature units."""
+    return M.linear_coefficients(spark, FM.fitted(spark, sf, "lr"))
+
+
 @query("feature_importance")
 def feature_importance(spark, sf):
     return M.feature_importance(spark, FM.fitted(spark, sf, "rf")).select("feature", "importance")
@@ -565,7 +635,7 @@ def feature_importance(spark, sf):
 
 @query("rank_importance")
 def rank_importance(spark, sf):
-    best, _ = FM.tuned(spark, sf, QUICK_TUNING)
+    best = FM.tuned(spark, sf, TUNING)[0]
     return M.feature_importance(spark, best)
 
 
@@ -617,7 +687,7 @@ def temporal_profile(spark, sf):
 
 @query("yearly_trend")
 def yearly_trend(spark, sf):
-    return P.fare_by_year(K.yearly_trips(spark, sf), scale=5)
+    return P.fare_by_year(K.yearly_trips(spark, sf))
 
 
 @query("distance_fare_sample")
@@ -643,6 +713,26 @@ def residual_report(spark, sf):
     return E.residual_report(_rule_test_preds(spark, sf))
 
 
+@query("residual_histogram")
+def residual_histogram(spark, sf):
+    return P.equal_width_histogram(E.residuals(_rule_test_preds(spark, sf)), "residual", 50)
+
+
+@query("tuned_residual_report")
+def tuned_residual_report(spark, sf):
+    return E.residual_report(FM.tuning_predictions(spark, sf, TUNING), prediction="tuned")
+
+
+@query("tuned_residual_histogram")
+def tuned_residual_histogram(spark, sf):
+    return P.equal_width_histogram(E.residuals(FM.tuning_predictions(spark, sf, TUNING), prediction="tuned"), "residual", 50)
+
+
+@query("tuned_error_by_segment")
+def tuned_error_by_segment(spark, sf):
+    return E.error_by_segment(FM.tuning_predictions(spark, sf, TUNING), prediction="tuned")
+
+
 @query("error_by_segment")
 def error_by_segment(spark, sf):
     return E.error_by_segment(_rule_test_preds(spark, sf))
@@ -661,6 +751,98 @@ def batch_score(spark, sf):
     return FM.batch_score(spark, path, K.features(spark, sf))
 
 
+# =============================================================================
+# Checked facts about the fitted models (each has a twin)
+# =============================================================================
+
+
+@query("check_predict")
+def check_predict(spark, sf):
+    return CH.coverage(FM.test_predictions(spark, sf, "rf"))
+
+
+@query("check_batch_score")
+def check_batch_score(spark, sf):
+    return CH.coverage(batch_score(spark, sf))
+
+
+@query("check_load_model")
+def check_load_model(spark, sf):
+    return CH.reload_differences(spark, sf, "gbt")
+
+
+@query("check_save_model")
+def check_save_model(spark, sf):
+    return CH.reload_differences(spark, sf, "rf").withColumn("class", F.lit(save_model(spark, sf).first()["class"]))
+
+
+@query("check_fit_linear")
+def check_fit_linear(spark, sf):
+    return CH.linear_terms(spark, sf)
+
+
+@query("check_models_beat_mean")
+def check_models_beat_mean(spark, sf):
+    return CH.beats_mean(spark, sf)
+
+
+@query("check_feature_importance")
+def check_feature_importance(spark, sf):
+    return CH.importances(spark, FM.fitted(spark, sf, "rf"))
+
+
+@query("check_rank_importance")
+def check_rank_importance(spark, sf):
+    return CH.importances(spark, FM.tuned(spark, sf, TUNING)[0])
+
+
+@query("check_importance_csv")
+def check_importance_csv(spark, sf):
+    return importance_csv(spark, sf).agg(F.count_distinct("feature").alias("n_features"), F.round(F.sum("importance"), 6).alias("total"), F.max("rank").alias("last_rank"))
+
+
+@query("check_grid")
+def check_grid(spark, sf):
+    return CH.grid(spark, sf, TUNING)
+
+
+@query("check_model_params")
+def check_model_params(spark, sf):
+    """Parameters that the profiles fix (the tuned forest's are the grid's)."""
+    return model_params(spark, sf).filter("Model != 'Random Forest (tuned)'").select("Model", "num_trees", "max_depth", "num_features")
+
+
+@query("check_rank_trained")
+def check_rank_trained(spark, sf):
+    return CH.ranking(FM.evaluate_all(spark, sf))
+
+
+@query("check_compare_tuning")
+def check_compare_tuning(spark, sf):
+    return CH.comparison(compare_tuning(spark, sf))
+
+
+@query("check_actual_vs_predicted")
+def check_actual_vs_predicted(spark, sf):
+    """The report's fares are those of the first 15 test trips by key."""
+    return K.rounded(actual_vs_predicted(spark, sf).select(F.col("`Actual_Fare_($)`").alias("fare")))
+
+
+@query("check_rename_columns")
+def check_rename_columns(spark, sf):
+    """The renamed fares are the test split's: count and sum."""
+    return rename_columns(spark, sf).agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("`Actual_Fare_($)`"), 3).alias("fares"))
+
+
+@query("check_tuned_residuals")
+def check_tuned_residuals(spark, sf):
+    """Residual report, histogram and segments of the tuned forest count every test row."""
+    report = tuned_residual_report(spark, sf).first()["n"]
+    bins = tuned_residual_histogram(spark, sf).agg(F.sum("n")).first()[0]
+    segments = {r["segment"]: r["n"] for r in tuned_error_by_segment(spark, sf).groupBy("segment").agg(F.sum("n").alias("n")).collect()}
+    return spark.range(1).select(*[F.lit(v).cast("long").alias(n) for n, v in (("report", report), ("histogram", bins), ("by_distance", segments["distance"]), ("by_hour", segments["hour"]))])
+
+
 # =============================================================================
 # Streaming form of the stateless feature plan
 # =============================================================================
@@ -673,4 +855,4 @@ def stream_features(spark, sf):
     return K.rounded(run_feature_stream(spark, sf))
 
 
-__all__ = ["REGISTRY", "QUICK_TUNING"]
+__all__ = ["REGISTRY", "TUNING"]

@@ -10,17 +10,20 @@ from ..operators.clean import clean_trips
 from ..operators.features import feature_projection
 from ..operators.split import train_test_split
 from ..schema import CODE_PROFILE, CleaningProfile
-from ..session import use_utc
 from ..sources.fixtures import fixture_trips, fixture_yearly_trips
 from ..sources.sinks import to_raw_text, write_trips
-from ..session import path_exists, scratch_path
+from ..session import content_stamp, path_exists, scratch_path, use_utc
 
 
 _TABLES: dict = {}
-# Fixed values of our own: minimum file count of a written trip table and the
-# target partition size of a model's training input.
+# Fixed value of our own: minimum file count of a written trip table.
 MIN_TABLE_PARTITIONS = 8
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def data_key(spark: SparkSession, sf_dir: str, *parts) -> tuple:
+    """Key of what is kept for a directory: new files under its path give a new key."""
+    base = sf_dir.rstrip("/")
+    return (spark.sparkContext.applicationId, base, *(content_stamp(spark, f"{base}/{t}.parquet") for t in ("events", "orders")), *parts)
 
 
 def trips_table(spark: SparkSession, sf_dir: str) -> str:
@@ -32,7 +35,7 @@ def trips_table(spark: SparkSession, sf_dir: str) -> str:
     from ``events`` inside each filter.
     """
     use_utc(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = data_key(spark, sf_dir, "parquet")
     path = _TABLES.get(key)
     if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
         path = scratch_path(spark, "trips")
@@ -51,23 +54,15 @@ def trips_table(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def stable_layout(df: DataFrame, key: str = "key", target_bytes: int = TARGET_PARTITION_BYTES) -> DataFrame:
-    """A training input whose partitioning does not depend on the machine.
+def stable_layout(df: DataFrame, partitions: int, key: str = "key") -> DataFrame:
+    """Opt-in: a training input whose partitioning depends on the keys alone.
 
-    MLlib seeds the forest's bootstrap and the CV folds per partition, and
-    Spark's read splits follow the core count (below cores x
-    maxPartitionBytes the split size is total bytes / cores). The input is
-    therefore hash-partitioned by key into ``max(8, ceil(size / target_bytes))``
-    partitions, where ``size`` is the optimizer's size estimate from the file
-    sizes, and sorted by key inside each partition (the bootstrap draws in
-    row order). This costs one shuffle of the pruned training projection,
-    which is small next to the passes the fit makes over its cached copy.
+    MLlib seeds the forest's bootstrap and the CV folds per partition, so the
+    fitted forest follows the layout. Hash-partitioning into a fixed number of
+    partitions, sorted by key, makes it the same on any machine. That is a
+    full shuffle and sort of the training rows; fits read the written table's
+    own layout unless this is asked for.
     """
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): keep the layout as read
-        return df
-    partitions = max(MIN_TABLE_PARTITIONS, -(-size // target_bytes))
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
@@ -100,9 +95,12 @@ def yearly_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_csv(spark: SparkSession, sf_dir: str) -> str:
-    """The raw trips written once as header CSV (the reference's input layout)."""
-    path = scratch_path(spark, "trips-csv")
-    write_trips(raw_trips(spark, sf_dir), path, fmt="csv")
+    """The raw trips written once per session as header CSV (the reference's input layout)."""
+    key = data_key(spark, sf_dir, "csv")
+    path = _TABLES.get(key)
+    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
+        path = write_trips(raw_trips(spark, sf_dir), scratch_path(spark, "trips-csv"), fmt="csv")
+        _TABLES[key] = path
     return path
 
 

@@ -23,23 +23,25 @@ from . import common
 _FITTED: dict = {}
 
 
-def _cache_key(spark: SparkSession, *parts):
-    return (spark.sparkContext.applicationId, *parts)
+def _once(key: tuple, make):
+    if key not in _FITTED:
+        _FITTED[key] = make()
+    return _FITTED[key]
 
 
 def fitted(spark: SparkSession, sf_dir: str, kind: str, features: Sequence[str] = TREE_FEATURES, profile: ModelProfile = ModelProfile()) -> PipelineModel:
-    key = _cache_key(spark, sf_dir, kind, tuple(features), profile)
-    if key not in _FITTED:
+    def fit() -> PipelineModel:
         train, _ = common.split(spark, sf_dir)
         # MLlib reads its input several times before it caches its own binned
         # copy (metadata, split sampling, binning); persist only the columns
         # the pipeline uses, not the whole trip row, and drop it after the fit
-        data = common.stable_layout(train.select("key", *features, TARGET)).persist(StorageLevel.MEMORY_AND_DISK)
+        data = train.select(*features, TARGET).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            _FITTED[key] = M.fit(kind, data, features, profile)
+            return M.fit(kind, data, features, profile)
         finally:
             data.unpersist()
-    return _FITTED[key]
+
+    return _once(common.data_key(spark, sf_dir, kind, tuple(features), profile), fit)
 
 
 def test_predictions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -61,32 +63,37 @@ def evaluate_all(spark: SparkSession, sf_dir: str, kinds=("lr", "rf", "gbt")) ->
 
 
 def tuned(spark: SparkSession, sf_dir: str, tuning: TuningProfile):
-    key = _cache_key(spark, sf_dir, "cv", tuning.num_trees, tuning.max_depth, tuning.num_folds, tuning.seed)
-    if key not in _FITTED:
+    """(best pipeline, grid table, status, error): one search shared by every
+    report; if it fails, the default forest stands in and the error is kept."""
+
+    def search():
         train, _ = common.split(spark, sf_dir)
-        data = fold_column(train, tuning.num_folds).select("key", *TREE_FEATURES, TARGET, "fold")
-        data = common.stable_layout(data).persist(StorageLevel.MEMORY_AND_DISK)
+        data = fold_column(train, tuning.num_folds).select(*TREE_FEATURES, TARGET, "fold").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             cv_model, table = M.cross_validate(data, tuning)
+        except Exception as exc:  # noqa: BLE001 - reported in the status columns
+            return fitted(spark, sf_dir, "rf"), [], "numTrees int, maxDepth int, avg_rmse double", "fallback", f"{type(exc).__name__}: {exc}"
         finally:
             data.unpersist()
         best = PipelineModel(stages=[M.assembler(TREE_FEATURES), cv_model.bestModel])
         # the grid table has one row per parameter combination
-        _FITTED[key] = (best, table.collect(), table.schema)
-    best, rows, schema = _FITTED[key]
-    return best, spark.createDataFrame(rows, schema)
+        return best, table.collect(), table.schema, "tuned", None
+
+    best, rows, schema, status, error = _once(common.data_key(spark, sf_dir, "cv", tuning.num_trees, tuning.max_depth, tuning.num_folds, tuning.seed), search)
+    return best, spark.createDataFrame(rows, schema), status, error
 
 
-def tuned_metrics(spark: SparkSession, sf_dir: str, tuning: TuningProfile) -> DataFrame:
-    best, _ = tuned(spark, sf_dir, tuning)
+def tuning_predictions(spark: SparkSession, sf_dir: str, tuning: TuningProfile) -> DataFrame:
+    """Test rows with the baseline forest's and the tuned forest's predictions, one pass."""
     _, test = common.split(spark, sf_dir)
-    return metrics_row(M.predict(best, test), "Random Forest")
+    models = {"baseline": fitted(spark, sf_dir, "rf"), "tuned": tuned(spark, sf_dir, tuning)[0]}
+    return M.predict_many(models, test, keep=("key", "distance_km", "hour"))
 
 
 def save_fitted(spark: SparkSession, sf_dir: str, kind: str) -> str:
-    path = scratch_path(spark, f"model-{kind}")
-    M.save_model(fitted(spark, sf_dir, kind), path)
-    return path
+    """Path of the saved model, written once per fitted model."""
+    model = fitted(spark, sf_dir, kind)
+    return _once(common.data_key(spark, sf_dir, "saved", kind), lambda: M.save_model(model, scratch_path(spark, f"model-{kind}")))
 
 
 def batch_score(spark: SparkSession, model_path: str, trips: DataFrame) -> DataFrame:

@@ -53,9 +53,10 @@ TRIP_SCHEMA = T.StructType(
 )
 
 # Text pattern of the pickup time, e.g. "2009-06-15 17:26:21 UTC".
-PICKUP_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss z"
+# Fractions of a second are read where they are given.
+PICKUP_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS] z"
 # Pattern used when writing raw CSV text (literal zone token, session zone is UTC).
-PICKUP_TIME_WRITE_FORMAT = "yyyy-MM-dd HH:mm:ss 'UTC'"
+PICKUP_TIME_WRITE_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS 'UTC'"
 
 # ---------------------------------------------------------------------------
 # Geography

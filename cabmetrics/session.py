@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,12 +43,14 @@ def use_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for written tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder created
-    and registered as checkpoint dir.
+    Without that setting a private folder is made for a local master only: on a
+    cluster the driver and the executors would see different disks.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cabmetrics-"))
         d = sc.getCheckpointDir()
     return d
@@ -59,19 +62,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of the JVM for any scheme."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system (works for any scheme)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(jpath))
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Spark Connect): try to list it
-        try:
-            spark.read.format("binaryFile").load(path).limit(1).collect()
-            return True
-        except Exception:  # noqa: BLE001
-            return False
-
-
-__all__ = ["get_session", "use_utc", "shared_dir", "scratch_path", "path_exists", "DEFAULT_CONF"]
+    """Existence check through the Hadoop file system; what goes wrong there is raised."""
+    fs, jpath = _hadoop(spark, path)
+    return bool(fs.exists(jpath))
+
+
+def content_stamp(spark: SparkSession, path: str) -> tuple:
+    """(name, bytes, modification time) of a table's files: changes when its contents do."""
+    fs, jpath = _hadoop(spark, path)
+    if not fs.exists(jpath):
+        return ()
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(jpath)))
+
+
+__all__ = ["get_session", "use_utc", "shared_dir", "scratch_path", "path_exists", "content_stamp", "DEFAULT_CONF"]

@@ -32,33 +32,27 @@ def write_trips(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     return path
 
 
-def content_fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """One row (n, fp): row count and an order-insensitive sum of per-row
-    64-bit hashes. Equal multisets give equal fingerprints; computing it is
-    one scan with map-side partial sums, no shuffle of the rows. The sum is
-    decimal so it cannot overflow under ANSI arithmetic."""
-    cols = cols or df.columns
-    h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).alias("fp"))
-
-
 def roundtrip_report(written: DataFrame, read_back: DataFrame, exact: bool = False) -> DataFrame:
     """One row: row and column counts on both sides and whether the contents
     are the same multiset of rows.
 
-    By default the contents are compared by :func:`content_fingerprint` (one
-    scan per side). ``exact=True`` adds ``rows_lost``/``rows_gained`` from
+    By default the contents are compared by row counts and an order-free sum of
+    64-bit row hashes: one aggregate over one scan of either side, no shuffle of
+    rows (the sum is decimal, so it cannot overflow). ``exact=True`` adds ``rows_lost``/``rows_gained`` from
     ``exceptAll`` both ways, which shuffles every row twice.
     """
     cols = written.columns
-    w = content_fingerprint(written, cols)
-    r = content_fingerprint(read_back.select(*cols), cols)
-    out = w.select(
-        F.col("n").alias("rows_written"),
-        r.select("n").scalar().alias("rows_read"),
+    hashed = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)").alias("h")
+    both = written.select(F.lit(1).alias("side"), hashed).union(read_back.select(F.lit(2).alias("side"), hashed))
+    zero = F.lit(0).cast("decimal(38,0)")
+    sums = {i: F.coalesce(F.sum(F.when(F.col("side") == i, F.col("h"))), zero) for i in (1, 2)}
+    counts = {i: F.count_if(F.col("side") == i) for i in (1, 2)}
+    out = both.agg(
+        counts[1].alias("rows_written"),
+        counts[2].alias("rows_read"),
         F.lit(len(cols)).alias("cols_written"),
         F.lit(len(read_back.columns)).alias("cols_read"),
-        ((F.col("fp") == r.select("fp").scalar()) & (F.col("n") == r.select("n").scalar())).alias("same_content"),
+        ((counts[1] == counts[2]) & (sums[1] == sums[2])).alias("same_content"),
     )
     if exact:
         lost = written.select(*cols).exceptAll(read_back.select(*cols)).agg(F.count(F.lit(1)).alias("n"))

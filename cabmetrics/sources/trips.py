@@ -21,11 +21,15 @@ class MissingColumnsError(ValueError):
 def conform_trips(df: DataFrame, fmt: str = PICKUP_TIME_FORMAT) -> DataFrame:
     """Cast any trip-shaped frame to ``TRIP_SCHEMA``.
 
-    Text times are parsed with ``fmt`` (bad text -> null); NaN becomes null so
+    A frame that has these types already is returned as it is: wrapped columns
+    would keep the cleaning bounds from reaching a parquet scan, and the
+    cleaning rule drops NaN by itself. Otherwise text times are parsed with ``fmt`` (bad text -> null); NaN becomes null so
     that Spark and pandas agree on what is missing.
     """
     validate_columns(df, TRIP_COLUMNS)
     types = dict(df.dtypes)
+    if all(types[f.name] == f.dataType.simpleString() for f in TRIP_SCHEMA.fields):
+        return df.select(*TRIP_COLUMNS)
     ts = F.col("pickup_datetime")
     if types["pickup_datetime"] == "string":
         ts = parse_pickup_time(ts, fmt)

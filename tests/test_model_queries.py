@@ -57,13 +57,14 @@ def test_importances(spark, q):
 
 def test_tuning_and_params(spark, q):
     grid = q["cross_validate"](spark, SF).collect()
-    assert {(r.numTrees, r.maxDepth) for r in grid} == {(10, 3), (10, 5), (20, 3), (20, 5)}
+    assert {(r.numTrees, r.maxDepth) for r in grid} == {(n, d) for n in (50, 100, 150) for d in (5, 10, 15)}
     assert all(math.isfinite(r.avg_rmse) and r.avg_rmse > 0 for r in grid)
     best = min(grid, key=lambda r: r.avg_rmse)
     params = {r.Model: r for r in q["model_params"](spark, SF).collect()}
     assert params["Random Forest"].num_trees == 50 and params["Random Forest"].max_depth == 10
     assert params["Gradient Boosted Trees"].num_trees == 20
-    assert params["Linear Regression"].intercept is not None
+    terms = {r.term: r.value for r in q["linear_coefficients"](spark, SF).collect()}
+    assert params["Linear Regression"].intercept == terms["intercept"] and terms["distance_km"] > 0
     assert (params["Random Forest (tuned)"].num_trees, params["Random Forest (tuned)"].max_depth) == (best.numTrees, best.maxDepth)
     fb = q["fit_with_fallback"](spark, SF).first()
     assert fb.status == "tuned" and fb.error is None

@@ -36,3 +36,12 @@ def test_sample_to_size(spark):
     assert 1700 < n < 2300
     assert sample_to_size(df, 50000).count() == 20000
     assert sample_to_size(df, None).count() == 20000
+
+
+def test_null_keys_have_a_side_and_a_fold(spark):
+    df = spark.createDataFrame([("a",), (None,), ("",), (None,)], "key string")
+    tr, te = train_test_split(df)
+    assert tr.count() + te.count() == 4
+    rows = fold_column(split_label(df), 3).collect()
+    assert all(r.fold is not None for r in rows)
+    assert len({(r.split, r.fold) for r in rows if not r.key}) == 1
