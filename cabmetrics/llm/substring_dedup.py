@@ -190,7 +190,7 @@ def covered_words(named: DataFrame, groups: int, window: int, minimiser: int) ->
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
-        for block in blocks(batches, "text", 6 << 20):
+        for block in blocks(batches, "text", 4 << 20):
             keys, hashes, raws = (block.column(n).to_pylist() for n in ("key", "text_hash", "text"))
             docs = [(i, words) for i in sorted(range(len(keys)), key=keys.__getitem__) if len(words := raws[i].split()) >= window]
             if not docs:
@@ -246,7 +246,23 @@ def covered_words(named: DataFrame, groups: int, window: int, minimiser: int) ->
         yield from closed()
 
     packed = named.mapInArrow(scan, "bucket long, packed binary")
-    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, "key long, text_hash long, cut long")
+    partitions = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = packed.repartitionById(partitions, F.expr(f"int(bucket % {partitions})"))  # groups are alike: deal them out evenly
+    return dealt.sortWithinPartitions("bucket").mapInArrow(count, "key long, text_hash long, cut long")
+
+
+def squeezed(named: DataFrame) -> DataFrame:
+    """The texts compressed, for their way to the cuts."""
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for block in blocks(batches, "text", 4 << 20):
+            small = pa.array(map(squeeze, block.column("text").to_pylist()), pa.binary())
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("key"), block.column("text_hash"), small], names=["doc_id", "key", "text_hash", "text"])
+
+    return named.mapInArrow(tasks, "doc_id long, key long, text_hash long, text binary")
 
 
 def remove_repeats(
@@ -264,15 +280,18 @@ def remove_repeats(
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64(text).alias("text_hash"), raw_text(text_col).alias("text"))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    groups = max(-(-total // group_bytes), 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    groups = max(-(-total // group_bytes), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     cuts = covered_words(named.drop("doc_id"), groups, window, minimiser).groupBy("key", "text_hash").agg(F.collect_list("cut").alias("cuts"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        full = zstandard.ZstdDecompressor().decompress
         schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
-        for block in blocks(batches, "text", 4 << 20):
+        for block in blocks(batches, "text", 1 << 20):
             total, removed, kept = [], [], []
             for raw, cut in zip(block.column("text").to_pylist(), block.column("cuts"), strict=True):
-                words = raw.split()
+                words = full(raw).split()
                 total.append(len(words))
                 if cut.is_valid:
                     places = cut.values.to_numpy(zero_copy_only=False)
@@ -285,5 +304,5 @@ def remove_repeats(
                 kept.append(b" ".join(words).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], schema=schema)
 
-    joined = named.join(cuts, ["key", "text_hash"], "left").select("doc_id", "text", "cuts")
+    joined = squeezed(named).join(cuts, ["key", "text_hash"], "left").select("doc_id", "text", "cuts")
     return joined.mapInArrow(keep, "doc_id long, n_words long, n_removed long, kept_text string")
