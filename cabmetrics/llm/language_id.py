@@ -204,13 +204,23 @@ def hashes_of(grams: np.ndarray) -> np.ndarray:
     return mix64(total + np.uint64(grams.shape[1]))
 
 
-def labelled_sample(spark: SparkSession, docs: DataFrame, allowed: Column, train_docs: int, calibration_docs: int) -> DataFrame:
-    """(lang, text, train) of the bounded sample, written once."""
+def labelled_sample(spark: SparkSession, docs: DataFrame, allowed: Column, train_docs: int, calibration_docs: int, max_languages: int = 1000) -> DataFrame:
+    """(lang, text, train) of the bounded sample, written once.
+
+    Of a language's documents only those with a hash so small that four times
+    the sample is expected go to the ranking, so no task ranks more than that.
+    """
+    size = train_docs + calibration_docs
     named = docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & allowed)
+    held = written(spark, named.groupBy("lang").agg(F.count(F.lit(1)).alias("held")), "languages")
+    if held.count() > max_languages:  # a model has a column for each
+        raise ValueError(f"more than {max_languages} languages")
+    share = F.xxhash64("doc_id").cast("double") / 2.0**64 + 0.5
+    named = named.join(F.broadcast(held), "lang").filter(share * F.col("held") < 4.0 * size)
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         named.withColumn("rank", F.row_number().over(by_hash))
-        .filter(F.col("rank") <= train_docs + calibration_docs)
+        .filter(F.col("rank") <= size)
         .select("doc_id", F.col("lang").alias("label"), (F.col("rank") <= train_docs).alias("train"))
     )
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(chosen, "doc_id")
