@@ -117,7 +117,7 @@ def audit(ours: list[DataFrame], theirs: list[DataFrame], range_bytes: int = 1 <
             a, b = (x.withColumn("parent", parent).join(suspects, ["segment", "parent"], "left_semi") for x in (a, b))
         a, b = a.select("segment", "node", F.col("digest").alias("a")), b.select("segment", "node", F.col("digest").alias("b"))
         differing = a.join(b, ["segment", "node"], "full_outer").filter("not (a <=> b)")
-        if level:
-            suspects = differing.select("segment", F.col("node").alias("parent"))
+        if level:  # both sides of the next level ask for them: written once
+            suspects = written(a.sparkSession, differing.select("segment", F.col("node").alias("parent")), "suspects")
     fault = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("corrupt")
     return differing.select("segment", F.col("node").alias("offset"), fault.alias("fault"))
