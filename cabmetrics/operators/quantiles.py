@@ -92,15 +92,18 @@ def exact_quantiles(
         sketches, asked = [], []
         for s, ((i, _, _), members) in enumerate(by_interval.items()):
             margin = max(2 / accuracy, 1.5 / members[0][1]["inside"])
-            fractions = []
+            fractions, leader = [], None
+            members.sort(key=lambda m: m[0])
             for r, t in members:
-                at = (r - t["before"] + 0.5) / t["inside"]
-                fractions += [max(0.0, at - margin), min(1.0, at + margin)]
+                if leader is None or r > leader + 1:  # the two ranks of one quantile share a bracket
+                    leader, at = r, (r - t["before"] + 0.5) / t["inside"]
+                    fractions += [max(0.0, at - margin), min(1.0, at + margin)]
+                t["bracket"] = len(fractions) - 2
             sketches.append(F.percentile_approx(_inside(f"x{i}", members[0][1]), fractions, accuracy).alias(f"s{s}"))
         found = base.agg(*sketches).first()
         for s, ((i, _, _), members) in enumerate(by_interval.items()):
-            for m, (r, t) in enumerate(members):
-                asked.append((i, r, t, found[f"s{s}"][2 * m], found[f"s{s}"][2 * m + 1]))
+            for r, t in members:
+                asked.append((i, r, t, *found[f"s{s}"][t["bracket"] : t["bracket"] + 2]))
         edges = {(i, v) for i, _, _, a, b in asked for v in (a, b)}
         names = {edge: e for e, edge in enumerate(sorted(edges))}
         row = base.agg(
