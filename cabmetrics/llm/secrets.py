@@ -30,7 +30,9 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -73,17 +75,27 @@ DATE = re.compile(r"(?a)(?:(\d{1,2})([-/._ ]?)(\d{1,2})\2(\d{4}|\d{2})|(\d{4})([
 YEAR = re.compile(r"(?a)(?:19|20)\d\d")
 
 
+class Words(dict):
+    """Ranks of words; knows how words begin."""
+
+    def __init__(self, ranks: dict[str, int]):
+        super().__init__(ranks)
+        self.starts = {w[:3] for w in ranks}
+
+
+@lru_cache(1 << 12)
 def _brute_bits(c: str) -> float:
     return math.log2(10 if c.isdigit() else 26 if c.isalpha() and c.isascii() else 33 if c.isascii() else 100)
 
 
-def _case_bits(word: str) -> float:
-    upper = sum(c.isupper() for c in word)
+def _case_bits(size: int, upper: int, first: bool) -> float:
+    """Bits of the capitals among ``size`` characters, of which ``upper`` are capital, the ``first`` or not."""
     if not upper:
         return 0.0
-    if upper == len(word) or (upper == 1 and word[0].isupper()):
+    if upper == size or (upper == 1 and first):
         return 1.0
-    return math.log2(sum(math.comb(len(word), k) for k in range(1, min(upper, len(word) - upper) + 1)) or 1) + 1
+    share = upper / size
+    return 1 - size * (share * math.log2(share) + (1 - share) * math.log2(1 - share))
 
 
 def _dates(value: str, at: int) -> list[tuple[int, float]]:
@@ -105,71 +117,89 @@ def _dates(value: str, at: int) -> list[tuple[int, float]]:
     return out
 
 
-def _walk_ends(value: str) -> list[tuple[int, int]]:
-    """For each place (end, turns) of the longest walk that starts there."""
+def lower_each(value: str) -> str:
+    """Lower case, character by character: places stay the same."""
+    return value.lower() if value.isascii() else "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+
+
+def _walk_ends(value: str) -> tuple[array, array]:
+    """For each place the end and the turns of the longest walk that starts there."""
     n = len(value)
-    low = value.lower()
-    step = [None] * n  # what leads from a character to the next
-    for i in range(n - 1):
+    low = lower_each(value)
+    ends, turns = array("q", range(1, n + 1)), array("q", bytes(8 * n))
+    after = None  # what leads from the next character to the one behind it
+    for i in range(n - 2, -1, -1):
         a, b = low[i], low[i + 1]
+        step = None
         if b in NEAR.get(a, ""):
-            step[i] = ("k", NEAR[a].index(b))
+            step = ("k", NEAR[a].index(b))
         elif a.isalnum() and b.isalnum() and abs(ord(b) - ord(a)) == 1:
-            step[i] = ("s", ord(b) - ord(a))
-    out = [(i + 1, 0) for i in range(n)]
-    for i in range(n - 2, -1, -1):
-        if step[i] is None:
-            continue
-        end, turns = out[i + 1]
-        out[i] = (end, turns + (end > i + 2 and step[i + 1] != step[i]))
-    return out
+            step = ("s", ord(b) - ord(a))
+        if step is not None:
+            ends[i] = ends[i + 1]
+            turns[i] = turns[i + 1] + (ends[i] > i + 2 and after != step)
+        after = step
+    return ends, turns
 
 
-def _repeat_ends(value: str) -> dict[int, list[tuple[int, int]]]:
-    """By place: (unit, end) of the repeats of a unit of up to LONGEST_UNIT characters."""
-    out: dict[int, list[tuple[int, int]]] = {}
+def _repeat_ends(value: str) -> list[tuple[int, array]]:
+    """By unit: for each place the end of the unit's repeats from there on, 0 if there are too few."""
+    out = []
     n = len(value)
     for unit in range(1, min(LONGEST_UNIT, n // 2) + 1):
-        run = 0
+        ends, run, few = array("q", bytes(8 * n)), 0, 3 if unit == 1 else 2
         for i in range(n - unit - 1, -1, -1):
             run = run + 1 if value[i] == value[i + unit] else 0
             times = 1 + run // unit
-            if times >= (3 if unit == 1 else 2):
-                out.setdefault(i, []).append((unit, i + times * unit))
+            if times >= few:
+                ends[i] = i + times * unit
+        if any(ends):
+            out.append((unit, ends))
     return out
 
 
 def guess_bits(value: str, ranks: dict[str, int]) -> float:
     """Bits of the cheapest segmentation; each segment costs one bit besides its own."""
     n = len(value)
-    low = value.lower()
+    low = lower_each(value)
     plain = "".join(LOOKALIKES.get(c, c) for c in low)
-    odd = [0]
-    for c in low:
-        odd.append(odd[-1] + (c in LOOKALIKES))
-    walks, repeats = _walk_ends(value), _repeat_ends(value)
+    odd, upper = [0], [0]
+    for c, lowered in zip(value, low, strict=True):
+        odd.append(odd[-1] + (lowered in LOOKALIKES))
+        upper.append(upper[-1] + c.isupper())
+
+    def case_bits(i: int, j: int) -> float:
+        return _case_bits(j - i, upper[j] - upper[i], value[i].isupper())
+
+    if not isinstance(ranks, Words):
+        ranks = Words(ranks)
+    (walk_ends, turns), repeats = _walk_ends(value), _repeat_ends(value)
     best = [0.0] + [math.inf] * n
     for i in range(n):
         here = best[i] + 1
         best[i + 1] = min(best[i + 1], best[i] + _brute_bits(value[i]))
-        for j in range(i + 3, min(n, i + LONGEST_WORD) + 1):
+        begins = low[i : i + 3] in ranks.starts or plain[i : i + 3] in ranks.starts
+        for j in range(i + 3, min(n, i + LONGEST_WORD) + 1) if begins else ():
             rank = ranks.get(low[i:j])
             bits = 0.0 if rank is not None else odd[j] - odd[i]
             if rank is None and bits:
                 rank = ranks.get(plain[i:j])
             if rank is not None:
-                best[j] = min(best[j], here + math.log2(rank + 1) + bits + _case_bits(value[i:j]))
+                best[j] = min(best[j], here + math.log2(rank + 1) + bits + case_bits(i, j))
         if value[i].isdigit():
             for end, bits in _dates(value, i):
                 best[end] = min(best[end], here + bits)
-        end, turns = walks[i]
+        end = walk_ends[i]
         if end - i >= 3:
-            best[end] = min(best[end], here + math.log2(47) + math.log2(end - i) + 2.5 * (turns + 1) + _case_bits(value[i:end]))
-        for unit, end in repeats.get(i, ()):
+            best[end] = min(best[end], here + math.log2(47) + math.log2(end - i) + 2.5 * (turns[i] + 1) + case_bits(i, end))
+        for unit, ends in repeats:
+            end = ends[i]
+            if not end:
+                continue
             one = sum(_brute_bits(c) for c in value[i : i + unit])
             rank = ranks.get(low[i : i + unit])
             if rank is not None:
-                one = min(one, math.log2(rank + 1) + _case_bits(value[i : i + unit]))
+                one = min(one, math.log2(rank + 1) + case_bits(i, i + unit))
             best[end] = min(best[end], here + one + math.log2((end - i) // unit))
     return best[n]
 
@@ -226,7 +256,7 @@ def find_secrets(
     text_col: str = "text",
 ) -> DataFrame:
     """One row per document: doc_id, spans (array of kind, start, end, bits)."""
-    shared = sent(spark, word_ranks(docs, dictionary_words, text_col))
+    shared = sent(spark, Words(word_ranks(docs, dictionary_words, text_col)))
     kinds = "doc_id long, spans array<struct<kind:string,start:long,end:long,bits:double>>"
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,9 @@
 """Secrets: base patterns as they are stated, guess costs, places in code points."""
 
 import hashlib
+import math
 import re
+import time
 
 import pytest
 
@@ -77,6 +79,15 @@ def test_costs():
     assert guess_bits("summermonkey2019", RANKS) < 40
 
 
+def test_very_long_values_and_odd_capitals():
+    began = time.monotonic()
+    for unit in ("12", "aS", "a", "aB3x", "qWeRtYuIoP", "19991231"):
+        assert 0 < guess_bits(unit * (100_000 // len(unit)), RANKS) < math.inf
+    assert time.monotonic() - began < 60  # in proportion to the length
+    assert guess_bits("İstanbul1\u0130x", RANKS) > 0  # lower case of more characters
+    assert guess_bits("PaSsWoRd", RANKS) > guess_bits("Password", RANKS) > guess_bits("password", RANKS)
+
+
 def test_ranks_are_those_of_the_corpus(spark):
     df = spark.createDataFrame([("The cat, the dog.",), ("the CAT x1 de",), (None,)], "text string")
     assert word_ranks(df, 10) == {"the": 1, "cat": 2, "dog": 3}
