@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cabmetrics.llm.common import read_table, written
 from cabmetrics.llm.decontaminate import contaminations
-from cabmetrics.llm.exact_dedup import deduplicate, open_index
+from cabmetrics.llm.exact_dedup import deduplicate, normalized, open_index
 from cabmetrics.llm.language_id import identify, train
 from cabmetrics.llm.near_dedup import near_duplicates
 from cabmetrics.llm.packing import pack_documents
@@ -31,9 +31,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays, the one with the largest id."""
+    """One document of each group of equal texts stays, the one with the largest id.
+
+    Decided by id and text: rows that repeat an id with other texts are
+    documents of their own; a row repeated whole is one document, and stays or
+    goes as often as it comes.
+    """
     index = open_index(spark, scratch_path(spark, "digest_index"), INDEX_BUCKETS)
-    return without(docs, deduplicate(spark, docs, index, INDEX_BUCKETS).filter(~F.col("kept")))
+    dropped = deduplicate(spark, docs, index, INDEX_BUCKETS).filter(~F.col("kept"))
+    dropped = dropped.select(F.col("doc_id").alias("dropped_id"), F.col("digest").alias("dropped_digest")).distinct()
+    digest = F.unhex(F.sha2(normalized(docs["text"]), 256))
+    same = docs["doc_id"].eqNullSafe(dropped["dropped_id"]) & (digest == dropped["dropped_digest"])
+    return docs.join(dropped, same, "left_anti")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -97,6 +97,15 @@ def test_stages(spark, table):
         assert [i for p in own for i in np.frombuffer(p["ids"], "<u4").tolist()] == [*plain.encode(t, add_special_tokens=False).ids, 2]
 
 
+def test_exact_dedup_decides_by_id_and_text(spark):
+    rows = [(1, "one text"), (5, "ONE text"), (1, "a text of its own"), (7, "one more"), (7, "one more"), (3, "One More")]
+    rows += [(None, "one text"), (None, "no id"), (9, None), (8, "")]
+    docs = spark.createDataFrame([(d, t, 1, 2) for d, t in rows], "doc_id long, text string, dropped_id int, dropped_digest int")
+    out = dict(pipeline.STAGES)["exact_dedup"](spark, docs, "")
+    assert out.columns == docs.columns
+    assert rows_of(out) == sorted([(5, "ONE text"), (1, "a text of its own"), (7, "one more"), (7, "one more"), (None, "no id"), (9, None)], key=repr)
+
+
 def test_run_equals_the_stages(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
