@@ -7,6 +7,8 @@ never costs more than the stage at hand.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,9 +42,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     index = open_index(spark, scratch_path(spark, "digest_index"), INDEX_BUCKETS)
     dropped = deduplicate(spark, docs, index, INDEX_BUCKETS).filter(~F.col("kept"))
     dropped = dropped.select(F.col("doc_id").alias("dropped_id"), F.col("digest").alias("dropped_digest")).distinct()
-    digest = F.unhex(F.sha2(normalized(docs["text"]), 256))
-    same = docs["doc_id"].eqNullSafe(dropped["dropped_id"]) & (digest == dropped["dropped_digest"])
-    return docs.join(dropped, same, "left_anti")
+    own = f"digest_{uuid.uuid4().hex}"  # a column, so that it is computed once a row
+    rows = docs.withColumn(own, F.unhex(F.sha2(normalized("text"), 256)))
+    same = rows["doc_id"].eqNullSafe(dropped["dropped_id"]) & (rows[own] == dropped["dropped_digest"])
+    return rows.join(dropped, same, "left_anti").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
