@@ -10,11 +10,12 @@ The vocabulary comes from the counts of all words of all documents: the
 ``shared`` hashed ids, within which the probability is spread evenly over the
 different words counted there.
 
-Training covers the whole corpus, in ``rounds``: each round takes one in
-``stride`` positions of every document (another one each round). A task runs
-minibatch gradient steps from the common parameters over what it reads; the
-tasks' parameters are averaged by the positions they saw, in a tree of
-reductions on the executors. The network's size is fixed.
+Training covers every position of every document, once a round, unless a
+``stride`` above 1 is asked for: then a round takes one in ``stride``
+positions (others each round). A task runs minibatch gradient steps from the
+common parameters over what it reads; the tasks' parameters are averaged by
+the positions they saw, in a tree of reductions on the executors. The
+network's size is fixed.
 
 Defined cases: words are lower-cased (A-Z) and split at ASCII white space.
 Null or blank texts have no words: score 0, mean null. Without any word in
@@ -157,6 +158,18 @@ def contexts(ids: np.ndarray, side: int, at: np.ndarray) -> np.ndarray:
     return np.stack([padded[at + p] for p in places], axis=1)
 
 
+def in_a_row(vocabulary: Vocabulary, texts: list[bytes], side: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of documents one after the other, ``side`` paddings around each, and their numbers of words."""
+    coded = [vocabulary.ids(raw) for raw in texts]
+    gap = np.zeros(side, np.int32)
+    return np.concatenate([gap, *(x for ids in coded for x in (ids, gap))]), np.array([len(x) for x in coded], np.int64)
+
+
+def around(row: np.ndarray, side: int, own: np.ndarray) -> np.ndarray:
+    """Ids around the positions ``own`` of a row that is padded at its ends."""
+    return np.stack([row[own + p] for p in range(-side, side + 1) if p], axis=1)
+
+
 def build_vocabulary(spark: SparkSession, docs: DataFrame, common: int, shared: int, text_col: str = "text") -> Vocabulary:
     """From the counts of all documents; the driver gets ``common`` words and ``shared`` numbers."""
     counts = written(spark, word_counts(docs, text_col), "word_counts")
@@ -177,13 +190,13 @@ def train(
     vocabulary: Vocabulary,
     side: int = 2,
     hidden: int = 32,
-    rounds: int = 2,
-    stride: int = 16,
+    rounds: int = 1,
+    stride: int = 1,
     batch: int = 1024,
     rate: float = 4.0,
     text_col: str = "text",
 ) -> Network:
-    """Network trained on one in ``stride`` positions of all documents, each round."""
+    """Network trained on every position of all documents each round (one in ``stride``)."""
     network = Network.fresh(vocabulary.size, side, hidden)
     texts = docs.select(raw_text(text_col).alias("text"))
     for number in range(rounds):
@@ -204,11 +217,11 @@ def train(
                 return len(target)
 
             for block in blocks(batches, "text", 2 << 20):
-                for raw in block.column("text").to_pylist():
-                    ids = vocabulary.ids(raw)
-                    at = np.arange((phase + len(ids)) % stride, len(ids), stride)
-                    if len(at):
-                        held.append((contexts(ids, network.side, at), ids[at]))
+                row, n = in_a_row(vocabulary, block.column("text").to_pylist(), network.side)
+                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                own = np.flatnonzero(row)[(place - np.repeat(n, n) - phase) % stride == 0]
+                if len(own):
+                    held.append((around(row, network.side, own), row[own]))
                 if sum(len(t) for _, t in held) >= 8 * batch:
                     seen += learn()
                     held = []
@@ -238,16 +251,12 @@ def score(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary, network:
         side = network.side
         for block in blocks(batches, "text", 2 << 20):
             # documents in a row, padded apart; a position is scored only if it holds a word
-            coded = [vocabulary.ids(raw) for raw in block.column("text").to_pylist()]
-            gap = np.zeros(side, np.int32)
-            row = np.concatenate([gap, *(x for ids in coded for x in (ids, gap))])
+            row, n = in_a_row(vocabulary, block.column("text").to_pylist(), side)
             sums = np.zeros(len(row))
             words = np.flatnonzero(row)
             for at in range(0, len(words), segment):
                 own = words[at : at + segment]
-                context = np.stack([row[own + p] for p in range(-side, side + 1) if p], axis=1)
-                sums[own] = network.log_probabilities(context, row[own]) + vocabulary.within[row[own]]
-            n = np.array([len(x) for x in coded], np.int64)
+                sums[own] = network.log_probabilities(around(row, side, own), row[own]) + vocabulary.within[row[own]]
             ends = np.cumsum(n + side)
             total = np.concatenate([[0.0], np.cumsum(sums)])
             logs = total[ends] - total[ends - n]

@@ -80,6 +80,20 @@ def test_prose_scores_above_shuffled_prose(spark):
     assert all(got[d] > got[1000 + d] + 0.5 for d in range(20))
 
 
+@pytest.mark.parametrize("n", range(1, 11))
+def test_every_position_of_short_documents_is_learned(spark, n):
+    words = [f"w{i}" for i in range(n)]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i in range(300)], "doc_id long, text string").coalesce(1)
+    vocabulary = build_vocabulary(spark, docs, common=4095, shared=512)
+    fresh, network = Network.fresh(vocabulary.size, 2, 32), train(spark, docs, vocabulary)
+    ids = np.array([vocabulary[w.encode()] for w in words])
+    bias = lambda x: x.member_bias[ids % 64, ids // 64] + x.cluster_bias[ids % 64]
+    assert (bias(network) > bias(fresh) + 0.1).all()  # each word was a target
+    mean = score(spark, docs.limit(1), vocabulary, network).first()["mean_log_likelihood"]
+    untrained = score(spark, docs.limit(1), vocabulary, fresh).first()["mean_log_likelihood"]
+    assert mean > untrained + 1
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     vocabulary = build_vocabulary(spark, docs, common=10, shared=4)
