@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cabmetrics.session import scratch_path
 
@@ -210,15 +211,16 @@ def contaminations(
     block_bytes: int = 4 << 20,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, item_id, edits, start, end) of each item's best place in a document.
+    """(doc_id, item_id, edits, start, end) of each item's best place in a document, and the columns ``carried`` along.
 
     Places count bytes of the comparable text.
     """
     if window >= PAD // 2:
         raise ValueError(f"window must be less than {PAD // 2}")
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), raw_text(text_col).alias("text"))
-    kinds = "doc_id long, item_id long, edits long, start long, end long"
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), raw_text(text_col).alias("text"), *carried)
+    kinds = StructType([*StructType.fromDDL("doc_id long, item_id long, edits long, start long, end long"), *docs.select(*carried).schema])
 
     def against(index: Index) -> DataFrame:
         shared = sent(spark, index)
@@ -231,7 +233,9 @@ def contaminations(
                 ids = block.column("doc_id").to_pylist()
                 found = find(index, [comparable(raw) for raw in block.column("text").to_pylist()])
                 if found:
-                    yield batch_of(schema, **dict(zip(names, zip(*((ids[f[0]], *f[1:]) for f in found), strict=True), strict=True)))
+                    out = batch_of(schema, **dict(zip(names, zip(*((ids[f[0]], *f[1:]) for f in found), strict=True), strict=True)))
+                    rows = pa.array([f[0] for f in found], pa.int64())
+                    yield pa.RecordBatch.from_arrays([*out.columns, *(block.column(c).take(rows) for c in carried)], names=[*names, *carried])
 
         return named.mapInArrow(tasks, kinds)
 

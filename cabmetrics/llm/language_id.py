@@ -39,6 +39,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import batch_of, blocks, mix64, raw_text, received, sent, written
 
@@ -307,9 +308,10 @@ def calibrated(model: Model, held: pd.DataFrame, slack: float) -> Model:
     return model
 
 
-def identify(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, lang_pred, score, rejected, cross_entropy, n_chars."""
+def identify(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, lang_pred, score, rejected, cross_entropy, n_chars, and the columns ``carried`` along."""
     shared = sent(spark, model)
+    further = docs.select(*carried).schema
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = received(shared)
@@ -331,6 +333,8 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "
                 score[at] = 1 / np.exp(-model.factor * (entropies - lowest[:, None])).sum(axis=1)
                 entropy[at] = lowest
                 rejected[at] = model.excess(lowest, best, scored) > model.limit
-            yield batch_of(schema, doc_id=block.column("doc_id"), lang_pred=langs, score=score, rejected=rejected, cross_entropy=entropy, n_chars=lengths)
+            out = batch_of(schema, doc_id=block.column("doc_id"), lang_pred=langs, score=score, rejected=rejected, cross_entropy=entropy, n_chars=lengths)
+            yield pa.RecordBatch.from_arrays([*out.columns, *(block.column(c) for c in carried)], names=[*schema.names, *carried])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), raw_text(text_col).alias("text")).mapInArrow(tasks, SCHEMA)
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), raw_text(text_col).alias("text"), *carried)
+    return named.mapInArrow(tasks, StructType([*StructType.fromDDL(SCHEMA), *further]))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabmetrics.llm.common import read_table, written
@@ -22,14 +22,24 @@ from cabmetrics.llm.queries import INDEX_BUCKETS, tokenizer_file
 from cabmetrics.session import scratch_path
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The documents whose id is not among ``dropped`` (doc_id)."""
-    return docs.join(dropped.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+def digested(docs: DataFrame, text: Column | None = None) -> tuple[DataFrame, str]:
+    """The documents with a digest of their (normalized) text, and the name of that column."""
+    own = f"digest_{uuid.uuid4().hex}"  # a column, so that it is computed once a row
+    return docs.withColumn(own, F.unhex(F.sha2(F.coalesce("text", F.lit("")) if text is None else text, 256))), own
+
+
+def without(rows: DataFrame, own: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose id and digest ``own`` are not among ``dropped`` (dropped_id, dropped_digest); a null id equals a null id."""
+    dropped = dropped.select("dropped_id", "dropped_digest").distinct()
+    same = rows["doc_id"].cast("long").eqNullSafe(dropped["dropped_id"]) & (rows[own] == dropped["dropped_digest"])
+    return rows.join(dropped, same, "left_anti").drop(own)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no learned language go; learned from the documents' own labels."""
-    return without(docs, identify(spark, docs, train(spark, docs)).filter("rejected"))
+    """Documents in no learned language go; learned from the documents' own labels. Decided by id and text."""
+    rows, own = digested(docs)
+    found = identify(spark, rows, train(spark, docs), carried=(own,)).filter("rejected")
+    return without(rows, own, found.withColumnsRenamed({"doc_id": "dropped_id", own: "dropped_digest"}))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,21 +51,33 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     index = open_index(spark, scratch_path(spark, "digest_index"), INDEX_BUCKETS)
     dropped = deduplicate(spark, docs, index, INDEX_BUCKETS).filter(~F.col("kept"))
-    dropped = dropped.select(F.col("doc_id").alias("dropped_id"), F.col("digest").alias("dropped_digest")).distinct()
-    own = f"digest_{uuid.uuid4().hex}"  # a column, so that it is computed once a row
-    rows = docs.withColumn(own, F.unhex(F.sha2(normalized("text"), 256)))
-    same = rows["doc_id"].eqNullSafe(dropped["dropped_id"]) & (rows[own] == dropped["dropped_digest"])
-    return rows.join(dropped, same, "left_anti").select(*docs.columns)
+    rows, own = digested(docs, normalized("text"))
+    return without(rows, own, dropped.withColumnsRenamed({"doc_id": "dropped_id", "digest": "dropped_digest"}))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates stays, the one with the smallest id."""
-    return without(docs, near_duplicates(spark, docs).filter(~F.col("kept")))
+    """One document of each component of near duplicates stays, the one with the smallest id.
+
+    Each id and text is a document of its own: they are numbered in the order
+    of their ids (then digests; null ids last), and the number is the id that
+    the components are formed with.
+    """
+    rows, own = digested(docs)
+    number = f"number_{uuid.uuid4().hex}"
+    keys = rows.select(F.col("doc_id").alias("of_id"), F.col(own).alias("of_digest")).distinct()
+    # written as it is made: numbers rise over sorted ranges, but another run may cut the ranges elsewhere
+    keys = written(spark, keys.orderBy(F.asc_nulls_last("of_id"), "of_digest").withColumn(number, F.monotonically_increasing_id()), "numbers")
+    same = rows["doc_id"].eqNullSafe(keys["of_id"]) & (rows[own] == keys["of_digest"])
+    rows = written(spark, rows.join(keys, same).select(*docs.columns, number), "numbered")
+    dropped = near_duplicates(spark, rows, id_col=number).filter(~F.col("kept")).select(F.col("doc_id").alias(number))
+    return rows.join(dropped, number, "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
-    return without(docs, contaminations(spark, docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
+    """Documents that hold a benchmark passage go. Decided by id and text."""
+    rows, own = digested(docs)
+    found = contaminations(spark, rows, read_table(spark, sf_dir, "benchmark"), carried=(own,))
+    return without(rows, own, found.withColumnsRenamed({"doc_id": "dropped_id", own: "dropped_digest"}))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

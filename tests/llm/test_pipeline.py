@@ -106,6 +106,40 @@ def test_exact_dedup_decides_by_id_and_text(spark):
     assert rows_of(out) == sorted([(5, "ONE text"), (1, "a text of its own"), (7, "one more"), (7, "one more"), (None, "no id"), (9, None)], key=repr)
 
 
+@pytest.fixture(scope="module")
+def prose(spark):
+    """Two unlike English texts, and a benchmark item."""
+    sf = "/root/testdata/sf0.001"
+    texts = spark.read.parquet(f"{sf}/documents.parquet").filter("lang = 'en' and length(text) > 800").orderBy("doc_id").limit(2).collect()
+    return [r["text"] for r in texts], spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first()["text"], sf
+
+
+def test_language_decides_by_id_and_text(spark, prose):
+    (one, two), _, sf = prose
+    learned = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    odd = [(9001, "42 - 17", None), (9001, one + " x", None), (None, "42 - 17", None), (None, two + " x", None), (9002, None, None), (9002, two + " y", None)]
+    out = dict(pipeline.STAGES)["language"](spark, learned.union(spark.createDataFrame(odd, learned.schema)), sf)
+    got = [r for r in rows_of(out) if r[0] is None or r[0] > 9000]
+    assert got == sorted([(9001, one + " x"), (None, two + " x"), (9002, two + " y")], key=repr)
+
+
+def test_near_dedup_decides_by_id_and_text(spark, prose):
+    (one, two), _, sf = prose
+    rows = [(1, one), (7, one + " end"), (7, two), (None, one + " more"), (None, "no copy of anything at all"), (8, two + " end"), (8, two + " end"), (9, None)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, number int")
+    out = dict(pipeline.STAGES)["near_dedup"](spark, docs, sf)
+    assert out.columns == docs.columns
+    assert rows_of(out) == sorted([(1, one), (7, two), (None, "no copy of anything at all"), (9, None)], key=repr)
+
+
+def test_decontamination_decides_by_id_and_text(spark, prose):
+    (one, two), leak, sf = prose
+    rows = [(1, one + " " + leak), (1, one), (None, two + " " + leak), (None, two), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = dict(pipeline.STAGES)["decontamination"](spark, docs, sf)
+    assert rows_of(out) == sorted([(1, one), (None, two), (2, None)], key=repr)
+
+
 def test_run_equals_the_stages(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
