@@ -2,9 +2,12 @@
 
 Texts and benchmark items are compared in lower case with every run of other
 characters than letters and digits as one blank, as UTF-8 bytes. An item of
-more than ``window`` bytes is cut into windows of that size, ``window / 2``
-apart, the last one at its end; a document is contaminated if it holds a
-window with at most ``floor(error_rate * length)`` edits.
+more than ``window`` bytes is cut into windows of that size, no further apart
+than the edits allowed in one, the last one at its end; a document is
+contaminated if it holds a window with at most ``floor(error_rate * length)``
+edits. So a copied stretch of ``window`` bytes is found at whatever offset of
+the item it lies: the nearest window lacks half the edits of it at most, and
+the other half may be edits of the copy.
 
 A place with k edits shares at least ``length + 1 - q * (k + 1)`` q-grams
 with the window, and they lie on at most k + 1 neighbouring diagonals. So the
@@ -16,7 +19,8 @@ exactly.
 
 Scale: the benchmark is streamed to the driver in blocks of at most
 ``block_bytes``; each block's q-gram index is broadcast (its size is bounded
-by the block) and meets all documents in one map. With several blocks each
+by the block: it holds each q-gram of an item once, with the range of the
+windows around it) and meets all documents in one map. With several blocks each
 one's matches are written before the next is built.
 
 Defined cases: null or empty texts match nothing, nor does an empty benchmark
@@ -64,11 +68,17 @@ def gram_hashes(text: np.ndarray, q: int) -> np.ndarray:
     return out
 
 
-def windows_of(item: bytes, window: int) -> list[int]:
+def windows_of(item: bytes, window: int, error_rate: float = 0.06) -> list[int]:
     """Starts of the windows of one item."""
     if len(item) <= window:
         return [0]
-    return sorted({*range(0, len(item) - window, window // 2), len(item) - window})
+    steps = window // 2, max(1, int(error_rate * window))
+    return sorted({start for step in steps for start in range(0, len(item) - window, step)} | {len(item) - window})
+
+
+def expanded(firsts: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """The ranges of so many numbers from each first one on, one after the other."""
+    return np.repeat(firsts.astype(np.int64), numbers) + np.arange(numbers.sum()) - np.repeat(np.cumsum(numbers) - numbers, numbers)
 
 
 @dataclass
@@ -81,32 +91,45 @@ class Index:
     edits: np.ndarray
     need: np.ndarray
     hashes: np.ndarray
+    #: By hash: its first occurrence below (and their end).
     starts: np.ndarray
-    owner: np.ndarray
+    #: By occurrence of a q-gram in an item: its place, the first window around it and their number.
     place: np.ndarray
+    first: np.ndarray
+    around: np.ndarray
+    #: By window: its start in the item.
+    begin: np.ndarray
     filter: np.ndarray
 
     @staticmethod
     def build(block: list[tuple[int, bytes]], q: int, window: int, error_rate: float) -> Index:
-        items, texts = [], []
+        items, texts, begin, grams, first, around = [], [], [], [], [], []
         for item, text in block:
-            for start in windows_of(text, window):
+            own = np.array(windows_of(text, window, error_rate))
+            hashed = gram_hashes(np.frombuffer(text, np.uint8), q)
+            at = np.arange(len(hashed))
+            low = np.searchsorted(own, at + q - min(window, len(text)))
+            grams.append(hashed)
+            first.append(low + len(items))
+            around.append(np.searchsorted(own, at, side="right") - low)
+            for start in own.tolist():
                 items.append(item)
                 texts.append(text[start : start + window])
+            begin.append(own)
         sizes = np.array([len(t) for t in texts])
         edits = np.floor(error_rate * sizes).astype(np.int64)
         need = np.maximum(1, sizes + 1 - q * (edits + 1))
         edits[sizes < q] = 0
-        grams = [gram_hashes(np.frombuffer(t, np.uint8), q) for t in texts]
         flat = np.concatenate(grams) if grams else np.zeros(0, np.uint32)
         order = np.argsort(flat, kind="stable")
-        owner = np.repeat(np.arange(len(texts)), [len(g) for g in grams])[order]
-        place = np.concatenate([np.arange(len(g)) for g in grams])[order] if grams else order
+        joined = lambda parts: np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32)
+        place = joined([np.arange(len(g)) for g in grams])[order]
+        first, around, begin = joined(first)[order], joined(around)[order], joined(begin)
         hashes, starts = np.unique(flat[order], return_index=True)
         bits = min(27, max(16, int(64 * len(hashes)).bit_length()))
         seen = np.zeros(1 << bits, bool)
         seen[hashes >> np.uint32(32 - bits)] = True
-        return Index(q, items, texts, edits, need, hashes, np.append(starts, len(flat)), owner, place, seen)
+        return Index(q, items, texts, edits, need, hashes, np.append(starts, len(flat)), place, first, around, begin, seen)
 
     def bands(self, text: np.ndarray) -> list[tuple[int, int]]:
         """(window, first diagonal) of the bands that share enough q-grams."""
@@ -119,14 +142,16 @@ class Index:
         true = self.hashes[gram] == hashed[at]
         at, gram = at[true], gram[true]
         number = self.starts[gram + 1] - self.starts[gram]
-        ends, keys, counts = np.cumsum(number), [], []
+        through = np.concatenate([[0], np.cumsum(self.around, dtype=np.int64)])
+        ends, keys, counts = np.cumsum(through[self.starts[gram + 1]] - through[self.starts[gram]]), [], []
         first = 0
         while first < len(at):  # about a million pairs at a time, however common a q-gram is
             last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + 1_000_000, side="right")))
-            n = number[first:last]
-            pair = np.repeat(self.starts[gram[first:last]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            owner = self.owner[pair]
-            diagonal = np.repeat(at[first:last], n) - self.place[pair] + PAD
+            seen = expanded(self.starts[gram[first:last]], number[first:last])
+            around = self.around[seen]
+            owner = expanded(self.first[seen], around)
+            place = np.repeat(self.place[seen], around) - self.begin[owner]
+            diagonal = np.repeat(np.repeat(at[first:last], number[first:last]), around) - place + PAD
             width = self.widths[owner]
             band = diagonal >> width
             into = (diagonal - (band << width)) < self.edits[owner]
@@ -149,19 +174,19 @@ class Index:
         """By window: power of two of a band's diagonals, more than its edits."""
         return np.ceil(np.log2(self.edits + 2)).astype(np.int64)
 
-    def aligned(self, text: np.ndarray, owner: int, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Fewest edits of the window near each first diagonal, and where the place ends.
+    def aligned(self, text: np.ndarray, owners: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Fewest edits of each window near its first diagonal, and where the place ends; the windows have one size.
 
         Banded alignment of all the places at once: ``row[b]`` is the cost of
         the window's first i bytes against a stretch that ends on diagonal b.
         """
-        k, wanted = int(self.edits[owner]), np.frombuffer(self.texts[owner], np.uint8)
-        wide = (1 << int(self.widths[owner])) + 3 * k + 1
+        k, wanted = int(self.edits[owners[0]]), np.frombuffer(b"".join(self.texts[o] for o in owners), np.uint8).reshape(len(owners), -1).T
+        wide = (1 << int(self.widths[owners[0]])) + 3 * k + 1
         base = firsts - k + PAD
         steps = np.arange(wide)
         row = np.zeros((len(firsts), wide), np.int32)
-        for i, byte in enumerate(wanted):
-            new = row + (text[base[:, None] + i + steps] != byte)
+        for i, bytes_ in enumerate(wanted):
+            new = row + (text[base[:, None] + i + steps] != bytes_[:, None])
             new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)
             row = np.minimum.accumulate(new - steps, axis=1) + steps
         best = row.argmin(axis=1)
@@ -182,16 +207,16 @@ def find(index: Index, texts: list[bytes]) -> list[tuple[int, int, int, int, int
         key, value = (text, index.items[owner]), (edits, start - int(starts[text]), end - int(starts[text]))
         found[key] = min(found.get(key, value), value)
 
-    by_owner: dict[int, list[int]] = {}
+    by_size: dict[int, list[tuple[int, int]]] = {}
     for owner, first in index.bands(padded[PAD : PAD + len(joined)]):
-        by_owner.setdefault(owner, []).append(first)
-    for owner, firsts in by_owner.items():
-        for at in range(0, len(firsts), 512):
-            part = np.array(firsts[at : at + 512])
-            edits, ends = index.aligned(padded, owner, part)
-            for e, end in zip(edits.tolist(), ends.tolist(), strict=True):
+        by_size.setdefault(len(index.texts[owner]), []).append((owner, first))
+    for size, places in by_size.items():
+        for at in range(0, len(places), 512):
+            owners, firsts = np.array(places[at : at + 512]).T
+            edits, ends = index.aligned(padded, owners, firsts)
+            for owner, e, end in zip(owners.tolist(), edits.tolist(), ends.tolist(), strict=True):
                 if e <= index.edits[owner]:
-                    note(owner, e, end - len(index.texts[owner]) + e, end)
+                    note(owner, e, end - size + e, end)
     for owner, text in enumerate(index.texts):
         if 0 < len(text) < index.q:
             at = joined.find(text)

@@ -76,6 +76,17 @@ def test_planted_passages(spark, planted, block):
     assert found(spark, docs, items, block_bytes=block) == brute(docs, items)
 
 
+@pytest.mark.parametrize("size", [220, 384])
+def test_stretches_at_every_offset(spark, size):
+    rng = random.Random(size)
+    prose = lambda n: " ".join("".join(rng.choice("etaoinshr") for _ in range(rng.randrange(1, 7))) for _ in range(n))
+    item = prose(150)[:size]
+    docs = [(at, prose(20) + " " + item[at : at + 160] + " " + prose(20)) for at in range(size - 160 + 1)]
+    docs += [(1000 + at, prose(20) + " " + edited(rng, item[at : at + 160], 3) + " " + prose(20)) for at in range(0, size - 160, 7)]
+    docs += [(2000 + at, prose(20) + " " + item[at : at + 110] + " " + prose(20)) for at in range(0, size - 110, 7)]
+    assert set(found(spark, docs, [(1, item)])) == {d for d, _ in docs if d < 2000}
+
+
 def test_documents(spark, sf_small):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").limit(60).collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").select("item_id", "text").limit(15).collect()]
