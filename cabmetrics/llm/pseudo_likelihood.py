@@ -7,8 +7,12 @@ sum of the logarithms of these conditional probabilities.
 
 The vocabulary comes from the counts of all words of all documents: the
 ``common`` most frequent ones have ids of their own, all others share
-``shared`` hashed ids, within which the probability is spread evenly over the
-different words counted there.
+``shared`` hashed ids. Given the counts, ``score`` tells the words of one id
+apart by their own: a word's share of what was counted there (and one more
+occurrence, left to words that were not). The counts stay a Spark table of
+all different words, however many; the rare words of the documents are joined
+with it. Without the counts the probability is spread evenly over the
+different words of an id. As context, the words of one id are the same.
 
 Training covers every position of every document, once a round, unless a
 ``stride`` above 1 is asked for: then a round takes one in ``stride``
@@ -26,9 +30,11 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -158,11 +164,13 @@ def contexts(ids: np.ndarray, side: int, at: np.ndarray) -> np.ndarray:
     return np.stack([padded[at + p] for p in places], axis=1)
 
 
-def in_a_row(vocabulary: Vocabulary, texts: list[bytes], side: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of documents one after the other, ``side`` paddings around each, and their numbers of words."""
-    coded = [vocabulary.ids(raw) for raw in texts]
-    gap = np.zeros(side, np.int32)
-    return np.concatenate([gap, *(x for ids in coded for x in (ids, gap))]), np.array([len(x) for x in coded], np.int64)
+def in_a_row(vocabulary: Vocabulary, texts: list[bytes], side: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Ids of documents one after the other, ``side`` paddings around each; their numbers of words; the words."""
+    split = [raw.lower().split() for raw in texts]
+    n, words = np.array([len(x) for x in split], np.int64), list(chain.from_iterable(split))
+    row = np.zeros(side + len(words) + side * len(n), np.int32)
+    row[side + np.arange(len(words)) + side * np.repeat(np.arange(len(n)), n)] = np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words))
+    return row, n, words
 
 
 def around(row: np.ndarray, side: int, own: np.ndarray) -> np.ndarray:
@@ -170,9 +178,25 @@ def around(row: np.ndarray, side: int, own: np.ndarray) -> np.ndarray:
     return np.stack([row[own + p] for p in range(-side, side + 1) if p], axis=1)
 
 
-def build_vocabulary(spark: SparkSession, docs: DataFrame, common: int, shared: int, text_col: str = "text") -> Vocabulary:
-    """From the counts of all documents; the driver gets ``common`` words and ``shared`` numbers."""
-    counts = written(spark, word_counts(docs, text_col), "word_counts")
+def counted(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word, n) of all words of all documents, as a written table."""
+    return written(spark, word_counts(docs, text_col), "word_counts")
+
+
+def within_shared(spark: SparkSession, counts: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame, list[float]]:
+    """(word, log) of the words without an id of their own, and by shared id the logarithm of a word not counted."""
+    slot = (F.crc32("word") % vocabulary.shared).alias("slot")
+    known = spark.createDataFrame([(bytearray(w),) for w in vocabulary], "word binary")
+    rare = counts.join(F.broadcast(known), "word", "left_anti").select("word", "n", slot)
+    totals = rare.groupBy("slot").agg((F.sum("n") + 1).alias("total"))
+    held = {r["slot"]: r["total"] for r in totals.collect()}
+    rare = rare.join(F.broadcast(totals), "slot").select("word", F.log(F.col("n") / F.col("total")).alias("log"))
+    return rare, [-math.log(held.get(i, 1)) for i in range(vocabulary.shared)]
+
+
+def build_vocabulary(spark: SparkSession, docs: DataFrame, common: int, shared: int, text_col: str = "text", counts: DataFrame | None = None) -> Vocabulary:
+    """From the counts of all documents (``counts``, if made); the driver gets ``common`` words and ``shared`` numbers."""
+    counts = counted(spark, docs, text_col) if counts is None else counts
     top = counts.orderBy(F.desc("n"), "word").limit(common)
     words = [bytes(r["word"]) for r in top.select("word").collect()]
     slots = counts.groupBy((F.crc32("word") % shared).alias("slot")).agg(F.count(F.lit(1)).alias("words")).collect()
@@ -217,7 +241,7 @@ def train(
                 return len(target)
 
             for block in blocks(batches, "text", 2 << 20):
-                row, n = in_a_row(vocabulary, block.column("text").to_pylist(), network.side)
+                row, n, _ = in_a_row(vocabulary, block.column("text").to_pylist(), network.side)
                 place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 own = np.flatnonzero(row)[(place - np.repeat(n, n) - phase) % stride == 0]
                 if len(own):
@@ -242,26 +266,55 @@ def train(
     return network
 
 
-def score(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary, network: Network, id_col: str = "doc_id", text_col: str = "text", segment: int = 1 << 15) -> DataFrame:
-    """One row per document: doc_id, n_words, log_likelihood (sum), mean_log_likelihood."""
+def score(
+    spark: SparkSession,
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    network: Network,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    segment: int = 1 << 15,
+    counts: DataFrame | None = None,
+) -> DataFrame:
+    """One row per document: doc_id, n_words, log_likelihood (sum), mean_log_likelihood.
+
+    ``counts`` (word, n) gives the words of a shared id their own probabilities.
+    """
     shared = sent(spark, (vocabulary, network))
+    even = counts is None
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, network = received(shared)
         side = network.side
         for block in blocks(batches, "text", 2 << 20):
             # documents in a row, padded apart; a position is scored only if it holds a word
-            row, n = in_a_row(vocabulary, block.column("text").to_pylist(), side)
+            row, n, split = in_a_row(vocabulary, block.column("text").to_pylist(), side)
             sums = np.zeros(len(row))
             words = np.flatnonzero(row)
             for at in range(0, len(words), segment):
                 own = words[at : at + segment]
-                sums[own] = network.log_probabilities(around(row, side, own), row[own]) + vocabulary.within[row[own]]
+                sums[own] = network.log_probabilities(around(row, side, own), row[own])
+                if even:
+                    sums[own] += vocabulary.within[row[own]]
             ends = np.cumsum(n + side)
             total = np.concatenate([[0.0], np.cumsum(sums)])
-            logs = total[ends] - total[ends - n]
-            mean = pa.array(np.where(n, logs / np.maximum(n, 1), 0), pa.float64(), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(n), pa.array(logs), mean], names=["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
+            columns = [block.column("doc_id"), pa.array(n), pa.array(total[ends] - total[ends - n])]
+            if not even:
+                rare = row[words] > vocabulary.common
+                cuts = np.concatenate([[0], np.cumsum(rare)])[np.concatenate([[0], np.cumsum(n)])]
+                columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(list(compress(split, rare)), pa.binary())))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "log_likelihood", "rare"][: len(columns)])
 
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), raw_text(text_col).alias("text"))
-    return named.mapInArrow(tasks, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
+    kinds = "doc_id long, n_words long, log_likelihood double"
+    mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("mean_log_likelihood")
+    if even:
+        return named.mapInArrow(tasks, kinds).select("*", mean)
+    scored = named.mapInArrow(tasks, f"{kinds}, rare array<binary>").withColumn("row", F.monotonically_increasing_id())
+    scored = written(spark, scored, "scored")
+    logs, unseen = within_shared(spark, counts, vocabulary)
+    words = scored.select("row", F.explode("rare").alias("word")).join(logs, "word", "left")
+    log = F.coalesce("log", F.element_at(F.lit(unseen), (F.crc32("word") % vocabulary.shared + 1).cast("int")))
+    within = words.groupBy("row").agg(F.sum(log).alias("within"))
+    total = (F.col("log_likelihood") + F.coalesce("within", F.lit(0.0))).alias("log_likelihood")
+    return scored.drop("rare").join(within, "row", "left").select("doc_id", "n_words", total).select("*", mean)

@@ -15,7 +15,7 @@ from .fixity import audit, leaves, levels_for, tree, warc_records
 from .language_id import identify, train
 from .near_dedup import near_duplicates
 from .packing import pack_documents
-from .pseudo_likelihood import build_vocabulary, score
+from .pseudo_likelihood import build_vocabulary, counted, score
 from .pseudo_likelihood import train as train_network
 from .secrets import KINDS, find_secrets
 from .substring_dedup import remove_repeats
@@ -104,8 +104,9 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    vocabulary = build_vocabulary(spark, docs, common=4095, shared=512)
-    return score(spark, docs, vocabulary, train_network(spark, docs, vocabulary))
+    counts = counted(spark, docs)
+    vocabulary = build_vocabulary(spark, docs, common=4095, shared=512, counts=counts)
+    return score(spark, docs, vocabulary, train_network(spark, docs, vocabulary), counts=counts)
 
 
 QUERIES = {

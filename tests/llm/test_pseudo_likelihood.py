@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from cabmetrics.llm.pseudo_likelihood import Network, Vocabulary, build_vocabulary, contexts, score, train
+from cabmetrics.llm.pseudo_likelihood import Network, Vocabulary, build_vocabulary, contexts, counted, score, train
 
 
 def test_probabilities_sum_to_one():
@@ -94,6 +94,28 @@ def test_every_position_of_short_documents_is_learned(spark, n):
     assert mean > untrained + 1
 
 
+def test_words_of_a_shared_id_have_their_own_probabilities(spark):
+    rows = [(1, "the odd the"), (2, "the rare the"), (2, "the rare the rare"), (None, "the rare"), (3, None), (4, "the a the a the a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = counted(spark, docs)
+    vocabulary = build_vocabulary(spark, docs, common=2, shared=1, counts=counts)
+    assert sorted(vocabulary) == [b"rare", b"the"]
+    vocabulary = build_vocabulary(spark, docs, common=1, shared=1, counts=counts)
+    network = Network.fresh(vocabulary.size, 2, 8)
+    own = {"odd": 1, "rare": 4, "a": 3, "new": 1}  # of 8 and one left for others
+    new = spark.createDataFrame([*rows, (5, "the new the")], docs.schema)
+    got = sorted(map(tuple, score(spark, new, vocabulary, network, counts=counts).collect()), key=repr)
+    want = []
+    for doc, text in [*rows, (5, "the new the")]:
+        words = (text or "").split()
+        ids = vocabulary.ids((text or "").encode())
+        logs = network.log_probabilities(contexts(ids, 2, np.arange(len(ids))), ids) if words else np.zeros(0)
+        total = float(logs.sum() + sum(np.log(own[w] / 9) for w in words if w != "the"))
+        want.append((doc, len(words), total, total / len(words) if words else None))
+    for g, w in zip(got, sorted(want, key=repr), strict=True):
+        assert g[:2] == w[:2] and g[2:] == (pytest.approx(w[2], rel=1e-5), w[3] if w[3] is None else pytest.approx(w[3], rel=1e-5))
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     vocabulary = build_vocabulary(spark, docs, common=10, shared=4)
