@@ -11,6 +11,7 @@ from .chat_format import format_chats
 from .common import read_table, written
 from .decontaminate import decontaminate
 from .exact_dedup import deduplicate, open_index
+from .fill_in_middle import fill_in_middle, restored
 from .fixity import audit, leaves, levels_for, tree, warc_records
 from .language_id import identify, train
 from .near_dedup import near_duplicates
@@ -109,6 +110,12 @@ def op10_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(spark, docs, vocabulary, train_network(spark, docs, vocabulary), counts=counts)
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(read_table(spark, sf_dir, "documents"))
+    texts = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *texts)
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_substring_dedup": op2_substring_dedup,
@@ -120,6 +127,7 @@ QUERIES = {
     "op8_fixity": op8_fixity,
     "op9_language": op9_language,
     "op10_pseudo_likelihood": op10_pseudo_likelihood,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -152,4 +160,26 @@ line AS (
 SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY block) - 1 AS part, count(*) AS part_turns,
        any_value(n_turns) AS n_turns, any_value(copies) AS copies, string_agg(line, '' ORDER BY place) AS rendered
 FROM line GROUP BY conv_id, block""",
+    "op13_fill_in_middle": """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+h AS (
+  SELECT doc_id, text, units, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h),
+p AS (
+  SELECT doc_id, n, form, text, coalesce(array_to_string(units[1:low], ''), '') AS pre,
+         coalesce(array_to_string(units[low + 1:high], ''), '') AS mid, coalesce(array_to_string(units[high + 1:n], ''), '') AS suf
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p""",
 }
