@@ -14,6 +14,7 @@ from .exact_dedup import deduplicate, open_index
 from .fill_in_middle import fill_in_middle, restored
 from .fixity import audit, leaves, levels_for, tree, warc_records
 from .language_id import identify, train
+from .merkle_manifest import field_digest, folded, hex_text, manifest, siblings_digest
 from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .pseudo_likelihood import build_vocabulary, counted, score
@@ -110,6 +111,16 @@ def op10_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(spark, docs, vocabulary, train_network(spark, docs, vocabulary), counts=counts)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's proof, checked against the root; n_chars is one too many where 7 divides the id's checksum."""
+    docs = read_table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    now = F.when(tampered & F.col("n_chars").isNotNull(), field_digest(docs["doc_id"], docs["source"], docs["lang"], docs["n_chars"] + 1, docs["text"]))
+    found = manifest(spark, docs, carried={"now": now}).withColumn("folded_root", folded(F.coalesce("now", "leaf"), F.col("path")))
+    hexes = [hex_text(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")]
+    return found.select("doc_id", *hexes, siblings_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == hex_text(F.col("root"))).alias("verified"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fill_in_middle(read_table(spark, sf_dir, "documents"))
     texts = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
@@ -127,11 +138,20 @@ QUERIES = {
     "op8_fixity": op8_fixity,
     "op9_language": op9_language,
     "op10_pseudo_likelihood": op10_pseudo_likelihood,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: A field as the manifest hashes it.
+_FIELD = "coalesce(CAST(strlen({0}) AS VARCHAR) || ':' || {0}, '-')"
+#: CRC-32 of an ASCII text: its bytes, then eight shifts each.
+_CRC32 = (
+    "xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda s: CAST(ascii(s) AS BIGINT))), "
+    "lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"
+)
+
 ORACLE_SQL = {
     "op6_exact_dedup": f"""
 WITH d AS (SELECT doc_id, {_LOWER} AS norm FROM documents),
@@ -160,6 +180,43 @@ line AS (
 SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY block) - 1 AS part, count(*) AS part_turns,
        any_value(n_turns) AS n_turns, any_value(copies) AS copies, string_agg(line, '' ORDER BY place) AS rendered
 FROM line GROUP BY conv_id, block""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE d AS (
+  SELECT *, {_FIELD.format("CAST(doc_id AS VARCHAR)")} || {_FIELD.format("source")} || {_FIELD.format("lang")} AS head, {_FIELD.format("text")} AS tail FROM documents),
+leaf AS (
+  SELECT doc_id, lang, sha256(head || {_FIELD.format("CAST(n_chars AS VARCHAR)")} || tail) AS leaf, n_chars IS NULL AS unknown, {_CRC32.format("CAST(doc_id AS VARCHAR)")} AS crc,
+         sha256(head || {_FIELD.format("CAST(n_chars + 1 AS VARCHAR)")} || tail) AS other
+  FROM d),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS total FROM leaf),
+node AS (
+  SELECT lang, 0 AS level, place, total AS held, leaf AS digest FROM placed
+  UNION ALL
+  SELECT lang, level + 1, place // 2, (any_value(held) + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+  FROM node WHERE held > 1 GROUP BY lang, level, place // 2),
+sub AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS total FROM node WHERE held = 1),
+top AS (
+  SELECT 0 AS level, place, total AS held, subroot AS digest FROM sub
+  UNION ALL
+  SELECT level + 1, place // 2, (any_value(held) + 1) // 2, sha256(string_agg(digest, '' ORDER BY place)) FROM top WHERE held > 1 GROUP BY level, place // 2),
+up AS (
+  SELECT doc_id, lang, leaf, place, place AS at, 0 AS level, total AS held, '' AS proof,
+         CASE WHEN unknown OR doc_id IS NULL OR crc % 7 <> 0 THEN leaf ELSE other END AS reached
+  FROM placed
+  UNION ALL
+  SELECT up.doc_id, up.lang, up.leaf, up.place, up.at // 2, up.level + 1, (up.held + 1) // 2, proof || coalesce(s.digest, ''),
+         sha256(CASE WHEN up.at % 2 = 1 THEN coalesce(s.digest, '') || reached ELSE reached || coalesce(s.digest, '') END)
+  FROM up LEFT JOIN node s ON s.lang IS NOT DISTINCT FROM up.lang AND s.level = up.level AND s.place = xor(up.at, 1)
+  WHERE up.held > 1),
+over AS (
+  SELECT up.doc_id, up.lang, up.leaf, up.place, sub.subroot, sub.place AS at, 0 AS level, sub.total AS held, proof, reached
+  FROM up JOIN sub ON sub.lang IS NOT DISTINCT FROM up.lang WHERE up.held = 1
+  UNION ALL
+  SELECT o.doc_id, o.lang, o.leaf, o.place, o.subroot, o.at // 2, o.level + 1, (o.held + 1) // 2, proof || coalesce(s.digest, ''),
+         sha256(CASE WHEN o.at % 2 = 1 THEN coalesce(s.digest, '') || reached ELSE reached || coalesce(s.digest, '') END)
+  FROM over o LEFT JOIN top s ON s.level = o.level AND s.place = xor(o.at, 1) WHERE o.held > 1)
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, reached AS folded_root, reached = digest AS verified
+FROM over, top WHERE over.held = 1 AND top.held = 1""",
     "op13_fill_in_middle": """
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
