@@ -32,6 +32,20 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def looked_up(rows: DataFrame, table: DataFrame, key: str, total: int, share: int = 1000) -> DataFrame:
+    """The rows with the columns of ``table``, which has one row for each key and the number of its rows, ``held``.
+
+    Keys that hold more than one in ``share`` of the ``total`` rows are fewer
+    than ``share``: these are broadcast, so that no task gets all rows of one.
+    ``rows`` are read twice.
+    """
+    hot = F.broadcast(table.filter(F.col("held") * share > total))
+    others = rows.join(hot.select(key), key, "left_anti").join(table.filter(F.col("held") * share <= total), key)
+    return rows.join(hot, key).select(*rows.columns, *(c for c in table.columns if c not in (key, "held"))).unionByName(
+        others.select(*rows.columns, *(c for c in table.columns if c not in (key, "held")))
+    )
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, every other character unchanged."""
     return F.translate(text, _UPPER, _UPPER.lower())

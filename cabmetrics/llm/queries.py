@@ -20,6 +20,7 @@ from .packing import pack_documents
 from .pseudo_likelihood import build_vocabulary, counted, score
 from .pseudo_likelihood import train as train_network
 from .secrets import KINDS, find_secrets
+from .simhash import simhash_duplicates
 from .substring_dedup import remove_repeats
 
 #: Buckets of a digest index made for one run; a lasting index sets its own.
@@ -121,6 +122,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *hexes, siblings_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == hex_text(F.col("root"))).alias("verified"))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_duplicates(spark, read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fill_in_middle(read_table(spark, sf_dir, "documents"))
     texts = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
@@ -139,6 +145,7 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_pseudo_likelihood": op10_pseudo_likelihood,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_simhash": op12_simhash,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
