@@ -178,41 +178,37 @@ def proofs(spark: SparkSession, leaves: DataFrame, largest: int, upper=None) ->
     of the tree above; without it the root of each tree is the root.
     """
     nodes, tops = tree_nodes(spark, leaves, largest)
-    beyond = F.array().cast("array<binary>")
-    above = tops.select("tree", F.col("digest").alias("subroot"), F.col("digest").alias("root"), beyond.alias("path")) if upper is None else upper(tops.select("tree", "digest"))
+    none = F.array().cast("array<binary>")
+    above = tops.select("tree", F.col("digest").alias("subroot"), F.col("digest").alias("root"), none.alias("path")) if upper is None else upper(tops.select("tree", "digest"))
     above = written(spark, above.select("tree", "subroot", "root", F.col("path").alias("beyond")), "above")
     nodes = nodes.withColumn("height", height(F.col("total"))).withColumn("path", F.array("entry"))
+    columns = ["tree", "height", "level", "place", "path", "subroot", "root", "payload"]
     highest = nodes.filter("level = height - 1").join(above, "tree").withColumn("path", F.concat("path", "beyond"))
-    lower = nodes.filter("level < height - 1").withColumns({"subroot": F.lit(None).cast("binary"), "root": F.lit(None).cast("binary")})
-    columns = ["tree", "height", "level", "place", "path", "subroot", "root"]
-    state = highest.select(*columns, "payload").unionByName(lower.select(*columns, "payload"))
-    alone = tops.filter("level = 0").join(above, "tree").select("tree", "payload", "subroot", "root", F.col("beyond").alias("path"))
-
-    inner = written(spark, state.filter("level > 0").select(*columns), "pointers")
-    found = state.filter("level = 0")
+    highest = written(spark, highest.select(*columns), "highest")  # two nodes a tree at most
+    lower = nodes.filter("level < height - 1").withColumns({"subroot": F.lit(None).cast("binary"), "root": F.lit(None).cast("binary")}).select(*columns)
+    inner = written(spark, lower.union(highest).filter("level > 0").drop("payload"), "pointers")
+    found = lower.union(highest).filter("level = 0")
     distance, levels = 1, max(largest - 1, 0).bit_length()
     while distance < levels:
         target = inner.filter(F.col("level") % (2 * distance) == distance)
-        inner = jumped(inner.filter(F.col("level") % (2 * distance) == 0), target, distance)
         found = jumped(found, target.filter(F.col("level") == distance), distance)
+        inner = jumped(inner.filter(F.col("level") % (2 * distance) == 0), target, distance)
         distance *= 2
         if distance < levels:
             inner = written(spark, inner, "pointers")
-    return found.select("tree", "payload", "subroot", "root", "path").unionByName(alone)
+    alone = tops.filter("level = 0").join(above, "tree").select("tree", "payload", "subroot", "root", F.col("beyond").alias("path"))
+    return found.select("tree", "payload", "subroot", "root", "path").union(alone)
 
 
 def jumped(rows: DataFrame, target: DataFrame, distance: int) -> DataFrame:
-    """Nodes whose pointer lies ``distance`` above, with their ancestor's segment and pointer taken over.
-
-    A row that points to the root already (its distance exceeds its tree) stays.
-    """
+    """Nodes with the segment and pointer of their ancestor ``distance`` above taken over; nodes that point to the root have none and stay."""
     target = target.select(*(F.col(c).alias(f"to_{c}") for c in ("tree", "level", "place", "path", "subroot", "root")))
     if target.limit(FEW_NODES + 1).count() <= FEW_NODES:
         target = F.broadcast(target)
-    arrived, going = rows.filter(F.col("level") + distance >= F.col("height")), rows.filter(F.col("level") + distance < F.col("height"))
     same = (F.col("tree") == F.col("to_tree")) & (F.col("level") + distance == F.col("to_level")) & (F.shiftright("place", distance) == F.col("to_place"))
-    going = going.join(target, same).withColumn("path", F.concat("path", "to_path")).withColumns({"subroot": F.col("to_subroot"), "root": F.col("to_root")})
-    return arrived.unionByName(going.select(*rows.columns))
+    longer = F.when(F.col("to_path").isNull(), F.col("path")).otherwise(F.concat("path", "to_path"))
+    taken = {"path": longer, "subroot": F.coalesce("to_subroot", "subroot"), "root": F.coalesce("to_root", "root")}
+    return rows.join(target, same, "left").withColumns(taken).select(*rows.columns)
 
 
 def folded(leaf: Column, path: Column) -> Column:
