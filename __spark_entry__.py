@@ -207,6 +207,44 @@ rawclean AS (SELECT * FROM rawfeat WHERE {_NOT_NULL} AND distance_km IS NOT NULL
 rawtrain AS (SELECT * FROM rawclean WHERE {_BUCKET} < 80)"""
 
 
+# A stream of two deliveries: what reaches the windows, and which of them are closed.
+_STREAM = f""",
+delivered AS (
+  SELECT *, coalesce(pickup_datetime < (SELECT min(pickup_datetime) FROM trips) + INTERVAL 450 DAY, true) AS early,
+         coalesce(TRY_CAST(key AS BIGINT) % 41 = 5, false) AS held_back, coalesce(TRY_CAST(key AS BIGINT) % 50 = 7, false) AS again
+  FROM trips),
+arrived AS (
+  SELECT *, 1 AS run FROM delivered WHERE early AND NOT held_back
+  UNION ALL SELECT *, 2 FROM delivered WHERE NOT early OR held_back OR again),
+sound AS (SELECT * FROM arrived WHERE {_NOT_NULL} AND {_FARE_OK} AND {_PASS_OK} AND {_BBOX}),
+marks AS (
+  SELECT date_trunc('millisecond', max(pickup_datetime) FILTER (WHERE run = 1)) - INTERVAL 30 DAY AS first_mark,
+         date_trunc('millisecond', max(pickup_datetime)) - INTERVAL 30 DAY AS last_mark FROM sound),
+intime AS (SELECT sound.* FROM sound, marks WHERE run = 1 OR pickup_datetime > first_mark),
+once AS (SELECT * FROM intime QUALIFY row_number() OVER (PARTITION BY key ORDER BY run) = 1)"""
+
+
+_BAND = """CASE WHEN distance_km >= 0 AND distance_km < 5 THEN '0-5 km' WHEN distance_km >= 5 AND distance_km < 20 THEN '5-20 km'
+  WHEN distance_km >= 20 AND distance_km < 30 THEN '20-30 km' WHEN distance_km >= 30 THEN '30+ km' END"""
+
+
+def _quantiles(col: str, probs) -> str:
+    return ", ".join(f"round(quantile_cont({col}, {p}), 6) AS p{p * 100:g}" for p in probs)
+
+
+# Intervals of the rule baseline: fitted on folds 0-2 of the training side, widths from fold 3.
+_INTERVALS = f""",
+folded AS (SELECT *, CAST(('0x' || substr(md5(coalesce(key, '')), 9, 8)) AS BIGINT) % 4 AS fold, {_BAND} AS band FROM train),
+line AS (SELECT regr_slope(fare_amount, distance_km) AS slope, regr_intercept(fare_amount, distance_km) AS intercept FROM folded WHERE fold < 3),
+sizes AS (SELECT band, abs(fare_amount - (intercept + slope * distance_km)) AS size FROM folded, line WHERE fold = 3),
+ranked AS (SELECT band, size, row_number() OVER (PARTITION BY band ORDER BY size) AS place, count(*) OVER (PARTITION BY band) AS n FROM sizes),
+widths AS (SELECT band, any_value(n) AS n, max(size) FILTER (WHERE place = CAST(ceil((n + 1) * 0.9e0 - 1e-9) AS BIGINT)) AS half_width FROM ranked GROUP BY band),
+guess AS (SELECT key, fare_amount AS label, {_BAND} AS band, intercept + slope * distance_km AS prediction FROM test, line),
+ends AS (
+  SELECT guess.*, n, half_width, CASE WHEN half_width IS NOT NULL THEN greatest(0e0, prediction - half_width) END AS low, prediction + half_width AS high
+  FROM guess LEFT JOIN widths ON widths.band IS NOT DISTINCT FROM guess.band)"""
+
+
 def _hist(src: str, col: str, bins: int) -> str:
     w = f"((he.hi - he.lo) / {bins})"
     b0 = f"least(CAST(floor({bins}e0 * (x - he.lo) / (he.hi - he.lo)) AS BIGINT) + 1, {bins})"
@@ -456,6 +494,35 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
     )
     complete = " AND ".join(f"{c} IS NOT NULL" + (f" AND NOT isnan({c})" if c != "passenger_count" else "") for c in _NUMERIC)
     return {
+        # quantiles of groups, intervals
+        "fare_quantiles_by_hour": _q(
+            f"SELECT hour, count(*) AS n, {_quantiles('fare_amount', (0.05, 0.25, 0.5, 0.75, 0.95))} FROM feat GROUP BY hour"
+        ),
+        "error_quantiles_by_band": _q(
+            f"SELECT band, count(*) AS n, {_quantiles('size', (0.5, 0.9, 0.99))} FROM "
+            f"(SELECT {_BAND} AS band, abs(label - p_dist) AS size FROM preds_train) GROUP BY band",
+            _rule_preds(),
+        ),
+        "prediction_intervals": _q(
+            "SELECT band, coalesce(any_value(n), 0) AS n_calibration, round(any_value(half_width), 6) AS half_width, count(*) AS n_test, "
+            "count(*) FILTER (WHERE label BETWEEN low AND high) AS n_covered, round(count(*) FILTER (WHERE label BETWEEN low AND high) / count(*), 6) AS coverage "
+            "FROM ends GROUP BY band",
+            _INTERVALS,
+        ),
+        "fare_intervals": _rnd("SELECT key, band, prediction, low, high FROM ends", ["prediction", "low", "high"], _INTERVALS),
+        # 2.13 streaming with state
+        "stream_fare_by_hour": _q(
+            "SELECT window_start, count(*) AS trip_count, round(sum(fare_amount), 2) AS total_fare, round(avg(fare_amount), 6) AS avg_fare "
+            "FROM (SELECT date_trunc('hour', pickup_datetime) AS window_start, fare_amount FROM once), marks "
+            "WHERE window_start + INTERVAL 1 HOUR <= last_mark GROUP BY window_start",
+            _STREAM,
+        ),
+        "stream_late_rows": _q(
+            "SELECT a.run, a.n_rows, a.n_late, b.n_sound - a.n_late - c.n_once AS n_repeated FROM "
+            "(SELECT run, count(*) AS n_rows, 0 + (SELECT count(*) FROM sound, marks WHERE sound.run = 2 AND arrived.run = 2 AND pickup_datetime <= first_mark) AS n_late FROM arrived GROUP BY run) a "
+            "JOIN (SELECT run, count(*) AS n_sound FROM sound GROUP BY run) b USING (run) JOIN (SELECT run, count(*) AS n_once FROM once GROUP BY run) c USING (run)",
+            _STREAM,
+        ),
         # 2.1 / 2.2 scans and sinks
         "scan_trips_schema": _q(_NO_NAN),
         "scan_trips_inferred": _q(_NO_NAN),

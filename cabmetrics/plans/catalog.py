@@ -18,6 +18,7 @@ from ..functions.timeparts import day_name, parse_pickup_time, weekday_monday0
 from ..operators import clean as C
 from ..operators import evaluate as E
 from ..operators import features as FE
+from ..operators import grouped_quantiles as GQ
 from ..operators import models as M
 from ..operators import profile as P
 from ..operators import split as S
@@ -738,6 +739,47 @@ def error_by_segment(spark, sf):
     return E.error_by_segment(_rule_test_preds(spark, sf))
 
 
+@query("fare_quantiles_by_hour")
+def fare_quantiles_by_hour(spark, sf):
+    """Exact quartiles and tail quantiles of the cleaned fares of every hour."""
+    return GQ.grouped_quantiles(K.features(spark, sf), ["hour"], "fare_amount", (0.05, 0.25, 0.5, 0.75, 0.95))
+
+
+@query("error_quantiles_by_band")
+def error_quantiles_by_band(spark, sf):
+    """Exact quantiles of the absolute error within each distance band (rule baseline)."""
+    preds = _rule_test_preds(spark, sf).withColumn("band", E.distance_band()).withColumn("size", F.abs(F.col("label") - F.col("prediction")))
+    return GQ.grouped_quantiles(preds, ["band"], "size", (0.5, 0.9, 0.99))
+
+
+# Share of new trips whose fare an interval is to hold, and the folds of the
+# training side: the baseline is fitted on the first ones, the last one gives the widths.
+COVERAGE, FOLDS = 0.9, 4
+
+
+def _interval_parts(spark, sf):
+    train, test = K.split(spark, sf)
+    folds = S.fold_column(train, FOLDS)
+    fit = E.rule_fit(folds.filter(F.col("fold") < FOLDS - 1))
+    line = [c.alias("prediction") for c in E.rule_columns(fit)[2:]]
+    parts = [df.select("key", F.col("fare_amount").alias("label"), E.distance_band().alias("band"), *line) for df in (folds.filter(F.col("fold") == FOLDS - 1), test)]
+    return GQ.conformal_widths(parts[0], ["band"], coverage=COVERAGE), parts[1]
+
+
+@query("prediction_intervals")
+def prediction_intervals(spark, sf):
+    """Split-conformal 90 % intervals per distance band, and their coverage of the held-out trips."""
+    widths, test = _interval_parts(spark, sf)
+    return GQ.interval_report(test, widths, ["band"])
+
+
+@query("fare_intervals")
+def fare_intervals(spark, sf):
+    """Every held-out trip's predicted fare with its interval."""
+    widths, test = _interval_parts(spark, sf)
+    return K.rounded(GQ.with_intervals(test, widths, ["band"]).select("key", "band", "prediction", "low", "high"))
+
+
 @query("importance_csv")
 def importance_csv(spark, sf):
     imp = M.feature_importance(spark, FM.fitted(spark, sf, "rf"))
@@ -855,4 +897,29 @@ def stream_features(spark, sf):
     return K.rounded(run_feature_stream(spark, sf))
 
 
+_STREAMS: dict = {}
+
+
+def _window_stream(spark, sf):
+    from ..streaming.hourly import two_deliveries
+
+    key = K.data_key(spark, sf, "windows")
+    if key not in _STREAMS:
+        _STREAMS[key] = two_deliveries(spark, K.raw_trips(spark, sf))
+    return _STREAMS[key]
+
+
+@query("stream_fare_by_hour")
+def stream_fare_by_hour(spark, sf):
+    """Hourly fares from a stream that was stopped and restarted between two deliveries."""
+    return _window_stream(spark, sf).windows()
+
+
+@query("stream_late_rows")
+def stream_late_rows(spark, sf):
+    """What each run of that stream did with its delivery."""
+    rows = [(i, r.rows_in, r.late, r.repeated) for i, r in enumerate(_window_stream(spark, sf).runs, 1)]
+    return spark.createDataFrame(rows, "run int, n_rows long, n_late long, n_repeated long")
+
+
 __all__ = ["REGISTRY", "TUNING"]
