@@ -13,6 +13,7 @@ training queries (MLlib) have no SQL twin and get the rows-only check.
 from __future__ import annotations
 
 import importlib.util
+import math
 import os
 import sys
 from collections.abc import Callable
@@ -245,6 +246,41 @@ ends AS (
   FROM guess LEFT JOIN widths ON widths.band IS NOT DISTINCT FROM guess.band)"""
 
 
+_LEVELS = 12
+
+
+def _bits(v: str, up: int) -> str:
+    return " + ".join(f"((({v} >> {b}) & 1) << {2 * b + up})" for b in range(_LEVELS))
+
+
+def _unbits(v: str, up: int) -> str:
+    return "(" + " + ".join(f"((({v} >> {2 * b + up}) & 1) << {b})" for b in range(_LEVELS)) + ")"
+
+
+_QUADTREE = f""",
+spots AS (SELECT least(CAST(floor((pickup_longitude - (-74.3e0)) / (-72.9e0 - (-74.3e0)) * 4096) AS BIGINT), 4095) AS x,
+                 least(CAST(floor((pickup_latitude - 40.5e0) / (41e0 - 40.5e0) * 4096) AS BIGINT), 4095) AS y
+          FROM trips WHERE {_BOX['pickup']} AND NOT isnan(pickup_longitude) AND NOT isnan(pickup_latitude)),
+fine AS (SELECT {_bits('x', 0)} + {_bits('y', 1)} AS z FROM spots),
+cells AS (SELECT CAST(level AS INTEGER) AS level, z >> (2 * ({_LEVELS} - CAST(level AS INTEGER))) AS cell, count(*) AS n FROM fine, range({_LEVELS} + 1) r(level) GROUP BY ALL),
+leaves AS (
+  SELECT c.* FROM cells c WHERE (c.n <= 50 OR c.level = {_LEVELS})
+  AND (c.level = 0 OR EXISTS (SELECT 1 FROM cells p WHERE p.level = c.level - 1 AND p.cell = c.cell >> 2 AND p.n > 50)))"""
+
+# Six-sided zones around the heavy pickup cells; a point lies in one if no side has it on the right.
+_CORNERS = [(f"(x + 0.5e0) * 0.01e0 + {math.cos(math.pi * k / 3 + 0.3) * 0.01317!r}", f"(y + 0.5e0) * 0.01e0 + {math.sin(math.pi * k / 3 + 0.3) * 0.01317!r}") for k in range(6)]
+_INSIDE = " AND ".join(
+    f"(({x2}) - ({x1})) * (pickup_latitude - ({y1})) - (({y2}) - ({y1})) * (pickup_longitude - ({x1})) > 0"
+    for (x1, y1), (x2, y2) in zip(_CORNERS, _CORNERS[1:] + _CORNERS[:1], strict=True)
+)
+
+
+def _heavy(src: str) -> str:
+    return f""",
+celled AS (SELECT *, CAST(floor(pickup_longitude / 0.01e0) AS BIGINT) AS px, CAST(floor(pickup_latitude / 0.01e0) AS BIGINT) AS py FROM {src}),
+heavy AS (SELECT px AS x, py AS y FROM celled GROUP BY px, py HAVING count(*) >= 0.0025e0 * (SELECT count(*) FROM celled))"""
+
+
 def _hist(src: str, col: str, bins: int) -> str:
     w = f"((he.hi - he.lo) / {bins})"
     b0 = f"least(CAST(floor({bins}e0 * (x - he.lo) / (he.hi - he.lo)) AS BIGINT) + 1, {bins})"
@@ -494,6 +530,28 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
     )
     complete = " AND ".join(f"{c} IS NOT NULL" + (f" AND NOT isnan({c})" if c != "passenger_count" else "") for c in _NUMERIC)
     return {
+        # zones, adaptive cells, stored sketches
+        "pickup_quadtree": _q(
+            f"SELECT level, cell, n, round(-74.3e0 + {_unbits('cell', 0)} * (1e0 / (1 << level)) * (-72.9e0 - (-74.3e0)), 9) AS west, "
+            f"round(40.5e0 + {_unbits('cell', 1)} * (1e0 / (1 << level)) * (41e0 - 40.5e0), 9) AS south, "
+            f"round(-74.3e0 + ({_unbits('cell', 0)} + 1) * (1e0 / (1 << level)) * (-72.9e0 - (-74.3e0)), 9) AS east, "
+            f"round(40.5e0 + ({_unbits('cell', 1)} + 1) * (1e0 / (1 << level)) * (41e0 - 40.5e0), 9) AS north FROM leaves",
+            _QUADTREE,
+        ),
+        "trips_by_zone": _q(
+            f"SELECT concat_ws('_', x, y) AS zone, count(*) AS trip_count, round(avg(fare_amount), 6) AS avg_fare FROM clean, heavy WHERE {_INSIDE} GROUP BY x, y",
+            _heavy("clean"),
+        ),
+        "error_by_zone": _q(
+            "SELECT h.x AS cell_x, h.y AS cell_y, count(*) AS n, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae, round(avg(e), 6) AS bias FROM "
+            "(SELECT *, fare_amount - (intercept + slope * distance_km) AS e FROM celled, st_train) c LEFT JOIN heavy h ON px = h.x AND py = h.y GROUP BY h.x, h.y",
+            _rule_preds() + _heavy("test"),
+        ),
+        "check_sketch_quantiles": _q(
+            "SELECT part, p::DOUBLE AS p, true AS all_rows, n, true AS within_bound FROM "
+            "(SELECT strftime(pickup_datetime, '%Y-%m') AS part, count(*) AS n FROM clean GROUP BY 1 UNION ALL SELECT 'all', count(*) FROM clean), "
+            "(VALUES (0.05), (0.25), (0.5), (0.75), (0.95)) v(p)"
+        ),
         # quantiles of groups, intervals
         "fare_quantiles_by_hour": _q(
             f"SELECT hour, count(*) AS n, {_quantiles('fare_amount', (0.05, 0.25, 0.5, 0.75, 0.95))} FROM feat GROUP BY hour"

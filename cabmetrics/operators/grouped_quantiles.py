@@ -58,7 +58,7 @@ def order_statistics(df: DataFrame, groups: Sequence[str], value: str, ranks: di
     # the sketch is read at fixed fractions only: a rank's bracket is the steps around it, and the sketch's error (about half of ``margin``)
     margin = math.ceil(4 / k**0.9 * GRID)
     grid = F.kll_sketch_get_quantile_double("sketch", F.array(*(F.lit(i / GRID) for i in range(GRID + 1))))
-    counted = counted.select(*keys, "n", grid.alias("grid"), "least", "most", *(ranks[r].cast("long").alias(f"rank{i}") for i, r in enumerate(names)))
+    counted = counted.select(*keys, "n", F.when(F.col("n") > 0, grid).alias("grid"), "least", "most", *(ranks[r].cast("long").alias(f"rank{i}") for i, r in enumerate(names)))
 
     def bracket(i: int) -> list[Column]:
         at = F.col(f"rank{i}") / F.greatest(F.col("n") - 1, F.lit(1)) * GRID

@@ -21,7 +21,9 @@ from ..operators import features as FE
 from ..operators import grouped_quantiles as GQ
 from ..operators import models as M
 from ..operators import profile as P
+from ..operators import sketches as SKE
 from ..operators import split as S
+from ..operators import zones as Z
 from ..schema import (
     AIRPORTS,
     REPORT_PROFILE,
@@ -681,6 +683,67 @@ def pickup_density(spark, sf):
     return P.pickup_density(K.raw_trips(spark, sf))
 
 
+@query("pickup_quadtree")
+def pickup_quadtree(spark, sf):
+    """Pickups in cells that split until they hold at most 50 trips (the last level's may hold more)."""
+    return K.rounded(Z.quadtree(K.raw_trips(spark, sf), most=50), 9)
+
+
+# Fixed values of our own: cells with this share of all pickups are zones, six-sided, of this radius (degrees).
+ZONE_SHARE, ZONE_CELL, ZONE_RADIUS = 0.0025, 0.01, 0.01317
+
+
+@query("trips_by_zone")
+def trips_by_zone(spark, sf):
+    """Cleaned trips by pickup zone; the zones lie around the cells with most pickups and overlap."""
+    trips = K.clean(spark, sf).withColumn("cell", Z.cell_key(F.col("pickup_longitude"), F.col("pickup_latitude"), ZONE_CELL))
+    x, y = Z.cell_parts(F.col("cell"))
+    heavy = Z.heavy_hitters(trips, "cell", ZONE_SHARE).select(x.alias("cell_x"), y.alias("cell_y"))
+    return Z.fares_by_zone(trips, Z.zones_around(heavy, ZONE_CELL, ZONE_RADIUS))
+
+
+@query("error_by_zone")
+def error_by_zone(spark, sf):
+    """Errors of the distance baseline in each high-traffic pickup cell."""
+    train, test = K.split(spark, sf)
+    line = E.rule_columns(E.rule_fit(train))[2]
+    return Z.error_by_zone(test.select("pickup_longitude", "pickup_latitude", F.col("fare_amount").alias("label"), line.alias("prediction")), ZONE_SHARE, ZONE_CELL)
+
+
+_SKETCHES: dict = {}
+SKETCH_PROBS = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
+def _stored_sketches(spark, sf):
+    """The daily fare sketches of the cleaned trips, written once a session in two appends (before and from 2025 on)."""
+    key = K.data_key(spark, sf, "sketches")
+    if key not in _SKETCHES:
+        path = scratch_path(spark, "fare-sketches")
+        daily = SKE.daily_sketches(K.clean(spark, sf))
+        for part in (daily.filter("year(day) < 2025"), daily.filter("year(day) >= 2025")):
+            SKE.save_sketches(part, path)
+        _SKETCHES[key] = path
+    return SKE.read_sketches(spark, _SKETCHES[key])
+
+
+@query("sketch_quantiles")
+def sketch_quantiles(spark, sf):
+    """Fare quantiles of each month, merged from the stored daily sketches."""
+    return SKE.merged_quantiles(_stored_sketches(spark, sf), SKETCH_PROBS, ["month"])
+
+
+@query("check_sketch_quantiles")
+def check_sketch_quantiles(spark, sf):
+    """Months and the whole range: rows behind each answer, and whether its rank is within the sketch's bound."""
+    stored, trips = _stored_sketches(spark, sf), K.clean(spark, sf)
+    parts = []
+    for by, of in ((F.col("month"), F.date_format("pickup_datetime", "yyyy-MM")), (F.lit("all"), F.lit("all"))):
+        found = SKE.merged_quantiles(stored, SKETCH_PROBS, [by.alias("part")])
+        truth = SKE.rank_deviation(found, trips, of).select("part", "p", F.col("n").alias("n_true"), "deviation")
+        parts.append(found.join(truth, ["part", "p"]).select("part", "p", (F.col("n") == F.col("n_true")).alias("all_rows"), F.col("n_true").alias("n"), (F.col("deviation") <= SKE.rank_error()).alias("within_bound")))
+    return parts[0].unionByName(parts[1])
+
+
 @query("temporal_profile")
 def temporal_profile(spark, sf):
     return P.temporal_profile(K.features(spark, sf))
