@@ -101,6 +101,21 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def kept(name: str, make):
+    """A value made once in the life of a Python worker: later tasks of the same worker find it again.
+
+    Functions reach a worker by value, so their modules' globals do not last
+    from task to task; a module of the worker's own does.
+    """
+    import sys
+    import types
+
+    held = sys.modules.setdefault("kept_by_worker", types.ModuleType("kept_by_worker")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def sent(spark: SparkSession, value):
     """Broadcast of a bounded value with its class, which executors need not have installed."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))

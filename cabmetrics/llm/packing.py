@@ -12,7 +12,9 @@ The sequences of a group are as many full ones as its ids fill, and the rest
 of the ids in sequences of power-of-two lengths. So no sequence is padded.
 
 Scale: one pass and no shuffle. A group is built inside a scan task, so a
-task holds one group (and one document) at a time. ``sequence_id`` is
+task holds one group (and one document) at a time. The encoder's words last
+as long as the Python worker, which serves many tasks; ids depend on the text
+alone, so a fresh worker gives the same. ``sequence_id`` is
 (scan partition, counter); a retried task makes the same groups again.
 
 Defined cases: a null or empty text is one piece that holds the end id alone;
@@ -29,21 +31,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, blocks, raw_text
+from .common import batch_of, blocks, kept, raw_text
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+#: ASCII characters that the pre-tokenizer keeps in one run after a word's letters (an apostrophe may begin a contraction).
+CLOSERS = ".,;:!?#$%&*"
+
+
 class WordEncoder(dict):
     """Ids (little-endian unsigned 32-bit) of a word, remembered.
 
     The vocabulary lower-cases, and its pre-tokenizer never joins what white
     space separates, nor letters with what follows them. So a text's ids are
     its words' ids in a row, and a word's are those of its letters and of its
-    closing stops. Holds about ``limit`` words.
+    closing run of punctuation. Holds about twice ``limit`` words: when the
+    newer half is full it becomes the older one, whose words come back as they
+    are met; those that are not met are forgotten.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task owns one core
@@ -51,6 +59,7 @@ class WordEncoder(dict):
 
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.older: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -59,29 +68,36 @@ class WordEncoder(dict):
         # special tokens ("<|...|>") are told by their case
         split = [(raw if b"<|" in raw else raw.lower()).split() for raw in raws]
         if len(self) > self.limit:
+            self.older = dict(self)
             self.clear()
-        words: set[bytes] = set()
-        for part in split:
-            words.update(part)
-        self.learn(words.difference(self))
+        words = set().union(*split).difference(self)
+        if self.older:
+            known = words & self.older.keys()
+            self.update(zip(known, map(self.older.__getitem__, known), strict=True))
+            words -= known
+        self.learn(words)
         return [b"".join(map(self.__getitem__, part)) for part in split]
 
     def learn(self, words: set[bytes]) -> None:
-        parts = {}
+        letters, rest, parts = {}, {}, {}
         for word in words:
-            stem = word.rstrip(b".,")
-            if len(stem) < len(word) and stem[-1:].isalpha():
-                parts[word] = (stem, word[len(stem) :])
-        whole = (words.difference(parts) | {p for pair in parts.values() for p in pair}).difference(self)
-        texts = [(word, word.decode("utf-8", "replace")) for word in whole]
-        letters = [x for x in texts if x[1].isalpha()]
-        for at in range(0, len(letters), 1000):
-            self.learn_letters(letters[at : at + 1000])
-        rest = [x for x in texts if not x[1].isalpha()]
-        for at in range(0, len(rest), 20_000):
-            self.learn_each(rest[at : at + 20_000])
-        for word, (stem, stops) in parts.items():
-            self[word] = self[stem] + self[stops]
+            text = word.decode("utf-8", "replace")
+            if text.isalpha():
+                letters[word] = text
+                continue
+            stem = text.rstrip(CLOSERS)
+            if stem != text and _latin(stem):
+                letters[stem.encode()], end = stem, text[len(stem) :]
+                rest[end.encode()] = end
+                parts[word] = (stem.encode(), end.encode())
+            else:
+                rest[word] = text
+        for some, learned, size in ((letters, self.learn_letters, 20_000), (rest, self.learn_each, 20_000)):
+            new = [x for x in some.items() if x[0] not in self]
+            for at in range(0, len(new), size):
+                learned(new[at : at + size])
+        for word, (stem, end) in parts.items():
+            self[word] = self[stem] + self[end]
 
     def learn_letters(self, some: list[tuple[bytes, str]]) -> None:
         """Words of letters alone: one text of them all, cut after each id that closes a word."""
@@ -98,6 +114,11 @@ class WordEncoder(dict):
         self.update((word, np.array(c.ids, "<u4").tobytes()) for (word, _), c in zip(some, coded, strict=True))
 
 
+def _latin(stem: str) -> bool:
+    """Letters that stay letters when lower-cased, of blocks that every Unicode version has alike."""
+    return stem.isalpha() and max(stem) < "\u0250" and stem.lower().isalpha()
+
+
 def capacities(total: int, max_tokens: int) -> np.ndarray:
     """Sequence lengths that ``total`` ids fill exactly."""
     full, rest = divmod(total, max_tokens)
@@ -148,7 +169,7 @@ def pack_documents(
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = WordEncoder(tokenizer_path)
+        encoder = kept(f"WordEncoder:{tokenizer_path}", lambda: WordEncoder(tokenizer_path))
         end = np.array([end_id], "<u4").tobytes()
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
         next_id = TaskContext.get().partitionId() << 36

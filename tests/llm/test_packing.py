@@ -57,18 +57,44 @@ def test_small_groups_and_repeated_rows(spark):
     assert pack_documents(df.limit(0), tokenizer_file()).count() == 0
 
 
+def plain_plan(lengths, max_tokens, linear, quadratic):
+    """The placement rule as a loop over lists."""
+    room = capacities(sum(lengths), max_tokens).tolist()
+    size, cost, pieces = list(room), [0.0] * len(room), []
+    waiting = []
+    for doc, n in enumerate(lengths):
+        waiting += [(max_tokens, doc, start) for start in range(0, n - n % max_tokens, max_tokens)]
+        waiting += [(n % max_tokens, doc, n - n % max_tokens)] if n % max_tokens else []
+    for left, doc, start in sorted(waiting, key=lambda w: (-w[0], w[1], w[2])):
+        while left:
+            fits = [k for k in range(len(room)) if room[k] >= left] or [k for k in range(len(room)) if room[k]]
+            at = min(fits, key=lambda k: (cost[k], k))
+            take = min(left, room[at])
+            pieces.append((doc, start, take, at, size[at] - room[at]))
+            room[at] -= take
+            cost[at] += linear * take + quadratic * take * take
+            start, left = start + take, left - take
+    return pieces
+
+
 def test_plan_follows_the_cost():
-    lengths = np.array([4000, 3000, 2000, 1000, 96, 2000, 10_000, 1])
-    pieces = plan_group(lengths, 4096, 1.0, 1 / 6144)
-    assert sum(p[2] for p in pieces) == lengths.sum()
-    sizes = capacities(int(lengths.sum()), 4096)
-    used = np.zeros(len(sizes), int)
-    for _, _, length, seq, offset in pieces:
-        assert offset == used[seq]
-        used[seq] += length
-    assert (used == sizes).all()
-    cost = [sum(n * n for _, _, n, s, _ in pieces if s == seq) for seq in range(len(sizes))]
-    assert cost[0] == cost[1] == 4096**2  # two pieces of the longest document fill a sequence each
+    rng = np.random.default_rng(7)
+    for number in (1, 2, 9, 60):
+        lengths = np.concatenate([rng.integers(1, 300, number), rng.integers(1, 9000, number), [1, 4096, 8192, 4097]])
+        pieces = plan_group(lengths, 4096, 1.0, 1 / 6144)
+        assert pieces == plain_plan(lengths.tolist(), 4096, 1.0, 1 / 6144)
+        assert sum(p[2] for p in pieces) == lengths.sum()
+
+
+def test_words_with_closing_runs():
+    rng = np.random.default_rng(11)
+    letters, ends = list("abzAZéßñÖİŉſΣ漢ǅ") + ["ci\u0301", "\u0301", "ﬁ", "'s", "'", "<|", "|>", "-", "9"], list(".,;:!?#$%&*") + ["'", "(", "\u0338", "。"]
+    encoder = WordEncoder(tokenizer_file(), limit=200)
+    texts = [" ".join("".join(rng.choice(letters, rng.integers(0, 5))) + "".join(rng.choice(ends, rng.integers(0, 4))) for _ in range(12)) for _ in range(1500)]
+    for at in range(0, len(texts), 100):
+        some = texts[at : at + 100]
+        got = encoder.texts([t.encode() for t in some])
+        assert [[*np.frombuffer(x, "<u4").tolist(), 2] for x in got] == expected(some)
 
 
 @pytest.mark.parametrize("text", [t for t in ODD if t])
