@@ -19,7 +19,8 @@ The ranks are those of the commonest alphabetic words of all documents.
 
 Scale: one count of words (pre-aggregated in the tasks) and one map over the
 documents; the broadcast dictionary holds ``dictionary_words`` words. The
-costs of a value take time in proportion to its length.
+costs of a value are the exact minimum over all segmentations, in time about
+in proportion to its length.
 
 Defined cases: null counts as empty and has no span; places count code
 points, ends are exclusive; spans are sorted by start, then by kind as listed.
@@ -30,9 +31,7 @@ from __future__ import annotations
 
 import math
 import re
-from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +57,6 @@ KEYBOARD = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 # Characters commonly written for a letter.
 LOOKALIKES = {"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 LONGEST_WORD = 24
-LONGEST_UNIT = 8
 
 
 def _neighbours() -> dict[str, str]:
@@ -83,7 +81,6 @@ class Words(dict):
         self.starts = {w[:3] for w in ranks}
 
 
-@lru_cache(1 << 12)
 def _brute_bits(c: str) -> float:
     return math.log2(10 if c.isdigit() else 26 if c.isalpha() and c.isascii() else 33 if c.isascii() else 100)
 
@@ -122,86 +119,148 @@ def lower_each(value: str) -> str:
     return value.lower() if value.isascii() else "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
 
 
-def _walk_ends(value: str) -> tuple[array, array]:
-    """For each place the end and the turns of the longest walk that starts there."""
-    n = len(value)
-    low = lower_each(value)
-    ends, turns = array("q", range(1, n + 1)), array("q", bytes(8 * n))
-    after = None  # what leads from the next character to the one behind it
-    for i in range(n - 2, -1, -1):
-        a, b = low[i], low[i + 1]
-        step = None
+def _walks(value: str) -> tuple[list[int], list[int], list[int]]:
+    """(end of the longest walk from each place; turns and case changes counted up to each place).
+
+    A walk from i to j has ``turns[j - 1] - turns[i + 1]`` turns and
+    ``cases[j - 1] - cases[i]`` changes of case.
+    """
+    n, low = len(value), lower_each(value)
+    steps: list[tuple | None] = [None] * n  # the step that leads to each place
+    for i in range(1, n):
+        a, b = low[i - 1], low[i]
         if b in NEAR.get(a, ""):
-            step = ("k", NEAR[a].index(b))
+            steps[i] = ("k", NEAR[a].index(b))
         elif a.isalnum() and b.isalnum() and abs(ord(b) - ord(a)) == 1:
-            step = ("s", ord(b) - ord(a))
-        if step is not None:
+            steps[i] = ("s", ord(b) - ord(a))
+    ends, turns, cases = list(range(1, n + 1)), [0] * n, [0] * n
+    for i in range(n - 2, -1, -1):
+        if steps[i + 1] is not None:
             ends[i] = ends[i + 1]
-            turns[i] = turns[i + 1] + (ends[i] > i + 2 and after != step)
-        after = step
-    return ends, turns
-
-
-def _repeat_ends(value: str) -> list[tuple[int, array]]:
-    """By unit: for each place the end of the unit's repeats from there on, 0 if there are too few."""
-    out = []
-    n = len(value)
-    for unit in range(1, min(LONGEST_UNIT, n // 2) + 1):
-        ends, run, few = array("q", bytes(8 * n)), 0, 3 if unit == 1 else 2
-        for i in range(n - unit - 1, -1, -1):
-            run = run + 1 if value[i] == value[i + unit] else 0
-            times = 1 + run // unit
-            if times >= few:
-                ends[i] = i + times * unit
-        if any(ends):
-            out.append((unit, ends))
-    return out
-
-
-def guess_bits(value: str, ranks: dict[str, int]) -> float:
-    """Bits of the cheapest segmentation; each segment costs one bit besides its own."""
-    n = len(value)
-    low = lower_each(value)
+    for i in range(1, n):
+        turns[i] = turns[i - 1] + (steps[i] is not None and steps[i] != steps[i - 1])
+        cases[i] = cases[i - 1] + (value[i].isupper() != value[i - 1].isupper())
+    return ends, turns, cases
+
+
+def _runs(value: str) -> list[tuple[int, int, int]]:
+    """(start, end, unit) of the longest stretches that repeat a unit at least twice.
+
+    A unit that repeats a shorter one is left out: its repeats cost more. A
+    run of a unit covers a place of every multiple of the unit, so only these
+    places are looked at: the harmonic sum over all units.
+    """
+    codes = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), "<u4")
+    n, out = len(codes), []
+    known_unit, until = np.zeros(n, np.int64), np.zeros(n, np.int64)  # of the run over the place that reaches furthest
+    for unit in range(1, n // 2 + 1):
+        places = np.arange(unit - 1, n - unit, unit)
+        places = places[codes[places] == codes[places + unit]]
+        if len(places):
+            # where a run of a divisor holds one unit, it holds all of this unit's run
+            known = known_unit[places]
+            places = places[(known == 0) | (unit % np.maximum(known, 1) != 0) | (until[places] < places + unit)]
+        done = -1
+        for at in places.tolist():
+            if at < done:
+                continue
+            start, end = at, at + 1
+            while start > 0 and value[start - 1] == value[start - 1 + unit]:
+                start -= 1
+            while end + unit < n and value[end] == value[end + unit]:
+                end += 1
+            done = end
+            if end - start >= unit and (not known_unit[start] or unit % known_unit[start] or until[start] < end + unit):
+                out.append((start, end + unit, unit))
+                new = start + np.flatnonzero(until[start : end + unit] < end + unit)
+                known_unit[new], until[new] = unit, end + unit
+    return sorted(out)
+
+
+def _words_at(value: str, words: Words) -> list[list[tuple[int, float]]]:
+    """For each place the (end, bits) of the words that start there."""
+    n, low = len(value), lower_each(value)
     plain = "".join(LOOKALIKES.get(c, c) for c in low)
     odd, upper = [0], [0]
     for c, lowered in zip(value, low, strict=True):
         odd.append(odd[-1] + (lowered in LOOKALIKES))
         upper.append(upper[-1] + c.isupper())
+    out: list[list[tuple[int, float]]] = [[] for _ in range(n)]
+    for i in range(n - 2):
+        if low[i : i + 3] not in words.starts and plain[i : i + 3] not in words.starts:
+            continue
+        for j in range(i + 3, min(n, i + LONGEST_WORD) + 1):
+            ranks = [(words[w], bits) for w, bits in ((low[i:j], 0), (plain[i:j], odd[j] - odd[i])) if w in words]
+            if ranks:
+                cost = min(math.log2(rank + 1) + bits for rank, bits in ranks)
+                out[i].append((j, cost + _case_bits(j - i, upper[j] - upper[i], value[i].isupper())))
+    return out
 
-    def case_bits(i: int, j: int) -> float:
-        return _case_bits(j - i, upper[j] - upper[i], value[i].isupper())
 
-    if not isinstance(ranks, Words):
-        ranks = Words(ranks)
-    (walk_ends, turns), repeats = _walk_ends(value), _repeat_ends(value)
-    best = [0.0] + [math.inf] * n
+def guess_bits(value: str, ranks: dict[str, int]) -> float:
+    """Bits of the cheapest segmentation; each segment costs one bit besides its own, brute-forced characters none.
+
+    Every end of a walk and every number of repeats is offered. A start whose
+    offers another start of the same stretch makes for no more is passed over,
+    so a long stretch costs time about in proportion to its length.
+    """
+    n = len(value)
+    words = _words_at(value, ranks if isinstance(ranks, Words) else Words(ranks))
+    ends, turns, cases = _walks(value)
+    turn_bits, case_bits = 2.5 * np.array([*turns, 0.0]), np.array([*cases, 0.0])
+    runs, active = _runs(value)[::-1], []
+    brute = np.concatenate([[0.0], np.cumsum([_brute_bits(c) for c in value])]) if n else np.zeros(1)
+    logs = np.log2(np.arange(1, n + 2))  # logs[k - 1] = log2(k)
+    copies: dict[tuple[int, int], int] = {}  # of a word that stands more than once in a row
+    for i in range(n - 1, -1, -1):
+        for j, _ in words[i]:
+            if value[i:j] == value[j : 2 * j - i]:
+                copies[i, j] = 1 + copies.get((j, 2 * j - i), 1)
+    best = np.full(n + 1, np.inf)
+    best[0] = 0.0
+    first: dict[tuple, int] = {}  # the last start of a stretch whose offers were made
+
+    def offer_repeats(i: int, unit: int, times: int, fewest: int, bits: float, chain: tuple) -> None:
+        leader = first.get(chain)
+        if leader is not None and best[leader] + logs[fewest + (i - leader) // unit - 1] <= best[i] + logs[fewest - 1]:
+            return
+        first[chain] = i
+        reached = best[i + fewest * unit : i + times * unit + 1 : unit]
+        np.minimum(reached, best[i] + 1 + bits + logs[fewest - 1 : times], out=reached)
+
     for i in range(n):
         here = best[i] + 1
-        best[i + 1] = min(best[i + 1], best[i] + _brute_bits(value[i]))
-        begins = low[i : i + 3] in ranks.starts or plain[i : i + 3] in ranks.starts
-        for j in range(i + 3, min(n, i + LONGEST_WORD) + 1) if begins else ():
-            rank = ranks.get(low[i:j])
-            bits = 0.0 if rank is not None else odd[j] - odd[i]
-            if rank is None and bits:
-                rank = ranks.get(plain[i:j])
-            if rank is not None:
-                best[j] = min(best[j], here + math.log2(rank + 1) + bits + case_bits(i, j))
+        best[i + 1] = min(best[i + 1], best[i] + brute[i + 1] - brute[i])
+        for j, bits in words[i]:
+            best[j] = min(best[j], here + bits)
+            if (i, j) in copies:
+                offer_repeats(i, j - i, copies[i, j], 2, bits, ("w", value[i:j], i + copies[i, j] * (j - i)))
         if value[i].isdigit():
             for end, bits in _dates(value, i):
                 best[end] = min(best[end], here + bits)
-        end = walk_ends[i]
+        while runs and runs[-1][0] <= i:
+            active.append(runs.pop())
+        active = [r for r in active if r[1] - i >= 2 * r[2]]
+        for start, end, unit in active:
+            fewest = 3 if unit == 1 else 2
+            if end - i >= fewest * unit:
+                offer_repeats(i, unit, (end - i) // unit, fewest, float(brute[i + unit] - brute[i]), (start, unit, (i - start) % unit))
+        end = ends[i]
         if end - i >= 3:
-            best[end] = min(best[end], here + math.log2(47) + math.log2(end - i) + 2.5 * (turns[i] + 1) + case_bits(i, end))
-        for unit, ends in repeats:
-            end = ends[i]
-            if not end:
+            begin = float(value[i].isupper())
+            walk = best[i] - turn_bits[i + 1] - case_bits[i] + begin
+            leader = first.get(("walk", end))
+            if leader is not None and leader[1] + logs[i + 2 - leader[0]] <= walk + logs[2]:
                 continue
-            one = sum(_brute_bits(c) for c in value[i : i + unit])
-            rank = ranks.get(low[i : i + unit])
-            if rank is not None:
-                one = min(one, math.log2(rank + 1) + case_bits(i, i + unit))
-            best[end] = min(best[end], here + one + math.log2((end - i) // unit))
-    return best[n]
+            first["walk", end] = (i, walk)
+            reached = best[i + 3 : end + 1]
+            last = len(reached)
+            top = reached.max()
+            if top < math.inf:  # a walk only gets dearer: nothing to gain once it is past all that is known
+                last = int(np.searchsorted(turn_bits[i + 2 : end], top - (walk + 1 + math.log2(47) + 2.5 + case_bits[i])))
+            offers = walk + 1 + math.log2(47) + 2.5 + logs[2 : last + 2] + turn_bits[i + 2 : i + 2 + last] + case_bits[i + 2 : i + 2 + last]
+            np.minimum(reached[:last], offers, out=reached[:last])
+    return float(best[n])
 
 
 def spans_of(raw: bytes, ranks: dict[str, int], threshold_bits: float) -> list[tuple[int, int, int, float | None]]:

@@ -2,11 +2,13 @@
 
 import hashlib
 import math
+import random
 import re
 import time
 
 import pytest
 
+from cabmetrics.llm import secrets
 from cabmetrics.llm.queries import QUERIES
 from cabmetrics.llm.secrets import find_secrets, guess_bits, word_ranks
 
@@ -79,6 +81,60 @@ def test_costs():
     assert guess_bits("summermonkey2019", RANKS) < 40
 
 
+def plain_minimum(value, ranks):
+    """Cheapest segmentation: every segment of every kind, priced by itself."""
+    n = len(value)
+
+    def steps(i, j):
+        low, out = secrets.lower_each(value), []
+        for a, b in zip(low[i : j - 1], low[i + 1 : j], strict=True):
+            if b in secrets.NEAR.get(a, ""):
+                out.append(("k", secrets.NEAR[a].index(b)))
+            elif a.isalnum() and b.isalnum() and abs(ord(a) - ord(b)) == 1:
+                out.append(("s", ord(b) - ord(a)))
+            else:
+                return None
+        return out
+
+    def word_bits(i, j):
+        low = secrets.lower_each(value[i:j])
+        plain = "".join(secrets.LOOKALIKES.get(c, c) for c in low)
+        odd = sum(c in secrets.LOOKALIKES for c in low)
+        case = secrets._case_bits(j - i, sum(c.isupper() for c in value[i:j]), value[i].isupper())
+        found = [math.log2(ranks[w] + 1) + o + case for w, o in ((low, 0), (plain, odd)) if w in ranks]
+        return min(found, default=math.inf)
+
+    def segment(i, j):
+        bits = word_bits(i, j)
+        bits = min([bits, *(b for end, b in secrets._dates(value, i) if end == j and value[i].isdigit())])
+        walk = steps(i, j) if j - i >= 3 else None
+        if walk is not None:
+            turns = sum(a != b for a, b in zip(walk, walk[1:], strict=False))
+            cases = value[i].isupper() + sum(a.isupper() != b.isupper() for a, b in zip(value[i : j - 1], value[i + 1 : j], strict=True))
+            bits = min(bits, math.log2(47) + math.log2(j - i) + 2.5 * (turns + 1) + cases)
+        for unit in range(1, (j - i) // 2 + 1):
+            times = (j - i) // unit
+            if times * unit == j - i and value[i:j] == value[i : i + unit] * times and times >= (3 if unit == 1 else 2):
+                one = min(sum(map(secrets._brute_bits, value[i : i + unit])), word_bits(i, i + unit))
+                bits = min(bits, one + math.log2(times))
+        return 1 + bits
+
+    best = [0.0] + [math.inf] * n
+    for j in range(1, n + 1):
+        best[j] = min([best[j - 1] + secrets._brute_bits(value[j - 1]), *(best[i] + segment(i, j) for i in range(j))])
+    return best[n]
+
+
+def test_costs_are_the_minimum():
+    rng = random.Random(13)
+    ranks = {w: i for i, w in enumerate("the apple mama bonbon ana qwe password love abc".split(), 1)}
+    pieces = ["a", "aa", "aaa", "Q", "qwe", "WER", "12", "123", "1999", "12/05/99", "apple", "4pple", "mama", "bonbon", "ana", "x", "x9", "é", "İ", "7t", "$", "po", "lk"]
+    values = ["".join(rng.choices("aAbqw12", k=rng.randint(0, 10))) for _ in range(1500)]
+    values += ["".join(rng.choices(pieces, k=rng.randint(1, 5))) * rng.choice([1, 1, 2, 3, 6]) for _ in range(1200)]
+    for value in [*values, "aaaapple", "x7-Kq.pZ2u" * 6, "mama" * 9, "12" * 30, "a" * 70, "aS" * 25]:
+        assert guess_bits(value, ranks) == pytest.approx(plain_minimum(value, ranks), abs=1e-6), value
+
+
 def test_very_long_values_and_odd_capitals():
     began = time.monotonic()
     for unit in ("12", "aS", "a", "aB3x", "qWeRtYuIoP", "19991231"):
