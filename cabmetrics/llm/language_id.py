@@ -2,7 +2,7 @@
 
 One model per language over ``order`` characters, trained on a bounded sample
 of labelled documents: of each language the ``train_docs`` with the smallest
-hash of their id, and the next ``calibration_docs`` to calibrate. The n-grams
+hash of their id and text, and the next ``calibration_docs`` to calibrate. The n-grams
 of the sample are counted by Spark; the driver gets the distinct ones, whose
 number the sample bounds, and derives the lower orders (continuation counts),
 discounts and back-off weights.
@@ -26,7 +26,10 @@ one segment of positions. Nothing is shuffled but the sample.
 
 Defined cases: null text, or text without a letter: ``und``, score 0,
 rejected. Without any labelled document every document is ``und``. Null
-labels and null texts are never learned from. Other columns are not read.
+labels, null ids and null texts are never learned from. Rows repeated whole
+count once in the sample, rows that share an id keep their own text and label
+there; each row has its own prediction. Languages that tie: the first in order
+of their names. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -208,24 +211,27 @@ def hashes_of(grams: np.ndarray) -> np.ndarray:
 def labelled_sample(spark: SparkSession, docs: DataFrame, allowed: Column, train_docs: int, calibration_docs: int, max_languages: int = 1000) -> DataFrame:
     """(lang, text, train) of the bounded sample, written once.
 
-    Of a language's documents only those with a hash so small that four times
-    the sample is expected go to the ranking, so no task ranks more than that.
+    A document is its id, text and label: rows repeated whole are one, and rows
+    that share an id keep their own text and label. Of a language's documents
+    only those with a hash so small that four times the sample is expected go
+    to the ranking, so no task ranks more than that.
     """
     size = train_docs + calibration_docs
-    named = docs.select("doc_id", "lang").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & allowed)
-    held = written(spark, named.groupBy("lang").agg(F.count(F.lit(1)).alias("held")), "languages")
+    digests = F.xxhash64("text").alias("d1"), F.xxhash64(F.lit(1), "text").alias("d2")
+    labelled = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & allowed)
+    labelled = labelled.select("doc_id", F.col("lang").alias("label"), *digests).distinct()
+    labelled = written(spark, labelled, "labelled")
+    held = written(spark, labelled.groupBy("label").agg(F.count(F.lit(1)).alias("held")), "languages")
     if held.count() > max_languages:  # a model has a column for each
         raise ValueError(f"more than {max_languages} languages")
-    share = F.xxhash64("doc_id").cast("double") / 2.0**64 + 0.5
-    named = named.join(F.broadcast(held), "lang").filter(share * F.col("held") < 4.0 * size)
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        named.withColumn("rank", F.row_number().over(by_hash))
-        .filter(F.col("rank") <= size)
-        .select("doc_id", F.col("lang").alias("label"), (F.col("rank") <= train_docs).alias("train"))
-    )
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(chosen, "doc_id")
-    return written(spark, texts.select(F.col("label").alias("lang"), raw_text("text").alias("text"), "train"), "language_sample")
+    place = F.xxhash64("doc_id", "d1")
+    share = place.cast("double") / 2.0**64 + 0.5
+    few = labelled.join(F.broadcast(held), "label").filter(share * F.col("held") < 4.0 * size)
+    by_hash = Window.partitionBy("label").orderBy(place, "doc_id", "d1", "d2")
+    chosen = few.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= size).select("doc_id", "d1", "d2", "label", (F.col("rank") <= train_docs).alias("train"))
+    texts = docs.filter(F.col("text").isNotNull()).select("doc_id", F.col("lang").alias("label"), "text", *digests)
+    met = texts.join(chosen, ["doc_id", "label", "d1", "d2"]).dropDuplicates(["doc_id", "label", "d1", "d2"])
+    return written(spark, met.select(F.col("label").alias("lang"), raw_text("text").alias("text"), "train"), "language_sample")
 
 
 def count_grams(sample: DataFrame, order: int) -> DataFrame:

@@ -100,7 +100,7 @@ def op8_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     found = identify(spark, docs, train(spark, docs, ~held_out))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy")
 

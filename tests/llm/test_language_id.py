@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cabmetrics.llm.language_id import Model, codes_of, gram_hashes, hashes_of, identify, kneser_ney, train
+from cabmetrics.llm.language_id import Model, codes_of, gram_hashes, hashes_of, identify, kneser_ney, labelled_sample, train
 from cabmetrics.llm.queries import QUERIES
 
 
@@ -35,6 +35,56 @@ def test_models_are_distributions():
         assert total + (alphabet - len(known)) * unseen == pytest.approx([1, 1], abs=1e-5)
 
 
+def plain_kneser_ney(counts, order, alphabet):
+    """log P(character | the ones before) by dictionaries, one level after the other."""
+    levels = {order: {(r.lang, r.gram): float(r.n) for r in counts.itertuples()}}
+    for k in range(order - 1, 0, -1):
+        levels[k] = {}
+        for lang, gram in levels[k + 1]:
+            levels[k][lang, gram[1:]] = levels[k].get((lang, gram[1:]), 0.0) + 1
+    discounts = {}
+    for k, level in levels.items():
+        ones, twos = (sum(n == x for n in level.values()) for x in (1, 2))
+        discounts[k] = min(0.95, max(0.05, ones / max(1, ones + 2 * twos)))
+
+    def probability(lang, gram, k):
+        if k == 0:
+            return 1 / alphabet
+        gram = gram[-k:]
+        followers = {g[-1]: n for (x, g), n in levels[k].items() if x == lang and g[:-1] == gram[:-1]}
+        total = sum(followers.values())
+        if not total:
+            return probability(lang, gram, k - 1)
+        own = followers[gram[-1]] - discounts[k] if gram[-1] in followers else 0.0
+        return own / total + discounts[k] * len(followers) / total * probability(lang, gram, k - 1)
+
+    return probability
+
+
+def test_equals_plain_kneser_ney():
+    order, alphabet = 3, 80
+    counts = counts_of(TEXTS, order)
+    model, plain = kneser_ney(counts, order, alphabet=alphabet), plain_kneser_ney(counts, order, alphabet)
+    for text in ("the cat", "un chat là", "zzz", "tha", "x the x", ""):
+        codes = codes_of(text, order)
+        got = model.log_probabilities(codes)
+        for i in range(order - 1, len(codes)):
+            gram = "".join(map(chr, codes[i - order + 1 : i + 1].tolist()))
+            want = [np.log(plain(lang, gram, order)) for lang in model.langs]
+            assert got[i - order + 1] == pytest.approx(want, abs=1e-4), (text, gram)
+
+
+def test_the_sample_is_bounded_and_rightly_labelled(spark):
+    rows = [(7, f"{lang} words {i}", lang) for i in range(300) for lang in ("en", "de")]  # one id, a text and label each
+    rows += [(8, "en the same row", "en")] * 200 + [(9, "en de both", "en"), (9, "en de both", "de"), (None, "en no id", "en"), (10, None, "en"), (11, "en no label", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = labelled_sample(spark, docs, F.lit(True), 30, 10).collect()
+    assert {lang: sum(r["lang"] == lang for r in sample) for lang in ("en", "de")} == {"en": 40, "de": 40}
+    assert sum(r["train"] for r in sample) == 60
+    assert all(r["lang"] in r["text"].decode() for r in sample)
+    assert len({(r["lang"], bytes(r["text"])) for r in sample}) == 80
+
+
 def test_hashes_agree():
     codes = codes_of("Some text, 42", 4)
     rolled = gram_hashes(codes, 4)[4][3:]
