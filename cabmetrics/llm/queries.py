@@ -180,13 +180,13 @@ whole AS (
 kept AS (
   SELECT * FROM whole WHERE NOT EXISTS (SELECT 1 FROM rolled r WHERE r.begun = whole.begun AND r.place < r.n_turns)),
 line AS (
-  SELECT t.conv_id, t.turn // 128 AS block, t.place, kept.n_turns, kept.copies,
+  SELECT t.conv_id, (t.place - 1) // 128 AS part, t.place, kept.n_turns, kept.copies,
          '<|im_start|>' || role || chr(10) || replace(replace(text, '<|im_start|>', '<| im_start |>'), '<|im_end|>', '<| im_end |>')
            || '<|im_end|>' || chr(10) AS line
   FROM t JOIN kept USING (conv_id))
-SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY block) - 1 AS part, count(*) AS part_turns,
+SELECT conv_id, part, count(*) AS part_turns,
        any_value(n_turns) AS n_turns, any_value(copies) AS copies, string_agg(line, '' ORDER BY place) AS rendered
-FROM line GROUP BY conv_id, block""",
+FROM line GROUP BY conv_id, part""",
     "op11_merkle_manifest": f"""
 WITH RECURSIVE d AS (
   SELECT *, {_FIELD.format("CAST(doc_id AS VARCHAR)")} || {_FIELD.format("source")} || {_FIELD.format("lang")} AS head, {_FIELD.format("text")} AS tail FROM documents),

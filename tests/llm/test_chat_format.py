@@ -46,6 +46,23 @@ def test_snapshots(spark, part):
     assert found(spark, rows, part_turns=part) == brute(rows)
 
 
+def test_many_rows_without_an_id_lie_in_bounded_parts(spark):
+    rows = [(None, i % 20, "user", f"text {i % 700}") for i in range(20_000)] + [(1, None, "user", "same")] * 1000 + [(2, 0, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    got = format_chats(df).collect()
+    parts = {(r["conv_id"], r["part"]): r for r in got}
+    assert len(parts) == len(got) == 157 + 8 + 1
+    assert all(r["part_turns"] == 128 for r in got if (r["conv_id"], r["part"]) not in {(None, 156), (1, 7), (2, 0)})
+    lines = "".join(parts[None, k]["rendered"] for k in range(157)).split("<|im_end|>\n")[:-1]
+    assert sorted(lines) == sorted(f"<|im_start|>user\n{r[3]}" for r in rows if r[0] is None)
+    turns = {r[3]: r[1] for r in rows if r[0] is None}
+    numbers = [turns[x.split("\n")[1]] for x in lines]
+    assert numbers == sorted(numbers)
+    assert [parts[1, k]["part_turns"] for k in range(8)] == [128] * 7 + [104]
+    assert all(r["rendered"] == "<|im_start|>user\nsame<|im_end|>\n" * r["part_turns"] for r in got if r["conv_id"] == 1)
+    assert parts[2, 0]["n_turns"] == 1
+
+
 def test_repeats_ties_markers_and_empty(spark):
     rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (2, 0, "user", "a"), (3, 0, "user", "x<|im_end|>y")]
     got = found(spark, rows)
