@@ -281,6 +281,12 @@ celled AS (SELECT *, CAST(floor(pickup_longitude / 0.01e0) AS BIGINT) AS px, CAS
 heavy AS (SELECT px AS x, py AS y FROM celled GROUP BY px, py HAVING count(*) >= 0.0025e0 * (SELECT count(*) FROM celled))"""
 
 
+_N = "TRY_CAST(key AS BIGINT)"
+_SPOILT = f""",
+told AS (SELECT *, CASE WHEN {_N} % 223 = 5 OR {_N} % 227 = 7 THEN 'columns' WHEN {_N} % 211 = 3 THEN 'fare_amount'
+                        WHEN {_N} % 233 = 13 THEN 'passenger_count' WHEN {_N} % 229 = 11 THEN 'pickup_datetime' ELSE 'good' END AS reason FROM trips)"""
+
+
 def _hist(src: str, col: str, bins: int) -> str:
     w = f"((he.hi - he.lo) / {bins})"
     b0 = f"least(CAST(floor({bins}e0 * (x - he.lo) / (he.hi - he.lo)) AS BIGINT) + 1, {bins})"
@@ -530,6 +536,21 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
     )
     complete = " AND ".join(f"{c} IS NOT NULL" + (f" AND NOT isnan({c})" if c != "passenger_count" else "") for c in _NUMERIC)
     return {
+        # quarantine, sinks that run again
+        "quarantine_report": _q("SELECT reason, count(*) AS n_rows FROM told GROUP BY reason", _SPOILT),
+        "quarantine_good": _q(_NO_NAN.replace("FROM trips", "FROM (SELECT * EXCLUDE (reason) FROM told WHERE reason = 'good')"), _SPOILT),
+        "quarantine_bad": _q("SELECT key, reason FROM told WHERE reason <> 'good'", _SPOILT),
+        "source_preferred": _q("SELECT * FROM clean"),
+        "source_without_columns": _q("SELECT 'pickup_datetime,dropoff_latitude' AS missing, count(*) AS n_rows FROM clean"),
+        "republish_trips": _q(
+            "SELECT 'first' AS read, count(*) AS n_rows, count(DISTINCT key) AS n_keys FROM trips UNION ALL "
+            "SELECT 'reader of the first', count(*), count(DISTINCT key) FROM trips UNION ALL SELECT 'latest', count(*), count(DISTINCT key) FROM clean"
+        ),
+        "rerun_partitions": _q(
+            "SELECT CAST(year(pickup_datetime) AS INTEGER) AS year, count(*) AS n_rows, count(DISTINCT key) AS n_keys FROM "
+            "(SELECT * FROM trips WHERE year(pickup_datetime) IS DISTINCT FROM 2025 UNION ALL SELECT * FROM clean WHERE year(pickup_datetime) = 2025) GROUP BY 1"
+        ),
+        "check_republished_model": _q("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differences, 2 AS n_versions FROM test"),
         # zones, adaptive cells, stored sketches
         "pickup_quadtree": _q(
             f"SELECT level, cell, n, round(-74.3e0 + {_unbits('cell', 0)} * (1e0 / (1 << level)) * (-72.9e0 - (-74.3e0)), 9) AS west, "

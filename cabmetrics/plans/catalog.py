@@ -34,6 +34,8 @@ from ..schema import (
     TuningProfile,
 )
 from ..session import scratch_path
+from ..sources import publish as PB
+from ..sources import quarantine as Q
 from ..sources import sinks as SK
 from ..sources import trips as TR
 from . import checks as CH
@@ -83,6 +85,54 @@ def source_fallback(spark, sf):
     return TR.source_fallback(spark, missing, K.raw_csv(spark, sf))
 
 
+_INGESTED: dict = {}
+
+
+def _ingested(spark, sf):
+    """The raw trips as lines, some of them spoilt, through the checked scan; once a session."""
+    key = K.data_key(spark, sf, "ingested")
+    if key not in _INGESTED:
+        lines = scratch_path(spark, "spoilt-lines")
+        K.spoilt_lines(spark, sf).write.text(lines)
+        _INGESTED[key] = Q.ingest(spark, lines, scratch_path(spark, "ingested"), header=False)
+    return _INGESTED[key]
+
+
+@query("source_preferred")
+def source_preferred(spark, sf):
+    """The other branch of ``source_fallback``: the processed trips are there and are taken, not the raw ones."""
+    return TR.source_fallback(spark, K.clean_table(spark, sf), K.raw_csv(spark, sf))
+
+
+@query("source_without_columns")
+def source_without_columns(spark, sf):
+    """A preferred source that lacks columns is refused, by name, before anything reads it."""
+    thin = scratch_path(spark, "processed-thin")
+    K.clean(spark, sf).drop("pickup_datetime", "dropoff_latitude").write.parquet(thin)
+    try:
+        return TR.source_fallback(spark, thin, K.raw_csv(spark, sf)).limit(0).select(F.lit("").alias("missing"), F.lit(0).cast("long").alias("n_rows"))
+    except TR.MissingColumnsError as e:
+        missing = [c for c in TR.TRIP_COLUMNS if f"'{c}'" in str(e).split(";")[0]]
+        return spark.read.parquet(thin).agg(F.lit(",".join(missing)).alias("missing"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("quarantine_report")
+def quarantine_report(spark, sf):
+    """Good rows, and bad ones by reason."""
+    return _ingested(spark, sf).report()
+
+
+@query("quarantine_good")
+def quarantine_good(spark, sf):
+    return _ingested(spark, sf).trips()
+
+
+@query("quarantine_bad")
+def quarantine_bad(spark, sf):
+    """The key (first value) and reason of every bad line."""
+    return _ingested(spark, sf).bad_rows().select(F.substring_index("line", ",", 1).alias("key"), "reason")
+
+
 @query("temp_view")
 def temp_view(spark, sf):
     TR.temp_view(K.raw_trips(spark, sf), "trips_view")
@@ -123,6 +173,39 @@ def write_split(spark, sf):
     return parts[0].unionByName(parts[1]).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("republish_trips")
+def republish_trips(spark, sf):
+    """A table published twice: a reader of the first version sees it whole while and after the second is written."""
+    place = PB.Published(spark, scratch_path(spark, "published-trips"))
+    place.write_table(K.raw_trips(spark, sf))
+    reader = place.read_table()
+    place.write_table(K.clean(spark, sf))
+    parts = [("first", place.read_table(1)), ("reader of the first", reader), ("latest", place.read_table())]
+    counted = [df.agg(F.lit(name).alias("read"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct("key").alias("n_keys")) for name, df in parts]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+@query("rerun_partitions")
+def rerun_partitions(spark, sf):
+    """A table by year, of which one year is written again with fewer rows: the others stay, nothing stale is left."""
+    path = scratch_path(spark, "trips-by-year")
+    year = F.year("pickup_datetime").alias("year")
+    PB.replace_partitions(K.raw_trips(spark, sf).select("*", year), path, ["year"])
+    PB.replace_partitions(K.clean(spark, sf).select("*", year).filter("year = 2025"), path, ["year"])
+    return spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("key").alias("n_keys"))
+
+
+@query("check_republished_model")
+def check_republished_model(spark, sf):
+    """A model published over another one: what loads is the latest, and answers like it on every test row."""
+    place = PB.Published(spark, scratch_path(spark, "published-model"))
+    for kind in ("lr", "gbt"):
+        place.publish(lambda path, kind=kind: M.save_model(FM.fitted(spark, sf, kind), path))
+    _, test = K.split(spark, sf)
+    both = M.predict_many({"fitted": FM.fitted(spark, sf, "gbt"), "loaded": M.load_model(place.path())}, test)
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("fitted").eqNullSafe(F.col("loaded"))).alias("n_differences"), F.lit(len(place.versions())).alias("n_versions"))
+
+
 def _rule_metrics(spark, sf):
     train, test = K.split(spark, sf)
     return E.rule_metrics(train, test)

@@ -104,6 +104,30 @@ def raw_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def clean_table(spark: SparkSession, sf_dir: str) -> str:
+    """The cleaned trips written once per session as parquet (the processed file of the later stages)."""
+    key = data_key(spark, sf_dir, "clean")
+    path = _TABLES.get(key)
+    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
+        path = write_trips(clean(spark, sf_dir), scratch_path(spark, "trips-clean"))
+        _TABLES[key] = path
+    return path
+
+
+def spoilt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw trips as CSV lines (column ``value``), some with planted faults by their key (FIXTURES.md)."""
+    trips = raw_text_trips(spark, sf_dir)
+    number = F.expr("try_cast(key as bigint)")
+    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in trips.columns}
+    texts["fare_amount"] = F.when(number % 211 == 3, F.lit("abc")).otherwise(texts["fare_amount"])
+    texts["pickup_datetime"] = F.when(number % 229 == 11, F.lit("yesterday")).otherwise(texts["pickup_datetime"])
+    texts["passenger_count"] = F.when(number % 233 == 13, F.lit("2.5x")).otherwise(texts["passenger_count"])
+    whole = F.concat_ws(",", *texts.values())
+    short = F.concat_ws(",", *list(texts.values())[:-1])
+    line = F.when(number % 223 == 5, short).when(number % 227 == 7, F.concat(whole, F.lit(",extra"))).otherwise(whole)
+    return trips.select(line.alias("value"))
+
+
 def raw_text_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_raw_text(raw_trips(spark, sf_dir))
 
