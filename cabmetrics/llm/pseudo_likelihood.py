@@ -69,6 +69,20 @@ class Vocabulary(dict):
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
+class Lookup(dict):
+    """Ids of words as a task meets them; remembers up to ``limit`` words."""
+
+    def __init__(self, vocabulary: Vocabulary, limit: int = 400_000):
+        super().__init__(vocabulary)
+        self.vocabulary, self.limit = vocabulary, limit
+
+    def __missing__(self, word: bytes) -> int:
+        number = self.vocabulary[word]
+        if len(self) < self.limit:
+            self[word] = number
+        return number
+
+
 @dataclass
 class Network:
     side: int
@@ -101,60 +115,89 @@ class Network:
     def hidden_of(self, context: np.ndarray) -> np.ndarray:
         total = np.repeat(self.bias[None], len(context), axis=0)
         for place in range(context.shape[1]):
-            total += self.inputs[place][context[:, place]]
+            total += self.inputs[place].take(context[:, place], axis=0)
         return np.tanh(total, out=total)
 
-    def by_cluster(self, target: np.ndarray) -> list[tuple[int, np.ndarray]]:
-        """Rows of each cluster of the targets."""
-        cluster = target % CLUSTERS
-        order = np.argsort(cluster.astype(np.uint8), kind="stable")
-        cuts = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1))
-        return [(c, order[cuts[c] : cuts[c + 1]]) for c in range(CLUSTERS) if cuts[c] < cuts[c + 1]]
+    def by_cluster(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Rows in the order of the targets' clusters, and (cluster, start, end) in that order."""
+        cluster = (target % CLUSTERS).astype(np.uint8)
+        order = np.argsort(cluster, kind="stable")
+        cuts = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1)).tolist()
+        return order, [(c, cuts[c], cuts[c + 1]) for c in range(CLUSTERS) if cuts[c] < cuts[c + 1]]
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        hidden = self.hidden_of(context)
+        order, clusters = self.by_cluster(target)
+        target = target[order]
+        hidden = self.hidden_of(context[order])
         logits = hidden @ self.cluster + self.cluster_bias
-        rows = np.arange(len(target))
-        out = logits[rows, target % CLUSTERS] - log_sum(logits)
-        for c, own in self.by_cluster(target):
-            logits = hidden[own] @ self.member[c] + self.member_bias[c]
-            out[own] += logits[np.arange(len(own)), target[own] // CLUSTERS] - log_sum(logits)
+        rows, member = np.arange(len(target)), target // CLUSTERS
+        found = logits[rows, target % CLUSTERS] - log_sum(logits)
+        for c, start, end in clusters:
+            logits = hidden[start:end] @ self.member[c] + self.member_bias[c]
+            found[start:end] += logits[rows[: end - start], member[start:end]] - log_sum(logits)
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
-    def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
-        """One gradient step on the mean of the negated log-probabilities, in place."""
+    def gradients(self, context: np.ndarray, target: np.ndarray):
+        """Sums over the batch, as (part, where, gradient) of the negated log-probabilities."""
+        order, clusters = self.by_cluster(target)
+        context, target = context[order], target[order]
         hidden = self.hidden_of(context)
-        rate = rate / np.float32(len(target))
+        rows, member = np.arange(len(target)), target // CLUSTERS
         error = softmax(hidden @ self.cluster + self.cluster_bias)
-        error[np.arange(len(target)), target % CLUSTERS] -= 1
+        error[rows, target % CLUSTERS] -= 1
         back = error @ self.cluster.T
-        self.cluster -= rate * (hidden.T @ error)
-        self.cluster_bias -= rate * error.sum(axis=0)
-        for c, own in self.by_cluster(target):
-            part = hidden[own]
+        yield "cluster", ..., hidden.T @ error
+        yield "cluster_bias", ..., total_rows(error)
+        for c, start, end in clusters:
+            part = hidden[start:end]
             error = softmax(part @ self.member[c] + self.member_bias[c])
-            error[np.arange(len(own)), target[own] // CLUSTERS] -= 1
-            back[own] += error @ self.member[c].T
-            self.member[c] -= rate * (part.T @ error)
-            self.member_bias[c] -= rate * error.sum(axis=0)
+            error[rows[: end - start], member[start:end]] -= 1
+            back[start:end] += error @ self.member[c].T
+            yield "member", c, part.T @ error
+            yield "member_bias", c, total_rows(error)
         back *= 1 - hidden * hidden
-        self.bias -= rate * back.sum(axis=0)
+        yield "bias", ..., total_rows(back)
+        narrow = np.uint16 if self.inputs.shape[1] <= 1 << 16 else np.int32  # short numbers sort in linear time
+        across = np.ascontiguousarray(back.T)
         for place in range(context.shape[1]):
-            order = np.argsort(context[:, place], kind="stable")
-            ids = context[order, place]
+            ids = context[:, place].astype(narrow)
+            order = np.argsort(ids, kind="stable")
+            ids = ids[order]
             first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-            self.inputs[place][ids[first]] -= rate * np.add.reduceat(back[order], first, axis=0)
+            yield "inputs", (place, ids[first]), np.add.reduceat(across.take(order, axis=1), first, axis=1).T
+
+    def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
+        """One gradient step in place.
+
+        What all positions share (the cluster layer and the biases) moves by
+        the mean gradient times ``rate``. A word's input and a cluster's
+        members see few of a large batch's positions: they move by the sum
+        times ``rate`` / 1024 there, as far as in batches of 1024.
+        """
+        shared, own = (np.float32(rate / n) for n in (len(target), min(len(target), 1024)))
+        for part, where, gradient in self.gradients(context, target):
+            getattr(self, part)[where] -= (own if part in ("inputs", "member", "member_bias") else shared) * gradient
+
+
+def total_rows(x: np.ndarray) -> np.ndarray:
+    return np.ones(len(x), np.float32) @ x
 
 
 def log_sum(logits: np.ndarray) -> np.ndarray:
     top = logits.max(axis=1)
-    return np.log(np.exp(logits - top[:, None]).sum(axis=1)) + top
+    scaled = logits - top[:, None]
+    np.exp(scaled, out=scaled)
+    return np.log(scaled @ np.ones(logits.shape[1], np.float32)) + top
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
-    out = np.exp(logits - logits.max(axis=1, keepdims=True))
-    out /= out.sum(axis=1, keepdims=True)
-    return out
+    """In place."""
+    logits -= logits.max(axis=1)[:, None]
+    np.exp(logits, out=logits)
+    logits *= (1 / (logits @ np.ones(logits.shape[1], np.float32)))[:, None]
+    return logits
 
 
 def contexts(ids: np.ndarray, side: int, at: np.ndarray) -> np.ndarray:
@@ -164,7 +207,7 @@ def contexts(ids: np.ndarray, side: int, at: np.ndarray) -> np.ndarray:
     return np.stack([padded[at + p] for p in places], axis=1)
 
 
-def in_a_row(vocabulary: Vocabulary, texts: list[bytes], side: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def in_a_row(vocabulary: dict, texts: list[bytes], side: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Ids of documents one after the other, ``side`` paddings around each; their numbers of words; the words."""
     split = [raw.lower().split() for raw in texts]
     n, words = np.array([len(x) for x in split], np.int64), list(chain.from_iterable(split))
@@ -216,8 +259,8 @@ def train(
     hidden: int = 32,
     rounds: int = 1,
     stride: int = 1,
-    batch: int = 1024,
-    rate: float = 4.0,
+    batch: int = 8192,
+    rate: float = 6.0,
     text_col: str = "text",
 ) -> Network:
     """Network trained on every position of all documents each round (one in ``stride``)."""
@@ -228,7 +271,7 @@ def train(
 
         def tasks(batches: Iterator[pa.RecordBatch], shared=shared, phase=number * stride // max(rounds, 1)) -> Iterator[pa.RecordBatch]:
             vocabulary, network = received(shared)
-            held, seen = [], 0
+            held, seen, lookup = [], 0, Lookup(vocabulary)
             # rows and weights are mixed over the batches that a block of text gives
             rng = np.random.default_rng(phase)
 
@@ -241,12 +284,12 @@ def train(
                 return len(target)
 
             for block in blocks(batches, "text", 2 << 20):
-                row, n, _ = in_a_row(vocabulary, block.column("text").to_pylist(), network.side)
+                row, n, _ = in_a_row(lookup, block.column("text").to_pylist(), network.side)
                 place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 own = np.flatnonzero(row)[(place - np.repeat(n, n) - phase) % stride == 0]
                 if len(own):
                     held.append((around(row, network.side, own), row[own]))
-                if sum(len(t) for _, t in held) >= 8 * batch:
+                if sum(len(t) for _, t in held) >= 16 * batch:
                     seen += learn()
                     held = []
             if held:
@@ -285,10 +328,10 @@ def score(
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, network = received(shared)
-        side = network.side
+        side, lookup = network.side, Lookup(vocabulary)
         for block in blocks(batches, "text", 2 << 20):
             # documents in a row, padded apart; a position is scored only if it holds a word
-            row, n, split = in_a_row(vocabulary, block.column("text").to_pylist(), side)
+            row, n, split = in_a_row(lookup, block.column("text").to_pylist(), side)
             sums = np.zeros(len(row))
             words = np.flatnonzero(row)
             for at in range(0, len(words), segment):

@@ -16,20 +16,45 @@ def test_probabilities_sum_to_one():
     assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
 
 
-def test_step_follows_the_gradient():
+def test_gradients_are_those_of_the_likelihood():
     network = Network.fresh(100, 1, 4)
     for p in ("inputs", "bias", "cluster", "cluster_bias", "member", "member_bias"):
         setattr(network, p, getattr(network, p).astype(np.float64))
     rng = np.random.default_rng(0)
     context, target = rng.integers(0, 100, (30, 2)), rng.integers(0, 100, 30)
     flat = network.parameters()
-    loss = lambda x: -network.with_parameters(x).log_probabilities(context, target).mean(dtype=np.float64)
-    start = network.with_parameters(flat)
-    start.step(context, target, 1.0)
-    moved = flat - start.parameters()
-    direction = moved / np.linalg.norm(moved)
-    slope = (loss(flat + 1e-2 * direction) - loss(flat - 1e-2 * direction)) / 2e-2
-    assert slope == pytest.approx(np.linalg.norm(moved), rel=0.02)
+    loss = lambda x: -network.with_parameters(x).log_probabilities(context, target).sum(dtype=np.float64)
+    total = network.with_parameters(np.zeros_like(flat))
+    for part, where, gradient in network.gradients(context, target):
+        getattr(total, part)[where] += gradient
+    total = total.parameters()
+    for direction in (total / np.linalg.norm(total), rng.normal(0, 1, len(flat)) / np.sqrt(len(flat))):
+        slope = (loss(flat + 1e-2 * direction) - loss(flat - 1e-2 * direction)) / 2e-2
+        assert slope == pytest.approx(total @ direction, rel=0.02, abs=0.02)
+
+
+def test_a_step_moves_words_by_sums_and_shared_layers_by_means():
+    rng = np.random.default_rng(1)
+    context, target = rng.integers(0, 300, (3000, 4)), rng.integers(0, 300, 3000)
+    start, moved = Network.fresh(300, 2, 8), Network.fresh(300, 2, 8)
+    moved.step(context, target, 2.0)
+    total = start.with_parameters(np.zeros_like(start.parameters()))
+    for part, where, gradient in start.gradients(context, target):
+        getattr(total, part)[where] += gradient
+    for part, size in (("inputs", 1024), ("member", 1024), ("member_bias", 1024), ("cluster", 3000), ("cluster_bias", 3000), ("bias", 3000)):
+        assert getattr(start, part) - getattr(moved, part) == pytest.approx(2.0 / size * getattr(total, part), abs=1e-4)
+
+
+def test_held_out_likelihood_does_not_fall_with_large_batches(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").coalesce(2)
+    held, seen = docs.filter("doc_id % 5 = 0"), docs.filter("doc_id % 5 <> 0")
+    vocabulary = build_vocabulary(spark, seen, common=4095, shared=512)
+    found = {}
+    for name, options in (("small", {"batch": 1024, "rate": 4.0}), ("default", {})):
+        scored = score(spark, held, vocabulary, train(spark, seen, vocabulary, **options))
+        found[name] = scored.selectExpr("sum(log_likelihood) / sum(n_words)").first()[0]
+    fresh = score(spark, held, vocabulary, Network.fresh(vocabulary.size, 2, 32)).selectExpr("sum(log_likelihood) / sum(n_words)").first()[0]
+    assert found["default"] >= found["small"] > fresh + 0.5
 
 
 def test_contexts_leave_the_word_out():
