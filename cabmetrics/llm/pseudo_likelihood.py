@@ -174,8 +174,10 @@ class Network:
         What all positions share (the cluster layer and the biases) moves by
         the mean gradient times ``rate``. A word's input and a cluster's
         members see few of a large batch's positions: they move by the sum
-        times ``rate`` / 1024 there, as far as in batches of 1024.
+        times ``rate`` / 1024 there, as far as in batches of 1024. Beyond
+        1024 the gradients are less noisy, and steps grow with the fourth root.
         """
+        rate *= max(1.0, len(target) / 1024) ** 0.25
         shared, own = (np.float32(rate / n) for n in (len(target), min(len(target), 1024)))
         for part, where, gradient in self.gradients(context, target):
             getattr(self, part)[where] -= (own if part in ("inputs", "member", "member_bias") else shared) * gradient
@@ -260,7 +262,7 @@ def train(
     rounds: int = 1,
     stride: int = 1,
     batch: int = 8192,
-    rate: float = 6.0,
+    rate: float = 4.0,
     text_col: str = "text",
 ) -> Network:
     """Network trained on every position of all documents each round (one in ``stride``)."""
