@@ -8,9 +8,14 @@ a shuffle; what is new is appended in the index's own bucketing. The folder
 outlives the session: ``open_index`` finds it again.
 
 Every document then gets the row that stands for its digest: the indexed one
-if the digest was known, else the largest id of the batch. That last join has
-one row per digest on one side, so a digest that holds a third of all rows
-is split by adaptive execution.
+if the digest was known, else the largest id of the batch. Digests that hold
+more than a thousandth of the rows are broadcast for that, the others joined
+by a shuffle, so no task gets all rows of one.
+
+A batch costs a read of the index, with a sort of each bucket once it has
+several files; an append adds one file to each bucket, and ``compact`` makes
+it one again. Two writers at once may both add a digest: the index is read
+with one row for each, the largest id.
 
 Defined cases: null text counts as empty; rows that repeat an id with the
 same text are one document (each of them gets the same answer); a null id
@@ -25,7 +30,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, written
+from .common import looked_up, lower_ascii, written
 
 
 def normalized(text: str | Column) -> Column:
@@ -47,6 +52,23 @@ def open_index(spark: SparkSession, path: str, buckets: int) -> str:
     return name
 
 
+def close_index(spark: SparkSession, index: str) -> None:
+    """Forget the table's name; the folder stays."""
+    spark.sql(f"DROP TABLE IF EXISTS {index}")
+
+
+def indexed(spark: SparkSession, index: str) -> DataFrame:
+    """(digest, keep_id), one row a digest; grouped within the index's buckets, without a shuffle."""
+    return spark.table(index).groupBy("digest").agg(F.max("keep_id").alias("keep_id"))
+
+
+def compact(spark: SparkSession, index: str, path: str, buckets: int) -> str:
+    """The index written anew to folder ``path``, one sorted file a bucket; returns the new table's name."""
+    fresh = open_index(spark, path, buckets)
+    indexed(spark, index).repartition(buckets, "digest").sortWithinPartitions("digest").select("digest", "keep_id").write.insertInto(fresh)
+    return fresh
+
+
 def append_new(spark: SparkSession, index: str, groups: DataFrame, buckets: int) -> None:
     """Add the groups whose digest the index does not have."""
     known = spark.table(index).select("digest")
@@ -62,7 +84,6 @@ def deduplicate(spark: SparkSession, docs: DataFrame, index: str, buckets: int,
     hashed = written(spark, docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.sha2(normalized(text_col), 256)).alias("digest")), "digests")
     groups = hashed.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     append_new(spark, index, groups, buckets)
-    decided = written(spark, groups.drop("keep_id").join(spark.table(index).hint("merge"), "digest"), "decisions")
-    return hashed.join(decided, "digest").select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "digest"
-    )
+    decided = groups.drop("keep_id").join(indexed(spark, index).hint("merge"), "digest").withColumn("held", F.col("group_size"))
+    answered = looked_up(hashed, written(spark, decided, "decisions"), "digest", hashed.count())
+    return answered.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")

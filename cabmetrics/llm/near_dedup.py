@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHash, blocks, mix64, raw_text, written
+from .common import WordHash, blocks, looked_up, mix64, raw_text, written
 from .components import connected_components
 
 CIRCLE = 1 << 20
@@ -182,9 +182,11 @@ def linked_within_buckets(spark: SparkSession, slots: DataFrame, texts: DataFram
     A bucket beyond a block's size is dealt to blocks, and each two blocks
     meet in one group; so a group has a bounded number of shingles.
     """
-    slots = written(spark, slots, "open_slots")
-    sizes = slots.groupBy("key").agg(F.ceil(F.greatest(F.count(F.lit(1)) / block_members, F.sum("size") / block_shingles)).cast("int").alias("blocks"))
-    dealt = slots.join(sizes, "key").withColumn("side", F.expr("int(pmod(xxhash64(rep), blocks))"))
+    # spread over all tasks: a hot bucket's members are multiplied where they lie, not in one place
+    slots = written(spark, slots.repartition(F.xxhash64("key", "rep")), "open_slots")
+    blocks_of = F.ceil(F.greatest(F.count(F.lit(1)) / block_members, F.sum("size") / block_shingles)).cast("int").alias("blocks")
+    sizes = written(spark, slots.groupBy("key").agg(F.count(F.lit(1)).alias("held"), blocks_of), "open_sizes")
+    dealt = looked_up(slots, sizes, "key", slots.count()).withColumn("side", F.expr("int(pmod(xxhash64(rep), blocks))"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", F.least("side", "other").alias("p"), F.greatest("side", "other").alias("q"), "side", F.col("rep").alias("doc_id"), "component")
     met = dealt.join(texts, "doc_id").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "side", "doc_id")

@@ -10,7 +10,7 @@ from cabmetrics.session import scratch_path
 from .chat_format import format_chats
 from .common import read_table, written
 from .decontaminate import decontaminate
-from .exact_dedup import deduplicate, open_index
+from .exact_dedup import close_index, deduplicate, open_index
 from .fill_in_middle import fill_in_middle, restored
 from .fixity import audit, leaves, levels_for, tree, warc_records
 from .language_id import identify, train
@@ -59,6 +59,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = open_index(spark, scratch_path(spark, "digest_index"), INDEX_BUCKETS)
     found = deduplicate(spark, read_table(spark, sf_dir, "documents"), index, INDEX_BUCKETS)
+    close_index(spark, index)  # the answers lie in written tables
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
