@@ -12,7 +12,6 @@ training queries (MLlib) have no SQL twin and get the rows-only check.
 
 from __future__ import annotations
 
-import importlib.util
 import math
 import os
 import sys
@@ -35,20 +34,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return REGISTRY["fare_by_hour"](spark, SF_SMOKE)
 
 
-def _training_data() -> bool:
-    """Whether the training-data subpackage and its pipeline are installed (they are optional)."""
-    return all(importlib.util.find_spec(m) is not None for m in ("cabmetrics.llm", "corpus_pipeline"))
+def _training_data():
+    """The training-data queries and the pipeline, or None: they are optional, and so is what they import."""
+    try:
+        import corpus_pipeline
+        from cabmetrics.llm import queries as training
+    except ImportError:
+        return None
+    return training, corpus_pipeline
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from cabmetrics.plans.catalog import REGISTRY
 
     found = dict(REGISTRY)
-    if _training_data():
-        import corpus_pipeline
-        from cabmetrics.llm.queries import QUERIES
-
-        found |= QUERIES | {"pipeline": corpus_pipeline.run}
+    training = _training_data()
+    if training is not None:
+        found |= training[0].QUERIES | {"pipeline": training[1].run}
     return found
 
 
@@ -488,13 +490,11 @@ def _bigint_counts(sql: str) -> str:
 def oracle_sql() -> dict[str, str]:
     """DuckDB text of each answer over the pre-registered tables."""
     found = {k: _bigint_counts(v) for k, v in _oracle_sql().items()}
-    if _training_data():
-        import corpus_pipeline
-        from cabmetrics.llm.queries import ORACLE_SQL
-
-        found |= ORACLE_SQL
-        if corpus_pipeline.ORACLE_SQL is not None:
-            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    training = _training_data()
+    if training is not None:
+        found |= training[0].ORACLE_SQL
+        if training[1].ORACLE_SQL is not None:
+            found["pipeline"] = training[1].ORACLE_SQL
     return found
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cabmetrics.llm.common import read_table, written
 from cabmetrics.llm.decontaminate import contaminations
-from cabmetrics.llm.exact_dedup import deduplicate, normalized, open_index
+from cabmetrics.llm.exact_dedup import close_index, deduplicate, normalized, open_index
 from cabmetrics.llm.language_id import identify, train
 from cabmetrics.llm.near_dedup import near_duplicates
 from cabmetrics.llm.packing import pack_documents
@@ -36,9 +36,16 @@ def without(rows: DataFrame, own: str, dropped: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no learned language go; learned from the documents' own labels. Decided by id and text."""
+    """Documents in no learned language go; learned from the documents' own labels. Decided by id and text.
+
+    Where no document has a label, nothing is learned and nothing can be told
+    apart: all documents stay.
+    """
+    model = train(spark, docs)
+    if not model.langs:
+        return docs
     rows, own = digested(docs)
-    found = identify(spark, rows, train(spark, docs), carried=(own,)).filter("rejected")
+    found = identify(spark, rows, model, carried=(own,)).filter("rejected")
     return without(rows, own, found.withColumnsRenamed({"doc_id": "dropped_id", own: "dropped_digest"}))
 
 
@@ -51,6 +58,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     index = open_index(spark, scratch_path(spark, "digest_index"), INDEX_BUCKETS)
     dropped = deduplicate(spark, docs, index, INDEX_BUCKETS).filter(~F.col("kept"))
+    close_index(spark, index)  # the answers lie in written tables
     rows, own = digested(docs, normalized("text"))
     return without(rows, own, dropped.withColumnsRenamed({"doc_id": "dropped_id", "digest": "dropped_digest"}))
 
