@@ -22,7 +22,8 @@ Calibration, on documents outside the training sample:
   Texts without a letter are rejected too.
 
 Scale: prediction is one map over the documents; memory holds the model and
-one segment of positions. Nothing is shuffled but the sample.
+one segment of positions. Texts are not shuffled: the chosen documents' ids and
+digests, whose number the sample bounds, are broadcast to the scan.
 
 Defined cases: null text, or text without a letter: ``und``, score 0,
 rejected. Without any labelled document every document is ``und``. Null
@@ -230,7 +231,8 @@ def labelled_sample(spark: SparkSession, docs: DataFrame, allowed: Column, train
     by_hash = Window.partitionBy("label").orderBy(place, "doc_id", "d1", "d2")
     chosen = few.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= size).select("doc_id", "d1", "d2", "label", (F.col("rank") <= train_docs).alias("train"))
     texts = docs.filter(F.col("text").isNotNull()).select("doc_id", F.col("lang").alias("label"), "text", *digests)
-    met = texts.join(chosen, ["doc_id", "label", "d1", "d2"]).dropDuplicates(["doc_id", "label", "d1", "d2"])
+    # at most ``size`` rows of four numbers for each of at most ``max_languages``
+    met = texts.join(F.broadcast(chosen), ["doc_id", "label", "d1", "d2"]).dropDuplicates(["doc_id", "label", "d1", "d2"])
     return written(spark, met.select(F.col("label").alias("lang"), raw_text("text").alias("text"), "train"), "language_sample")
 
 
