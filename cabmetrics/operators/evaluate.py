@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.scalar import pct_of_total
 
@@ -137,9 +136,15 @@ def rule_comparison(before: DataFrame, after: DataFrame, test: DataFrame, model:
 
 
 def rank_models(metrics: DataFrame, by: str = "RMSE") -> DataFrame:
-    """All models by ``by`` ascending with their rank. The window runs over
-    the metrics table, which has one row per model (bounded)."""
-    return metrics.withColumn("rank", F.rank().over(Window.partitionBy(F.lit(1)).orderBy(F.col(by).asc(), F.col("Model")))).orderBy("rank")
+    """All models by ``by`` ascending with their rank; models that tie in it and in name share one.
+
+    The table has one row per model, so it is gathered into one sorted list.
+    """
+    order = F.struct(F.col(by).isNotNull(), F.col(by), F.col("Model"))  # nulls first, as in a sort
+    rows = F.array_sort(F.collect_list(F.struct(order.alias("order"), F.struct(*metrics.columns).alias("row"))))
+    listed = metrics.agg(rows.alias("rows")).select("rows", F.posexplode("rows").alias("at", "r"))
+    earlier = F.size(F.filter("rows", lambda x: x["order"] < F.col("r.order")))
+    return listed.select(F.col("r.row.*"), (earlier + 1).alias("rank")).orderBy("rank")
 
 
 def best_model(metrics: DataFrame, by: str = "RMSE") -> DataFrame:

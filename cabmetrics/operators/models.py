@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import TARGET, TREE_FEATURES, ModelProfile, TuningProfile
+from .split import key_hash32
 
 # Memory for the node statistics of one pass. A level whose nodes don't fit is
 # split over several passes; the default of 256 MB splits the deep levels of
@@ -119,15 +121,21 @@ def param_grid(est: RandomForestRegressor, tuning: TuningProfile = TuningProfile
     return ParamGridBuilder().addGrid(est.numTrees, list(tuning.num_trees)).addGrid(est.maxDepth, list(tuning.max_depth)).build()
 
 
-def cross_validate(train: DataFrame, tuning: TuningProfile = TuningProfile(), features: Sequence[str] = TREE_FEATURES, fold_col: str | None = "fold"):
-    """Grid search of the forest with k-fold CV on RMSE.
+def cross_validate(
+    train: DataFrame,
+    tuning: TuningProfile = TuningProfile(),
+    features: Sequence[str] = TREE_FEATURES,
+    fold_col: str | None = "fold",
+    combinations: Sequence[tuple[int, int]] | None = None,
+):
+    """Grid search of the forest with k-fold CV on RMSE, over the profile's grid or the ``combinations`` (numTrees, maxDepth).
 
     With ``fold_col`` the folds come from the key hash (stable); otherwise
     CrossValidator draws random folds with ``tuning.seed``. Returns the CV
     model and a table (numTrees, maxDepth, avg_rmse).
     """
     rf = RandomForestRegressor(featuresCol="features", labelCol="label", seed=tuning.seed, cacheNodeIds=True, maxMemoryInMB=TREE_MEMORY_MB)
-    grid = param_grid(rf, tuning)
+    grid = param_grid(rf, tuning) if combinations is None else [{rf.numTrees: t, rf.maxDepth: d} for t, d in combinations]
     data = assembler(features).transform(train).select(
         "features", F.col(TARGET).cast("double").alias("label"), *([fold_col] if fold_col else [])
     )
@@ -149,6 +157,34 @@ def cross_validate(train: DataFrame, tuning: TuningProfile = TuningProfile(), fe
     return cv_model, table
 
 
+def successive_halving(train: DataFrame, tuning: TuningProfile = TuningProfile(), features: Sequence[str] = TREE_FEATURES, keep: int = 3, rungs: int = 3):
+    """Tuning on growing shares of the rows: all combinations on the least one, the best on the next, the last ones on all.
+
+    Each rung has ``keep`` times the rows of the one before and a ``keep``-th
+    of its combinations, so it costs about as much, where the full grid fits
+    every combination on all rows. Rows belong to a rung by a hash of their
+    key (digits that neither the split nor the folds use), and each rung's
+    rows are among the next one's; the folds stay as they are. ``train`` has
+    the columns key and fold. Returns the last rung's CV model and the rows
+    (rung, fraction, n_rows, numTrees, maxDepth, avg_rmse, kept).
+    """
+    left = [(t, d) for t in tuning.num_trees for d in tuning.max_depth]
+    out, cv_model = [], None
+    for rung in range(1, rungs + 1):
+        fraction = float(keep) ** (rung - rungs)
+        part = train.filter(key_hash32("key", offset=17) < F.lit(int(fraction * 2**32))).select(*features, TARGET, "fold")
+        part = part.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            cv_model, table = cross_validate(part, tuning, features, combinations=left)
+            n_rows = part.count()
+        finally:
+            part.unpersist()
+        found = {(r["numTrees"], r["maxDepth"]): r["avg_rmse"] for r in table.collect()}
+        left = sorted(left, key=lambda c: (found[c], c))[: max(1, -(-len(left) // keep)) if rung < rungs else 1]
+        out += [(rung, fraction, n_rows, *c, e, c in left) for c, e in found.items()]
+    return cv_model, out
+
+
 def final_stage(model):
     return model.stages[-1] if isinstance(model, PipelineModel) else model
 

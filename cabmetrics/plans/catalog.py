@@ -994,6 +994,63 @@ def check_grid(spark, sf):
     return CH.grid(spark, sf, TUNING)
 
 
+@query("tune_by_halving")
+def tune_by_halving(spark, sf):
+    """The rungs of a search by successive halving: combinations, rows and errors, and which went on."""
+    kind = "rung int, fraction double, n_rows long, numTrees int, maxDepth int, avg_rmse double, kept boolean"
+    return spark.createDataFrame(FM.halved(spark, sf, TUNING)[1], kind)
+
+
+@query("check_halving")
+def check_halving(spark, sf):
+    """Rows and combinations of each rung, and whether the halved search ends within 1 % of the full grid's best error."""
+    rungs = tune_by_halving(spark, sf)
+    full = {(r["numTrees"], r["maxDepth"]): r["avg_rmse"] for r in cross_validate(spark, sf).collect()}
+    best = rungs.orderBy(F.desc("rung"), "avg_rmse").first()
+    as_good = full[best["numTrees"], best["maxDepth"]] <= 1.01 * min(full.values())
+    return rungs.groupBy("rung").agg(F.count(F.lit(1)).alias("n_combinations"), F.max("n_rows").alias("n_rows"), F.count_if("kept").alias("n_kept"), F.lit(as_good).alias("as_good_as_the_grid"))
+
+
+@query("check_fit_with_fallback")
+def check_fit_with_fallback(spark, sf):
+    """A search that must fail (a forest without trees): the default forest stands in on every test row, and the error is told."""
+    model, _, status, error = FM.tuned(spark, sf, TuningProfile(num_trees=(0,), max_depth=(5,)))
+    _, test = K.split(spark, sf)
+    both = M.predict_many({"used": model, "default": FM.fitted(spark, sf, "rf")}, test)
+    told = "numTrees" in (error or "")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("used").eqNullSafe(F.col("default"))).alias("n_differences"), F.lit(status).alias("status"), F.lit(told).alias("error_is_told"))
+
+
+@query("saved_parameters")
+def saved_parameters(spark, sf):
+    """What the saved forest's folder says of its stages: classes and the parameters they were fitted with."""
+    stages = spark.read.json(f"{FM.save_fitted(spark, sf, 'rf')}/stages/*/metadata")
+    params = "paramMap"
+    return stages.select(
+        F.substring_index("class", ".", -1).alias("stage"),
+        *(F.col(f"{params}.{p}").cast("long").alias(name) for p, name in (("numTrees", "num_trees"), ("maxDepth", "max_depth"), ("seed", "seed"))),
+        F.size(f"{params}.inputCols").alias("n_inputs"),
+    )
+
+
+@query("check_predict_rows")
+def check_predict_rows(spark, sf):
+    """Keys and labels that come with the predictions: the test rows' own."""
+    return K.rounded(FM.test_predictions(spark, sf, "rf").select("key", "label"))
+
+
+@query("check_tuned_rows")
+def check_tuned_rows(spark, sf):
+    """Keys, labels and report fields that come with the tuned forest's predictions."""
+    return K.rounded(FM.tuning_predictions(spark, sf, TUNING).select("key", "label", "distance_km", "hour"))
+
+
+@query("check_model_metrics")
+def check_model_metrics(spark, sf):
+    """The trained models' metrics as the sink has them: every model once, errors in their order of size."""
+    return write_model_metrics(spark, sf).select("Model", (F.col("MAE") <= F.col("RMSE")).alias("mae_within_rmse"), (F.col("R2") < 1).alias("r2_below_one"))
+
+
 @query("check_model_params")
 def check_model_params(spark, sf):
     """Parameters that the profiles fix (the tuned forest's are the grid's)."""

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cabmetrics.operators import models as M
 from cabmetrics.operators.evaluate import metrics_row, regression_metrics
+from cabmetrics.operators.split import fold_column, key_hash32
 from cabmetrics.plans import common as K
 from cabmetrics.plans import fare_model as FM
 from cabmetrics.schema import ModelProfile, TuningProfile
@@ -115,3 +116,18 @@ def test_fit_with_fallback_reports_failure(spark, data):
     )
     assert status == "fallback" and err and "fold" in err
     assert M.predict(model, test).count() == test.count()
+
+
+def test_successive_halving_fits_few_combinations_on_all_rows(spark, sf_small):
+    train = fold_column(K.split(spark, sf_small)[0], 2)
+    tuning = TuningProfile(num_trees=(2, 4), max_depth=(2, 5), num_folds=2)
+    cv_model, rows = M.successive_halving(train, tuning, keep=2, rungs=2)
+    of_rung = {r: [x for x in rows if x[0] == r] for r in (1, 2)}
+    assert [len(v) for v in of_rung.values()] == [4, 2]
+    kept = {(t, d) for _, _, _, t, d, _, k in of_rung[1] if k}
+    assert kept == {(t, d) for _, _, _, t, d, _, _ in of_rung[2]}
+    assert {(t, d) for _, _, _, t, d, e, _ in of_rung[1] if e <= sorted(x[5] for x in of_rung[1])[1]} == kept
+    assert of_rung[2][0][2] == train.count()
+    assert of_rung[1][0][2] == train.filter(key_hash32("key", offset=17) < 2**31).count()
+    best = next((t, d) for _, _, _, t, d, _, k in of_rung[2] if k)
+    assert (cv_model.bestModel.getNumTrees, cv_model.bestModel.getOrDefault("maxDepth")) == best
