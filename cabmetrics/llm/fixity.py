@@ -9,7 +9,10 @@ hash their children with their places, up to a root over the whole segment.
 differ, so equal segments cost one row and a fault costs one path.
 
 Ranges follow offsets, not record numbers: a record that is missing in one
-replica changes its own path only.
+replica changes its own path only. A replica is a copy of the archive's files,
+so what it still has lies at the same offsets, and a lost record is a hole in
+it. That is assumed: an archive laid out anew, without the lost record, has
+other offsets from there to the segment's end, and all of them are reported.
 
 Scale: segments are cut inside the scan tasks, without a shuffle. A level is
 one pre-grouped aggregate of bounded groups (children of one range) and is

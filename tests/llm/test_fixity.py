@@ -70,6 +70,16 @@ def test_faults_are_located(spark):
     assert audit(ours, ours, RANGE, FAN).count() == 0
 
 
+def test_an_archive_laid_out_anew_differs_from_the_lost_record_on(spark):
+    pages = spark.createDataFrame(ROWS[:40], "page_id long, url string, html string").coalesce(1)
+    records, anew = (written(spark, warc_records(p, 1 << 20), "records") for p in (pages, pages.filter("page_id <> 9")))
+    lost = next(r["offset"] for r in records.collect() if r["page_id"] == 9)
+    ours, theirs = trees(spark, records, anew)
+    found = {r["offset"]: r["fault"] for r in audit(ours, theirs, RANGE, FAN).collect()}
+    offsets = {r["offset"] for r in records.collect()}
+    assert offsets & found.keys() == {o for o in offsets if o >= lost} and not any(o < lost for o in found)
+
+
 def test_empty_table(spark):
     records = archive(spark, [])
     ours, theirs = trees(spark, records, records)
