@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import nan_to_null, passenger_valid_flag, pct_of_total, pearson
 from ..functions.timeparts import day_name
 from ..schema import CODE_PROFILE, NUMERIC_COLUMNS, CleaningProfile
-from .quantiles import quantiles
+from .quantiles import opening_sketch, quantiles
 
 
 def _r(c: Column, digits: int | None) -> Column:
@@ -70,8 +70,8 @@ def describe_numeric(
 ) -> DataFrame:
     """pandas-style describe: count, mean, std (n-1), min, 25/50/75 %, max per column.
 
-    One aggregate gives the moments and, with them, the count/min/max the
-    quantile search starts from; the quartiles then come from
+    One aggregate gives the moments and, with them, the count, min, max and
+    the sketch that the quantile search starts from; the quartiles then come from
     :func:`quantiles` (exact, bounded memory). The result has one row per
     column, built from those bounded numbers.
     """
@@ -87,11 +87,12 @@ def describe_numeric(
                 F.stddev_samp(c).alias(f"std{i}"),
                 F.min(c).alias(f"min{i}"),
                 F.max(c).alias(f"max{i}"),
+                opening_sketch(F.col(c), [0.25, 0.5, 0.75]).alias(f"sketch{i}"),
             )
         ]
     ).first()
     stats = {c: (m[f"n{i}"], m[f"min{i}"], m[f"max{i}"]) for i, c in enumerate(cols)}
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], method=method, stats=stats)
+    q = quantiles(df, cols, [0.25, 0.5, 0.75], method=method, stats=stats, sketches={c: m[f"sketch{i}"] for i, c in enumerate(cols)})
     rows = [
         (i + 1, c, m[f"n{i}"], m[f"mean{i}"], m[f"std{i}"], m[f"min{i}"], *q[c], m[f"max{i}"])
         for i, c in enumerate(cols)
@@ -108,8 +109,8 @@ def describe_numeric(
 
 def _moments_and_median(df: DataFrame, col: str, method: str) -> tuple:
     c = nan_to_null(F.col(col).cast("double"))
-    m = df.agg(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean")).first()
-    med = quantiles(df, [col], [0.5], method=method, stats={col: (m["n"], m["min"], m["max"])})[col][0]
+    m = df.agg(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), opening_sketch(c, [0.5]).alias("sketch")).first()
+    med = quantiles(df, [col], [0.5], method=method, stats={col: (m["n"], m["min"], m["max"])}, sketches={col: m["sketch"]})[col][0]
     return m, med
 
 

@@ -52,6 +52,15 @@ def _inside(col: str, t: dict) -> Column:
     return F.when(cond, c)
 
 
+def opening_sketch(col: Column, probs: Sequence[float], accuracy: int = 10_000) -> Column:
+    """Aggregate of two values around each of ``probs``, for the ``sketches`` of ``exact_quantiles``.
+
+    A caller that aggregates the column anyway puts it into that pass.
+    """
+    margin = 3 / accuracy
+    return F.percentile_approx(col, [f for p in probs for f in (max(0.0, p - margin), min(1.0, p + margin))], accuracy)
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
@@ -60,27 +69,31 @@ def exact_quantiles(
     accuracy: int = 10_000,
     max_passes: int = 200,
     stats: dict | None = None,
+    sketches: dict | None = None,
 ) -> dict[str, list[float | None]]:
     """``{column: [quantile for p in probs]}``; null/NaN ignored, None for an empty column.
 
     ``stats`` (``{column: (count, min, max)}`` of the non-null, non-NaN
-    values) lets a caller that already aggregated the column skip the count.
+    values) lets a caller that already aggregated the column skip the count,
+    and ``sketches`` (the ``opening_sketch`` of each column) the first sketch.
     """
     cols = list(cols)
     base = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
     if stats is None:
-        counts = base.agg(*[F.count(f"x{i}").alias(f"n{i}") for i in range(len(cols))]).first()
-        counts = [counts[f"n{i}"] for i in range(len(cols))]
+        counted = [c for i in range(len(cols)) for c in (F.count(f"x{i}").alias(f"n{i}"), opening_sketch(F.col(f"x{i}"), probs, accuracy).alias(f"s{i}"))]
+        row = base.agg(*counted).first()
+        counts, opening = [row[f"n{i}"] for i in range(len(cols))], [row[f"s{i}"] for i in range(len(cols))]
     else:
         counts = [stats[c][0] for c in cols]
+        opening = [sketches[c] for c in cols] if sketches is not None else None
 
     # by (column, 0-based rank): the open interval that holds the answer (None:
     # unbounded), how many values lie before it and in it, the answer
     targets: dict[tuple[int, int], dict] = {}
     for i, n in enumerate(counts):
-        for p in probs if n else ():
+        for k, p in enumerate(probs if n else ()):
             for r in _ranks(n, p)[:2]:
-                targets.setdefault((i, r), {"lo": None, "hi": None, "before": 0, "inside": n, "value": None})
+                targets.setdefault((i, r), {"lo": None, "hi": None, "before": 0, "inside": n, "value": None, "bracket": 2 * k})
 
     for _ in range(max_passes):
         wide = [(k, t) for k, t in targets.items() if t["value"] is None and t["inside"] > limit]
@@ -89,21 +102,26 @@ def exact_quantiles(
         by_interval: dict[tuple, list] = {}
         for (i, r), t in wide:
             by_interval.setdefault((i, t["lo"], t["hi"]), []).append((r, t))
-        sketches, asked = [], []
-        for s, ((i, _, _), members) in enumerate(by_interval.items()):
-            margin = max(2 / accuracy, 1.5 / members[0][1]["inside"])
-            fractions, leader = [], None
-            members.sort(key=lambda m: m[0])
-            for r, t in members:
-                if leader is None or r > leader + 1:  # the two ranks of one quantile share a bracket
-                    leader, at = r, (r - t["before"] + 0.5) / t["inside"]
-                    fractions += [max(0.0, at - margin), min(1.0, at + margin)]
-                t["bracket"] = len(fractions) - 2
-            sketches.append(F.percentile_approx(_inside(f"x{i}", members[0][1]), fractions, accuracy).alias(f"s{s}"))
-        found = base.agg(*sketches).first()
-        for s, ((i, _, _), members) in enumerate(by_interval.items()):
-            for r, t in members:
-                asked.append((i, r, t, *found[f"s{s}"][t["bracket"] : t["bracket"] + 2]))
+        asked = []
+        if opening is not None:  # the first brackets are there already
+            asked = [(i, r, t, *opening[i][t["bracket"] : t["bracket"] + 2]) for (i, r), t in wide]
+            opening = None
+        else:
+            sketched = []
+            for s, ((i, _, _), members) in enumerate(by_interval.items()):
+                margin = max(2 / accuracy, 1.5 / members[0][1]["inside"])
+                fractions, leader = [], None
+                members.sort(key=lambda m: m[0])
+                for r, t in members:
+                    if leader is None or r > leader + 1:  # the two ranks of one quantile share a bracket
+                        leader, at = r, (r - t["before"] + 0.5) / t["inside"]
+                        fractions += [max(0.0, at - margin), min(1.0, at + margin)]
+                    t["bracket"] = len(fractions) - 2
+                sketched.append(F.percentile_approx(_inside(f"x{i}", members[0][1]), fractions, accuracy).alias(f"s{s}"))
+            found = base.agg(*sketched).first()
+            for s, ((i, _, _), members) in enumerate(by_interval.items()):
+                for r, t in members:
+                    asked.append((i, r, t, *found[f"s{s}"][t["bracket"] : t["bracket"] + 2]))
         edges = {(i, v) for i, _, _, a, b in asked for v in (a, b)}
         names = {edge: e for e, edge in enumerate(sorted(edges))}
         row = base.agg(
@@ -165,5 +183,6 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method
         return exact_quantiles(df, cols, probs, **kw)
     if method == "approx":
         kw.pop("stats", None)
+        kw.pop("sketches", None)
         return approx_quantiles(df, cols, probs, **kw)
     raise ValueError(f"unknown method {method!r}")
