@@ -179,3 +179,11 @@ def test_sql_twins(spark, name):
     cols = [d[0] for d in want.description]
     assert sorted(cols) == sorted(df.columns)
     assert sorted(tuple(r) for r in df.select(*cols).collect()) == sorted(want.fetchall())
+
+
+def test_without_labels_the_language_stage_keeps_everything(spark, table):
+    docs, sf = table
+    some = docs.filter("doc_id < 20 or doc_id is null").withColumn("lang", F.lit(None).cast("string"))
+    assert rows_of(pipeline.language(spark, some, sf)) == rows_of(some)
+    nothing = docs.limit(0)
+    assert pipeline.language(spark, nothing, sf).columns == docs.columns and pipeline.language(spark, nothing, sf).count() == 0
