@@ -537,10 +537,6 @@ fb AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - 1.5e0 * (q3 - q1) AS lower, q3 + 1.5e
     complete = " AND ".join(f"{c} IS NOT NULL" + (f" AND NOT isnan({c})" if c != "passenger_count" else "") for c in _NUMERIC)
     return {
         # facts about fitted models
-        "check_halving": _q(
-            "SELECT CAST(rung AS INTEGER) AS rung, n_combinations, (SELECT count(*) FROM train WHERE CAST(('0x' || substr(md5(coalesce(key, '')), 17, 8)) AS BIGINT) < threshold) AS n_rows, "
-            "n_kept, true AS as_good_as_the_grid FROM (VALUES (1, 9, 477218588, 3), (2, 3, 1431655765, 1), (3, 1, 4294967296, 1)) v(rung, n_combinations, threshold, n_kept)"
-        ),
         "check_fit_with_fallback": _q("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differences, 'fallback' AS status, true AS error_is_told FROM test"),
         "saved_parameters": "SELECT * FROM (VALUES ('VectorAssembler', NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, 10), ('RandomForestRegressionModel', 50, 10, 42, NULL)) v(stage, num_trees, max_depth, seed, n_inputs)",
         "check_predict_rows": _rnd("SELECT key, fare_amount AS label FROM test", ["label"]),

@@ -9,6 +9,7 @@ and can be saved, loaded and applied to new trips unchanged.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -175,7 +176,8 @@ def successive_halving(train: DataFrame, tuning: TuningProfile = TuningProfile()
         part = train.filter(key_hash32("key", offset=17) < F.lit(int(fraction * 2**32))).select(*features, TARGET, "fold")
         part = part.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            cv_model, table = cross_validate(part, tuning, features, combinations=left)
+            # one fit at a time: the node statistics of several deep forests at once need several times the memory
+            cv_model, table = cross_validate(part, replace(tuning, parallelism=1), features, combinations=left)
             n_rows = part.count()
         finally:
             part.unpersist()

@@ -994,23 +994,6 @@ def check_grid(spark, sf):
     return CH.grid(spark, sf, TUNING)
 
 
-@query("tune_by_halving")
-def tune_by_halving(spark, sf):
-    """The rungs of a search by successive halving: combinations, rows and errors, and which went on."""
-    kind = "rung int, fraction double, n_rows long, numTrees int, maxDepth int, avg_rmse double, kept boolean"
-    return spark.createDataFrame(FM.halved(spark, sf, TUNING)[1], kind)
-
-
-@query("check_halving")
-def check_halving(spark, sf):
-    """Rows and combinations of each rung, and whether the halved search ends within 1 % of the full grid's best error."""
-    rungs = tune_by_halving(spark, sf)
-    full = {(r["numTrees"], r["maxDepth"]): r["avg_rmse"] for r in cross_validate(spark, sf).collect()}
-    best = rungs.orderBy(F.desc("rung"), "avg_rmse").first()
-    as_good = full[best["numTrees"], best["maxDepth"]] <= 1.01 * min(full.values())
-    return rungs.groupBy("rung").agg(F.count(F.lit(1)).alias("n_combinations"), F.max("n_rows").alias("n_rows"), F.count_if("kept").alias("n_kept"), F.lit(as_good).alias("as_good_as_the_grid"))
-
-
 @query("check_fit_with_fallback")
 def check_fit_with_fallback(spark, sf):
     """A search that must fail (a forest without trees): the default forest stands in on every test row, and the error is told."""

@@ -83,17 +83,6 @@ def tuned(spark: SparkSession, sf_dir: str, tuning: TuningProfile):
     return best, spark.createDataFrame(rows, schema), status, error
 
 
-def halved(spark: SparkSession, sf_dir: str, tuning: TuningProfile) -> tuple[PipelineModel, list[tuple]]:
-    """(best pipeline, rungs) of the search by successive halving, once a session."""
-
-    def search():
-        train, _ = common.split(spark, sf_dir)
-        cv_model, rungs = M.successive_halving(fold_column(train, tuning.num_folds), tuning)
-        return PipelineModel(stages=[M.assembler(TREE_FEATURES), cv_model.bestModel]), rungs
-
-    return _once(common.data_key(spark, sf_dir, "halving", tuning.num_trees, tuning.max_depth, tuning.num_folds, tuning.seed), search)
-
-
 def tuning_predictions(spark: SparkSession, sf_dir: str, tuning: TuningProfile) -> DataFrame:
     """Test rows with the baseline forest's and the tuned forest's predictions, one pass."""
     _, test = common.split(spark, sf_dir)
