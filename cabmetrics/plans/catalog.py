@@ -817,10 +817,11 @@ def sketch_quantiles(spark, sf):
 
 @query("check_sketch_quantiles")
 def check_sketch_quantiles(spark, sf):
-    """Months and the whole range: rows behind each answer, and whether its rank is within the sketch's bound."""
+    """Months and centuries: rows behind each answer, and whether its rank is within the sketch's bound."""
     stored, trips = _stored_sketches(spark, sf), K.clean(spark, sf)
     parts = []
-    for by, of in ((F.col("month"), F.date_format("pickup_datetime", "yyyy-MM")), (F.lit("all"), F.lit("all"))):
+    month = F.date_format("pickup_datetime", "yyyy-MM")
+    for by, of in ((F.col("month"), month), (F.substring("month", 1, 2), F.substring(month, 1, 2))):
         found = SKE.merged_quantiles(stored, SKETCH_PROBS, [by.alias("part")])
         truth = SKE.rank_deviation(found, trips, of).select("part", "p", F.col("n").alias("n_true"), "deviation")
         parts.append(found.join(truth, ["part", "p"]).select("part", "p", (F.col("n") == F.col("n_true")).alias("all_rows"), F.col("n_true").alias("n"), (F.col("deviation") <= SKE.rank_error()).alias("within_bound")))
