@@ -16,8 +16,15 @@ from ..session import content_stamp, path_exists, scratch_path, use_utc
 
 
 _TABLES: dict = {}
-# Fixed value of our own: minimum file count of a written trip table.
+# Fixed values of our own: minimum file count of a written trip table, and the
+# rows a file holds at most on average (a fit of 50 trees reads up to 0.5 kB a train row in a pass).
 MIN_TABLE_PARTITIONS = 8
+ROWS_PER_PARTITION = 300_000
+
+
+def table_partitions(rows: int) -> int:
+    """Files of a written trip table: a function of its rows alone."""
+    return max(MIN_TABLE_PARTITIONS, -(-rows // ROWS_PER_PARTITION))
 
 
 def data_key(spark: SparkSession, sf_dir: str, *parts) -> tuple:
@@ -40,15 +47,14 @@ def trips_table(spark: SparkSession, sf_dir: str) -> str:
     if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
         path = scratch_path(spark, "trips")
         trips = fixture_trips(spark, sf_dir)
-        # a small source (one split) would give a one-file table and single-task
-        # scans and model fits downstream; spread it over a fixed minimum of
-        # files. The count is a constant, not the machine's core count: the
-        # forest's bootstrap and the CV folds are seeded per partition, so a
-        # layout that followed the cores would change models between machines.
+        # a source gives as many filled splits as it has row groups, however
+        # large: few files, so few tasks of a fit, each with a share of the rows
+        # that grows with the table. Spread the rows over files by their number
+        # (the count reads parquet footers only). Not by the machine's cores:
+        # the forest's bootstrap and the CV folds are seeded per partition, so
+        # a layout that followed the cores would change models between machines.
         # Round-robin (not by key) so a hot key cannot make one file huge.
-        # Large inputs already have more splits than this: no-op.
-        if trips.rdd.getNumPartitions() < MIN_TABLE_PARTITIONS:
-            trips = trips.repartition(MIN_TABLE_PARTITIONS)
+        trips = trips.repartition(table_partitions(trips.count()))
         trips.write.mode("overwrite").parquet(path)
         _TABLES[key] = path
     return path

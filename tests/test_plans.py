@@ -1,7 +1,10 @@
 """Plan guards: the properties that matter at scale, checked on the
 physical plans of every registered query."""
 
+import shutil
+
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from cabmetrics.plans.catalog import REGISTRY
@@ -47,3 +50,22 @@ def test_temporal_panels_single_scan(spark):
     plan = _explain(entry.queries()["temporal_profile"](spark, SF))
     scans = [ln for ln in plan.splitlines() if ln.startswith("(") and "Scan parquet" in ln]
     assert "Expand" not in plan and len(scans) == 1
+
+
+def test_large_source_of_one_row_group_is_spread_over_the_table(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    from cabmetrics.plans import common
+
+    pq.write_table(pq.read_table(f"{SF}/events.parquet"), tmp_path / "events.parquet")
+    shutil.copy(f"{SF}/orders.parquet", tmp_path / "orders.parquet")
+    monkeypatch.setattr(common, "ROWS_PER_PARTITION", 50)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")  # many splits, of which one holds the row group
+    try:
+        table = common.raw_trips(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    rows = table.count()
+    held = [r["n"] for r in table.groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert rows > 8 * 50 and sum(held) == rows
+    assert len(held) == common.table_partitions(rows) == -(-rows // 50) and max(held) <= 2 * 50
