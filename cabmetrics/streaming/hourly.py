@@ -34,6 +34,10 @@ from ..schema import TRIP_SCHEMA
 from ..session import scratch_path, use_utc
 
 DELAY = "30 days"
+# Fixed value of our own: most partitions of the stream's state. Every state task
+# reports one number for each partition of its operator, so what the driver gets
+# grows with the square of their count.
+STATE_PARTITIONS = 64
 
 
 def deduplicated(trips: DataFrame, delay: str = DELAY) -> DataFrame:
@@ -70,20 +74,28 @@ class WindowStream:
     out: str
     width: str = "1 hour"
     delay: str = DELAY
+    state_partitions: int = STATE_PARTITIONS
     runs: list[Run] = field(default_factory=list)
 
     def advance(self) -> Run:
         use_utc(self.spark)
         trips = clean_trips(self.spark.readStream.schema(TRIP_SCHEMA).parquet(self.landing))
-        query = (
+        writer = (
             fares_by_window(trips, self.width, self.delay)
             .writeStream.format("parquet")
             .option("path", self.out)
             .option("checkpointLocation", f"{self.out}-checkpoint")
             .outputMode("append")
             .trigger(availableNow=True)
-            .start()
         )
+        # a query takes the session's settings as it starts (its checkpoint keeps
+        # the partitions of the state from the first run on)
+        asked = self.spark.conf.get("spark.sql.shuffle.partitions")
+        self.spark.conf.set("spark.sql.shuffle.partitions", min(int(asked), self.state_partitions))
+        try:
+            query = writer.start()
+        finally:
+            self.spark.conf.set("spark.sql.shuffle.partitions", asked)
         query.awaitTermination()
         run = Run()
         for progress in query.recentProgress:

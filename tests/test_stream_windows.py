@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 from cabmetrics.schema import TRIP_SCHEMA
 from cabmetrics.session import scratch_path
@@ -46,3 +47,18 @@ def test_batch_form_counts_each_trip_once(spark):
     assert [(r["trip_count"], r["total_fare"]) for r in found] == [(3, 31.0)]
     daily = fares_by_window(spark.createDataFrame([trip("a", 1), trip("b", 23), trip("c", 25)], TRIP_SCHEMA), "1 day").collect()
     assert sorted(r["trip_count"] for r in daily) == [1, 2]
+
+
+def test_state_partitions_are_bounded(spark):
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "windows")
+    deliver(spark, landing, [trip("a", 0.5), trip("b", 12.5, 20)])
+    asked = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 20)
+    try:
+        stream = WindowStream(spark, landing, out, delay="10 hours", state_partitions=3)
+        assert stream.advance().rows_in == 2
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "20"  # the caller's own setting stays
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", asked)
+    state = [f.path for op in (0, 1) for f in os.scandir(f"{out}-checkpoint/state/{op}".removeprefix("file:")) if f.name.isdigit()]
+    assert len(state) == 2 * 3 and [r["trip_count"] for r in stream.windows().collect()] == [1]
