@@ -14,9 +14,10 @@ points there, and bisection on these ranks finds the places of both cuts, for
 all texts of a block at once.
 
 Scale: one pass without a shuffle. A text goes to the Python worker as bytes
-and only three numbers come back; the result is put together by Spark's own
-functions. Memory: a block of ``BLOCK_BYTES`` of text, or one longer text, a
-few times over. A lost executor costs the tasks at hand.
+and comes back with three numbers, block by block, so that Spark holds no
+queue of the rows that wait for them; the result is put together by Spark's
+own functions. Memory: an Arrow batch, and a block of ``BLOCK_BYTES`` of text,
+or one longer text, a few times over. A lost executor costs the tasks at hand.
 
 Defined cases: null text is empty; an empty text, one that holds a marker, and
 the share ``plain_percent`` stay plain. A null id draws the numbers of the
@@ -26,12 +27,15 @@ columns are not read, so their names cannot clash.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import raw_text
+from .common import blocks, raw_text
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 BLOCK_BYTES = 4 << 20
@@ -169,8 +173,14 @@ def fill_in_middle(
     def number(group: int) -> Column:
         return F.conv(F.substring("digest", 8 * group + 1, 8), 16, 10).cast("long")
 
-    locate = F.arrow_udf(cuts, CUTS)
-    rows = rows.withColumn("cut", locate(raw_text("text"), number(0), number(1)))
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text", BLOCK_BYTES):
+            found = cuts(*(block.column(c) for c in ("text", "first", "second")))
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in ("doc_id", "text", "digest")), found], names=["doc_id", "text", "digest", "cut"])
+
+    sent = rows.select("doc_id", raw_text("text").alias("text"), "digest", number(0).alias("first"), number(1).alias("second"))
+    kinds = StructType([sent.schema["doc_id"], *StructType.fromDDL(f"text binary, digest string, cut {CUTS}")])
+    rows = sent.mapInArrow(tasks, kinds).withColumn("text", F.col("text").cast("string"))
     marked = F.contains("text", F.lit(PREFIX)) | F.contains("text", F.lit(SUFFIX)) | F.contains("text", F.lit(MIDDLE))
     plain = (F.col("text") == "") | marked | (number(2) % 100 >= 100 - plain_percent)
     form = F.when(plain, "plain").when(number(3) % 100 < suffix_first_percent, "spm").otherwise("psm")

@@ -97,3 +97,9 @@ def test_query_returns_every_document(spark, sf_small):
         assert tuple(r)[:5] == want[:5]
         assert r["output_sha256"] == hashlib.sha256(want[5].encode()).hexdigest()
         assert r["restored_sha256"] == hashlib.sha256(docs[r["doc_id"]].encode()).hexdigest()
+
+
+def test_no_queue_of_whole_texts_waits_for_the_cuts(spark):
+    docs = spark.createDataFrame([(1, "ab cd")], "doc_id long, text string")
+    plan = fill_in_middle(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "EvalPython" not in plan
