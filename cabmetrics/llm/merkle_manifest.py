@@ -158,7 +158,7 @@ def tree_nodes(spark: SparkSession, leaves: DataFrame, largest: int) -> tuple[Da
         base += bits
         # a block's top is a root once its tree's height is reached
         tops.append(made.filter(F.col("entry").isNull() & (F.col("level") == height(F.col("total")))))
-        if (largest - 1) >> base == 0:
+        if max(largest - 1, 0) >> base == 0:
             break
         leaves = made.filter(F.col("entry").isNull() & (F.col("level") < height(F.col("total"))))
     return _all(done), _all(tops)
