@@ -25,6 +25,7 @@ an empty table gives no piece. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -79,35 +80,38 @@ class WordEncoder(dict):
         return [b"".join(map(self.__getitem__, part)) for part in split]
 
     def learn(self, words: set[bytes]) -> None:
-        letters, rest, parts = {}, {}, {}
-        for word in words:
-            text = word.decode("utf-8", "replace")
-            if text.isalpha():
-                letters[word] = text
-                continue
-            stem = text.rstrip(CLOSERS)
-            if stem != text and _latin(stem):
-                letters[stem.encode()], end = stem, text[len(stem) :]
-                rest[end.encode()] = end
-                parts[word] = (stem.encode(), end.encode())
-            else:
-                rest[word] = text
-        for some, learned, size in ((letters, self.learn_letters, 20_000), (rest, self.learn_each, 20_000)):
-            new = [x for x in some.items() if x[0] not in self]
-            for at in range(0, len(new), size):
-                learned(new[at : at + size])
+        # ASCII words, the most of them, are told apart as bytes
+        letters, rest, parts = dict.fromkeys(filter(bytes.isalpha, words)), {}, {}
+        for word in filterfalse(bytes.isalpha, words):
+            stem = word.rstrip(CLOSERS.encode())
+            if not stem.isalpha():
+                text = word.decode("utf-8", "replace")
+                if text.isalpha():
+                    letters[word] = None
+                    continue
+                if len(stem) == len(word) or not _latin(stem.decode("utf-8", "replace")):
+                    rest[word] = text
+                    continue
+            end = word[len(stem) :]
+            letters[stem], rest[end], parts[word] = None, end.decode(), (stem, end)
+        new = [x for x in letters if x not in self]
+        for at in range(0, len(new), 20_000):
+            self.learn_letters(new[at : at + 20_000])
+        others = [x for x in rest.items() if x[0] not in self]
+        for at in range(0, len(others), 20_000):
+            self.learn_each(others[at : at + 20_000])
         for word, (stem, end) in parts.items():
             self[word] = self[stem] + self[end]
 
-    def learn_letters(self, some: list[tuple[bytes, str]]) -> None:
+    def learn_letters(self, some: list[bytes]) -> None:
         """Words of letters alone: one text of them all, cut after each id that closes a word."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(text for _, text in some)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(some).decode("utf-8", "replace")], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.closes[ids]) + 1
         if len(ends) != len(some) or (len(ids) and ends[-1] != len(ids)):
-            self.learn_each(some)
+            self.learn_each([(word, word.decode("utf-8", "replace")) for word in some])
             return
         coded, cuts = ids.tobytes(), (4 * ends).tolist()
-        self.update((word, coded[start:end]) for (word, _), start, end in zip(some, [0, *cuts], cuts, strict=False))
+        self.update(zip(some, map(coded.__getitem__, map(slice, [0, *cuts], cuts)), strict=False))
 
     def learn_each(self, some: list[tuple[bytes, str]]) -> None:
         coded = self.tokenizer.encode_batch_fast([text for _, text in some], add_special_tokens=False)

@@ -102,3 +102,15 @@ def test_encoder_forgets(text):
     encoder = WordEncoder(tokenizer_file(), limit=1)
     for _ in range(2):
         assert np.frombuffer(encoder.texts([text.encode()])[0], "<u4").tolist() == expected([text])[0][:-1]
+
+
+def test_ascii_words_are_told_apart_without_decoding_them(monkeypatch):
+    from cabmetrics.llm import packing
+
+    seen = []
+    monkeypatch.setattr(packing, "_latin", lambda stem, latin=packing._latin: seen.append(stem) or latin(stem))
+    text = b"plain closed. closed! \xc3\xa9t\xc3\xa9 \xc3\xa9t\xc3\xa9, it's don't. 3rd, ... \xce\xb1\xce\xb2. bad\xff bad\xff, \xff."
+    encoder = packing.WordEncoder(tokenizer_file())
+    coded = np.frombuffer(encoder.texts([text])[0], "<u4").tolist()
+    assert coded == encoder.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
+    assert seen and not {"plain", "closed"} & set(seen)
