@@ -77,6 +77,18 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(trips_table(spark, sf_dir))
 
 
+def spread(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    """Rows of the trip table for a fit: no task gets more than the rows of a file on average.
+
+    A scan packs several small files into one task, on few cores or beyond
+    128 MB a task; such rows are dealt anew, as many partitions as files.
+    """
+    rows = raw_trips(spark, sf_dir).count()
+    if df.rdd.getNumPartitions() * ROWS_PER_PARTITION >= rows:
+        return df
+    return df.repartition(table_partitions(rows))
+
+
 def clean(spark: SparkSession, sf_dir: str, profile: CleaningProfile = CODE_PROFILE) -> DataFrame:
     return clean_trips(raw_trips(spark, sf_dir), profile)
 

@@ -35,7 +35,7 @@ def fitted(spark: SparkSession, sf_dir: str, kind: str, features: Sequence[str]
         # MLlib reads its input several times before it caches its own binned
         # copy (metadata, split sampling, binning); persist only the columns
         # the pipeline uses, not the whole trip row, and drop it after the fit
-        data = train.select(*features, TARGET).persist(StorageLevel.MEMORY_AND_DISK)
+        data = common.spread(spark, sf_dir, train.select(*features, TARGET)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             return M.fit(kind, data, features, profile)
         finally:

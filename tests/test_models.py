@@ -131,3 +131,17 @@ def test_successive_halving_fits_few_combinations_on_all_rows(spark, sf_small):
     assert of_rung[1][0][2] == train.filter(key_hash32("key", offset=17) < 2**31).count()
     best = next((t, d) for _, _, _, t, d, _, k in of_rung[2] if k)
     assert (cv_model.bestModel.getNumTrees, cv_model.bestModel.getOrDefault("maxDepth")) == best
+
+
+@pytest.mark.parametrize("rows_per_partition, seen", [(100, 10), (300_000, 2)])
+def test_a_task_of_a_fit_reads_no_more_rows_than_a_file_has(spark, sf_small, monkeypatch, rows_per_partition, seen):
+    K.raw_trips(spark, sf_small)  # 1,000 rows in 8 files, read in two tasks below
+    n_train = K.split(spark, sf_small)[0].count()
+    monkeypatch.setattr(K, "ROWS_PER_PARTITION", rows_per_partition)
+    monkeypatch.setattr(M, "fit", lambda kind, data, *_: (data.rdd.getNumPartitions(), data.count()))
+    monkeypatch.setattr(FM, "_FITTED", {})
+    spark.conf.set("spark.sql.files.minPartitionNum", 2)
+    try:
+        assert FM.fitted(spark, sf_small, "rf") == (seen, n_train)
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
