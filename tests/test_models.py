@@ -145,3 +145,39 @@ def test_a_task_of_a_fit_reads_no_more_rows_than_a_file_has(spark, sf_small, mon
         assert FM.fitted(spark, sf_small, "rf") == (seen, n_train)
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_the_folds_share_a_pool_and_the_grid_is_whole(spark, data, monkeypatch):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    train = fold_column(data[0], 3).repartition(4).persist()
+    tuning = TuningProfile(num_trees=(2, 4), max_depth=(2, 5), num_folds=3, parallelism=4)
+    fits, fit = [], M.RandomForestRegressor.fit
+
+    def seen(self, rows, params=None):
+        fits.append((params[self.maxDepth], params[self.numTrees], rows.rdd.getNumPartitions(), rows.count()))
+        return fit(self, rows, params)
+
+    rf = M.RandomForestRegressor(seed=tuning.seed, cacheNodeIds=True, maxMemoryInMB=M.TREE_MEMORY_MB)
+    rows = M.assembler().transform(train).selectExpr("features", "fare_amount as label", "fold")
+    plain = CrossValidator(estimator=rf, estimatorParamMaps=M.param_grid(rf, tuning), evaluator=RegressionEvaluator(metricName="rmse"), numFolds=3, foldCol="fold").fit(rows)
+    monkeypatch.setattr(M.RandomForestRegressor, "fit", seen)
+    # the layout kept: what CrossValidator finds
+    cv_model, table = M.cross_validate(train, tuning)
+    assert [r["avg_rmse"] for r in table.collect()] == pytest.approx(plain.avgMetrics, rel=1e-9)
+    assert cv_model.bestModel.getNumTrees == plain.bestModel.getNumTrees
+    fits.clear()
+    _, table = M.cross_validate(train, tuning, fold_partitions=2)
+    assert [(r["numTrees"], r["maxDepth"]) for r in table.collect()] == [(2, 2), (2, 5), (4, 2), (4, 5)]
+    *folds, last = fits
+    sizes = {r["fold"]: train.count() - r["count"] for r in train.groupBy("fold").count().collect()}
+    assert sorted(f[3] for f in folds) == sorted(list(sizes.values()) * 4)
+    assert {f[2] for f in folds} == {2} and last[2:] == (4, train.count())
+    train.unpersist()
+
+
+def test_an_empty_fold_is_an_error(spark, data):
+    tuning = TuningProfile(num_trees=(2,), max_depth=(2,), num_folds=2)
+    with pytest.raises(ValueError, match="validation data of fold 1 is empty"):
+        M.cross_validate(data[0].withColumn("fold", F.lit(0)).filter("fold = 0").unionByName(data[0].withColumn("fold", F.lit(2)).limit(3)), tuning)
