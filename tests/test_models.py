@@ -181,3 +181,24 @@ def test_an_empty_fold_is_an_error(spark, data):
     tuning = TuningProfile(num_trees=(2,), max_depth=(2,), num_folds=2)
     with pytest.raises(ValueError, match="validation data of fold 1 is empty"):
         M.cross_validate(data[0].withColumn("fold", F.lit(0)).filter("fold = 0").unionByName(data[0].withColumn("fold", F.lit(2)).limit(3)), tuning)
+
+
+@pytest.mark.parametrize("rows_per_partition, seen", [(100, (10, 4)), (300_000, (8, None))])
+def test_folds_of_larger_tables_read_fewer_partitions(spark, sf_small, monkeypatch, rows_per_partition, seen):
+    K.raw_trips(spark, sf_small)  # 1,000 rows in 8 files
+    found = []
+
+    def search(data, tuning, fold_partitions):
+        found.append((data.rdd.getNumPartitions(), fold_partitions))
+        raise ValueError("seen")
+
+    monkeypatch.setattr(K, "ROWS_PER_PARTITION", rows_per_partition)
+    monkeypatch.setattr(M, "cross_validate", search)
+    monkeypatch.setattr(FM, "fitted", lambda *_: None)
+    monkeypatch.setattr(FM, "_FITTED", {})
+    spark.conf.set("spark.sql.files.minPartitionNum", 8)
+    try:
+        assert FM.tuned(spark, sf_small, TuningProfile())[2:] == ("fallback", "ValueError: seen")
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert found == [seen]
