@@ -202,3 +202,25 @@ def test_folds_of_larger_tables_read_fewer_partitions(spark, sf_small, monkeypat
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
     assert found == [seen]
+
+
+@pytest.mark.parametrize("rows_per_partition, seen", [(3_000, (8, 3)), (30_000, (8, None))])
+def test_folds_of_all_but_small_tables_read_fewer_partitions(spark, sf_small, monkeypatch, rows_per_partition, seen):
+    n = K.raw_trips(spark, sf_small).count()  # 1,000 rows in 8 files: small up to a sixth of a partition's rows
+    assert (n * FM.SMALL_TABLES > rows_per_partition) == (seen[1] is not None)
+    found = []
+
+    def search(data, tuning, fold_partitions):
+        found.append((data.rdd.getNumPartitions(), fold_partitions))
+        raise ValueError("seen")
+
+    monkeypatch.setattr(K, "ROWS_PER_PARTITION", rows_per_partition)
+    monkeypatch.setattr(M, "cross_validate", search)
+    monkeypatch.setattr(FM, "fitted", lambda *_: None)
+    monkeypatch.setattr(FM, "_FITTED", {})
+    spark.conf.set("spark.sql.files.minPartitionNum", 8)
+    try:
+        assert FM.tuned(spark, sf_small, TuningProfile())[2:] == ("fallback", "ValueError: seen")
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert found == [seen]
