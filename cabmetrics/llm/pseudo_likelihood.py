@@ -10,8 +10,8 @@ The vocabulary comes from the counts of all words of all documents: the
 ``shared`` hashed ids. Given the counts, ``score`` tells the words of one id
 apart by their own: a word's share of what was counted there (and one more
 occurrence, left to words that were not). The counts stay a Spark table of
-all different words, however many; the rare words of the documents are joined
-with it. Without the counts the probability is spread evenly over the
+all different words, however many; the words of the documents that are not
+among the more frequent ones, which the tasks know, are joined with it. Without the counts the probability is spread evenly over the
 different words of an id. As context, the words of one id are the same.
 
 Training covers every position of every document, once a round, unless a
@@ -125,16 +125,27 @@ class Network:
         cuts = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1)).tolist()
         return order, [(c, cuts[c], cuts[c + 1]) for c in range(CLUSTERS) if cuts[c] < cuts[c + 1]]
 
+    def safe(self) -> bool:
+        """Whether no logit, of whatever context, is so large that its exponential leaves the range of numbers."""
+        most = max(np.abs(w).sum(axis=-2).max() + np.abs(b).max() for w, b in ((self.cluster, self.cluster_bias), (self.member, self.member_bias)))
+        return bool(most < 80)  # hidden units lie in -1 to 1; sums of such exponentials stay below 1e38
+
+    def with_bias(self) -> tuple[np.ndarray, np.ndarray]:
+        """The layers' weights with the biases as a last input, which is 1."""
+        return np.concatenate([self.cluster, self.cluster_bias[None]]), np.concatenate([self.member, self.member_bias[:, None]], axis=1)
+
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         order, clusters = self.by_cluster(target)
         target = target[order]
-        hidden = self.hidden_of(context[order])
-        logits = hidden @ self.cluster + self.cluster_bias
-        rows, member = np.arange(len(target)), target // CLUSTERS
-        found = logits[rows, target % CLUSTERS] - log_sum(logits)
+        hidden = with_ones(self.hidden_of(context[order]))
+        cluster, member = self.with_bias()
+        safe, rows, place = self.safe(), np.arange(len(target)), target // CLUSTERS
+        found = np.empty(len(target), np.float32)
+        for at in range(0, len(target), 2048):  # logits that fit a core's cache
+            end = min(at + 2048, len(target))
+            found[at:end] = log_shares(hidden[at:end] @ cluster, rows[: end - at], target[at:end] % CLUSTERS, safe)
         for c, start, end in clusters:
-            logits = hidden[start:end] @ self.member[c] + self.member_bias[c]
-            found[start:end] += logits[rows[: end - start], member[start:end]] - log_sum(logits)
+            found[start:end] += log_shares(hidden[start:end] @ member[c], rows[: end - start], place[start:end], safe)
         out = np.empty_like(found)
         out[order] = found
         return out
@@ -144,29 +155,30 @@ class Network:
         order, clusters = self.by_cluster(target)
         context, target = context[order], target[order]
         hidden = self.hidden_of(context)
-        rows, member = np.arange(len(target)), target // CLUSTERS
-        error = softmax(hidden @ self.cluster + self.cluster_bias)
-        error[rows, target % CLUSTERS] -= 1
+        wide, size = with_ones(hidden), hidden.shape[1]
+        cluster, member = self.with_bias()
+        safe, rows, place = self.safe(), np.arange(len(target)), target // CLUSTERS
+        turned = np.ascontiguousarray(self.member.transpose(0, 2, 1))
+        # errors are the shares times ``total``; rows of the other factor are divided by it, as these are shorter
+        error, total = errors(wide @ cluster, rows, target % CLUSTERS, safe)
         back = error @ self.cluster.T
-        yield "cluster", ..., hidden.T @ error
-        yield "cluster_bias", ..., total_rows(error)
+        back /= total
+        gradient = (wide / total).T @ error
+        yield "cluster", ..., gradient[:size]
+        yield "cluster_bias", ..., gradient[size]
         for c, start, end in clusters:
-            part = hidden[start:end]
-            error = softmax(part @ self.member[c] + self.member_bias[c])
-            error[rows[: end - start], member[start:end]] -= 1
-            back[start:end] += error @ self.member[c].T
-            yield "member", c, part.T @ error
-            yield "member_bias", c, total_rows(error)
+            part = wide[start:end]
+            error, total = errors(part @ member[c], rows[: end - start], place[start:end], safe)
+            gradient = (part / total).T @ error
+            back[start:end] += (error @ turned[c]) / total
+            yield "member", c, gradient[:size]
+            yield "member_bias", c, gradient[size]
         back *= 1 - hidden * hidden
         yield "bias", ..., total_rows(back)
-        narrow = np.uint16 if self.inputs.shape[1] <= 1 << 16 else np.int32  # short numbers sort in linear time
-        across = np.ascontiguousarray(back.T)
-        for place in range(context.shape[1]):
-            ids = context[:, place].astype(narrow)
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-            yield "inputs", (place, ids[first]), np.add.reduceat(across.take(order, axis=1), first, axis=1).T
+        back, units = back.astype(np.float64).reshape(-1), np.arange(size)
+        for place, known in enumerate(self.inputs):
+            at = context[:, place, None].astype(np.int64) * size + units
+            yield "inputs", place, np.bincount(at.reshape(-1), back, known.size).astype(np.float32).reshape(known.shape)
 
     def step(self, context: np.ndarray, target: np.ndarray, rate: float) -> None:
         """One gradient step in place.
@@ -187,19 +199,33 @@ def total_rows(x: np.ndarray) -> np.ndarray:
     return np.ones(len(x), np.float32) @ x
 
 
-def log_sum(logits: np.ndarray) -> np.ndarray:
-    top = logits.max(axis=1)
-    scaled = logits - top[:, None]
-    np.exp(scaled, out=scaled)
-    return np.log(scaled @ np.ones(logits.shape[1], np.float32)) + top
+def with_ones(hidden: np.ndarray) -> np.ndarray:
+    out = np.ones((len(hidden), hidden.shape[1] + 1), np.float32)
+    out[:, :-1] = hidden
+    return out
 
 
-def softmax(logits: np.ndarray) -> np.ndarray:
-    """In place."""
-    logits -= logits.max(axis=1)[:, None]
+def exponentials(logits: np.ndarray, safe: bool) -> np.ndarray:
+    """In place, with the sum of each row as a column; rows that are not ``safe`` are divided by their largest one."""
+    if not safe:
+        logits -= logits.max(axis=1)[:, None]
     np.exp(logits, out=logits)
-    logits *= (1 / (logits @ np.ones(logits.shape[1], np.float32)))[:, None]
-    return logits
+    return logits @ np.ones((logits.shape[1], 1), np.float32)
+
+
+def log_shares(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray, safe: bool) -> np.ndarray:
+    """Logarithm of the chosen entries' shares of the exponentials."""
+    if not safe:
+        logits -= logits.max(axis=1)[:, None]
+    found = logits[rows, chosen]
+    return found - np.log(exponentials(logits, True)[:, 0])
+
+
+def errors(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray, safe: bool) -> tuple[np.ndarray, np.ndarray]:
+    """In place: the shares of the exponentials, less 1 for the chosen ones, all times the sum; and the sums."""
+    total = exponentials(logits, safe)
+    logits[rows, chosen] -= total[:, 0]
+    return logits, total
 
 
 def contexts(ids: np.ndarray, side: int, at: np.ndarray) -> np.ndarray:
@@ -229,13 +255,13 @@ def counted(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> Dat
 
 
 def within_shared(spark: SparkSession, counts: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame, list[float]]:
-    """(word, log) of the words without an id of their own, and by shared id the logarithm of a word not counted."""
+    """(word, n, log) of the words without an id of their own, and by shared id the logarithm of a word not counted."""
     slot = (F.crc32("word") % vocabulary.shared).alias("slot")
     known = spark.createDataFrame([(bytearray(w),) for w in vocabulary], "word binary")
     rare = counts.join(F.broadcast(known), "word", "left_anti").select("word", "n", slot)
     totals = rare.groupBy("slot").agg((F.sum("n") + 1).alias("total"))
     held = {r["slot"]: r["total"] for r in totals.collect()}
-    rare = rare.join(F.broadcast(totals), "slot").select("word", F.log(F.col("n") / F.col("total")).alias("log"))
+    rare = rare.join(F.broadcast(totals), "slot").select("word", "n", F.log(F.col("n") / F.col("total")).alias("log"))
     return rare, [-math.log(held.get(i, 1)) for i in range(vocabulary.shared)]
 
 
@@ -320,32 +346,43 @@ def score(
     text_col: str = "text",
     segment: int = 1 << 15,
     counts: DataFrame | None = None,
+    known: int = 1 << 16,
 ) -> DataFrame:
     """One row per document: doc_id, n_words, log_likelihood (sum), mean_log_likelihood.
 
-    ``counts`` (word, n) gives the words of a shared id their own probabilities.
+    ``counts`` (word, n) gives the words of a shared id their own probabilities:
+    the tasks know those of the ``known`` most frequent ones, all others are
+    joined with the counts.
     """
-    shared = sent(spark, (vocabulary, network))
-    even = counts is None
+    even, frequent = counts is None, []
+    if not even:
+        logs, unseen = within_shared(spark, counts, vocabulary)
+        frequent = logs.orderBy(F.desc("n"), "word").limit(known).select("word", "log").collect()
+    # numbers beyond the vocabulary's are those of the known words; their ids and logarithms
+    places = {bytes(r["word"]): vocabulary.size + i for i, r in enumerate(frequent)}
+    ids = np.concatenate([np.arange(vocabulary.size), [vocabulary[w] for w in places]]).astype(np.int32)
+    own_log = np.concatenate([np.zeros(vocabulary.size), [r["log"] for r in frequent]])
+    shared = sent(spark, (vocabulary, network, places, ids, own_log))
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, network = received(shared)
+        vocabulary, network, places, ids, own_log = received(shared)
         side, lookup = network.side, Lookup(vocabulary)
+        lookup.update(places)
         for block in blocks(batches, "text", 2 << 20):
             # documents in a row, padded apart; a position is scored only if it holds a word
-            row, n, split = in_a_row(lookup, block.column("text").to_pylist(), side)
-            sums = np.zeros(len(row))
+            place, n, split = in_a_row(lookup, block.column("text").to_pylist(), side)
+            row, sums = ids[place], own_log[place]
             words = np.flatnonzero(row)
             for at in range(0, len(words), segment):
                 own = words[at : at + segment]
-                sums[own] = network.log_probabilities(around(row, side, own), row[own])
+                sums[own] += network.log_probabilities(around(row, side, own), row[own])
                 if even:
                     sums[own] += vocabulary.within[row[own]]
             ends = np.cumsum(n + side)
             total = np.concatenate([[0.0], np.cumsum(sums)])
             columns = [block.column("doc_id"), pa.array(n), pa.array(total[ends] - total[ends - n])]
             if not even:
-                rare = row[words] > vocabulary.common
+                rare = (place[words] > vocabulary.common) & (place[words] < vocabulary.size)
                 cuts = np.concatenate([[0], np.cumsum(rare)])[np.concatenate([[0], np.cumsum(n)])]
                 columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(list(compress(split, rare)), pa.binary())))
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "log_likelihood", "rare"][: len(columns)])
@@ -357,8 +394,7 @@ def score(
         return named.mapInArrow(tasks, kinds).select("*", mean)
     scored = named.mapInArrow(tasks, f"{kinds}, rare array<binary>").withColumn("row", F.monotonically_increasing_id())
     scored = written(spark, scored, "scored")
-    logs, unseen = within_shared(spark, counts, vocabulary)
-    words = scored.select("row", F.explode("rare").alias("word")).join(logs, "word", "left")
+    words = scored.select("row", F.explode("rare").alias("word")).join(logs.select("word", "log"), "word", "left")
     log = F.coalesce("log", F.element_at(F.lit(unseen), (F.crc32("word") % vocabulary.shared + 1).cast("int")))
     within = words.groupBy("row").agg(F.sum(log).alias("within"))
     total = (F.col("log_likelihood") + F.coalesce("within", F.lit(0.0))).alias("log_likelihood")

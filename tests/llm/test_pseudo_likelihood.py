@@ -6,6 +6,8 @@ import zlib
 import numpy as np
 import pytest
 
+from cabmetrics.llm import pseudo_likelihood
+from cabmetrics.llm.common import written
 from cabmetrics.llm.pseudo_likelihood import Network, Vocabulary, build_vocabulary, contexts, counted, score, train
 
 
@@ -142,6 +144,41 @@ def test_words_of_a_shared_id_have_their_own_probabilities(spark):
         assert g[:2] == w[:2] and g[2:] == (pytest.approx(w[2], rel=1e-5), w[3] if w[3] is None else pytest.approx(w[3], rel=1e-5))
 
 
+def test_only_words_that_the_tasks_do_not_know_are_joined(spark, monkeypatch):
+    rows = [(1, "the odd the"), (2, "the rare the"), (2, "the rare the rare"), (None, "the rare odd"), (3, None), (4, "the a the a the a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = counted(spark, docs)
+    vocabulary = build_vocabulary(spark, docs, common=1, shared=2, counts=counts)
+    network, new, joined = Network.fresh(vocabulary.size, 2, 8), spark.createDataFrame([*rows, (5, "the new the")], docs.schema), []
+
+    def kept(spark, df, name):
+        joined.append(sorted(bytes(w) for r in df.select("rare").collect() for w in r["rare"]))
+        return written(spark, df, name)
+
+    monkeypatch.setattr(pseudo_likelihood, "written", kept)
+    found = [sorted(map(tuple, score(spark, new, vocabulary, network, counts=counts, **x).collect()), key=repr) for x in ({}, {"known": 1}, {"known": 0})]
+    others = [b"a"] * 3 + [b"new", b"odd", b"odd"]
+    assert joined == [[b"new"], others, others + [b"rare"] * 4]
+    for other in found[1:]:
+        for got, want in zip(other, found[0], strict=True):
+            assert got[:2] == want[:2] and (got[2:] == want[2:] or got[2:] == pytest.approx(want[2:], rel=1e-9))
+
+
+def test_large_weights_give_the_same_shares():
+    rng = np.random.default_rng(2)
+    context, target = rng.integers(0, 300, (500, 4)), rng.integers(0, 300, 500)
+    network = Network.fresh(300, 2, 8)
+    assert network.safe()
+    logs, total = network.log_probabilities(context, target), network.gradients(context, target)
+    # a number that all logits of a row share changes no probability
+    network.cluster_bias += 500
+    network.member_bias += 500
+    assert not network.safe()
+    assert network.log_probabilities(context, target) == pytest.approx(logs, abs=2e-3)
+    for (part, _, gradient), (_, _, want) in zip(network.gradients(context, target), total, strict=True):
+        assert np.isfinite(gradient).all() and gradient == pytest.approx(want, abs=0.05), part
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     vocabulary = build_vocabulary(spark, docs, common=10, shared=4)
