@@ -224,3 +224,30 @@ def test_folds_of_all_but_small_tables_read_fewer_partitions(spark, sf_small, mo
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
     assert found == [seen]
+
+
+def test_deep_forests_on_few_rows_read_fewer_partitions():
+    found = {(t, d): M._fit_partitions(M.estimator("rf"), 36_700, t, d, 10, 3) for t in (50, 100, 150) for d in (5, 10, 15)}
+    assert found == {(t, d): 3 if d < 15 else {50: 1, 100: 1, 150: 2}[t] for t, d in found}
+    # more rows: as many as there were, and never more
+    assert [M._fit_partitions(M.estimator("rf"), rows, 150, 15, 10, 7) for rows in (50_000, 100_000, 220_000, 2_200_000)] == [2, 4, 7, 7]
+
+
+def test_fits_of_fewer_partitions_read_all_rows_of_their_folds(spark, data, monkeypatch):
+    train = fold_column(data[0], 2).repartition(4).persist()
+    fits, fit = [], M.RandomForestRegressor.fit
+
+    def seen(self, rows, params=None):
+        fits.append((params[self.maxDepth], params[self.numTrees], rows.rdd.getNumPartitions(), rows.count()))
+        return fit(self, rows, params)
+
+    monkeypatch.setattr(M.RandomForestRegressor, "fit", seen)
+    monkeypatch.setattr(M, "ROWS_TIMES_TREES", 2 * train.count())
+    monkeypatch.setattr(M.RandomForestRegressor, "getMaxBins", lambda self: 220_000)  # statistics taken as large
+    cv_model, table = M.cross_validate(train, TuningProfile(num_trees=(2, 6), max_depth=(2, 5), num_folds=2, parallelism=1), fold_partitions=3)
+    *folds, last = fits
+    sizes = sorted(r["count"] for r in train.groupBy("fold").count().collect())
+    assert sorted(f[3] for f in folds) == sorted(sizes * 4) and last[2:] == (4, train.count())
+    assert {f[:3] for f in folds} == {(2, 2, 3), (2, 6, 3), (5, 2, 1), (5, 6, 2)}
+    assert [(r["numTrees"], r["maxDepth"]) for r in table.collect()] == [(2, 2), (2, 5), (6, 2), (6, 5)]
+    train.unpersist()
