@@ -34,14 +34,14 @@ import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, raw_text, received, sent, written
+from .common import blocks, raw_text, received, sent, words_of, written
 from .word_counts import word_counts
 
 CLUSTERS = 64
@@ -69,20 +69,6 @@ class Vocabulary(dict):
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
-class Lookup(dict):
-    """Ids of words as a task meets them; remembers up to ``limit`` words."""
-
-    def __init__(self, vocabulary: Vocabulary, limit: int = 400_000):
-        super().__init__(vocabulary)
-        self.vocabulary, self.limit = vocabulary, limit
-
-    def __missing__(self, word: bytes) -> int:
-        number = self.vocabulary[word]
-        if len(self) < self.limit:
-            self[word] = number
-        return number
-
-
 @dataclass
 class Network:
     side: int
@@ -235,13 +221,21 @@ def contexts(ids: np.ndarray, side: int, at: np.ndarray) -> np.ndarray:
     return np.stack([padded[at + p] for p in places], axis=1)
 
 
-def in_a_row(vocabulary: dict, texts: list[bytes], side: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Ids of documents one after the other, ``side`` paddings around each; their numbers of words; the words."""
-    split = [raw.lower().split() for raw in texts]
-    n, words = np.array([len(x) for x in split], np.int64), list(chain.from_iterable(split))
+def in_a_row(known: pa.Array, numbers: np.ndarray, vocabulary: Vocabulary, texts: pa.Array, side: int) -> tuple[np.ndarray, np.ndarray, pa.BinaryArray, np.ndarray]:
+    """Numbers of documents' words one after the other, ``side`` paddings around each; their numbers of words; the words and whether each is ``known``.
+
+    Known words have the ``numbers`` given, all others their shared ids.
+    """
+    words, n = words_of(texts)
+    found = pc.index_in(words, value_set=known).fill_null(-1).to_numpy()
+    held = found >= 0
+    number = np.empty(len(words), np.int32)
+    number[held] = numbers[found[held]]
+    others = words.filter(pa.array(~held)).to_numpy(zero_copy_only=False)
+    number[~held] = 1 + vocabulary.common + np.fromiter(map(zlib.crc32, others), np.uint32, len(others)) % vocabulary.shared
     row = np.zeros(side + len(words) + side * len(n), np.int32)
-    row[side + np.arange(len(words)) + side * np.repeat(np.arange(len(n)), n)] = np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words))
-    return row, n, words
+    row[side + np.arange(len(words)) + side * np.repeat(np.arange(len(n)), n)] = number
+    return row, n, words, held
 
 
 def around(row: np.ndarray, side: int, own: np.ndarray) -> np.ndarray:
@@ -299,7 +293,8 @@ def train(
 
         def tasks(batches: Iterator[pa.RecordBatch], shared=shared, phase=number * stride // max(rounds, 1)) -> Iterator[pa.RecordBatch]:
             vocabulary, network = received(shared)
-            held, seen, lookup = [], 0, Lookup(vocabulary)
+            held, seen = [], 0
+            known, numbers = pa.array(list(vocabulary), pa.binary()), np.arange(1, 1 + vocabulary.common, dtype=np.int32)
             # rows and weights are mixed over the batches that a block of text gives
             rng = np.random.default_rng(phase)
 
@@ -312,7 +307,7 @@ def train(
                 return len(target)
 
             for block in blocks(batches, "text", 2 << 20):
-                row, n, _ = in_a_row(lookup, block.column("text").to_pylist(), network.side)
+                row, n, _, _ = in_a_row(known, numbers, vocabulary, block.column("text"), network.side)
                 place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 own = np.flatnonzero(row)[(place - np.repeat(n, n) - phase) % stride == 0]
                 if len(own):
@@ -359,18 +354,18 @@ def score(
         logs, unseen = within_shared(spark, counts, vocabulary)
         frequent = logs.orderBy(F.desc("n"), "word").limit(known).select("word", "log").collect()
     # numbers beyond the vocabulary's are those of the known words; their ids and logarithms
-    places = {bytes(r["word"]): vocabulary.size + i for i, r in enumerate(frequent)}
+    places = [bytes(r["word"]) for r in frequent]
     ids = np.concatenate([np.arange(vocabulary.size), [vocabulary[w] for w in places]]).astype(np.int32)
     own_log = np.concatenate([np.zeros(vocabulary.size), [r["log"] for r in frequent]])
     shared = sent(spark, (vocabulary, network, places, ids, own_log))
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, network, places, ids, own_log = received(shared)
-        side, lookup = network.side, Lookup(vocabulary)
-        lookup.update(places)
+        side, known = network.side, pa.array([*vocabulary, *places], pa.binary())
+        numbers = np.concatenate([np.arange(1, 1 + vocabulary.common), vocabulary.size + np.arange(len(places))]).astype(np.int32)
         for block in blocks(batches, "text", 2 << 20):
             # documents in a row, padded apart; a position is scored only if it holds a word
-            place, n, split = in_a_row(lookup, block.column("text").to_pylist(), side)
+            place, n, split, held = in_a_row(known, numbers, vocabulary, block.column("text"), side)
             row, sums = ids[place], own_log[place]
             words = np.flatnonzero(row)
             for at in range(0, len(words), segment):
@@ -382,9 +377,8 @@ def score(
             total = np.concatenate([[0.0], np.cumsum(sums)])
             columns = [block.column("doc_id"), pa.array(n), pa.array(total[ends] - total[ends - n])]
             if not even:
-                rare = (place[words] > vocabulary.common) & (place[words] < vocabulary.size)
-                cuts = np.concatenate([[0], np.cumsum(rare)])[np.concatenate([[0], np.cumsum(n)])]
-                columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(list(compress(split, rare)), pa.binary())))
+                cuts = np.concatenate([[0], np.cumsum(~held)])[np.concatenate([[0], np.cumsum(n)])]
+                columns.append(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), split.filter(pa.array(~held))))
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "log_likelihood", "rare"][: len(columns)])
 
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), raw_text(text_col).alias("text"))

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cabmetrics.llm import pseudo_likelihood
@@ -184,3 +185,19 @@ def test_empty_table(spark):
     vocabulary = build_vocabulary(spark, docs, common=10, shared=4)
     assert isinstance(vocabulary, Vocabulary)
     assert score(spark, docs, vocabulary, train(spark, docs, vocabulary)).count() == 0
+
+
+def test_rows_of_words_are_those_of_a_plain_loop():
+    vocabulary = Vocabulary([b"the", b"a"], 5, np.ones(5))
+    texts = ["", " The\x0b a\x0ccat\r\n", "A", "\x1c the\x85 İA \xc4 the", "\t", "cat  CAT\x00 a "]
+    raw = pa.array([b"x the", *(t.encode() for t in texts), b"the"], pa.binary()).slice(1, len(texts))
+    numbers = np.array([1, 2, 8], np.int32)  # a known word beyond the vocabulary has a number of its own
+    row, n, words, held = pseudo_likelihood.in_a_row(pa.array([b"the", b"a", b"cat"]), numbers, vocabulary, raw, 2)
+    split = [t.encode().lower().split() for t in texts]
+    flat = [w for s in split for w in s]
+    assert (words.to_pylist(), n.tolist()) == (flat, [len(s) for s in split])
+    assert held.tolist() == [w in (b"the", b"a", b"cat") for w in flat]
+    want = [0, 0]
+    for s in split:
+        want += [8 if w == b"cat" else vocabulary[w] for w in s] + [0, 0]
+    assert row.tolist() == want
