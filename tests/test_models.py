@@ -251,3 +251,33 @@ def test_fits_of_fewer_partitions_read_all_rows_of_their_folds(spark, data, monk
     assert {f[:3] for f in folds} == {(2, 2, 3), (2, 6, 3), (5, 2, 1), (5, 6, 2)}
     assert [(r["numTrees"], r["maxDepth"]) for r in table.collect()] == [(2, 2), (2, 5), (6, 2), (6, 5)]
     train.unpersist()
+
+
+SEARCHED = (
+    "compare_tuning cross_validate model_params rank_importance tuned_residual_report tuned_residual_histogram tuned_error_by_segment "
+    "check_compare_tuning check_grid check_model_params check_rank_importance check_tuned_residuals check_tuned_rows"
+).split()
+
+
+def test_a_failed_search_is_told_and_never_a_result(spark, sf_small, monkeypatch):
+    from cabmetrics.plans import catalog
+
+    def search(*_, **__):
+        raise ValueError("the search broke")
+
+    monkeypatch.setattr(M, "cross_validate", search)
+    monkeypatch.setattr(catalog, "TUNING", TuningProfile(num_trees=(2,), max_depth=(2,), seed=7))  # none is kept of these
+    for name in SEARCHED:
+        with pytest.raises((ValueError, RuntimeError), match="the search broke"):
+            catalog.REGISTRY[name](spark, sf_small).collect()
+    told = catalog.REGISTRY["fit_with_fallback"](spark, sf_small).first()
+    assert (told.status, told.error) == ("fallback", "ValueError: the search broke") and told.RMSE > 0
+
+
+def test_a_failed_search_is_not_kept(spark, sf_small, monkeypatch):
+    tuning = TuningProfile(num_trees=(2,), max_depth=(2,), num_folds=2, seed=8)
+    with monkeypatch.context() as m:
+        m.setattr(M, "cross_validate", lambda *_, **__: 1 / 0)
+        assert FM.tuned(spark, sf_small, tuning)[2] == "fallback"
+    best, table, status, error = FM.tuned(spark, sf_small, tuning)
+    assert (status, error, table.count(), M.final_stage(best).getNumTrees) == ("tuned", None, 1, 2)
