@@ -281,3 +281,32 @@ def test_a_failed_search_is_not_kept(spark, sf_small, monkeypatch):
         assert FM.tuned(spark, sf_small, tuning)[2] == "fallback"
     best, table, status, error = FM.tuned(spark, sf_small, tuning)
     assert (status, error, table.count(), M.final_stage(best).getNumTrees) == ("tuned", None, 1, 2)
+
+
+@pytest.mark.parametrize("limit, at_once", [(1, 1), (10**9, 2)])
+def test_large_fits_run_one_at_a_time_with_less_memory_a_pass(spark, data, monkeypatch, limit, at_once):
+    import threading
+    import time
+
+    train = fold_column(data[0], 2).repartition(4).persist()
+    fits, running, lock, fit = [], [], threading.Lock(), M.RandomForestRegressor.fit
+
+    def seen(self, rows, params=None):
+        with lock:
+            running.append(params)
+            fits.append((len(running), self.getMaxMemoryInMB(), rows.count()))
+        time.sleep(0.5)
+        try:
+            return fit(self, rows, params)
+        finally:
+            with lock:
+                running.remove(params)
+
+    monkeypatch.setattr(M.RandomForestRegressor, "fit", seen)
+    monkeypatch.setattr(M, "LARGE_SEARCH_ROWS", train.count() - 1)
+    monkeypatch.setattr(M, "ROWS_TIMES_TREES_AT_ONCE", limit)
+    cv_model, table = M.cross_validate(train, TuningProfile(num_trees=(2, 3), max_depth=(2, 4), num_folds=2, parallelism=2))
+    assert max(f[0] for f in fits) == at_once
+    assert {f[1] for f in fits} == {256} and len(fits) == 9 and fits[-1][2] == train.count()
+    assert table.count() == 4 and cv_model.bestModel.getNumTrees in (2, 3)
+    train.unpersist()
