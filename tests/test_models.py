@@ -310,3 +310,16 @@ def test_large_fits_run_one_at_a_time_with_less_memory_a_pass(spark, data, monke
     assert {f[1] for f in fits} == {256} and len(fits) == 9 and fits[-1][2] == train.count()
     assert table.count() == 4 and cv_model.bestModel.getNumTrees in (2, 3)
     train.unpersist()
+
+
+def test_garbage_is_collected_while_a_large_search_runs():
+    import time
+    from types import SimpleNamespace
+
+    calls = []
+    session = SimpleNamespace(sparkContext=SimpleNamespace(_jvm=SimpleNamespace(System=SimpleNamespace(gc=lambda: calls.append(1)))))
+    with M._collected(session, 0.01):
+        time.sleep(0.5)
+    n = len(calls)
+    time.sleep(0.1)
+    assert n > 1 and len(calls) == n
